@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference reads bounded files only: it has no unbounded source, watermark, trigger, state or
+late-data rule, so no streaming operator is claimed.  The time-bucket mean (``resample_mean``) and the
+per-segment counts are plain ``groupBy(window(...))`` aggregates and therefore also run unchanged on a
+``readStream`` DataFrame with a watermark; nothing else is provided here on purpose.
+"""
