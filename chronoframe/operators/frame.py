@@ -25,10 +25,16 @@ def select_except(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def used_columns(df: DataFrame, date: str | None, features, target, exclude_date: bool = False) -> DataFrame:
     """Keep date → features → target in that order; list-valued entries are flattened."""
+    def flat(item):
+        if isinstance(item, (list, tuple)):
+            for x in item:
+                yield from flat(x)
+        elif item:
+            yield item
+
     parts = [] if exclude_date or not date else [date]
-    for item in (features, target):
-        parts.extend(item if isinstance(item, (list, tuple)) else [item])
-    return df.select(*dict.fromkeys(p for p in parts if p))
+    parts.extend(flat([features, target]))
+    return df.select(*dict.fromkeys(parts))
 
 
 def with_total(df: DataFrame, col: str, name: str | None = None, fn=F.sum) -> DataFrame:

@@ -106,7 +106,7 @@ def q_lit_col(spark, sf_dir):
 
 
 @register("casts", """
-SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS key_text, CAST(o_totalprice AS BIGINT) AS price_int,
+SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS key_text, CAST(trunc(o_totalprice) AS BIGINT) AS price_int,
        CAST(o_orderdate AS DATE) AS order_day, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day_text,
        TRY_CAST(o_orderpriority AS INTEGER) AS priority_num
 FROM orders""", ids="P12")
@@ -148,14 +148,14 @@ def q_column_project(spark, sf_dir):
 
 
 @register("ratio_features", """
-SELECT l_orderkey, l_linenumber, round(l_extendedprice / NULLIF(l_quantity, 0), 6) AS price_per_qty,
-       round(l_tax / NULLIF(l_extendedprice, 0), 6) AS tax_per_price, round(l_discount / NULLIF(l_quantity, 0), 6) AS disc_per_qty
+SELECT l_orderkey, l_linenumber, l_extendedprice / NULLIF(l_quantity, 0) AS price_per_qty,
+       l_tax / NULLIF(l_extendedprice, 0) AS tax_per_price, l_discount / NULLIF(l_quantity, 0) AS disc_per_qty
 FROM lineitem""", ids="P17")
 def q_ratio_features(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     out = fr.ratio_features(li, "l_extendedprice", "l_quantity", "l_tax", "l_discount",
                             names=("price_per_qty", "tax_per_price", "disc_per_qty"))
-    return out.select("l_orderkey", "l_linenumber", *[r6(c).alias(c) for c in ("price_per_qty", "tax_per_price", "disc_per_qty")])
+    return out.select("l_orderkey", "l_linenumber", "price_per_qty", "tax_per_price", "disc_per_qty")
 
 
 # Fixed values of the map_lookup query: a three-entry dictionary like the reference's symbol → id map.
@@ -286,19 +286,18 @@ def q_describe(spark, sf_dir):
 @register("profile", f"""
 SELECT * FROM (VALUES
   ('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_totalprice', 'double'), ('o_orderpriority', 'string'),
-  ('qty', 'double'), ('disc', 'double')) t(column, dtype)
+  ('qty', 'double'), ('disc', 'double')) t(col_name, dtype)
 JOIN (
-  SELECT unnest(['o_orderkey', 'o_custkey', 'o_totalprice', 'o_orderpriority', 'qty', 'disc']) AS column,
+  SELECT unnest(['o_orderkey', 'o_custkey', 'o_totalprice', 'o_orderpriority', 'qty', 'disc']) AS col_name,
          unnest([count(o_orderkey), count(o_custkey), count(o_totalprice), count(o_orderpriority), count(qty), count(disc)]) AS non_null,
          unnest([count(*) - count(o_orderkey), count(*) - count(o_custkey), count(*) - count(o_totalprice),
                  count(*) - count(o_orderpriority), count(*) - count(qty), count(*) - count(disc)]) AS nulls
-  FROM {NULLABLE_SQL} n) c USING (column)
+  FROM {NULLABLE_SQL} n) c USING (col_name)
 """, ids="A07")
 def q_profile(spark, sf_dir):
     p = fr.profile(nullable(spark, sf_dir))
-    return p.select("column", "dtype", F.col("non_null").cast("long").alias("non_null"),
-                    F.col("nulls").cast("long").alias("nulls")).withColumn("has_null", F.col("nulls") > 0) \
-        .select("column", "dtype", "non_null", "nulls")
+    return p.select(F.col("column").alias("col_name"), "dtype", F.col("non_null").cast("long").alias("non_null"),
+                    F.col("nulls").cast("long").alias("nulls"))
 
 
 @register("median", """
@@ -334,13 +333,13 @@ def q_histogram(spark, sf_dir):
 @register("grid_summary", """
 WITH s AS (SELECT min(l_quantity) AS x0, max(l_quantity) AS x1, min(l_discount) AS y0, max(l_discount) AS y1 FROM lineitem),
 b AS (SELECT CASE WHEN l_quantity = x1 THEN 5 ELSE CAST(floor(5 * (l_quantity - x0) / (x1 - x0)) AS BIGINT) + 1 END AS bx,
-             CASE WHEN l_discount = y1 THEN 4 ELSE CAST(floor(4 * (l_discount - y0) / (y1 - y0)) AS BIGINT) + 1 END AS by,
+             CASE WHEN l_discount = y1 THEN 4 ELSE CAST(floor(4 * (l_discount - y0) / (y1 - y0)) AS BIGINT) + 1 END AS bin_y,
              l_extendedprice FROM lineitem, s)
-SELECT bx, by, CAST(count(*) AS BIGINT) AS count, round(avg(l_extendedprice), 6) AS mean_l_extendedprice FROM b GROUP BY 1, 2""",
+SELECT bx AS bin_x, bin_y, CAST(count(*) AS BIGINT) AS count, round(avg(l_extendedprice), 6) AS mean_l_extendedprice FROM b GROUP BY 1, 2""",
           ids="A15")
 def q_grid_summary(spark, sf_dir):
     g = fr.grid_summary(table(spark, sf_dir, "lineitem"), "l_quantity", "l_discount", "l_extendedprice", 5, 4)
-    return g.select("bx", "by", "count", r6("mean_l_extendedprice").alias("mean_l_extendedprice"))
+    return g.select(F.col("bx").alias("bin_x"), F.col("by").alias("bin_y"), "count", r6("mean_l_extendedprice").alias("mean_l_extendedprice"))
 
 
 @register("score_summary", """
@@ -415,10 +414,11 @@ def q_slice_rows(spark, sf_dir):
 SELECT c_custkey AS key, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal FROM customer
 UNION ALL SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""", ids="U01")
 def q_union_all(spark, sf_dir):
-    def norm(df, p):
-        return df.select(F.col(f"{p}key").alias("key"), F.col(f"{p}name").alias("name"),
-                         F.col(f"{p}nationkey").alias("nationkey"), F.col(f"{p}acctbal").alias("acctbal"))
-    return fr.concat([norm(table(spark, sf_dir, "customer"), "c_cust"), norm(table(spark, sf_dir, "supplier"), "s_supp")])
+    def norm(df, key, p):
+        return df.select(F.col(key).alias("key"), F.col(f"{p}_name").alias("name"),
+                         F.col(f"{p}_nationkey").alias("nationkey"), F.col(f"{p}_acctbal").alias("acctbal"))
+    return fr.concat([norm(table(spark, sf_dir, "customer"), "c_custkey", "c"),
+                      norm(table(spark, sf_dir, "supplier"), "s_suppkey", "s")])
 
 
 @register("distinct_rows", "SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber FROM lineitem", ids="U02")
@@ -474,10 +474,10 @@ def q_parse_duration(spark, sf_dir):
 WITH d AS (SELECT l_linenumber, coalesce(TRY_CAST(regexp_extract(time_text, '(\\d+)h', 1) AS DOUBLE), 0) * 3600
   + coalesce(TRY_CAST(regexp_extract(time_text, '(\\d+)m', 1) AS DOUBLE), 0) * 60
   + coalesce(TRY_CAST(regexp_extract(time_text, '(\\d+)s', 1) AS DOUBLE), 0) AS seconds, l_orderkey FROM {_DUR_SQL} x)
-SELECT l_linenumber, round(avg(seconds / l_orderkey), 6) AS sec_per_sample FROM d GROUP BY 1""", ids="A18 X09")
+SELECT l_linenumber, round(avg(seconds / NULLIF(l_orderkey, 0)), 6) AS sec_per_sample FROM d GROUP BY 1""", ids="A18 X09")
 def q_est_time(spark, sf_dir):
     d = durations(spark, sf_dir).withColumn("seconds", tx.parse_duration("time_text"))
-    return d.groupBy("l_linenumber").agg(r6(F.avg(F.col("seconds") / F.col("l_orderkey"))).alias("sec_per_sample"))
+    return d.groupBy("l_linenumber").agg(r6(F.avg(F.try_divide(F.col("seconds"), F.col("l_orderkey")))).alias("sec_per_sample"))
 
 
 @register("format_duration", """

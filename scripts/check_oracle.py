@@ -92,8 +92,9 @@ def main():
             print(f"OK   {n}: {len(a)} rows ({ts:.1f}s)  [{tinfo}]")
         else:
             bad += 1
-            diff_a = [r for r in a if r not in set(b)][:3]
-            diff_b = [r for r in b if r not in set(a)][:3]
+            sa, sb = set(a), set(b)
+            diff_a = [r for r in a if r not in sb][:3]
+            diff_b = [r for r in b if r not in sa][:3]
             print(f"DIFF {n}: spark {len(a)} rows, duck {len(b)} rows; cols {scols}\n   spark-only {diff_a}\n   duck-only  {diff_b}")
     print(f"{len(names) - bad}/{len(names)} passed")
     spark.stop()
