@@ -106,3 +106,51 @@ def time_block(ts_col, block_seconds: int) -> Column:
     """Block number of a timestamp – the bucket for per-segment time order."""
     c = F.col(ts_col) if isinstance(ts_col, str) else ts_col
     return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(block_seconds * 1_000_000)).cast("long")
+
+
+def bucketed_cumsum(df: DataFrame, bucket: Column, order: Sequence, weight, partition_by=None,
+                    name: str = "cum_before") -> DataFrame:
+    """Sum of ``weight`` over the rows before each row inside ``partition_by`` in the order
+    ``(bucket, *order)`` – the weighted form of :func:`bucketed_position`.  Bucket totals and their running
+    offsets live in a small aggregate; the per-row window runs per (group, bucket)."""
+    part = _cols(partition_by)
+    order_c = _cols(order)
+    w = F.col(weight) if isinstance(weight, str) else weight
+    keys = [f"_pk{i}" for i in range(len(part))]
+    base = df.select("*", *[c.alias(k) for c, k in zip(part, keys)], bucket.alias("_bk"), w.alias("_w"))
+    totals = base.groupBy(*keys, "_bk").agg(F.sum("_w").alias("_bs"))
+    w_off = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "_bk", F.coalesce(F.sum("_bs").over(w_off), F.lit(0)).alias("_boff"))
+    w_in = Window.partitionBy(*keys, "_bk").orderBy(*order_c).rowsBetween(Window.unboundedPreceding, -1)
+    out = (base.join(offsets, on=[*keys, "_bk"], how="inner")
+               .withColumn(name, F.col("_boff") + F.coalesce(F.sum("_w").over(w_in), F.lit(0))))
+    return out.drop(*keys, "_bk", "_boff", "_w")
+
+
+def global_cumsum(df: DataFrame, order: Sequence, weight, name: str = "cum_before",
+                  partitions: int | None = None, partition_by=None) -> DataFrame:
+    """Sum of ``weight`` over all rows before each row in the total order ``order`` (unique keys), on a
+    range-partitioned, checkpointed copy (see :func:`global_position`)."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or shuffle_partitions(spark)
+    order_c = _cols(order)
+    part = _cols(partition_by)
+    ranged = (df.repartitionByRange(n, *part, *order_c)
+                .withColumn("_rp", F.spark_partition_id())
+                .checkpoint(eager=True))
+    return bucketed_cumsum(ranged, F.col("_rp"), order_c, weight, part or None, name).drop("_rp")
+
+
+def average_rank(df: DataFrame, col: str, name: str | None = None, partition_by=None) -> DataFrame:
+    """1-based average rank of ``col`` (ties share the mean of their ranks), per ``partition_by``.
+
+    Ranks are computed on the table of distinct values with counts – ``rank = (#smaller) + (count+1)/2``
+    – and joined back on the value, so equal values never need to meet in one window task.
+    """
+    name = name or f"{col}_rank"
+    part = [c for c in ([partition_by] if isinstance(partition_by, str) else (partition_by or []))]
+    g = df.groupBy(*part, col).agg(F.count(F.lit(1)).alias("_c"))
+    g = global_cumsum(g, [col], "_c", "_below", partition_by=part or None)
+    g = g.select(*part, col, (F.col("_below") + (F.col("_c") + 1) / 2.0).alias(name))
+    return df.join(g, on=[*part, col], how="left")
