@@ -3,7 +3,7 @@ functions (``transform``, ``zip_with``, ``aggregate``), evaluated inside whole-s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .order import hash_position
@@ -28,3 +28,123 @@ def random_partner(df: DataFrame, id_col: str, seed, cols=None, prefix: str = "p
     left = p.withColumn("_ppos", F.pmod(F.col("pos") + k, F.col("_n")))
     right = p.select(F.col("pos").alias("_ppos"), *[F.col(c).alias(prefix + c) for c in cols])
     return left.join(right, "_ppos").drop("_ppos", "_n")
+
+
+def array_top_k(arr, k: int) -> Column:
+    """0-based positions of the ``k`` largest cells (ties: lower position first)."""
+    a = _c(arr).cast("array<double>")
+    tagged = F.transform(a, lambda v, i: F.struct((-v).alias("nv"), i.alias("i")))
+    return F.transform(F.slice(F.array_sort(tagged), 1, k), lambda s: s["i"])
+
+
+def poly_bounds(arr) -> Column:
+    """Axis-aligned bounds ``struct(xmin, ymin, xmax, ymax)`` of a polygon ``[x0, y0, x1, y1, …]``."""
+    a = _c(arr)
+    xs = F.filter(a, lambda v, i: i % 2 == 0)
+    ys = F.filter(a, lambda v, i: i % 2 == 1)
+    return F.struct(F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"),
+                    F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"))
+
+
+def flatten_values(*cols) -> Column:
+    """One flat array from arrays, nested arrays and scalars (a scalar becomes a one-element list)."""
+    parts = []
+    for c in cols:
+        c = _c(c)
+        parts.append(c)
+    return F.flatten(F.array(*parts))
+
+
+def _unit_hash(seed, id_col: str, i: Column) -> Column:
+    """Uniform [0, 1) from ``md5(seed || id || '-' || i)`` (reproducible per row and cell)."""
+    h = F.conv(F.substring(F.md5(F.concat(F.lit(str(seed)), F.col(id_col).cast("string"), F.lit("-"),
+                                           i.cast("string"))), 1, 8), 16, 10).cast("long")
+    return h / F.lit(float(16 ** 8))
+
+
+def mixup(df: DataFrame, id_col: str, vec: str, label: str, lam: float, seed) -> DataFrame:
+    """``λ·x + (1−λ)·x_partner`` with a fixed-point-free random partner (J09); both labels and λ kept."""
+    p = random_partner(df, id_col, seed, cols=[id_col, vec, label])
+    mixed = F.zip_with(F.col(vec).cast("array<double>"), F.col("partner_" + vec).cast("array<double>"),
+                       lambda a, b: F.lit(lam) * a + F.lit(1 - lam) * b)
+    return p.select(id_col, F.col("partner_" + id_col).alias("partner_id"), label, F.col("partner_" + label).alias("partner_label"),
+                    F.lit(lam).alias("lam"), mixed.alias(vec))
+
+
+def cutmix(df: DataFrame, id_col: str, vec: str, label: str, lam: float, seed) -> DataFrame:
+    """CutMix on a vector – a contiguous slice of length ``⌊d·(1−λ)⌋`` at a hash-chosen start is taken
+    from the partner; ``lam`` is corrected to the share of own cells kept."""
+    p = random_partner(df, id_col, seed, cols=[id_col, vec, label])
+    x = F.col(vec).cast("array<double>")
+    xp = F.col("partner_" + vec).cast("array<double>")
+    d = F.size(x)
+    cut = F.floor(d * F.lit(1 - lam)).cast("int")
+    start = F.pmod(F.conv(F.substring(F.md5(F.concat(F.lit(str(seed)), F.col(id_col).cast("string"))), 1, 8), 16, 10)
+                   .cast("long"), (d - cut + 1).cast("long")).cast("int")
+    mixed = F.concat(F.slice(x, 1, start), F.slice(xp, start + 1, cut), F.slice(x, start + cut + 1, d))
+    return p.select(id_col, F.col("partner_" + id_col).alias("partner_id"), label,
+                    F.col("partner_" + label).alias("partner_label"), start.alias("cut_start"), cut.alias("cut_len"),
+                    (F.lit(1.0) - cut / d).alias("lam"), mixed.alias(vec))
+
+
+def add_noise(df: DataFrame, id_col: str, vec: str, a: float, b: float, seed) -> DataFrame:
+    """``x + U(0,1)·a + b`` per cell, with ``U`` from a per-row, per-cell hash (reproducible)."""
+    noisy = F.transform(F.col(vec).cast("array<double>"),
+                        lambda v, i: v + _unit_hash(seed, id_col, i) * F.lit(float(a)) + F.lit(float(b)))
+    return df.withColumn(vec, noisy)
+
+
+def sq_dist(a: Column, b: Column) -> Column:
+    """Squared Euclidean distance of two equal-length arrays."""
+    return F.aggregate(F.zip_with(a, b, lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda acc, v: acc + v)
+
+
+def knn_class_share(train: DataFrame, query: DataFrame, id_col: str, vec: str, label: str, k: int = 5,
+                    buckets: int = 64) -> DataFrame:
+    """exact k-nearest-neighbour class shares ``(query id, label, share)`` (``predict_proba``).
+
+    Exact search with pruning instead of a cross join.  Every vector is projected on one direction
+    ``u`` (the per-dimension spread, normalised) and bucketed by its projection; since
+    ``|u·x − u·q| ≤ ‖x − q‖``, only train rows inside the band ``|u·x − u·q| ≤ r`` can be neighbours when
+    ``r`` bounds the k-th distance.  Phase 1 gets ``r`` from at most ``4k`` representatives of the query's
+    own bucket (a bounded join: any ``k`` rows bound the k-th distance); phase 2 joins every query with the buckets its band touches (all buckets when phase 1 found fewer
+    than ``k``) and keeps the ``k`` nearest (ties by train id) with a per-query group limit.
+    """
+    x = F.col(vec).cast("array<double>")
+    st = train.select(F.posexplode(x).alias("_i", "_v")).groupBy("_i").agg(F.stddev_pop("_v").alias("_s"))
+    u = (st.agg(F.sort_array(F.collect_list(F.struct("_i", "_s"))).alias("_u"))      # one row, d cells
+           .select(F.transform("_u", lambda s: s["_s"]).alias("_u"))
+           .select(F.transform("_u", lambda s: s / F.sqrt(F.aggregate("_u", F.lit(0.0), lambda a, v: a + v * v)))
+                   .alias("_u")))
+    proj = lambda df: df.crossJoin(u).withColumn(  # noqa: E731  (one-row side)
+        "_p", F.aggregate(F.zip_with(F.col(vec).cast("array<double>"), "_u", lambda a, b: a * b), F.lit(0.0),
+                          lambda acc, v: acc + v)).drop("_u")
+    tr = proj(train.select(F.col(id_col).alias("_tid"), vec, F.col(label).alias("_lab")))
+    qu = proj(query.select(F.col(id_col).alias("_qid"), F.col(vec).alias("_qv")).withColumnRenamed("_qv", vec)) \
+        .withColumnRenamed(vec, "_qv")
+    rng = tr.agg(F.min("_p").alias("_lo"), F.max("_p").alias("_hi"))
+    width = F.greatest((F.col("_hi") - F.col("_lo")) / F.lit(buckets), F.lit(1e-12))
+    bucket = lambda p: F.least(F.greatest(F.floor((p - F.col("_lo")) / width), F.lit(0)),
+                               F.lit(buckets - 1)).cast("int")
+    tr = tr.crossJoin(rng).withColumn("_b", bucket(F.col("_p"))).drop("_lo", "_hi")
+    qu = qu.crossJoin(rng).withColumn("_qb", bucket(F.col("_p"))).withColumnRenamed("_p", "_qp")
+    # phase 1: radius from 4k representatives of the own bucket (any k train rows bound the k-th distance)
+    wr = Window.partitionBy("_b").orderBy(F.md5(F.col("_tid").cast("string")), "_tid")
+    reps = tr.withColumn("_rr", F.row_number().over(wr)).where(F.col("_rr") <= 4 * k).drop("_rr")
+    own = (qu.join(reps, qu["_qb"] == reps["_b"])
+             .withColumn("_d2", sq_dist(F.col("_qv"), F.col(vec).cast("array<double>"))))
+    w1 = Window.partitionBy("_qid").orderBy("_d2", "_tid")
+    rad = (own.withColumn("_rk", F.row_number().over(w1)).where(F.col("_rk") == k)
+              .select("_qid", F.sqrt("_d2").alias("_r")))
+    # phase 2: every bucket the band |p - qp| <= r touches (all buckets without a radius)
+    q2 = qu.join(rad, "_qid", "left")
+    lo_b = F.when(F.col("_r").isNull(), F.lit(0)).otherwise(bucket(F.col("_qp") - F.col("_r")))
+    hi_b = F.when(F.col("_r").isNull(), F.lit(buckets - 1)).otherwise(bucket(F.col("_qp") + F.col("_r")))
+    q2 = q2.select("_qid", "_qv", "_qp", "_r", F.explode(F.sequence(lo_b, hi_b)).alias("_b"))
+    cand = (q2.join(tr.drop("_lo", "_hi"), "_b")
+              .where(F.col("_r").isNull() | (F.abs(F.col("_p") - F.col("_qp")) <= F.col("_r") + F.lit(1e-9)))
+              .withColumn("_d2", sq_dist(F.col("_qv"), F.col(vec).cast("array<double>"))))
+    w2 = Window.partitionBy("_qid").orderBy("_d2", "_tid")
+    top = cand.withColumn("_rk", F.row_number().over(w2)).where(F.col("_rk") <= k)
+    return (top.groupBy(F.col("_qid").alias(id_col), F.col("_lab").alias(label))
+               .agg((F.count(F.lit(1)) / F.lit(float(k))).alias("share")))
