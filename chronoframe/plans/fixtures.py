@@ -31,17 +31,17 @@ def predictions(spark, sf_dir):
 # the same predictions as one long table (method, id, prediction) – the form of one file per method
 PRED_LONG_SQL = f"""(SELECT 'a' AS method, id, score_a AS prediction FROM {PRED_SQL} p
   UNION ALL SELECT 'b', id, score_b FROM {PRED_SQL} p
-  UNION ALL SELECT 'c', id, score_c FROM {PRED_SQL} p WHERE id % 5 <> 0)"""
+  UNION ALL SELECT 'c', id, score_c FROM {PRED_SQL} p WHERE toxic = 0)"""
 
 
 def predictions_long(spark, sf_dir):
-    """Method ``c`` lacks the ids divisible by 5 (a file with missing rows)."""
+    """Method ``c`` has no rows for toxic documents (a file with missing ids)."""
     p = predictions(spark, sf_dir)
     st = F.array(F.struct(F.lit("a").alias("method"), F.col("score_a").alias("prediction")),
                  F.struct(F.lit("b").alias("method"), F.col("score_b").alias("prediction")),
                  F.struct(F.lit("c").alias("method"), F.col("score_c").alias("prediction")))
-    return (p.select("id", F.inline(st))
-             .where((F.col("method") != "c") | (F.col("id") % 5 != 0)))
+    return (p.select("id", "toxic", F.inline(st))
+             .where((F.col("method") != "c") | (F.col("toxic") == 0)).drop("toxic"))
 
 
 # regression predictions of three models on lineitem: truth l_extendedprice
