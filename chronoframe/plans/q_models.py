@@ -1 +1,188 @@
-"""Queries (filled in progressively)."""
+"""Queries: models and model selection.
+
+Fitted models are compared row-wise only (their values depend on solvers), except the one-feature least
+squares fit (checked against ``regr_slope`` / ``regr_intercept``) and the trial table (V06).
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.sql import functions as F
+
+from ..operators import metrics as mt
+from ..operators import models as md
+from ..operators import prepare as pr
+from ..operators.split import kfold, random_split_exact, stratified_split
+from ..sources.io import scratch_path
+from .catalog import register, table
+from .fixtures import predictions
+from .q_prepare import SEGMENTS, housing
+
+_LI_X = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _rows(spark, rows, schema):
+    return spark.createDataFrame(rows, schema)
+
+
+@register("linreg", """
+SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem""", ids="F11")
+def q_linreg(spark, sf_dir):
+    m = md.fit_linear(table(spark, sf_dir, "lineitem"), "l_extendedprice", ["l_quantity"])
+    return _rows(spark, [(round(float(m.coefficients[0]), 4), round(float(m.intercept), 4))], "slope double, intercept double")
+
+
+@register("linreg_gd", ids="F12")
+def q_linreg_gd(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select((F.col("l_extendedprice") / 1e4).alias("y"), "l_discount", "l_tax")
+    w = md.linreg_gd(li, "y", ["l_discount", "l_tax"], lr=0.5, iters=20)
+    return _rows(spark, [(i, float(v)) for i, v in enumerate(w)], "weight_index int, weight double")
+
+
+@register("logreg", ids="F13")
+def q_logreg(spark, sf_dir):
+    m = md.fit_logistic(predictions(spark, sf_dir), "y", ["score_a", "score_b", "score_c"])
+    return _rows(spark, [("intercept", float(m.intercept))] +
+                 [(n, float(c)) for n, c in zip(["score_a", "score_b", "score_c"], m.coefficients)], "term string, coef double")
+
+
+def _reg_eval(spark, sf_dir, name, fit):
+    li = table(spark, sf_dir, "lineitem")
+    s = random_split_exact(li.withColumn("rid", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey")), "rid", 0.2, 42)
+    train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+    m = fit(train)
+    r = md.rmse(m.transform(md.assemble(test, _LI_X)), "l_extendedprice")
+    return m, _rows(spark, [(name, r)], "model string, rmse double")
+
+
+@register("tree_reg", ids="F14")
+def q_tree_reg(spark, sf_dir):
+    return _reg_eval(spark, sf_dir, "tree", lambda d: md.fit_tree(d, "l_extendedprice", _LI_X, depth=5))[1]
+
+
+@register("forest", ids="F15")
+def q_forest(spark, sf_dir):
+    return _reg_eval(spark, sf_dir, "forest", lambda d: md.fit_forest(d, "l_extendedprice", _LI_X, trees=10, depth=5))[1]
+
+
+@register("gbt", ids="F16")
+def q_gbt(spark, sf_dir):
+    return _reg_eval(spark, sf_dir, "gbt", lambda d: md.fit_gbt(d, "l_extendedprice", _LI_X, rounds=10, depth=4))[1]
+
+
+@register("importances", ids="F19")
+def q_importances(spark, sf_dir):
+    m, _ = _reg_eval(spark, sf_dir, "forest", lambda d: md.fit_forest(d, "l_extendedprice", _LI_X, trees=10, depth=5))
+    return _rows(spark, md.importances(m, _LI_X), "feature string, importance double")
+
+
+@register("linear_svc", ids="F18")
+def q_linear_svc(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    x = e.select("vec_id", (F.col("label") < 5).cast("double").alias("y"),
+                 *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(16)])
+    m = md.fit_linear_svc(x, "y", [f"e{i}" for i in range(16)], max_iter=20)
+    acc = m.transform(md.assemble(x, [f"e{i}" for i in range(16)])).agg(
+        F.avg((F.col("prediction") == F.col("y")).cast("double")).alias("accuracy"))
+    return acc
+
+
+@register("model_roundtrip", ids="K07 F20 K06")
+def q_model_roundtrip(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    model = md.linear_pipeline(_LI_X, "l_extendedprice").fit(li)
+    loaded = md.save_and_load(model, scratch_path(spark, "model"))
+    path = scratch_path(spark, "predictions")
+    loaded.transform(li).select("l_orderkey", "l_linenumber", "prediction").write.mode("overwrite").parquet(path)
+    back = spark.read.parquet(path)
+    a = model.transform(li).select("l_orderkey", "l_linenumber", F.col("prediction").alias("p0"))
+    return (a.join(back, ["l_orderkey", "l_linenumber"])
+             .agg(F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("p0") - F.col("prediction"))).alias("max_diff")))
+
+
+@register("cross_val", ids="V01 R05")
+def q_cross_val(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.dayofyear("o_orderdate").alias("doy"),
+                                              F.year("o_orderdate").alias("yr"))
+    scores = md.cross_val_scores(o, "o_orderkey", "o_totalprice", ["doy", "yr"],
+                                 lambda: LinearRegression(featuresCol="features", labelCol="o_totalprice"), k=5)
+    return _rows(spark, scores, "fold int, rmse double")
+
+
+@register("grid_search", ids="V02 V05")
+def q_grid_search(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").withColumn("rid", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"))
+    est = RandomForestRegressor(featuresCol="features", labelCol="l_extendedprice", seed=42)
+    res = md.grid_search(li, "rid", "l_extendedprice", _LI_X, est, {"numTrees": [3, 6], "maxDepth": [2, 4]}, k=3)
+    return _rows(spark, [(str(sorted(p.items())), s) for p, s in res], "params string, rmse double")
+
+
+@register("random_search", ids="V03 S13")
+def q_random_search(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").withColumn("rid", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"))
+    est = RandomForestRegressor(featuresCol="features", labelCol="l_extendedprice", seed=42)
+    res = md.random_search(li, "rid", "l_extendedprice", _LI_X, est,
+                           {"numTrees": ("int", 2, 8), "maxDepth": ("int", 2, 5)}, trials=3, k=3)
+    return _rows(spark, [(str(sorted(p.items())), s) for p, s in res], "params string, rmse double")
+
+
+@register("halving_search", ids="V04 R08")
+def q_halving_search(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").withColumn("rid", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"))
+    est = RandomForestRegressor(featuresCol="features", labelCol="l_extendedprice", seed=42)
+    cands = [{"numTrees": t, "maxDepth": d} for t in (2, 5) for d in (2, 4)]
+    log = md.halving_search(li, "rid", "l_extendedprice", _LI_X, est, cands, eta=2, min_fraction=0.25)
+    return _rows(spark, [(r, str(sorted(c.items())), s) for r, c, s in log], "round int, params string, rmse double")
+
+
+@register("trial_table", """
+WITH p AS (SELECT o_orderkey, o_orderpriority, o_totalprice / 100000::DOUBLE AS score,
+             row_number() OVER (ORDER BY md5('42' || CAST(o_orderkey AS VARCHAR)), o_orderkey) - 1 AS pos,
+             count(*) OVER () AS n FROM orders),
+f AS (SELECT *, CASE WHEN pos < (n % 5) * (n // 5 + 1) THEN pos // (n // 5 + 1)
+                     ELSE n % 5 + (pos - (n % 5) * (n // 5 + 1)) // (n // 5) END AS fold FROM p),
+s AS (SELECT o_orderpriority AS trial, fold, avg(score) AS score FROM f GROUP BY 1, 2),
+t AS (SELECT trial, avg(score) AS mean_score, stddev_pop(score) AS std_score, CAST(count(*) AS BIGINT) AS folds FROM s GROUP BY 1)
+SELECT trial, round(mean_score, 6) AS mean_score, round(std_score, 6) AS std_score, folds,
+       CAST(row_number() OVER (ORDER BY mean_score, trial) AS INTEGER) AS rank FROM t""", ids="V06 R05 A17")
+def q_trial_table(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", (F.col("o_totalprice") / 1e5).alias("score"))
+    f = kfold(o, "o_orderkey", 5, 42)
+    s = f.groupBy(F.col("o_orderpriority").alias("trial"), "fold").agg(F.avg("score").alias("score"))
+    t = md.trial_table(s, "trial", "score")
+    return t.select("trial", F.round("mean_score", 6).alias("mean_score"), F.round("std_score", 6).alias("std_score"),
+                    "folds", "rank")
+
+
+@register("blend", ids="E07 F13 R02")
+def q_blend(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    x = e.select("vec_id", (F.col("label") < 5).cast("double").alias("y"),
+                 *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(8)])
+    s = random_split_exact(x, "vec_id", 0.4, 42)
+    rest = s.where(F.col("split") == "test").drop("split", "pos")
+    train = s.where(F.col("split") == "train").drop("split", "pos")
+    h = random_split_exact(rest, "vec_id", 0.5, 7)
+    hold, test = h.where(F.col("split") == "train").drop("split", "pos"), h.where(F.col("split") == "test").drop("split", "pos")
+    out = md.blend(train, hold, test, "y", {"b1": ["e0", "e1", "e2", "e3"], "b2": ["e4", "e5", "e6", "e7"]})
+    return mt.roc_auc(out, "y", "blend")
+
+
+@register("tabular_regression", ids="T03 R04 F09 F11 F15 M10")
+def q_tabular_regression(spark, sf_dir):
+    h = housing(spark, sf_dir).where(F.col("target").isNotNull()).withColumn("n_orders", F.col("n_orders").cast("double"))
+    h = h.withColumn("bal_bin", F.least(F.ceil((F.col("c_acctbal") + 1000) / 2500), F.lit(5)))
+    s = stratified_split(h, "c_custkey", "bal_bin", 0.2, 42)
+    train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+    num = ["c_acctbal", "n_orders", "order_sum"]
+    prep = lambda d: pr.prepare(d, num, ["c_mktsegment"], strategy="median", fit_on=train,
+                                categories={"c_mktsegment": SEGMENTS})
+    tr, te = prep(train), prep(test)
+    rows = []
+    for name, est in (("linear", LinearRegression(featuresCol="features", labelCol="target")),
+                      ("forest", RandomForestRegressor(featuresCol="features", labelCol="target", numTrees=10, seed=42))):
+        pred = est.fit(tr).transform(te)
+        ci = mt.rmse_ci(pred, "target", "prediction", 0.95, method="t").first()
+        rows.append((name, float(ci["rmse"]), float(ci["lower"]), float(ci["upper"])))
+    return _rows(spark, rows, "model string, rmse double, lower double, upper double")
