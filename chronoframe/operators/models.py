@@ -199,3 +199,41 @@ def blend(train: DataFrame, hold: DataFrame, test: DataFrame, y: str, base_featu
     meta = fit_logistic(scale(hold), y, names)
     out = meta.transform(assemble(scale(test), names))
     return out.select(*test.columns, vector_to_array("probability")[1].alias("blend"))
+
+
+def impute_by_model(df: DataFrame, target: str, features: Sequence[str], estimator=None) -> DataFrame:
+    """fill the nulls of ``target`` with a model trained on the rows where it is present; rows are
+    predicted in place (no join back, so rows are never multiplied)."""
+    est = estimator or LinearRegression(featuresCol="_feat", labelCol=target, regParam=0.0)
+    asm = VectorAssembler(inputCols=list(features), outputCol="_feat", handleInvalid="keep")
+    data = asm.transform(df)
+    model = est.fit(data.where(F.col(target).isNotNull()))
+    out = model.transform(data).withColumn(target, F.coalesce(F.col(target), F.col(est.getPredictionCol())))
+    return out.drop("_feat", est.getPredictionCol())
+
+
+# The model registry – a flag or group name selects estimators; every selected one is fitted and
+# scored into one table (M15).  Fixed values: the model groups of the forecasting pipeline.
+MODEL_GROUPS = {"linear": ["LR"], "tree": ["DT", "RF", "GBT"], "all": ["LR", "DT", "RF", "GBT"]}
+
+
+def make_regressor(name: str, label: str, seed: int = 42):
+    return {"LR": lambda: LinearRegression(featuresCol="features", labelCol=label, regParam=0.0),
+            "DT": lambda: DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=5, seed=seed),
+            "RF": lambda: RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=10, maxDepth=5, seed=seed),
+            "GBT": lambda: GBTRegressor(featuresCol="features", labelCol=label, maxIter=10, maxDepth=4, seed=seed),
+            }[name]()
+
+
+def run_models(train: DataFrame, test: DataFrame, y: str, xs: Sequence[str], selection: Sequence[str],
+               digits: int = 4) -> DataFrame:
+    """Fit every selected model (names or group names) on ``train`` and return the score table of
+    its ``test`` predictions: ``model, MAE, MSE, RMSE, MAPE, SMAPE, R2`` as text (M15)."""
+    from .metrics import score_table
+    names = list(dict.fromkeys(n for s in selection for n in MODEL_GROUPS.get(s, [s])))
+    tr, te = assemble(train, xs), assemble(test, xs)
+    preds = None
+    for n in names:
+        p = make_regressor(n, y).fit(tr).transform(te).select(F.lit(n).alias("model"), y, "prediction")
+        preds = p if preds is None else preds.unionByName(p)
+    return score_table(preds, "model", y, "prediction", digits)

@@ -186,3 +186,20 @@ def q_tabular_regression(spark, sf_dir):
         ci = mt.rmse_ci(pred, "target", "prediction", 0.95, method="t").first()
         rows.append((name, float(ci["rmse"]), float(ci["lower"]), float(ci["upper"])))
     return _rows(spark, rows, "model string, rmse double, lower double, upper double")
+
+
+@register("impute_by_model", ids="F02")
+def q_impute_by_model(spark, sf_dir):
+    from .q_frame import nullable
+    n = nullable(spark, sf_dir)
+    f = md.impute_by_model(n, "qty", ["o_totalprice"])
+    return f.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("qty").isNull()).alias("null_after"),
+                 F.avg("qty").alias("mean_qty"))
+
+
+@register("run_models", ids="V07 M15")
+def q_run_models(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").withColumn("rid", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"))
+    s = random_split_exact(li, "rid", 0.2, 42)
+    return md.run_models(s.where(F.col("split") == "train"), s.where(F.col("split") == "test"), "l_extendedprice",
+                         _LI_X, ["linear", "RF"])
