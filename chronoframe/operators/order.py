@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, shuffle_partitions
+from ..session import ensure_checkpoint_dir, materialize, shuffle_partitions
 
 
 def _cols(cols) -> list[Column]:
@@ -88,17 +88,17 @@ def global_position(df: DataFrame, order: Sequence, name: str = "pos", partition
                     partition_by=None, with_count: str | None = None) -> DataFrame:
     """Position in an arbitrary total order ``order`` (make it unique with a tie key).
 
-    Range partitioning samples the data, so the copy is checkpointed into the session's checkpoint
-    folder before partition numbers are used as buckets; a lost executor then re-reads the same rows.
+    Range partitioning samples the data, so the copy with its partition numbers is written once to the
+    session's checkpoint folder before they are used as buckets; a lost executor then re-reads the same
+    rows.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or shuffle_partitions(spark)
     order_c = _cols(order)
     part = _cols(partition_by)
-    ranged = (df.repartitionByRange(n, *part, *order_c)
-                .withColumn("_rp", F.spark_partition_id())
-                .checkpoint(eager=True))
+    ranged = materialize(df.repartitionByRange(n, *part, *order_c).withColumn("_rp", F.spark_partition_id()),
+                         "ranged")
     return bucketed_position(ranged, F.col("_rp"), order_c, part or None, name, with_count).drop("_rp")
 
 
@@ -136,9 +136,8 @@ def global_cumsum(df: DataFrame, order: Sequence, weight, name: str = "cum_befor
     n = partitions or shuffle_partitions(spark)
     order_c = _cols(order)
     part = _cols(partition_by)
-    ranged = (df.repartitionByRange(n, *part, *order_c)
-                .withColumn("_rp", F.spark_partition_id())
-                .checkpoint(eager=True))
+    ranged = materialize(df.repartitionByRange(n, *part, *order_c).withColumn("_rp", F.spark_partition_id()),
+                         "ranged")
     return bucketed_cumsum(ranged, F.col("_rp"), order_c, weight, part or None, name).drop("_rp")
 
 

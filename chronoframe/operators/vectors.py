@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from .order import hash_position
 from .split import hash_int
 
@@ -132,10 +132,9 @@ def knn_class_share(train: DataFrame, query: DataFrame, id_col: str, vec: str, l
     width = F.greatest((F.col("_hi") - F.col("_lo")) / F.lit(buckets), F.lit(1e-12))
     bucket = lambda p: F.least(F.greatest(F.floor((p - F.col("_lo")) / width), F.lit(0)),
                                F.lit(buckets - 1)).cast("int")
-    # both sides are used by several branches below: write them once to the checkpoint folder
-    ensure_checkpoint_dir(train.sparkSession)
-    tr = tr.crossJoin(rng).withColumn("_b", bucket(F.col("_p"))).drop("_lo", "_hi").checkpoint(eager=True)
-    qu = qu.crossJoin(rng).withColumn("_qb", bucket(F.col("_p"))).withColumnRenamed("_p", "_qp").checkpoint(eager=True)
+    # both sides feed several branches below: write them once to the checkpoint folder
+    tr = materialize(tr.crossJoin(rng).withColumn("_b", bucket(F.col("_p"))).drop("_lo", "_hi"), "knn_train")
+    qu = materialize(qu.crossJoin(rng).withColumn("_qb", bucket(F.col("_p"))).withColumnRenamed("_p", "_qp"), "knn_query")
     # phase 1: radius from 4k representatives of the own bucket (any k train rows bound the k-th distance)
     wr = Window.partitionBy("_b").orderBy(F.md5(F.col("_tid").cast("string")), "_tid")
     reps = tr.withColumn("_rr", F.row_number().over(wr)).where(F.col("_rr") <= 4 * k).drop("_rr")

@@ -80,10 +80,11 @@ def q_importances(spark, sf_dir):
 @register("linear_svc", ids="F18")
 def q_linear_svc(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
+    d = e.select(F.size("embedding")).first()[0]
     x = e.select("vec_id", (F.col("label") < 5).cast("double").alias("y"),
-                 *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(16)])
-    m = md.fit_linear_svc(x, "y", [f"e{i}" for i in range(16)], max_iter=20)
-    acc = m.transform(md.assemble(x, [f"e{i}" for i in range(16)])).agg(
+                 *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(d)])
+    m = md.fit_linear_svc(x, "y", [f"e{i}" for i in range(d)], max_iter=20)
+    acc = m.transform(md.assemble(x, [f"e{i}" for i in range(d)])).agg(
         F.avg((F.col("prediction") == F.col("y")).cast("double")).alias("accuracy"))
     return acc
 
@@ -158,14 +159,17 @@ def q_trial_table(spark, sf_dir):
 @register("blend", ids="E07 F13 R02")
 def q_blend(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
+    d = e.select(F.size("embedding")).first()[0]
     x = e.select("vec_id", (F.col("label") < 5).cast("double").alias("y"),
-                 *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(8)])
+                 *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(d)])
     s = random_split_exact(x, "vec_id", 0.4, 42)
     rest = s.where(F.col("split") == "test").drop("split", "pos")
     train = s.where(F.col("split") == "train").drop("split", "pos")
     h = random_split_exact(rest, "vec_id", 0.5, 7)
     hold, test = h.where(F.col("split") == "train").drop("split", "pos"), h.where(F.col("split") == "test").drop("split", "pos")
-    out = md.blend(train, hold, test, "y", {"b1": ["e0", "e1", "e2", "e3"], "b2": ["e4", "e5", "e6", "e7"]})
+    half = d // 2      # two base models on the two halves of the vector
+    out = md.blend(train, hold, test, "y", {"b1": [f"e{i}" for i in range(half)],
+                                             "b2": [f"e{i}" for i in range(half, d)]})
     return mt.roc_auc(out, "y", "blend")
 
 

@@ -56,3 +56,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet below the checkpoint folder and read it back – cuts the lineage like
+    ``checkpoint()`` but computes the plan only once (a reliable RDD checkpoint of an uncached plan
+    computes it twice).  The folder is on the shared file system named by ``spark.checkpoint.dir``."""
+    import uuid
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
