@@ -132,8 +132,8 @@ def q_random_search(spark, sf_dir):
 def q_halving_search(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").withColumn("rid", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"))
     est = RandomForestRegressor(featuresCol="features", labelCol="l_extendedprice", seed=42)
-    cands = [{"numTrees": t, "maxDepth": d} for t in (2, 5) for d in (2, 4)]
-    log = md.halving_search(li, "rid", "l_extendedprice", _LI_X, est, cands, eta=2, min_fraction=0.25)
+    cands = [{"numTrees": t, "maxDepth": d} for t, d in ((2, 2), (4, 3), (6, 4))]
+    log = md.halving_search(li, "rid", "l_extendedprice", _LI_X, est, cands, eta=3, min_fraction=1 / 3)
     return _rows(spark, [(r, str(sorted(c.items())), s) for r, c, s in log], "round int, params string, rmse double")
 
 
