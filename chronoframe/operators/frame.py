@@ -303,6 +303,26 @@ def narrow_plan(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, s
     return plan
 
 
+def narrow_plan_table(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """X23 as data: ``(col_name, dtype)`` per numeric column, decided by the same rule as
+    :func:`narrow_plan` from one aggregate of all minima and maxima (no driver round trip)."""
+    cols = list(cols or numeric_columns(df))
+    types = dict(df.dtypes)
+    aggs = [e for c in cols for e in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))]
+    bounds = df.agg(*aggs)
+    rows = []
+    for c in cols:
+        lo, hi = F.col(f"lo_{c}"), F.col(f"hi_{c}")
+        if types[c] in ("tinyint", "smallint", "int", "bigint"):
+            t = (F.when((lo > -2 ** 7) & (hi < 2 ** 7 - 1), "tinyint").when((lo > -2 ** 15) & (hi < 2 ** 15 - 1), "smallint")
+                 .when((lo > -2 ** 31) & (hi < 2 ** 31 - 1), "int").otherwise("bigint"))
+        else:
+            fmax = 3.4028234663852886e38
+            t = F.when((lo > -fmax) & (hi < fmax), "float").otherwise("double")
+        rows.append(F.struct(F.lit(c).alias("col_name"), t.alias("dtype")))
+    return bounds.select(F.inline(F.array(*rows)))
+
+
 def narrow_types(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Apply :func:`narrow_plan` in one ``select``."""
     plan = narrow_plan(df, cols)
