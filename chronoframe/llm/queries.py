@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..plans.catalog import table
 from ..sources.io import scratch_path
-from . import bpe, packing, token_store
+from . import bpe, kdshard, langid, line_chunks, packing, token_store, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,3 +43,28 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdshard.shard(table(spark, sf_dir, "documents"), shards=8).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.dedup(table(spark, sf_dir, "documents"))
+
+
+SQL["op6_line_chunks"] = line_chunks.oracle()
