@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only the id (``_id`` long) and the text (``_text``): other columns, whatever their names, stay out."""
-    return df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
+def id_text(df: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Only the id (``_id`` long) and the text (``_text``), and as ``_c0, _c1, …`` the columns in ``carry``:
+    other columns, whatever their names, stay out."""
+    more = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)]
+    return df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"), *more)
 
 
 def text_groups(ids: pa.Array, texts: pa.Array, group_bytes: int = 1 << 20) -> Iterator[tuple[list, list]]:

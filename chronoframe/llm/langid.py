@@ -167,18 +167,20 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     return train([t for _, t, _ in chosen], [lang for _, _, lang in chosen], **options)
 
 
-def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, held_out, lang_pred, score, rejected`` for every row."""
+def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``id_col, held_out, lang_pred, score, rejected`` for every row, then the columns named in ``carry``
+    (which pass through beside the text, so that a filter on the prediction needs no join)."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    names = [id_col, "lang_pred", "score", "rejected"]
+    base = id_text(df, id_col, text_col, carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            for ids, texts in text_groups(b.column(0), b.column(1)):
-                got = [m.predict(t) for t in texts]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()),
-                                                  pa.array([g[2] for g in got], pa.bool_())], names=names)
-
-    out = id_text(df, id_col, text_col).mapInArrow(run, f"`{id_col}` long, lang_pred string, score double, rejected boolean")
-    return out.select(id_col, F.coalesce(fold(F.col(f"`{id_col}`")) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+            got = [m.predict(t) for _, texts in text_groups(b.column(0), b.column(1)) for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.bool_()),
+                                              *b.columns[2:]], names=["_id", "_lang", "_score", "_rejected", *b.schema.names[2:]])
+
+    schema = ", ".join(["_id long, _lang string, _score double, _rejected boolean", *[f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields[2:]]])
+    out = base.mapInArrow(run, schema)
+    return out.select(F.col("_id").alias(id_col), F.coalesce(fold(F.col("_id")) == 2, F.lit(False)).alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"),
+                      F.col("_rejected").alias("rejected"), *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)])

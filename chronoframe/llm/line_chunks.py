@@ -34,9 +34,10 @@ transform(array(split(_text, '\n', -1)), lns ->
 LAST = 2**63 - 1
 
 
-def chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``_id, _ord, _text, _chunks``: the chunks of each text in order (null for a null text)."""
-    base = id_text(df, id_col, text_col).withColumn("_ord", F.coalesce("_id", F.lit(LAST)))
+def chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``_id, _ord, _text, _chunks``: the chunks of each text in order (null for a null text); ``_c0, _c1, …``
+    hold the columns in ``carry``."""
+    base = id_text(df, id_col, text_col, carry).withColumn("_ord", F.coalesce("_id", F.lit(LAST)))
     return base.withColumn("_chunks", F.when(F.col("_text").isNotNull(), F.expr(CHUNKS)))
 
 
@@ -54,10 +55,10 @@ def repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return g.agg(F.count(F.lit(1)).alias("n"), F.min("own").alias("first")).where(F.col("n") > 1)
 
 
-def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """``id_col, text, n_lines, n_removed`` for every row: the text without repeated chunks, the number of its
-    lines before (null: 0) and of those removed."""
-    chunked = chunks(df, id_col, text_col)
+    lines before (null: 0) and of those removed; then the columns named in ``carry``."""
+    chunked = chunks(df, id_col, text_col, carry)
     seen = occurrences(chunked).select("_ord", "pos", "h", "own")
     out = seen.join(repeated(df, id_col, text_col).select("h", "chunk", "first"), "h").where(F.col("own") != F.col("first"))
     gone = out.groupBy("_ord").agg(F.collect_list(F.concat(F.col("pos").cast("string"), F.lit(":"), "chunk")).alias("_gone"))
@@ -67,7 +68,8 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     lines = F.coalesce(F.length("_text") - F.length(F.translate("_text", "\n", "")) + 1, F.lit(0))
     left = F.when(F.col("_gone").isNull(), lines).otherwise(F.aggregate("_kept", F.lit(0), lambda a, c: a + F.length(c) - F.length(F.translate(c, "\n", "")) + 1))
     return r.select(F.col("_id").alias(id_col), F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join("_kept", "\n")).alias("text"),
-                    lines.cast("long").alias("n_lines"), (lines - left).cast("long").alias("n_removed"))
+                    lines.cast("long").alias("n_lines"), (lines - left).cast("long").alias("n_removed"),
+                    *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)])
 
 
 def oracle(table: str = "documents") -> str:

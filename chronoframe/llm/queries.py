@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..plans.catalog import table
 from ..sources.io import scratch_path
-from . import bagminhash, bpe, kdshard, langid, line_chunks, packing, token_store, winnow
+from . import bagminhash, bpe, kdshard, langid, line_chunks, metric_join, packing, page_diff, token_store, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -88,3 +88,25 @@ comp AS (SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY a),
 deg AS (SELECT a AS rep, count(*) AS n_links FROM l GROUP BY a)
 SELECT d.doc_id, r.rep AS rep_id, coalesce(deg.n_links, 0) AS n_links, comp.component_id, d.doc_id = comp.component_id AS kept
 FROM documents d JOIN rep r ON r.text = d.text JOIN comp ON comp.rep = r.rep LEFT JOIN deg ON deg.rep = r.rep"""
+
+
+@query
+def op1_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op1_metric_join"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b),
+comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+deg AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM comp LEFT JOIN deg USING (vec_id)"""
+
+
+@query
+def op7_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_diff.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")

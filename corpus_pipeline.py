@@ -1,24 +1,48 @@
-"""Corpus pipeline: language ID, line dedup, near-dedup and packing of ``documents``."""
+"""Corpus pipeline over ``documents``: language ID, line dedup, near-dedup, packing.
+
+Every stage reads what the one before has written.  All but the last return the columns of ``documents``;
+``n_chars`` follows the text.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chronoframe.llm import packing
+from chronoframe.llm import bagminhash, langid, line_chunks, packing
 from chronoframe.plans.catalog import table
 from chronoframe.session import materialize
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: documents that the classifier rejects go; a missing language is filled in."""
+    model = langid.fit(docs)
+    seen = langid.predict(docs, model, carry=("text", "lang", "source", "n_chars")).where(~F.col("rejected"))
+    return seen.select("doc_id", "text", F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: repeated chunks of lines go; a document of which nothing is left goes with them."""
+    cut = line_chunks.dedup(docs, carry=("lang", "source"))
+    cut = cut.where((F.col("n_removed") == 0) | (F.col("text") != ""))
+    return cut.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: of each group of near-duplicates the document of the least id stays."""
+    gone = bagminhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select("doc_id", "text", "lang", "source", "n_chars")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: windows of 4096 tokens; the result is the pieces with their ids."""
+    """Operator 10: pieces of windows of 4096 tokens, with their ids."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("pack", pack)]
+STAGES = [("language", language), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("pack", pack)]
 
+#: Tokenizer and classifier have no SQL form; tests compare run() with the stages in plain Python.
 ORACLE_SQL = None
 
 
