@@ -209,7 +209,7 @@ def encode(df: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = shared.value
         coder = _coder(data, pattern)
-        table = worker_table(("bpe", hash(data), pattern), lambda: PieceTable(coder.encode_chunks, spaced_chunks))
+        table = worker_table(("bpe", hash(data), pattern), lambda: PieceTable(coder.encode_chunks, spaced_chunks, capacity=300_000))
         for b in batches:
             for ids, texts in text_groups(b.column(0), b.column(1)):
                 got = table.encode(texts)
