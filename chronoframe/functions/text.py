@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,26 +14,28 @@ def _c(c) -> Column:
 
 def replace_first(c, pattern: str, replacement: str) -> Column:
     """Replace only the first match of a regular expression (Spark's ``regexp_replace`` replaces
-    all).  A lazy prefix anchored at the start keeps everything before the first match."""
+    all).  A lazy prefix anchored at the start keeps everything before the first match; the pattern stands
+    in a group of its own, so an alternation stays inside it."""
     rep = replacement.replace("\\", "\\\\").replace("$", "\\$")
-    return F.regexp_replace(_c(c), F.lit(f"(?s)^(.*?){pattern}"), F.lit(f"$1{rep}"))
+    return F.regexp_replace(_c(c), F.lit(f"^((?s:.*?))(?:{pattern})"), F.lit(f"$1{rep}"))
 
 
 def parse_duration(c) -> Column:
-    """``[Xh][Ym]Zs`` text → seconds (double); text without any unit → null."""
+    """``[Xh][Ym]Zs`` text → seconds (double); a number without a unit counts as seconds; other text → null."""
     c = _c(c)
 
     def part(unit):
         v = F.regexp_extract(c, rf"(\d+(?:\.\d+)?){unit}", 1)
         return F.when(v == "", F.lit(0.0)).otherwise(v.cast("double"))
 
-    ok = c.rlike(r"^\s*(\d+(\.\d+)?h)?\s*(\d+(\.\d+)?m)?\s*(\d+(\.\d+)?s)?\s*$") & c.rlike(r"\d")
-    return F.when(ok, part("h") * 3600 + part("m") * 60 + part("s"))
+    ok = c.rlike(r"^\s*(\d+(\.\d+)?h)?\s*(\d+(\.\d+)?m)?\s*(\d+(\.\d+)?s?)?\s*$") & c.rlike(r"\d")
+    bare = F.regexp_extract(c, r"(\d+(?:\.\d+)?)\s*$", 1)
+    return F.when(ok, part("h") * 3600 + part("m") * 60 + F.when(bare == "", part("s")).otherwise(bare.try_cast("double")))
 
 
 def format_duration(c) -> Column:
-    """Seconds → ``1h2m3s``; zero units left out, ``0s`` for zero.  Seconds are rounded half to
-    even first (``bround``) as Python's ``round`` does."""
+    """Seconds → ``1h2m3s``; zero units left out, ``0s`` for zero.  The whole number of seconds is
+    rounded half to even (``bround``) before it is split, so 59.6 gives ``1m`` and never ``60s``."""
     total = F.bround(_c(c).cast("double"), 0).cast("long")
     h = F.floor(total / 3600)
     m = F.floor((total % 3600) / 60)
@@ -44,18 +46,19 @@ def format_duration(c) -> Column:
     return F.when(total == 0, F.lit("0s")).otherwise(txt)
 
 
-# Fixed value: the markup tags are ``[name]`` / ``[/name]`` with lowercase letters and blanks.
-MARKUP_TAG = r"\[/?[a-z ]+\]"
+# Fixed value: a markup tag is a bracket whose first character is a lowercase letter, ``/``, ``#`` or ``@``:
+# ``[bold]``, ``[/bold]``, ``[/]``, ``[#ff0000]``, ``[link=…]``.
+MARKUP_TAG = r"\[[a-z/#@][^\[\]]*\]"
 
 
 def strip_markup(c) -> Column:
-    """X11: remove ``[tag]`` and ``[/tag]`` markup from a cell or header."""
+    """X11: remove markup tags from a cell or header."""
     return F.regexp_replace(_c(c), MARKUP_TAG, "")
 
 
-def strip_markup_name(name: str) -> str:
-    """X11 for column names (schema-level, no data read)."""
-    return re.sub(MARKUP_TAG, "", name)
+def strip_markup_names(df: DataFrame) -> DataFrame:
+    """X11 for the headers of a table."""
+    return df.toDF(*[re.sub(MARKUP_TAG, "", c) for c in df.columns])
 
 
 def weight_from_name(c, default: float = 1.0) -> Column:

@@ -46,12 +46,12 @@ def ensemble_vote(preds: DataFrame, id_col: str = "id", value: str = "prediction
 def ensemble_rank(preds: DataFrame, id_col: str = "id", value: str = "prediction", method: str = "method") -> DataFrame:
     """Rank averaging.  Per method, 0-based position of each row in the order (value, id as text);
     per id the mean position; the result is the 0-based position of that mean over all ids (ties by id
-    text) divided by ``n − 1``.  Both positions are range-bucketed (W09), never one task for the table."""
-    p = preds.withColumn("_key", F.col(id_col).cast("string"))
+    text) divided by ``n − 1`` (null for one id).  Both positions are range-bucketed (W09), never one task for the table."""
+    p = preds.select(method, id_col, value, F.col(id_col).cast("string").alias("_key"))
     per = global_position(p, [value, "_key"], name="_pos", partition_by=[method])
     avg = per.groupBy(id_col, "_key").agg(F.avg("_pos").alias("_mean"))
     fin = global_position(avg, ["_mean", "_key"], name="_r", with_count="_n")
-    return fin.select(id_col, (F.col("_r") / (F.col("_n") - 1)).alias(value))
+    return fin.select(id_col, F.try_divide(F.col("_r"), F.col("_n") - 1).alias(value))
 
 
 def minmax_per_method(preds: DataFrame, value: str = "prediction", method: str = "method",

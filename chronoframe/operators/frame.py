@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .order import global_position
+from ..session import materialize
+from .order import global_position, quantiles, value_counts_long
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -189,26 +190,19 @@ def compare_proportions(overall: DataFrame, strat: DataFrame, rand: DataFrame, c
 
 
 def describe_exact(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count, mean, sample std, min, 25/50/75 % (exact, linear interpolation), max – long form."""
-    rows = []
-    for c in cols:
-        rows.append(df.agg(
-            F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"), F.min(F.col(c).cast("double")).alias("min"),
-            F.percentile(c, 0.25).alias("p25"), F.percentile(c, 0.5).alias("p50"),
-            F.percentile(c, 0.75).alias("p75"), F.max(F.col(c).cast("double")).alias("max")))
-    return concat(rows)
+    """Count, mean, sample std, min, 25/50/75 % (exact, linear interpolation), max – long form.
 
-
-def describe_wide(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A06 in one pass: all statistics of all columns in a single aggregate (one scan, one row)."""
-    exprs = []
-    for c in cols:
-        exprs += [F.count(c).alias(f"{c}_count"), F.avg(c).alias(f"{c}_mean"),
-                  F.stddev_samp(c).alias(f"{c}_std"), F.min(c).alias(f"{c}_min"),
-                  F.percentile(c, 0.25).alias(f"{c}_p25"), F.percentile(c, 0.5).alias(f"{c}_p50"),
-                  F.percentile(c, 0.75).alias(f"{c}_p75"), F.max(c).alias(f"{c}_max")]
-    return df.agg(*exprs)
+    One scan makes the distinct values with counts of all columns; everything else comes from that table.
+    """
+    g = materialize(value_counts_long(df, cols), "describe")
+    base = g.groupBy("column").agg(F.sum("n").alias("count"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
+                                   F.min("value").alias("min"), F.max("value").alias("max"))
+    gap = F.col("value") - F.col("mean")
+    spread = g.join(base.select("column", "mean"), "column").groupBy("column").agg(
+        F.sqrt(F.try_divide(F.sum(gap * gap * F.col("n")), F.sum("n") - 1)).alias("std"))
+    q = quantiles(df, cols, (0.25, 0.5, 0.75), counts=g).groupBy("column").agg(
+        *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name) for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    return base.join(spread, "column").join(q, "column").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -271,59 +265,34 @@ def mean_of_batch_means(df: DataFrame, batch: str, col: str, group: Sequence[str
     return per.groupBy(*group).agg(F.avg("_m").alias("mean_of_batch_means"), F.count(F.lit(1)).alias("batches"))
 
 
-def narrow_plan(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, str]:
-    """Smallest type per numeric column from one aggregate of all minima and maxima.
+def narrow_plan(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """``(col_name, dtype)`` – the smallest type per numeric column, from one aggregate of all minima and
+    maxima.
 
-    Integers: the smallest signed type whose *open* range holds min and max (strict inequalities, as in
-    the reference).  Doubles: float if min and max lie strictly inside the float range.  Strings stay
-    strings (Parquet dictionary pages already compress them).
+    Integers: the smallest signed type whose *open* range holds min and max (strict inequalities).  Doubles:
+    float if min and max lie strictly inside the float range.  A column without values keeps its type.
+    Strings stay strings (Parquet dictionary pages already compress them).
     """
     cols = list(cols or numeric_columns(df))
-    if not cols:
-        return {}
-    aggs = []
-    for c in cols:
-        aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
-    row = df.agg(*aggs).first()  # one row of bounds: the only value brought to the driver
-    plan = {}
     types = dict(df.dtypes)
-    int_types = [("tinyint", 2 ** 7), ("smallint", 2 ** 15), ("int", 2 ** 31), ("bigint", 2 ** 63)]
-    for c in cols:
-        lo, hi = row[f"lo_{c}"], row[f"hi_{c}"]
-        if lo is None:
-            continue
-        if types[c] in ("tinyint", "smallint", "int", "bigint"):
-            for name, lim in int_types:
-                if -lim < lo and hi < lim - 1:
-                    plan[c] = name
-                    break
-        elif types[c] in ("double", "float"):
-            fmax = 3.4028234663852886e38
-            plan[c] = "float" if (-fmax < lo and hi < fmax) else "double"
-    return plan
-
-
-def narrow_plan_table(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """X23 as data: ``(col_name, dtype)`` per numeric column, decided by the same rule as
-    :func:`narrow_plan` from one aggregate of all minima and maxima (no driver round trip)."""
-    cols = list(cols or numeric_columns(df))
-    types = dict(df.dtypes)
-    aggs = [e for c in cols for e in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))]
-    bounds = df.agg(*aggs)
+    bounds = df.agg(*[e for c in cols for e in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))])
+    fmax = 3.4028234663852886e38
     rows = []
     for c in cols:
-        lo, hi = F.col(f"lo_{c}"), F.col(f"hi_{c}")
+        lo, hi, t = F.col(f"lo_{c}"), F.col(f"hi_{c}"), F.lit(types[c])
         if types[c] in ("tinyint", "smallint", "int", "bigint"):
-            t = (F.when((lo > -2 ** 7) & (hi < 2 ** 7 - 1), "tinyint").when((lo > -2 ** 15) & (hi < 2 ** 15 - 1), "smallint")
-                 .when((lo > -2 ** 31) & (hi < 2 ** 31 - 1), "int").otherwise("bigint"))
-        else:
-            fmax = 3.4028234663852886e38
-            t = F.when((lo > -fmax) & (hi < fmax), "float").otherwise("double")
+            t = F.when(lo.isNull(), types[c])
+            for name, bits in (("tinyint", 7), ("smallint", 15), ("int", 31)):
+                t = t.when((lo > -2 ** bits) & (hi < 2 ** bits - 1), name)
+            t = t.otherwise("bigint")
+        elif types[c] in ("double", "float"):
+            t = F.when(lo.isNull(), types[c]).when((lo > -fmax) & (hi < fmax), "float").otherwise("double")
         rows.append(F.struct(F.lit(c).alias("col_name"), t.alias("dtype")))
     return bounds.select(F.inline(F.array(*rows)))
 
 
 def narrow_types(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Apply :func:`narrow_plan` in one ``select``."""
-    plan = narrow_plan(df, cols)
+    """Cast every numeric column to the type of :func:`narrow_plan` (one row for each column reaches the
+    driver)."""
+    plan = {r["col_name"]: r["dtype"] for r in narrow_plan(df, cols).collect()} if list(cols or numeric_columns(df)) else {}
     return df.select(*[F.col(c).cast(plan[c]).alias(c) if c in plan else F.col(c) for c in df.columns])

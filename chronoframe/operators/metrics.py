@@ -28,16 +28,17 @@ def _c(c) -> Column:
 # ---------------------------------------------------------------------------------------------------
 
 def regression_aggs(y, p) -> dict[str, Column]:
-    """MAE, MSE, RMSE, R², MAPE, SMAPE as aggregate expressions (usable inside any ``groupBy``)."""
+    """MAE, MSE, RMSE, R² (null for a constant ``y``), MAPE, SMAPE as aggregate expressions (usable inside any
+    ``groupBy``)."""
     y, p = _c(y).cast("double"), _c(p).cast("double")
     err = y - p
     mse = F.avg(err * err)
-    ss_tot = F.sum(y * y) - F.sum(y) * F.sum(y) / F.count(y)
+    ss_tot = F.var_pop(y) * F.count(y)
     return {
         "mae": F.avg(F.abs(err)),
         "mse": mse,
         "rmse": F.sqrt(mse),
-        "r2": F.lit(1.0) - F.sum(err * err) / ss_tot,
+        "r2": F.lit(1.0) - F.try_divide(F.sum(err * err), ss_tot),
         "mape": F.avg(F.abs(F.try_divide(err, y))),
         "smape": F.avg(F.try_divide(2.0 * F.abs(err), F.abs(y) + F.abs(p))),
     }
@@ -76,16 +77,13 @@ def confusion_long(df: DataFrame, y: str, p: str) -> DataFrame:
     return df.groupBy(F.col(y).alias("actual"), F.col(p).alias("predicted")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def confusion_matrix(df: DataFrame, y: str, p: str, max_classes: int = 10_000) -> DataFrame:
-    """N×N matrix over the classes of ``y`` – one row per actual class, one column per class.
-
-    The class list is read to the driver to name the pivot columns; it is bounded by ``max_classes``.
-    """
-    classes = [r[0] for r in df.select(y).distinct().orderBy(y).limit(max_classes + 1).collect()]
-    if len(classes) > max_classes:
-        raise ValueError(f"more than {max_classes} classes")
-    return (df.where(F.col(p).isin(classes)).groupBy(F.col(y).alias("actual"))
-              .pivot(p, classes).agg(F.count(F.lit(1))).na.fill(0))
+def confusion_matrix(df: DataFrame, y: str, p: str, classes: Sequence) -> DataFrame:
+    """N×N matrix over ``classes`` – one row per actual class (also without rows), one column per predicted
+    class; other predictions have no column.  The unbounded form is :func:`confusion_long`."""
+    kind = dict(df.dtypes)[y]
+    rows = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c).cast(kind) for c in classes])).alias("actual"))
+    counts = df.groupBy(F.col(y).alias("actual")).pivot(p, list(classes)).agg(F.count(F.lit(1)))
+    return rows.join(counts, "actual", "left").na.fill(0)
 
 
 def roc_auc(df: DataFrame, y: str, score: str, group: Sequence[str] = ()) -> DataFrame:
@@ -93,14 +91,22 @@ def roc_auc(df: DataFrame, y: str, score: str, group: Sequence[str] = ()) -> Dat
 
     ``AUC = Σ_pos (#neg with a lower score + ½ #neg with the same score) / (P·N)``, evaluated on the
     table of distinct scores with (count, positives); the negatives below each score are a range-bucketed
-    running sum.  ``BinaryClassificationEvaluator`` bins the scores, so it is not used.
+    running sum.  ``BinaryClassificationEvaluator`` bins the scores, so it is not used.  Rows with a null score
+    or label do not count; a group of one class has no AUC (null).
     """
-    g = df.groupBy(*group, score).agg(F.sum(F.col(y).cast("long")).alias("_pos"),
+    g = df.where(F.col(score).isNotNull() & F.col(y).isNotNull()).groupBy(*group, score).agg(F.sum(F.col(y).cast("long")).alias("_pos"),
                                       F.count(F.lit(1)).alias("_n"))
     g = g.withColumn("_neg", F.col("_n") - F.col("_pos"))
     g = global_cumsum(g, [score], "_neg", "_neg_below", partition_by=list(group) or None)
     num = F.sum(F.col("_pos") * (F.col("_neg_below") + F.col("_neg") / 2.0))
-    return g.groupBy(*group).agg((num / (F.sum("_pos") * F.sum("_neg"))).alias("auc"))
+    return g.groupBy(*group).agg(F.try_divide(num, F.sum("_pos") * F.sum("_neg")).alias("auc"))
+
+
+def roc_auc_many(df: DataFrame, y: str, scores: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
+    """M08 for several scores at once: ``(score, auc)`` (and ``group``), one long table and one range stage."""
+    cells = F.array(*[F.struct(F.lit(s).alias("score"), F.col(s).cast("double").alias("_v")) for s in scores])
+    long = df.select(*group, y, F.inline(cells))
+    return roc_auc(long, y, "_v", ["score", *group])
 
 
 def log_loss(df: DataFrame, y: str, p: str, eps: float = 1e-15) -> DataFrame:
@@ -229,15 +235,16 @@ def rmse_ci(df: DataFrame, y: str, p: str, confidence: float = 0.95, method: str
     """Confidence interval of the RMSE, ``sqrt(mean(e²) ± c · s / √m)`` over squared errors ``e²``.
 
     ``c`` is the normal (``method='z'``) or Student-t (``m−1`` degrees) critical value; the t value needs
-    ``m`` on the driver (one scalar aggregate).
+    ``m`` on the driver, so the one-row aggregate is computed there once and not again.
     """
     e2 = (F.col(y).cast("double") - F.col(p).cast("double")) ** 2
     stats = df.agg(F.avg(e2).alias("_mean"), F.stddev_samp(e2).alias("_s"), F.count(e2).alias("_m"))
     if method == "z":
         crit = F.lit(z_critical(confidence))
     else:
-        m = stats.select("_m").first()[0]
-        crit = F.lit(t_ppf((1 + confidence) / 2, m - 1))
+        row = stats.first()
+        stats = df.sparkSession.createDataFrame([tuple(row)], "_mean double, _s double, _m long")
+        crit = F.lit(t_ppf((1 + confidence) / 2, row["_m"] - 1) if row["_m"] > 1 else None).cast("double")
     half = crit * F.col("_s") / F.sqrt(F.col("_m"))
     return stats.select(F.sqrt(F.col("_mean")).alias("rmse"),
                         F.sqrt(F.col("_mean") - half).alias("lower"), F.sqrt(F.col("_mean") + half).alias("upper"))
@@ -273,18 +280,18 @@ def all_close(a: DataFrame, b: DataFrame, key: Sequence[str], cols: Sequence[str
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation of every pair, long form ``(a, b, corr)`` – all pairs
-    in one aggregate (one scan)."""
-    pairs = [(a, b) for a in cols for b in cols]
+    in one aggregate (one scan), each computed once."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     row = df.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    st = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{i}").alias("corr"))
-                   for i, (a, b) in enumerate(pairs)])
+    st = F.array(*[F.struct(F.lit(x).alias("a"), F.lit(z).alias("b"), F.col(f"{i}").alias("corr"))
+                   for i, (a, b) in enumerate(pairs) for x, z in dict.fromkeys([(a, b), (b, a)])])
     return row.select(F.inline(st))
 
 
 def corr_with_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Correlation of each column with the target, descending."""
-    return corr_matrix(df, [*cols, target]).where(F.col("b") == target).select(
-        F.col("a").alias("column"), "corr").orderBy(F.desc("corr"))
+    m = corr_matrix(df, [*cols, target]).where((F.col("b") == target) & (F.col("a") != target))
+    return m.select(F.col("a").alias("column"), "corr").orderBy(F.desc("corr"), "column")
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -326,10 +333,15 @@ def kendall_tau_b(df: DataFrame, x: str, y: str) -> DataFrame:
     s = conc.crossJoin(ties).crossJoin(tx).crossJoin(ty)   # four one-row aggregates
     n0 = pair(F.col("n"))
     disc = n0 - F.col("n1") - F.col("n2") + F.col("n3") - F.col("C")
-    tau = (F.col("C") - disc) / F.sqrt((n0 - F.col("n1")) * (n0 - F.col("n2")))
+    tau = F.try_divide(F.col("C") - disc, F.sqrt((n0 - F.col("n1")) * (n0 - F.col("n2"))))      # null for a constant column
     return s.select(tau.alias("kendall"))
 
 
+def align(a: DataFrame, b: DataFrame, key: str, value: str, names=("x", "y")) -> DataFrame:
+    """Two prediction tables on their common ids: ``key`` and one value column for each."""
+    return (a.select(key, F.col(value).alias(names[0])).join(b.select(key, F.col(value).alias(names[1])), key))
+
+
 def correlations(df: DataFrame, x: str, y: str) -> DataFrame:
     """Pearson, Spearman and Kendall τ-b of two aligned prediction columns, one row."""
     p = df.agg(F.corr(x, y).alias("pearson"))

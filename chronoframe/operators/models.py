@@ -8,23 +8,38 @@ k-fold assignment (R05), so cross-validation is the same on any cluster.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import sigmoid
+from .order import global_position
 from .split import kfold
 
 
 def assemble(df: DataFrame, xs: Sequence[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(xs), outputCol=out, handleInvalid="skip").transform(df)
+    """Feature vector; a null or NaN feature is an error (impute first), never a dropped row."""
+    return VectorAssembler(inputCols=list(xs), outputCol=out, handleInvalid="error").transform(df)
+
+
+def score_rows(model, df: DataFrame, xs: Sequence[str], result: Column, name: str) -> DataFrame:
+    """``df`` with ``name``: ``result`` of the model's prediction; a row with a null or NaN feature is kept and gets
+    null."""
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in xs])
+    safe = df.withColumns({f"_x{i}": F.when(whole, F.col(c)).otherwise(F.lit(0)) for i, c in enumerate(xs)})
+    out = model.transform(assemble(safe, [f"_x{i}" for i in range(len(xs))]))
+    return out.select(*df.columns, F.when(whole, result).alias(name))
 
 
 def fit_linear(df: DataFrame, y: str, xs: Sequence[str], intercept: bool = True):
@@ -53,6 +68,20 @@ def fit_logistic(df: DataFrame, y: str, xs: Sequence[str], reg: float = 0.0, max
     return LogisticRegression(featuresCol="features", labelCol=y, regParam=reg, maxIter=max_iter).fit(assemble(df, xs))
 
 
+def logreg_gd(df: DataFrame, y: str, xs: Sequence[str], lr: float = 0.1, iters: int = 50) -> list[float]:
+    """logistic regression by full-batch gradient descent; one aggregate per step gives the mean gradient
+    ``(1/m) Σ (σ(w·x) − y)·x_j``; the weights (bias first) stay on the driver."""
+    w = [0.0] * (len(xs) + 1)
+    cols = [F.lit(1.0), *[F.col(c).cast("double") for c in xs]]
+    data = df.select(*[c.alias(f"_x{i}") for i, c in enumerate(cols)], F.col(y).cast("double").alias("_y"))
+    for _ in range(iters):
+        z = sum((F.lit(w[i]) * F.col(f"_x{i}") for i in range(len(w))), F.lit(0.0))
+        err = sigmoid(z) - F.col("_y")
+        g = data.agg(*[F.avg(err * F.col(f"_x{i}")).alias(f"g{i}") for i in range(len(w))]).first()
+        w = [w[i] - lr * g[f"g{i}"] for i in range(len(w))]
+    return w
+
+
 def fit_tree(df: DataFrame, y: str, xs: Sequence[str], depth: int = 5, seed: int = 42):
     """decision-tree regressor."""
     return DecisionTreeRegressor(featuresCol="features", labelCol=y, maxDepth=depth, seed=seed).fit(assemble(df, xs))
@@ -66,9 +95,9 @@ def fit_forest(df: DataFrame, y: str, xs: Sequence[str], trees: int = 20, depth:
     return est.fit(assemble(df, xs))
 
 
-def fit_gbt(df: DataFrame, y: str, xs: Sequence[str], rounds: int = 20, depth: int = 5, eta: float = 0.1,
+def fit_gbt(df: DataFrame, y: str, xs: Sequence[str], rounds: int = 1000, depth: int = 10, eta: float = 0.01,
             seed: int = 42):
-    """F16: gradient-boosted trees (the reference runs η 0.01, depth 10, 1000 rounds)."""
+    """F16: gradient-boosted trees; the defaults are the settings of the forecasting pipeline."""
     return GBTRegressor(featuresCol="features", labelCol=y, maxIter=rounds, maxDepth=depth, stepSize=eta,
                         seed=seed).fit(assemble(df, xs))
 
@@ -89,31 +118,60 @@ def rmse(pred: DataFrame, y: str, p: str = "prediction") -> float:
 
 
 def cross_val_scores(df: DataFrame, id_col: str, y: str, xs: Sequence[str], make_estimator, k: int = 5,
-                     seed: int = 42) -> list[tuple[int, float]]:
-    """RMSE of each fold when trained on the other folds (folds from R05)."""
+                     seed: int = 42, score=rmse) -> list[tuple[int, float]]:
+    """``score(predictions, y)`` (RMSE) of each fold when trained on the other folds (folds from R05)."""
     f = kfold(df, id_col, k, seed).drop("pos")
     data = assemble(f, xs).cache()
     out = []
     for i in range(k):
         m = make_estimator().fit(data.where(F.col("fold") != i))
-        out.append((i, rmse(m.transform(data.where(F.col("fold") == i)), y)))
+        out.append((i, score(m.transform(data.where(F.col("fold") == i)), y)))
     data.unpersist()
     return out
 
 
-def grid_search(df: DataFrame, id_col: str, y: str, xs: Sequence[str], estimator, grid: dict, k: int = 3,
-                seed: int = 42, parallelism: int = 2) -> list[tuple[dict, float]]:
-    """Every parameter combination scored by k-fold RMSE (``CrossValidator`` with a fold
-    column, so the folds are the reproducible ones)."""
-    b = ParamGridBuilder()
-    for p, vals in grid.items():
-        b = b.addGrid(getattr(estimator, p), list(vals))
-    maps = b.build()
-    f = assemble(kfold(df, id_col, k, seed).drop("pos"), xs)
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, foldCol="fold", parallelism=parallelism,
-                        evaluator=RegressionEvaluator(labelCol=y, metricName="rmse"))
-    model = cv.fit(f)
-    return [({p.name: v for p, v in m.items()}, float(s)) for m, s in zip(maps, model.avgMetrics)]
+def score_candidates(df: DataFrame, id_col: str, y: str, xs: Sequence[str], estimator, candidates: Sequence[dict], k: int = 3,
+                     seed: int = 42, parallelism: int = 3, evaluator=None) -> list[float]:
+    """Mean score (RMSE, or that of ``evaluator``) over ``k`` folds of every parameter set: the folds are computed
+    once and one ``CrossValidator`` runs all sets, ``parallelism`` at a time."""
+    maps = [{getattr(estimator, p): v for p, v in c.items()} for c in candidates]
+    folds = assemble(kfold(df, id_col, k, seed).drop("pos"), xs).cache()
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, foldCol="fold", numFolds=k, parallelism=parallelism,
+                        evaluator=evaluator or RegressionEvaluator(labelCol=y, metricName="rmse"))
+    scores = [float(s) for s in cv.fit(folds).avgMetrics]
+    folds.unpersist()
+    return scores
+
+
+def expand_grids(grids: dict | Sequence[dict]) -> list[dict]:
+    """All parameter sets of a grid or of a list of grids."""
+    grids = [grids] if isinstance(grids, dict) else list(grids)
+    return [dict(zip(g, values)) for g in grids for values in itertools.product(*g.values())]
+
+
+def grid_search(df: DataFrame, id_col: str, y: str, xs: Sequence[str], estimator, grid: dict | Sequence[dict], k: int = 3,
+                seed: int = 42, parallelism: int = 3) -> list[tuple[dict, float]]:
+    """Every parameter set of one grid or of a list of grids, scored by k-fold RMSE over the reproducible
+    folds."""
+    sets = expand_grids(grid)
+    return list(zip(sets, score_candidates(df, id_col, y, xs, estimator, sets, k, seed, parallelism)))
+
+
+def preparation_search(df: DataFrame, id_col: str, y: str, numeric: Sequence[str], make_estimator, strategies: Sequence[str],
+                       top_ks: Sequence[int], importances_of, k: int = 3, seed: int = 42) -> list[tuple[dict, float]]:
+    """Search over preparation options – imputer strategy and number of features.  For each strategy the
+    imputed table ranks its features with ``importances_of(table)`` (names, best first); each ``top_k`` of them is
+    scored by k-fold RMSE."""
+    from .prepare import impute
+    out = []
+    for strategy in strategies:
+        x = impute(df, list(numeric), strategy).cache()
+        ranked = importances_of(x)
+        for top in top_ks:
+            s = score_candidates(x, id_col, y, ranked[:top], make_estimator(), [{}], k, seed)[0]
+            out.append(({"strategy": strategy, "top_k": top}, s))
+        x.unpersist()
+    return out
 
 
 def _u(seed, *parts) -> float:
@@ -122,11 +180,11 @@ def _u(seed, *parts) -> float:
     return (int(h, 16) + 0.5) / 16 ** 13
 
 
-def random_search(df: DataFrame, id_col: str, y: str, xs: Sequence[str], estimator, space: dict, trials: int,
-                  k: int = 3, seed: int = 42) -> list[tuple[dict, float]]:
+def random_search(df: DataFrame, id_col: str, y: str, xs: Sequence[str], estimator, space: dict, trials: int = 60,
+                  k: int = 5, seed: int = 42, parallelism: int = 3) -> list[tuple[dict, float]]:
     """``trials`` parameter sets drawn from distributions (``('int', lo, hi)``, ``('loguniform', lo,
-    hi)``, ``('uniform', lo, hi)``), each scored by k-fold RMSE."""
-    out = []
+    hi)``, ``('uniform', lo, hi)``), each scored by k-fold RMSE; one ``CrossValidator`` for all."""
+    sets = []
     for t in range(trials):
         params = {}
         for j, (p, (kind, lo, hi)) in enumerate(sorted(space.items())):
@@ -134,40 +192,35 @@ def random_search(df: DataFrame, id_col: str, y: str, xs: Sequence[str], estimat
             params[p] = (int(lo + math.floor(u * (hi - lo + 1))) if kind == "int" else
                          math.exp(math.log(lo) + u * (math.log(hi) - math.log(lo))) if kind == "loguniform" else
                          lo + u * (hi - lo))
-        score = grid_search(df, id_col, y, xs, estimator.copy(), {p: [v] for p, v in params.items()}, k, seed,
-                            parallelism=1)[0][1]
-        out.append((params, score))
-    return out
+        sets.append(params)
+    return list(zip(sets, score_candidates(df, id_col, y, xs, estimator, sets, k, seed, parallelism)))
 
 
 def halving_search(df: DataFrame, id_col: str, y: str, xs: Sequence[str], estimator, candidates: list[dict],
-                   eta: int = 3, min_fraction: float = 0.1, seed: int = 42) -> list[tuple[int, dict, float]]:
+                   eta: int = 3, min_fraction: float = 0.1, k: int = 3, seed: int = 42) -> list[tuple[int, dict, float]]:
     """Successive halving – score all candidates on a hash sample, keep the best ``1/eta``, grow the
-    sample ``eta`` times, until one candidate (or the whole table) remains."""
+    sample ``eta`` times, until one candidate (or the whole table) remains.  A round is one ``CrossValidator``."""
     alive = list(candidates)
     frac, rnd, log = min_fraction, 0, []
     h = F.conv(F.substring(F.md5(F.concat(F.lit(str(seed)), F.col(id_col).cast("string"))), 1, 8), 16, 10).cast("long")
     while True:
         sample = df.where(h < F.lit(int(min(frac, 1.0) * 16 ** 8)))
-        scored = []
-        for c in alive:
-            s = grid_search(sample, id_col, y, xs, estimator.copy(), {p: [v] for p, v in c.items()}, 3, seed, 1)[0][1]
-            scored.append((s, c))
-            log.append((rnd, c, s))
-        scored.sort(key=lambda t: t[0])
+        scores = score_candidates(sample, id_col, y, xs, estimator, alive, k, seed)
+        log += [(rnd, c, s) for c, s in zip(alive, scores)]
         if len(alive) == 1 or frac >= 1.0:
             return log
-        alive = [c for _, c in scored[: max(1, len(scored) // eta)]]
+        order = sorted(range(len(alive)), key=lambda i: scores[i])
+        alive = [alive[i] for i in order[: max(1, len(alive) // eta)]]
         frac, rnd = frac * eta, rnd + 1
 
 
 def trial_table(scores: DataFrame, trial: str, score: str, higher_is_better: bool = False) -> DataFrame:
-    """Mean and (population) std of the score per trial, with ``rank`` 1 = best."""
+    """Mean and (population) std of the score per trial, with ``rank`` 1 = best, by distributed positions."""
     t = scores.groupBy(trial).agg(F.avg(score).alias("mean_score"), F.stddev_pop(score).alias("std_score"),
                                   F.count(F.lit(1)).alias("folds"))
-    from pyspark.sql import Window
-    order = F.desc("mean_score") if higher_is_better else F.asc("mean_score")
-    return t.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(order, trial)))
+    best = -F.col("mean_score") if higher_is_better else F.col("mean_score")
+    placed = global_position(t.withColumn("_best", best), ["_best", trial], name="_pos")
+    return placed.withColumn("rank", (F.col("_pos") + 1).cast("int")).drop("_best", "_pos")
 
 
 def save_and_load(model: PipelineModel, path: str) -> PipelineModel:
@@ -178,38 +231,43 @@ def save_and_load(model: PipelineModel, path: str) -> PipelineModel:
 
 def linear_pipeline(xs: Sequence[str], y: str) -> Pipeline:
     """assembler + linear regression as one pipeline."""
-    return Pipeline(stages=[VectorAssembler(inputCols=list(xs), outputCol="features", handleInvalid="skip"),
+    return Pipeline(stages=[VectorAssembler(inputCols=list(xs), outputCol="features", handleInvalid="error"),
                             LinearRegression(featuresCol="features", labelCol=y, regParam=0.0)])
 
 
 def blend(train: DataFrame, hold: DataFrame, test: DataFrame, y: str, base_features: dict[str, Sequence[str]]) -> DataFrame:
     """Base logistic models fitted on ``train`` score ``hold`` and ``test``; the hold-out scores,
     min-max scaled with hold-out statistics (applied to both sides), train a logistic meta-model that
-    scores ``test``.  Returns ``test`` with ``blend`` (probability of class 1)."""
-    from pyspark.ml.functions import vector_to_array
-    names = []
+    scores ``test``.  Returns every row of ``test`` with ``blend`` (probability of class 1; null where a
+    feature is null).  Null features in ``train`` or ``hold`` are an error: impute first."""
+    names = list(base_features)
+    prob = vector_to_array("probability")[1]
     for name, xs in base_features.items():
         m = fit_logistic(train, y, xs)
-        hold = m.transform(assemble(hold, xs)).select(*hold.columns, vector_to_array("probability")[1].alias(name))
-        test = m.transform(assemble(test, xs)).select(*test.columns, vector_to_array("probability")[1].alias(name))
-        names.append(name)
+        hold = m.transform(assemble(hold, xs)).select(*hold.columns, prob.alias(name))
+        test = score_rows(m, test, xs, prob, name)
     st = hold.agg(*[e for n in names for e in (F.min(n).alias(f"_lo_{n}"), F.max(n).alias(f"_hi_{n}"))])
     scale = lambda d: d.crossJoin(F.broadcast(st)).withColumns({  # noqa: E731  (one-row statistics)
         n: (F.col(n) - F.col(f"_lo_{n}")) / F.greatest(F.col(f"_hi_{n}") - F.col(f"_lo_{n}"), F.lit(1e-12)) for n in names})
     meta = fit_logistic(scale(hold), y, names)
-    out = meta.transform(assemble(scale(test), names))
-    return out.select(*test.columns, vector_to_array("probability")[1].alias("blend"))
+    out = score_rows(meta, scale(test), names, prob, "blend")
+    return out.select(*test.columns, "blend")
 
 
 def impute_by_model(df: DataFrame, target: str, features: Sequence[str], estimator=None) -> DataFrame:
-    """fill the nulls of ``target`` with a model trained on the rows where it is present; rows are
-    predicted in place (no join back, so rows are never multiplied)."""
+    """fill the nulls of ``target`` with a model trained on the rows where the target and all features are
+    present; rows are predicted in place (no join back, so rows are never multiplied).  A row with a null
+    feature cannot be predicted and takes the mean of the target."""
     est = estimator or LinearRegression(featuresCol="_feat", labelCol=target, regParam=0.0)
-    asm = VectorAssembler(inputCols=list(features), outputCol="_feat", handleInvalid="keep")
-    data = asm.transform(df)
-    model = est.fit(data.where(F.col(target).isNotNull()))
-    out = model.transform(data).withColumn(target, F.coalesce(F.col(target), F.col(est.getPredictionCol())))
-    return out.drop("_feat", est.getPredictionCol())
+    known = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in [target, *features]]))
+    model = est.fit(assemble(known, features, "_feat"))
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in features])
+    safe = df.withColumns({f"_x{i}": F.when(whole, F.col(c)).otherwise(F.lit(0)) for i, c in enumerate(features)})
+    out = model.transform(assemble(safe, [f"_x{i}" for i in range(len(features))], "_feat"))
+    out = out.crossJoin(F.broadcast(df.agg(F.avg(target).alias("_mean"))))      # one row
+    fill = F.when(whole, F.col(est.getPredictionCol())).otherwise(F.col("_mean"))
+    missing = F.col(target).isNull() | F.isnan(F.col(target).cast("double"))
+    return out.select(*[F.when(missing, fill).otherwise(F.col(c)).alias(c) if c == target else F.col(c) for c in df.columns])
 
 
 # The model registry – a flag or group name selects estimators; every selected one is fitted and

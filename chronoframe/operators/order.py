@@ -145,11 +145,61 @@ def average_rank(df: DataFrame, col: str, name: str | None = None, partition_by=
     """1-based average rank of ``col`` (ties share the mean of their ranks), per ``partition_by``.
 
     Ranks are computed on the table of distinct values with counts – ``rank = (#smaller) + (count+1)/2``
-    – and joined back on the value, so equal values never need to meet in one window task.
+    – and joined back on the value, so equal values never need to meet in one window task.  A null has no rank and does not
+    count for the others.
     """
     name = name or f"{col}_rank"
     part = [c for c in ([partition_by] if isinstance(partition_by, str) else (partition_by or []))]
-    g = df.groupBy(*part, col).agg(F.count(F.lit(1)).alias("_c"))
+    g = df.where(F.col(col).isNotNull()).groupBy(*part, col).agg(F.count(F.lit(1)).alias("_c"))
     g = global_cumsum(g, [col], "_c", "_below", partition_by=part or None)
     g = g.select(*part, col, (F.col("_below") + (F.col("_c") + 1) / 2.0).alias(name))
     return df.join(g, on=[*part, col], how="left")
+
+
+def value_counts_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column, value, n)`` of the non-null, non-NaN values (as double) of several columns in one scan."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
+    long = df.select(F.inline(cells)).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], counts: DataFrame | None = None) -> DataFrame:
+    """Exact quantiles ``(column, prob, value)`` of several columns, linear between neighbours.
+
+    They come from the table of distinct values with counts: its running sums say which value stands at the
+    positions ``floor`` and ``ceil`` of ``prob * (n - 1)``, so no task holds the values of a column.
+    """
+    g = global_cumsum(value_counts_long(df, cols) if counts is None else counts, ["value"], "n", "_below", partition_by=["column"])
+    g = materialize(g, "quantiles")
+    total = g.groupBy("column").agg(F.sum("n").alias("_t"))
+    at = total.select("column", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"), "_t")
+    at = at.withColumn("_h", F.col("prob") * (F.col("_t") - 1)).withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
+    cell = g.join(at, "column").where((F.col("_below") <= F.col("_hi")) & (F.col("_below") + F.col("n") > F.col("_lo")))
+    low = F.min("value")                      # the cells that touch [lo, hi] are one or two neighbours
+    return (cell.groupBy("column", "prob").agg(low.alias("_a"), F.max("value").alias("_b"), F.first(F.col("_h") - F.col("_lo")).alias("_f"))
+                .select("column", "prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")).alias("value")))
+
+
+def modes(df: DataFrame, col: str) -> DataFrame:
+    """One row with the most frequent non-null value of ``col`` (the least one on ties), by two aggregates over
+    the distinct values."""
+    v = F.col(col)
+    ok = v.isNotNull() & ~F.isnan(v) if dict(df.dtypes)[col] in ("double", "float") else v.isNotNull()
+    g = df.where(ok).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    top = g.agg(F.max("_n").alias("_n"))
+    return g.join(F.broadcast(top), "_n").agg(F.min(col).alias(col))     # one-row side
+
+
+def count_blocks(df: DataFrame, segment, ts: str, block_rows: int = 1 << 17, fine_seconds: int = 60, name: str = "_blk") -> DataFrame:
+    """Block number per segment, monotone in ``ts``, of about ``block_rows`` rows each.
+
+    Rows are counted per (segment, ``fine_seconds`` of time); running counts over that small table are cut
+    every ``block_rows``, so blocks follow the rows and not the calendar.
+    """
+    seg = [segment] if isinstance(segment, str) else list(segment or [])
+    fine = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(fine_seconds * 1_000_000)).cast("long")
+    base = df.withColumn("_fine", fine)
+    counts = base.groupBy(*seg, "_fine").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*seg).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn(name, F.floor(F.coalesce(F.sum("_c").over(before), F.lit(0)) / F.lit(block_rows)).cast("long")).drop("_c")
+    return base.join(counts, [*seg, "_fine"]).drop("_fine")

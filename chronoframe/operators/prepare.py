@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frame import ratio_features
-from .order import global_position
+from .order import global_position, modes, quantiles
 
 # ---------------------------------------------------------------------------------------------------
 # F01 imputation
@@ -24,10 +24,20 @@ from .order import global_position
 
 def fit_imputer(df: DataFrame, cols: Sequence[str], strategy: str = "mean") -> DataFrame:
     """one-row table of fill values: ``mean``, exact ``median`` or ``most_frequent`` (smallest value
-    on ties, as the reference library does)."""
-    fn = {"mean": F.avg, "median": F.median,
-          "most_frequent": lambda c: F.mode(c, deterministic=True)}[strategy]
-    return df.agg(*[fn(c).alias(f"_fill_{c}") for c in cols])
+    on ties).  Medians and modes come from the distinct values with counts, so no task holds a column."""
+    if strategy == "mean":
+        clean = {c: F.when(~F.isnan(c), F.col(c)) if t in ("double", "float") else F.col(c) for c, t in df.dtypes}
+        return df.agg(*[F.avg(clean[c]).alias(f"_fill_{c}") for c in cols])
+    if strategy == "median":
+        q = quantiles(df, cols, [0.5])
+        return q.agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"_fill_{c}") for c in cols])
+    if strategy != "most_frequent":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    out = None
+    for c in cols:
+        one = modes(df, c).withColumnRenamed(c, f"_fill_{c}")
+        out = one if out is None else out.crossJoin(one)      # one-row tables
+    return out
 
 
 def apply_imputer(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -59,17 +69,16 @@ def ordinal_encode(df: DataFrame, col: str, name: str | None = None) -> DataFram
     return df.join(ordinal_dictionary(df, col, name), col, "left")
 
 
-def one_hot(df: DataFrame, col: str, categories: Sequence | None = None, max_categories: int = 1000,
-            prefix: str | None = None) -> DataFrame:
-    """one 0/1 column per sorted category, all kept (no dropped last level).  The category names
-    become column names, so they are read to the driver (bounded by ``max_categories``)."""
-    if categories is None:
-        rows = df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).limit(max_categories + 1).collect()
-        categories = [r[0] for r in rows]
-        if len(categories) > max_categories:
-            raise ValueError(f"{col} has more than {max_categories} categories")
+def categories(df: DataFrame, col: str) -> list:
+    """Sorted distinct values of a column that is to become columns (their number is that of the columns)."""
+    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+
+
+def one_hot(df: DataFrame, col: str, values: Sequence, prefix: str | None = None) -> DataFrame:
+    """one 0/1 column per category in ``values``, all kept (no dropped last level); a null or unknown
+    category is 0 in all of them."""
     prefix = prefix if prefix is not None else f"{col}_"
-    return df.withColumns({f"{prefix}{v}": (F.col(col) == F.lit(v)).cast("double") for v in categories})
+    return df.withColumns({f"{prefix}{v}": F.coalesce((F.col(col) == F.lit(v)).cast("double"), F.lit(0.0)) for v in values})
 
 
 def label_index(df: DataFrame, col: str, order: Sequence[str], name: str | None = None) -> DataFrame:
@@ -148,7 +157,7 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
 
 
 def prepare(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], ratios: dict | None = None,
-            strategy: str = "median", fit_on: DataFrame | None = None, categories: dict | None = None,
+            strategy: str = "median", fit_on: DataFrame | None = None, known: dict | None = None,
             assemble: str | None = "features") -> DataFrame:
     """numeric branch (impute → ratio features → standard scale) and categorical branch (one-hot),
     concatenated; with ``assemble`` the prepared columns are also packed into one ML vector column.
@@ -164,9 +173,8 @@ def prepare(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], r
     x = apply_standard(x, fit_standard(fx, num), num)
     cat_cols: list[str] = []
     for c in categorical:
-        cats = (categories or {}).get(c)
         before = set(x.columns)
-        x = one_hot(x, c, cats)
+        x = one_hot(x, c, (known or {}).get(c) or categories(fit, c))
         cat_cols += [k for k in x.columns if k not in before]
     if assemble:
         x = VectorAssembler(inputCols=[*num, *cat_cols], outputCol=assemble, handleInvalid="keep").transform(x)

@@ -25,6 +25,15 @@ def hash_int(seed, *parts, digits: int = 12) -> Column:
     return F.conv(F.substring(F.md5(F.concat(*pieces)), 1, digits), 16, 10).cast("long")
 
 
+def with_row_id(df: DataFrame, name: str = "rid", cols: Sequence[str] | None = None) -> DataFrame:
+    """A unique, reproducible row id for a table without a key: md5 of the columns and the number of the row
+    among those that are equal in all of them (equal rows are interchangeable)."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in (cols or df.columns)]
+    x = df.withColumn("_md", F.md5(F.concat_ws("\x01", *cells)))
+    w = Window.partitionBy("_md").orderBy(F.lit(0))
+    return x.withColumn(name, F.concat("_md", F.lit("-"), F.row_number().over(w).cast("string"))).drop("_md")
+
+
 def _label_by_position(df: DataFrame, n_test: Column, test: str = "test", train: str = "train") -> DataFrame:
     return df.withColumn("split", F.when(F.col("pos") < n_test, F.lit(test)).otherwise(F.lit(train)))
 
@@ -49,16 +58,15 @@ def stratified_split(df: DataFrame, id_col: str, strata: str | Sequence[str], ra
     """
     keys = [strata] if isinstance(strata, str) else list(strata)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ns"))
-    tot = Window.partitionBy(F.lit(0))          # over the per-stratum table only (one row per stratum)
-    alloc = (counts
-             .withColumn("_n", F.sum("_ns").over(tot))
+    total = counts.agg(F.sum("_ns").alias("_n"))          # one row
+    alloc = (counts.crossJoin(F.broadcast(total))
              .withColumn("_nt", F.ceil(F.col("_n").cast("double") * F.lit(float(ratio))))
              .withColumn("_exact", F.col("_nt") * F.col("_ns") / F.col("_n"))
              .withColumn("_q", F.floor("_exact"))
-             .withColumn("_frac", F.col("_exact") - F.col("_q"))
-             .withColumn("_left", F.col("_nt") - F.sum("_q").over(tot))
-             .withColumn("_rk", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("_frac"), *keys)))
-             .select(*keys, (F.col("_q") + F.when(F.col("_rk") <= F.col("_left"), 1).otherwise(0)).alias("_quota")))
+             .withColumn("_less", F.col("_q") - F.col("_exact")))      # minus the fractional part
+    rest = alloc.agg((F.max("_nt") - F.sum("_q")).alias("_left"))      # one row
+    alloc = (global_position(alloc, ["_less", *keys], name="_rk").crossJoin(F.broadcast(rest))
+             .select(*keys, (F.col("_q") + F.when(F.col("_rk") < F.col("_left"), 1).otherwise(0)).alias("_quota")))
     p = hash_position(df, id_col, seed, partition_by=keys)
     # one row per stratum: AQE turns this into a broadcast join when it is small
     return _label_by_position(p.join(alloc, keys), F.col("_quota")).drop("_quota")

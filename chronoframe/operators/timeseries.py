@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.datetime import epoch_micros, floor_ts, from_epoch_micros
-from .order import bucketed_position
+from .order import bucketed_position, count_blocks
 
 _MIN_US = 60_000_000
 
@@ -70,6 +70,16 @@ def resample_dense(df: DataFrame, segment, ts: str, values, minutes: int) -> Dat
     return out.select(*seg, ts, *[F.coalesce(f"_x_{v}", v).alias(v) for v in vals])
 
 
+def resample_grid(df: DataFrame, segment, ts: str, values, minutes: int) -> DataFrame:
+    """W11 without the empty grid points: one row per bucket that has rows; the mean of the values exactly on
+    the grid point where there are any, else the bucket mean.  One aggregate, no join."""
+    seg = _seg(segment)
+    on = F.col(ts) == floor_ts(ts, minutes)
+    return (df.groupBy(*seg, floor_ts(ts, minutes).alias("_g"))
+              .agg(*[F.coalesce(F.avg(F.when(on, F.col(v))), F.avg(v)).alias(v) for v in _list(values)])
+              .withColumnRenamed("_g", ts))
+
+
 def check_unique_ts(df: DataFrame, segment, ts: str, policy: str = "error") -> DataFrame:
     """Duplicate timestamps per segment: ``error`` (fail at run time), ``first`` or ``mean``."""
     seg = _seg(segment)
@@ -80,9 +90,9 @@ def check_unique_ts(df: DataFrame, segment, ts: str, policy: str = "error") -> D
     if policy == "first":
         return df.dropDuplicates([*seg, ts])
     w = Window.partitionBy(*seg, ts)
-    return (df.withColumn("_dup", F.count(F.lit(1)).over(w))
-              .withColumn("_dup", F.assert_true(F.col("_dup") == 1, F.lit("duplicate timestamp in segment")))
-              .drop("_dup"))
+    # the check is part of a column that stays: an extra column would be pruned with its check
+    ok = F.when(F.count(F.lit(1)).over(w) == 1, F.col(ts)).otherwise(F.raise_error(F.lit("duplicate timestamp in segment")).cast(dict(df.dtypes)[ts]))
+    return df.withColumn("_ts", ok).select(*[F.col("_ts").alias(ts) if c == ts else F.col(c) for c in df.columns])
 
 
 # ---------------------------------------------------------------------------------------------------
@@ -136,39 +146,66 @@ def left_update(df: DataFrame, upd: DataFrame, on: Sequence[str], column: str, u
 # Rolling mean and fills
 # ---------------------------------------------------------------------------------------------------
 
+def _positions(df: DataFrame, segment, order: str, ties: Sequence[str] = (), block_rows: int = 1 << 17, with_count: str | None = None) -> DataFrame:
+    """``_pos``: place of each row in its segment, by blocks that follow the row counts."""
+    seg = _seg(segment)
+    return bucketed_position(count_blocks(df, seg, order, block_rows), F.col("_blk"), [order, *ties], seg or None, name="_pos", with_count=with_count).drop("_blk")
+
+
+def _overlapping(df: DataFrame, before: int, after: int, block_rows: int) -> DataFrame:
+    """Rows with a ``_pos`` dealt to blocks of ``block_rows`` (``_own``); each row also goes to every block
+    ``_blk`` where a window of ``before`` rows before and ``after`` rows after can reach it."""
+    own = F.floor(F.col("_pos") / F.lit(block_rows)).cast("long")
+    first = F.greatest(F.floor((F.col("_pos") - after) / F.lit(block_rows)).cast("long"), F.lit(0))
+    last = F.floor((F.col("_pos") + before) / F.lit(block_rows)).cast("long")
+    return df.withColumn("_own", own).withColumn("_blk", F.explode(F.sequence(first, last)))
+
+
 def rolling_mean(df: DataFrame, segment, order: str, value: str, n: int = 5, name: str | None = None,
-                 drop_null: bool = True) -> DataFrame:
-    """Mean of the last ``n`` rows of the segment; null until ``n`` values exist."""
+                 drop_null: bool = True, block_rows: int = 1 << 17) -> DataFrame:
+    """Mean of the last ``n`` rows of the segment; null until ``n`` values exist.  A segment is cut into
+    blocks of ``block_rows`` rows; each block gets the ``n − 1`` rows before it."""
     name = name or value
-    w = Window.partitionBy(*_seg(segment)).orderBy(order).rowsBetween(-(n - 1), 0)
-    out = df.withColumn(name, F.when(F.count(value).over(w) == n, F.avg(value).over(w)))
+    x = _overlapping(_positions(df, segment, order, block_rows=block_rows), n - 1, 0, block_rows)
+    w = Window.partitionBy(*_seg(segment), "_blk").orderBy("_pos").rowsBetween(-(n - 1), 0)
+    out = x.withColumn(name, F.when(F.count(value).over(w) == n, F.avg(value).over(w)))
+    out = out.where(F.col("_own") == F.col("_blk")).drop("_own", "_blk", "_pos")
     return out.where(F.col(name).isNotNull()) if drop_null else out
 
 
-def fill_null(df: DataFrame, segment, order: str, columns, strategy: str) -> DataFrame:
+def _carried(df: DataFrame, seg: list[str], order: str, cols: list[str], forward: bool, block_rows: int) -> DataFrame:
+    """Fills by blocks: inside a block by a window; what a block cannot fill comes from the nearest block with
+    a value (one row per block)."""
+    x = count_blocks(df, seg, order, block_rows)
+    pick = F.max_by if forward else F.min_by
+    ends = x.groupBy(*seg, "_blk").agg(*[pick(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_e_{c}") for c in cols])
+    far = Window.partitionBy(*seg).orderBy("_blk" if forward else F.desc("_blk")).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*seg, "_blk", *[F.last(f"_e_{c}", ignorenulls=True).over(far).alias(f"_c_{c}") for c in cols])
+    near = Window.partitionBy(*seg, "_blk").orderBy(order if forward else F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumns({f"_f_{c}": F.last(c, ignorenulls=True).over(near) for c in cols})
+    x = x.join(ends, [*seg, "_blk"])
+    return x.select(*[F.coalesce(f"_f_{c}", f"_c_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def fill_null(df: DataFrame, segment, order: str, columns, strategy: str, block_rows: int = 1 << 17) -> DataFrame:
     """Forward / backward fill inside the segment, or the segment's min / max / mean.
 
-    Also ``zero`` and ``one`` (constant fills offered by the same option).
+    Also ``zero`` and ``one`` (constant fills offered by the same option).  A long segment is filled in blocks of
+    ``block_rows`` rows.
     """
     seg = _seg(segment)
     cols = _list(columns)
-    if strategy == "forward":
-        w = Window.partitionBy(*seg).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        exprs = {c: F.last(c, ignorenulls=True).over(w) for c in cols}
-    elif strategy == "backward":
-        w = Window.partitionBy(*seg).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
-        exprs = {c: F.first(c, ignorenulls=True).over(w) for c in cols}
-    elif strategy in ("min", "max", "mean"):
+    if strategy in ("forward", "backward"):
+        return _carried(df, seg, order, cols, strategy == "forward", block_rows)
+    if strategy in ("min", "max", "mean"):
         fn = {"min": F.min, "max": F.max, "mean": F.avg}[strategy]
         stats = df.groupBy(*seg).agg(*[fn(c).alias(f"_s_{c}") for c in cols])
         joined = df.join(stats, on=seg, how="left") if seg else df.crossJoin(F.broadcast(stats))
         return joined.select(*[F.coalesce(c, f"_s_{c}").alias(c) if c in cols else F.col(c)
                                for c in df.columns])
-    elif strategy in ("zero", "one"):
-        exprs = {c: F.coalesce(F.col(c), F.lit(0 if strategy == "zero" else 1)) for c in cols}
-    else:
-        raise ValueError(f"unknown fill strategy {strategy!r}")
-    return df.withColumns(exprs)
+    if strategy in ("zero", "one"):
+        return df.withColumns({c: F.coalesce(F.col(c), F.lit(0 if strategy == "zero" else 1)) for c in cols})
+    raise ValueError(f"unknown fill strategy {strategy!r}")
 
 
 # ---------------------------------------------------------------------------------------------------
@@ -183,8 +220,9 @@ def lag_features(df: DataFrame, segment, ts: str, value: str, lag: int, minutes:
     exists only if all ``lag`` previous buckets and the current one hold a non-null value.  Missing
     buckets are simply absent rows, so no dense grid is materialised.
 
-    The series is cut into blocks of ``block_steps`` buckets; the last ``lag`` buckets of every block
-    are copied into the next block, so each window task holds one block of one segment.
+    The series is cut into blocks of ``block_steps`` buckets; a bucket is copied into every later block whose
+    rows reach back to it (one for ``lag`` up to ``block_steps``, more beyond), so each window task holds
+    one block of one segment and its ``lag`` buckets before.
     """
     seg = _seg(segment)
     step = int(minutes) * _MIN_US
@@ -192,9 +230,8 @@ def lag_features(df: DataFrame, segment, ts: str, value: str, lag: int, minutes:
     base = (df.where(F.col(value).isNotNull() & ~F.isnan(value))
               .select(*seg, ts, F.col(value).alias("_v"), epoch_micros(ts).alias("_e")))
     base = base.withColumn("_own", F.floor(F.col("_e") / F.lit(blk)))
-    tail = F.col("_e") - F.col("_own") * F.lit(blk) >= F.lit(blk - lag * step)
-    base = base.withColumn("_blk", F.explode(F.when(tail, F.array("_own", F.col("_own") + 1))
-                                               .otherwise(F.array("_own"))))
+    reach = F.floor((F.col("_e") + F.lit(lag * step)) / F.lit(blk))
+    base = base.withColumn("_blk", F.explode(F.sequence("_own", reach)))
     w = Window.partitionBy(*seg, "_blk").orderBy("_e")
     lags = {f"{prefix}{i}": F.lag("_v", i).over(w) for i in range(lag, 0, -1)}
     complete = F.lag("_e", lag).over(w) == F.col("_e") - F.lit(lag * step)
@@ -204,8 +241,9 @@ def lag_features(df: DataFrame, segment, ts: str, value: str, lag: int, minutes:
 
 
 def sliding_samples(df: DataFrame, segment, order: str, features: Sequence[str], target: str,
-                    lag: int, ahead: int = 1, offset: int = 1) -> DataFrame:
+                    lag: int, ahead: int = 1, offset: int = 1, block_rows: int = 1 << 17) -> DataFrame:
     """Rows ``[i, i+lag)`` as features, target rows ``[i+lag+offset−ahead, i+lag+offset)`` as label.
+    A segment is cut into blocks of ``block_rows`` rows; each block gets the rows after it that its samples reach.
 
     ``offset = max(offset, ahead)``; a sample is kept only if none of its cells is null.  Output: the
     segment, the order value of the first feature row (``start``), ``x`` = array of feature structs
@@ -214,22 +252,24 @@ def sliding_samples(df: DataFrame, segment, order: str, features: Sequence[str],
     seg = _seg(segment)
     offset = max(offset, ahead)
     feats = list(features)
-    w = Window.partitionBy(*seg).orderBy(order)
+    w = Window.partitionBy(*seg, "_blk").orderBy("_pos")
     cell = F.struct(*[F.col(c) for c in feats])
     ok_row = F.lit(True)
     for c in feats:
         ok_row = ok_row & F.col(c).isNotNull()
-    base = df.withColumn("_cell", cell).withColumn("_ok", ok_row)
+    base = _overlapping(_positions(df, segment, order, block_rows=block_rows), 0, lag + offset - 1, block_rows)
+    base = base.withColumn("_cell", cell).withColumn("_ok", ok_row)
     xw = w.rowsBetween(0, lag - 1)
     yw = w.rowsBetween(lag + offset - ahead, lag + offset - 1)
     out = base.select(
-        *seg, F.col(order).alias("start"),
+        *seg, F.col(order).alias("start"), "_own", "_blk",
         F.collect_list("_cell").over(xw).alias("x"),
         F.count(F.lit(1)).over(xw).alias("_nx"),
         F.min(F.col("_ok").cast("int")).over(xw).alias("_okx"),
         F.collect_list(target).over(yw).alias("y"),
         F.count(F.lit(1)).over(yw).alias("_ny"),
     )
+    out = out.where(F.col("_own") == F.col("_blk")).drop("_own", "_blk")
     return (out.where((F.col("_nx") == lag) & (F.col("_okx") == 1) & (F.size("y") == ahead) & (F.col("_ny") == ahead))
                .drop("_nx", "_okx", "_ny"))
 
@@ -238,20 +278,16 @@ def sliding_samples(df: DataFrame, segment, order: str, features: Sequence[str],
 # Chronological splits
 # ---------------------------------------------------------------------------------------------------
 
-def _segment_position(df: DataFrame, segment, ts: str, block_seconds: int) -> DataFrame:
-    block = F.floor(epoch_micros(ts) / F.lit(block_seconds * 1_000_000))
-    return bucketed_position(df, block, [F.col(ts)], _seg(segment) or None, name="_pos", with_count="_n")
-
-
 def chrono_split(df: DataFrame, segment, ts: str, ratios=(0.7, 0.1, 0.2), name: str = "split",
-                 drop_empty: bool = True, block_seconds: int = 7 * 86400) -> DataFrame:
+                 drop_empty: bool = True, ties: Sequence[str] = (), block_rows: int = 1 << 17) -> DataFrame:
     """Per segment, ``a = ⌊n·r0⌋``, ``b = ⌊n·(r0+r1)⌋``: train ``[0,a)``, val ``[a,b)``, test ``[b,n)``.
 
-    Positions come from per-(segment, week) counts, so no task holds a whole segment.  A segment with an
-    empty part is dropped (``drop_empty``).  Ratios are combined in double arithmetic like the reference.
+    Positions come from blocks of about ``block_rows`` rows, so no task holds a whole segment; ``ties`` order
+    rows of one time.  A segment with an empty part is dropped (``drop_empty``).  Ratios are combined in
+    double arithmetic.
     """
     r0, r1 = float(ratios[0]), float(ratios[1])
-    pos = _segment_position(df, segment, ts, block_seconds)
+    pos = _positions(df, segment, ts, ties, block_rows, with_count="_n")
     a = F.floor(F.col("_n") * F.lit(r0))
     b = F.floor(F.col("_n") * F.lit(r0 + r1))
     out = pos.withColumn(name, F.when(F.col("_pos") < a, "train").when(F.col("_pos") < b, "val").otherwise("test"))
@@ -260,12 +296,23 @@ def chrono_split(df: DataFrame, segment, ts: str, ratios=(0.7, 0.1, 0.2), name:
     return out.drop("_pos", "_n")
 
 
+def invalid_segments(df: DataFrame, segment: str, ratios=(0.7, 0.1, 0.2), known: DataFrame | None = None) -> DataFrame:
+    """Segments that :func:`chrono_split` drops because a part is empty, with their rows; ``known`` lists
+    segments that may have no row at all."""
+    r0, r1 = float(ratios[0]), float(ratios[1])
+    n = df.groupBy(segment).agg(F.count(F.lit(1)).alias("n"))
+    if known is not None:
+        n = known.select(segment).distinct().join(n, segment, "left").select(segment, F.coalesce("n", F.lit(0)).alias("n"))
+    a, b = F.floor(F.col("n") * F.lit(r0)), F.floor(F.col("n") * F.lit(r0 + r1))
+    return n.where(~((a > 0) & (b > a) & (F.col("n") > b)))
+
+
 def chrono_split_flex(df: DataFrame, segment, ts: str, ratios=(0.7, 0.1, 0.2), name: str = "split",
-                      block_seconds: int = 7 * 86400) -> DataFrame:
+                      ties: Sequence[str] = (), block_rows: int = 1 << 17) -> DataFrame:
     """Older variant – val = test = 0 → all train; test = 0 → val takes the rest; else as W07
     (empty parts allowed)."""
     r0, r1, r2 = (float(r) for r in ratios)
-    pos = _segment_position(df, segment, ts, block_seconds)
+    pos = _positions(df, segment, ts, ties, block_rows, with_count="_n")
     n = F.col("_n")
     if r1 == 0 and r2 == 0:
         a, b = n, n
@@ -300,7 +347,8 @@ def ema(df: DataFrame, segment, order: str, value: str, alpha: float, name: str
     into blocks of ``block_rows`` rows per segment: every block computes, in one vectorised pandas pass,
     ``e_t = P_t·e_in + L_t`` with ``P_t = Π α_k`` and ``L_t`` the recurrence started from 0; the small
     table of block ends is then composed per segment to give each block its entering value ``e_in``.
-    No task ever holds more than one block.
+    No task ever holds more than one block.  A null (or NaN) is no observation: ``t`` counts the others only, and
+    the row takes the average before it (null before the first observation).
     """
     import numpy as np
     import pandas as pd
@@ -308,8 +356,9 @@ def ema(df: DataFrame, segment, order: str, value: str, alpha: float, name: str
     seg = _seg(segment)
     alpha = float(alpha)
     warm = int(np.ceil(1.0 / (1.0 - alpha))) + 1 if alpha < 1.0 else 1 << 62
-    pos = bucketed_position(df, F.floor(epoch_micros(order) / F.lit(86400 * 1_000_000 * 7)),
-                            [F.col(order)], seg or None, name="_t")
+    seen = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
+    gaps = df.where(~seen).withColumn(name, F.lit(None).cast("double"))
+    pos = _positions(df.where(seen), seg, order, block_rows=block_rows).withColumnRenamed("_pos", "_t")
     pos = pos.withColumn("_b", F.floor(F.col("_t") / F.lit(block_rows)).cast("long"))
     keys = seg + ["_b"]
 
@@ -353,7 +402,8 @@ def ema(df: DataFrame, segment, order: str, value: str, alpha: float, name: str
     starts = ends.groupBy(*seg).applyInPandas(compose, schema=start_schema) if seg else \
         ends.withColumn("_g", F.lit(0)).groupBy("_g").applyInPandas(compose, schema=start_schema)
     out = rows.join(starts, on=keys, how="inner").withColumn(name, F.col("_p") * F.col("_in") + F.col("_l"))
-    return out.select(*df.columns, name)
+    whole = out.select(*df.columns, name).unionByName(gaps)
+    return fill_null(whole, seg, order, name, "forward", block_rows)
 
 
 # ---------------------------------------------------------------------------------------------------
@@ -364,27 +414,28 @@ def time_id_to_datetime(df: DataFrame, date: str, time_id: str, granularity_min:
                         name: str | None = None) -> DataFrame:
     """``date + (time_id − 1)·granularity + start`` minutes.
 
-    Guard: the last id must stay inside the day (``max·g + start − 1440 ≤ 0``), checked with one max
-    aggregate before the column is built.
+    Guard: an id must stay inside the day (``id·g + start − 1440 ≤ 0``); a row that does not fails the query
+    when its time is computed, without a pass of its own over the data.
     """
-    top = df.agg(F.max(time_id)).first()[0]
-    if top is not None and top * granularity_min + start_min - 24 * 60 > 0:
-        raise ValueError(f"time id {top} passes midnight: at most {(24 * 60 - start_min) / granularity_min} ids per day")
     from ..functions.datetime import time_id_to_ts
-    return df.withColumn(name or date, time_id_to_ts(date, time_id, granularity_min, start_min))
+    t = time_id_to_ts(date, time_id, granularity_min, start_min)
+    inside = F.col(time_id).isNull() | (F.col(time_id) * granularity_min + start_min - 24 * 60 <= 0)
+    msg = F.concat(F.lit("time id passes midnight: "), F.col(time_id).cast("string"))
+    kind = df.select(t.alias("t")).dtypes[0][1]
+    return df.withColumn(name or date, F.when(inside, t).otherwise(F.raise_error(msg).cast(kind)))
 
 
-def time_encoder(df: DataFrame, ts: str) -> DataFrame:
+def time_encoder(df: DataFrame, ts: str, pairs: Sequence[str] | None = None) -> DataFrame:
     """sin/cos of unix seconds, period one day (``day_*``) and one year (``month_*``).
 
-    A pair is added only if more than one distinct day (month) occurs – one aggregate decides.
+    A pair is added only if more than one distinct day (month) occurs – one aggregate decides; ``pairs`` names
+    the pairs (``day``, ``month``) to add whatever the data's span.
     """
     from ..functions.datetime import time_encoding
-    n = df.agg(F.count_distinct(F.dayofmonth(ts)).alias("d"), F.count_distinct(F.month(ts)).alias("m")).first()
     enc = time_encoding(ts)
-    cols = {}
-    if n["d"] > 1:
-        cols.update({"day_cos": enc["day_cos"], "day_sin": enc["day_sin"]})
-    if n["m"] > 1:
-        cols.update({"month_cos": enc["year_cos"], "month_sin": enc["year_sin"]})
+    every = {"day": {"day_cos": enc["day_cos"], "day_sin": enc["day_sin"]}, "month": {"month_cos": enc["year_cos"], "month_sin": enc["year_sin"]}}
+    if pairs is not None:
+        return df.withColumns({k: c for p in pairs for k, c in every[p].items()})
+    n = df.agg(F.count_distinct(F.dayofmonth(ts)).alias("d"), F.count_distinct(F.month(ts)).alias("m")).first()
+    cols = {k: c for p, many in (("day", n["d"]), ("month", n["m"])) if many > 1 for k, c in every[p].items()}
     return df.withColumns(cols) if cols else df

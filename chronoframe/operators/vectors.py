@@ -1,12 +1,15 @@
 """Vector-table operators (O06, X20, X21, G01–G03, J09, F17): arrays stay in Spark's higher-order
-functions (``transform``, ``zip_with``, ``aggregate``), evaluated inside whole-stage code generation."""
+functions (``transform``, ``zip_with``, ``aggregate``); only the tiles of the neighbour search run in numpy."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import materialize, shuffle_partitions
 from .order import hash_position
 from .split import hash_int
 
@@ -47,15 +50,29 @@ def poly_bounds(arr) -> Column:
                     F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"))
 
 
-def flatten_values(*cols) -> Column:
-    """One flat array from arrays, nested arrays and scalars (a scalar becomes a one-element list)."""
+def flatten_values(df: DataFrame, cols, element: str = "double") -> Column:
+    """One flat array from the arrays, nested arrays and scalars in ``cols`` (a scalar becomes a one-element
+    list); cells are cast to ``element``."""
     parts = []
-    for c in cols:
-        c = _c(c)
-        parts.append(c)
+    for c in map(_c, cols):
+        kind = df.select(c.alias("c")).schema[0].dataType
+        depth = 0
+        while isinstance(kind, T.ArrayType):
+            kind, depth = kind.elementType, depth + 1
+        for _ in range(depth - 1):
+            c = F.flatten(c)
+        parts.append((F.array(c) if not depth else c).cast(f"array<{element}>"))
     return F.flatten(F.array(*parts))
 
 
+def vector_width(df: DataFrame, vec: str) -> int:
+    """Width of the vectors of a column; an error if they differ (one aggregate over the whole table)."""
+    lo, hi = df.agg(F.min(F.size(vec)), F.max(F.size(vec))).first()
+    if lo != hi:
+        raise ValueError(f"vectors of {vec} have widths from {lo} to {hi}")
+    return lo or 0
+
+
 def _unit_hash(seed, id_col: str, i: Column) -> Column:
     """Uniform [0, 1) from ``md5(seed || id || '-' || i)`` (reproducible per row and cell)."""
     h = F.conv(F.substring(F.md5(F.concat(F.lit(str(seed)), F.col(id_col).cast("string"), F.lit("-"),
@@ -95,63 +112,125 @@ def add_noise(df: DataFrame, id_col: str, vec: str, a: float, b: float, seed) ->
     return df.withColumn(vec, noisy)
 
 
-def sq_dist(a: Column, b: Column, dims: int | None = None) -> Column:
-    """Squared Euclidean distance of two equal-length arrays.  With a known dimension the sum is
-    unrolled into plain arithmetic (compiled by whole-stage code generation, several times faster
-    than the interpreted ``zip_with`` / ``aggregate`` lambdas)."""
-    if dims:
-        return sum(((a.getItem(i) - b.getItem(i)) * (a.getItem(i) - b.getItem(i)) for i in range(dims)), F.lit(0.0))
-    return F.aggregate(F.zip_with(a, b, lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda acc, v: acc + v)
-
-
-def knn_class_share(train: DataFrame, query: DataFrame, id_col: str, vec: str, label: str, k: int = 5,
-                    buckets: int = 64) -> DataFrame:
+def _distances(q: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Squared Euclidean distances of all rows, by differences (equal rows get equal distances)."""
+    out = np.empty((len(q), len(t)))
+    step = max(1, (1 << 22) // max(1, t.size))
+    for a in range(0, len(q), step):
+        gap = q[a: a + step, None, :] - t[None, :, :]
+        out[a: a + step] = np.einsum("ijk,ijk->ij", gap, gap)
+    return out
+
+
+def _tile_top(tiles: DataFrame, k: int, width: int) -> DataFrame:
+    """``qid, tid, lab, d2`` of the ``k`` nearest train rows of every query row inside its tile ``(cell, i, j)``:
+    distances stay in the task, only ``k`` rows for each query and tile leave it."""
+    n = 2 * shuffle_partitions(tiles.sparkSession)
+    dealt = tiles.repartition(n, "cell", "i", "j").sortWithinPartitions("cell", "i", "j", "side", "id")
+
+    def run(batches):
+        key, held = None, []
+
+        def top():
+            t = pa.Table.from_batches(held)
+            side, ids, lab = t.column("side").to_numpy(), t.column("id").to_numpy(), t.column("lab").to_numpy()
+            x = t.column("x").combine_chunks().flatten().to_numpy().reshape(-1, width)
+            q, b = side == 0, side == 1
+            d = _distances(x[q], x[b])
+            at = np.lexsort((np.broadcast_to(ids[b], d.shape), d), axis=1)[:, :k]
+            rows = np.repeat(ids[q], at.shape[1])
+            at = at.ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(ids[b][at]), pa.array(lab[b][at]),
+                                              pa.array(d[np.repeat(np.arange(len(d)), len(at) // max(1, len(d))), at])], names=["qid", "tid", "lab", "d2"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("cell", "i", "j"))))
+            start = 0
+            for r in range(1, len(keys) + 1):
+                if r < len(keys) and keys[r] == keys[start]:
+                    continue
+                if keys[start] != key:
+                    if held:
+                        yield from top()
+                    key, held = keys[start], []
+                held.append(batch.slice(start, r - start))
+                start = r
+        if held:
+            yield from top()
+
+    return dealt.mapInArrow(run, "qid long, tid long, lab long, d2 double")
+
+
+def knn_class_share(train: DataFrame, query: DataFrame, id_col: str, vec: str, label: str, k: int = 5, cell_rows: int = 4096,
+                    max_pivots: int = 4096, block_rows: int = 1024) -> DataFrame:
     """exact k-nearest-neighbour class shares ``(query id, label, share)`` (``predict_proba``).
 
-    Exact search with pruning instead of a cross join.  Every vector is projected on one direction
-    ``u`` (the per-dimension spread, normalised) and bucketed by its projection; since
-    ``|u·x − u·q| ≤ ‖x − q‖``, only train rows inside the band ``|u·x − u·q| ≤ r`` can be neighbours when
-    ``r`` bounds the k-th distance.  Phase 1 gets ``r`` from at most ``4k`` representatives of the query's
-    own bucket (a bounded join: any ``k`` rows bound the k-th distance); phase 2 joins every query with the buckets its band touches (all buckets when phase 1 found fewer
-    than ``k``) and keeps the ``k`` nearest (ties by train id) with a per-query group limit.
+    Pivots (train rows whose id hash falls on a rate of one in ``cell_rows``, raised with the table so that
+    about ``max_pivots`` are the most) cut the train rows into cells of the nearest pivot; a cell's radius is
+    the largest distance to its pivot.  First every query searches the nearest cells that hold ``k`` rows,
+    which bounds its k-th distance by r; then, by the triangle inequality, only the cells with
+    ``d(q, pivot) − radius ≤ r``.  A cell's train rows and its queries are cut into blocks; a pair of
+    blocks is one tile whose distances are computed by numpy and never leave the task.  Ids and labels are whole
+    numbers; ties go to the least train id.
     """
+    spark = train.sparkSession
+    width = vector_width(train.select(vec).unionByName(query.select(vec)), vec)
     x = F.col(vec).cast("array<double>")
-    dims = train.select(F.size(vec)).first()[0]          # one scalar: the vector width
-    st = train.select(F.posexplode(x).alias("_i", "_v")).groupBy("_i").agg(F.stddev_pop("_v").alias("_s"))
-    u = (st.agg(F.sort_array(F.collect_list(F.struct("_i", "_s"))).alias("_u"))      # one row, d cells
-           .select(F.transform("_u", lambda s: s["_s"]).alias("_u"))
-           .select(F.transform("_u", lambda s: s / F.sqrt(F.aggregate("_u", F.lit(0.0), lambda a, v: a + v * v)))
-                   .alias("_u")))
-    proj = lambda df: df.crossJoin(u).withColumn(  # noqa: E731  (one-row side)
-        "_p", F.aggregate(F.zip_with(F.col(vec).cast("array<double>"), "_u", lambda a, b: a * b), F.lit(0.0),
-                          lambda acc, v: acc + v)).drop("_u")
-    tr = proj(train.select(F.col(id_col).alias("_tid"), vec, F.col(label).alias("_lab")))
-    qu = proj(query.select(F.col(id_col).alias("_qid"), F.col(vec).alias("_qv")).withColumnRenamed("_qv", vec)) \
-        .withColumnRenamed(vec, "_qv")
-    rng = tr.agg(F.min("_p").alias("_lo"), F.max("_p").alias("_hi"))
-    width = F.greatest((F.col("_hi") - F.col("_lo")) / F.lit(buckets), F.lit(1e-12))
-    bucket = lambda p: F.least(F.greatest(F.floor((p - F.col("_lo")) / width), F.lit(0)),
-                               F.lit(buckets - 1)).cast("int")
-    # both sides feed several branches below: write them once to the checkpoint folder
-    tr = materialize(tr.crossJoin(rng).withColumn("_b", bucket(F.col("_p"))).drop("_lo", "_hi"), "knn_train")
-    qu = materialize(qu.crossJoin(rng).withColumn("_qb", bucket(F.col("_p"))).withColumnRenamed("_p", "_qp"), "knn_query")
-    # phase 1: radius from 4k representatives of the own bucket (any k train rows bound the k-th distance)
-    wr = Window.partitionBy("_b").orderBy(F.md5(F.col("_tid").cast("string")), "_tid")
-    reps = tr.withColumn("_rr", F.row_number().over(wr)).where(F.col("_rr") <= 4 * k).drop("_rr")
-    own = (qu.join(reps, qu["_qb"] == reps["_b"])
-             .withColumn("_d2", sq_dist(F.col("_qv"), F.col(vec).cast("array<double>"), dims)))
-    w1 = Window.partitionBy("_qid").orderBy("_d2", "_tid")
-    rad = (own.withColumn("_rk", F.row_number().over(w1)).where(F.col("_rk") == k)
-              .select("_qid", F.sqrt("_d2").alias("_r")))
-    # phase 2: every bucket the band |p - qp| <= r touches (all buckets without a radius)
-    q2 = qu.join(rad, "_qid", "left")
-    lo_b = F.when(F.col("_r").isNull(), F.lit(0)).otherwise(bucket(F.col("_qp") - F.col("_r")))
-    hi_b = F.when(F.col("_r").isNull(), F.lit(buckets - 1)).otherwise(bucket(F.col("_qp") + F.col("_r")))
-    q2 = q2.select("_qid", "_qv", "_qp", "_r", F.explode(F.sequence(lo_b, hi_b)).alias("_b"))
-    cand = (q2.join(tr.drop("_lo", "_hi"), "_b")
-              .where(F.col("_r").isNull() | (F.abs(F.col("_p") - F.col("_qp")) <= F.col("_r") + F.lit(1e-9)))
-              .withColumn("_d2", sq_dist(F.col("_qv"), F.col(vec).cast("array<double>"), dims)))
-    w2 = Window.partitionBy("_qid").orderBy("_d2", "_tid")
-    top = cand.withColumn("_rk", F.row_number().over(w2)).where(F.col("_rk") <= k)
-    return (top.groupBy(F.col("_qid").alias(id_col), F.col("_lab").alias(label))
-               .agg((F.count(F.lit(1)) / F.lit(float(k))).alias("share")))
+    tr = train.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("long").alias("lab"), x.alias("x"))
+    qu = query.select(F.col(id_col).cast("long").alias("id"), F.lit(0).cast("long").alias("lab"), x.alias("x"))
+    rate = max(cell_rows, -(-tr.count() // max_pivots))
+    chosen = tr.where(F.pmod(F.xxhash64("id"), F.lit(rate)) == 0).orderBy("id").select("x").collect()
+    pivots = np.array([r.x for r in chosen], dtype=np.float64).reshape(-1, width) if len(chosen) > 1 else np.zeros((1, width))
+    shared = spark.sparkContext.broadcast(pivots)
+
+    def near(batches):
+        for b in batches:
+            d = np.sqrt(_distances(b.column(2).flatten().to_numpy().reshape(-1, width), shared.value))
+            own = d.argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own.astype(np.int32)), pa.array(d[np.arange(len(d)), own])], names=["id", "lab", "x", "cell", "d"])
+
+    tr = materialize(tr.mapInArrow(near, "id long, lab long, x array<double>, cell int, d double"), "knn_train")
+    cells = {r.cell: (r.n, r.r) for r in tr.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("r")).collect()}   # one row per pivot
+    count = np.array([cells.get(c, (0, 0.0))[0] for c in range(len(pivots))])
+    radius = np.array([cells.get(c, (0, -np.inf))[1] for c in range(len(pivots))])
+    blocks = np.maximum(1, -(-count // block_rows))
+
+    def visits(first: bool):
+        def run(batches):
+            for b in batches:
+                d = np.sqrt(_distances(b.column(2).flatten().to_numpy().reshape(-1, width), shared.value))
+                order = d.argsort(axis=1, kind="stable")
+                held = np.cumsum(count[order], axis=1)
+                need = np.concatenate([np.ones((len(d), 1), dtype=bool), held[:, :-1] < k], axis=1)   # cells until k rows are there
+                home = np.zeros(d.shape, dtype=bool)
+                np.put_along_axis(home, order, need, axis=1)
+                if not first:
+                    home = ~home & (d - radius <= b.column(3).to_numpy(zero_copy_only=False)[:, None] + 1e-9)
+                row, cell = np.nonzero(home & (count > 0))
+                part = b.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(cell.astype(np.int32)), pa.array(blocks[cell].astype(np.int32))], names=["id", "lab", "x", "cell", "m"])
+        return run
+
+    def search(q: DataFrame, first: bool) -> DataFrame:
+        go = q.mapInArrow(visits(first), "id long, lab long, x array<double>, cell int, m int")
+        block = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+        qb = F.greatest(F.ceil(F.col("c") / F.lit(block_rows)), F.lit(1))
+        sizes = go.groupBy("cell").agg(F.count(F.lit(1)).alias("c")).select("cell", qb.alias("h"))
+        left = go.join(sizes, "cell").select("cell", block(F.col("h")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"), F.lit(0).alias("side"), "id", "lab", "x")
+        many = F.array(*[F.lit(int(v)) for v in blocks])
+        right = tr.join(sizes, "cell").select("cell", F.explode(F.sequence(F.lit(0), (F.col("h") - 1).cast("int"))).alias("i"),
+                                              block(F.get(many, F.col("cell"))).alias("j"), F.lit(1).alias("side"), "id", "lab", "x")
+        return _tile_top(left.unionByName(right), k, width)
+
+    w = Window.partitionBy("qid").orderBy("d2", "tid")
+    best = lambda d: d.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k)
+    found = materialize(best(search(qu, True)).drop("_rk"), "knn_first")
+    if len(pivots) > 1:
+        bound = found.groupBy("qid").agg(F.when(F.count(F.lit(1)) == k, F.sqrt(F.max("d2"))).otherwise(F.lit(float("inf"))).alias("r"))
+        q2 = qu.join(bound, qu["id"] == bound["qid"], "left").select("id", "lab", "x", F.coalesce("r", F.lit(float("inf"))).alias("r"))
+        found = best(found.unionByName(search(q2, False))).drop("_rk")
+    kind = dict(train.dtypes)
+    return (found.groupBy(F.col("qid").cast(kind[id_col]).alias(id_col), F.col("lab").cast(kind[label]).alias(label))
+                 .agg((F.count(F.lit(1)) / F.lit(float(k))).alias("share")))

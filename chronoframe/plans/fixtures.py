@@ -59,8 +59,8 @@ def regression_predictions(spark, sf_dir):
     return li.select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("y"), F.inline(st))
 
 
-# bootstrap predictions: orders × 10 rounds, prediction = truth × (0.9 + (md5(round, key) mod 200) / 1000)
-ROUNDS = 10
+# bootstrap predictions: orders × 200 rounds, prediction = truth × (0.9 + (md5(round, key) mod 200) / 1000)
+ROUNDS = 200
 BOOT_SQL = f"""(SELECT r.round, o_orderkey AS id, o_totalprice AS y,
   o_totalprice * (0.9::DOUBLE + (CAST('0x' || substr(md5('b' || CAST(r.round AS VARCHAR) || '-' || CAST(o_orderkey AS VARCHAR)), 1, 12) AS BIGINT) % 200) / 1000::DOUBLE) AS p
   FROM orders, range(0, {ROUNDS}) r(round))"""

@@ -94,6 +94,18 @@ def q_ens_proba_auc(spark, sf_dir):
     return roc_auc(mean, "y", "prediction", group=["fold"]).select("fold", r6("auc").alias("auc"))
 
 
+@register("ens_auc_mean", f"""
+WITH f AS {_folds_sql(3)},
+e AS (SELECT fold, id, y, (score_a + score_b + score_c) / 3 AS s FROM f),
+g AS (SELECT fold, s, sum(y) AS pos, count(*) - sum(y) AS neg FROM e GROUP BY 1, 2),
+c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY fold ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g),
+a AS (SELECT fold, sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc FROM c GROUP BY fold)
+SELECT round(avg(auc), 6) AS mean_auc, CAST(count(*) AS BIGINT) AS folds FROM a""", ids="E05 R05 M08")
+def q_ens_auc_mean(spark, sf_dir):
+    mean = en.ensemble_proba(_long_with_folds(spark, sf_dir), group=["fold", "y"])
+    return roc_auc(mean, "y", "prediction", group=["fold"]).agg(r6(F.avg("auc")).alias("mean_auc"), F.count("auc").alias("folds"))
+
+
 @register("ens_minmax", f"""
 WITH f AS {_folds_sql(3)},
 l AS (SELECT fold, id, 'a' AS method, score_a AS v FROM f UNION ALL SELECT fold, id, 'b', score_b FROM f

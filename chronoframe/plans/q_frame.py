@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import numeric as num
 from ..functions import text as tx
 from ..operators import frame as fr
+from ..operators.order import quantiles
+from ..operators.split import random_split_exact, stratified_split
 from .catalog import r6, register, table
 
 # ---------------------------------------------------------------------------------------------------
@@ -194,13 +196,17 @@ def q_drop_nulls(spark, sf_dir):
     return nullable(spark, sf_dir).na.drop(subset=["qty", "disc"]).select("o_orderkey", r6("qty").alias("qty"))
 
 
-@register("numeric_columns", """
-SELECT column_name AS name FROM (DESCRIBE lineitem)
-WHERE column_type IN ('BIGINT', 'INTEGER', 'DOUBLE', 'FLOAT', 'SMALLINT', 'TINYINT')""", ids="P21")
+_LI_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("numeric_columns", " UNION ALL ".join(
+    f"SELECT '{c}' AS name, CAST(count({c}) AS BIGINT) AS filled, round(CAST(max({c}) AS DOUBLE), 6) AS top FROM lineitem" for c in _LI_NUMERIC), ids="P21")
 def q_numeric_columns(spark, sf_dir):
+    """The numeric columns (found in the schema) with their filled cells and largest values."""
     li = table(spark, sf_dir, "lineitem")
-    # schema inspection only: the list is tiny; returned as a table built from the column names
-    return spark.createDataFrame([(c,) for c in fr.numeric_columns(li)], "name string")
+    cols = fr.numeric_columns(li)
+    one = li.select(*cols).agg(*[e for c in cols for e in (F.count(c).alias(f"n_{c}"), F.max(c).cast("double").alias(f"t_{c}"))])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"n_{c}").alias("filled"), r6(f"t_{c}").alias("top")) for c in cols])))
 
 
 # ---------------------------------------------------------------------------------------------------
@@ -268,6 +274,30 @@ def q_proportions(spark, sf_dir):
     return p.select("c_mktsegment", r6("share").alias("share"))
 
 
+_HASH = "md5('42' || CAST(c_custkey AS VARCHAR))"
+
+
+@register("compare_proportions", f"""
+WITH p AS (SELECT c_custkey, c_mktsegment AS s, row_number() OVER (ORDER BY {_HASH}, c_custkey) - 1 AS pos, count(*) OVER () AS n,
+             row_number() OVER (PARTITION BY c_mktsegment ORDER BY {_HASH}, c_custkey) - 1 AS spos FROM customer),
+c AS (SELECT s, count(*) AS ns, any_value(n) AS n, ceil(any_value(n) * 0.2::DOUBLE) AS nt FROM p GROUP BY s),
+q AS (SELECT *, floor(nt * ns / n) AS base, nt * ns / n - floor(nt * ns / n) AS frac FROM c),
+a AS (SELECT s, base + CASE WHEN row_number() OVER (ORDER BY frac DESC, s) <= nt - sum(base) OVER () THEN 1 ELSE 0 END AS quota FROM q),
+st AS (SELECT p.s FROM p JOIN a USING (s) WHERE spos < quota), rn AS (SELECT s FROM p WHERE pos < floor(n * 0.2::DOUBLE)),
+o AS (SELECT s, count(*) / (SELECT count(*) FROM p) AS overall FROM p GROUP BY s),
+x AS (SELECT s, count(*) / (SELECT count(*) FROM st) AS stratified FROM st GROUP BY s),
+y AS (SELECT s, count(*) / (SELECT count(*) FROM rn) AS random FROM rn GROUP BY s)
+SELECT s AS c_mktsegment, round(overall, 6) AS overall, round(stratified, 6) AS stratified, round(random, 6) AS random,
+  round(100 * stratified / overall - 100, 6) AS strat_error_pct, round(100 * random / overall - 100, 6) AS rand_error_pct
+FROM o LEFT JOIN x USING (s) LEFT JOIN y USING (s)""", ids="A05 R01 R04")
+def q_compare_proportions(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    strat = stratified_split(c, "c_custkey", "c_mktsegment", 0.2, 42).where(F.col("split") == "test")
+    rand = random_split_exact(c, "c_custkey", 0.2, 42).where(F.col("split") == "test")
+    t = fr.compare_proportions(c, strat, rand, "c_mktsegment")
+    return t.select("c_mktsegment", *[r6(x).alias(x) for x in t.columns[1:]])
+
+
 @register("describe", """
 SELECT 'l_quantity' AS column, CAST(count(l_quantity) AS BIGINT) AS count, round(avg(l_quantity), 6) AS mean,
   round(stddev_samp(l_quantity), 6) AS std, min(l_quantity) AS min, round(quantile_cont(l_quantity, 0.25), 6) AS p25,
@@ -304,8 +334,9 @@ def q_profile(spark, sf_dir):
 SELECT round(median(l_quantity), 6) AS l_quantity, round(median(l_extendedprice), 6) AS l_extendedprice,
        round(median(l_discount), 6) AS l_discount FROM lineitem""", ids="A08")
 def q_median(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    return li.agg(*[r6(F.median(c)).alias(c) for c in ("l_quantity", "l_extendedprice", "l_discount")])
+    cols = ["l_quantity", "l_extendedprice", "l_discount"]
+    q = quantiles(table(spark, sf_dir, "lineitem"), cols, [0.5])
+    return q.agg(*[r6(F.max(F.when(F.col("column") == c, F.col("value")))).alias(c) for c in cols])
 
 
 @register("distinct_values", """
@@ -367,9 +398,24 @@ UNION ALL SELECT 'l_orderkey' AS col_name, CASE WHEN min(l_orderkey) > -128 AND
 UNION ALL SELECT 'l_quantity', CASE WHEN min(l_quantity) > -3.4028234663852886e38 AND max(l_quantity) < 3.4028234663852886e38
   THEN 'float' ELSE 'double' END FROM lineitem""", ids="X23")
 def q_narrow_types(spark, sf_dir):
-    """The narrowing decision per column (the cast itself is ``narrow_types``)."""
+    """The type of each column after ``narrow_types``."""
     li = table(spark, sf_dir, "lineitem").select("l_linenumber", "l_orderkey", "l_quantity")
-    return fr.narrow_plan_table(li)
+    return _types_after(li, fr.narrow_types(li))
+
+
+def _types_after(before, after):
+    """``(col_name, dtype)`` of the narrowed table; the values must still be equal."""
+    same = [F.max(F.abs(F.col(c).cast("double") - F.col(f"_{c}").cast("double"))).alias(c) for c in before.columns]
+    both = before.select("*", *[F.col(c).cast(t).alias(f"_{c}") for c, t in after.dtypes])
+    one = both.agg(*same)
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col_name"), F.when(F.col(c) <= 1e-3, t).alias("dtype")) for c, t in after.dtypes])))
+
+
+@register("narrow_cast", """
+SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS FLOAT) AS l_extendedprice FROM lineitem""", ids="X23 P12")
+def q_narrow_cast(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return fr.narrow_types(li, ["l_extendedprice"])
 
 
 # ---------------------------------------------------------------------------------------------------
@@ -441,10 +487,10 @@ def q_distinct_subset(spark, sf_dir):
 # scalar expressions
 # ---------------------------------------------------------------------------------------------------
 
-@register("replace_first", "SELECT p_partkey, regexp_replace(p_name, 'e', 'E') AS name_first FROM part", ids="X01")
+@register("replace_first", "SELECT p_partkey, regexp_replace(p_name, '[ea]', 'E') AS name_first FROM part", ids="X01")
 def q_replace_first(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    return p.select("p_partkey", tx.replace_first("p_name", "e", "E").alias("name_first"))
+    return p.select("p_partkey", tx.replace_first("p_name", "e|a", "E").alias("name_first"))
 
 
 _DUR_SQL = """(SELECT l_orderkey, l_linenumber,
@@ -495,12 +541,12 @@ def q_format_duration(spark, sf_dir):
 
 
 @register("strip_markup", """
-SELECT p_partkey, regexp_replace('[bold]' || p_name || '[/bold] [red]' || p_brand || '[/red]', '\\[/?[a-z ]+\\]', '', 'g') AS cell
-FROM part""", ids="X11")
+SELECT p_partkey, p_name || ' ' || p_brand || ' [1] ' || CAST(p_size AS VARCHAR) AS cell FROM part""", ids="X11")
 def q_strip_markup(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    marked = F.concat(F.lit("[bold]"), "p_name", F.lit("[/bold] [red]"), "p_brand", F.lit("[/red]"))
-    return p.select("p_partkey", tx.strip_markup(marked).alias("cell"))
+    marked = F.concat(F.lit("[bold]"), "p_name", F.lit("[/] [#ff0000]"), "p_brand", F.lit("[/#ff0000] [1] [link=http://x]"), F.col("p_size").cast("string"), F.lit("[/link]"))
+    cells = p.select("p_partkey", tx.strip_markup(marked).alias("[b]cell[/b]"))
+    return tx.strip_markup_names(cells)
 
 
 @register("weight_from_name", """
@@ -548,7 +594,12 @@ def q_sigmoid_label(spark, sf_dir):
     return ev.select("event_id", r6(p).alias("prob"), (p >= 0.5).cast("int").alias("label"))
 
 
-@register("hash_split_crc", ids="X24 R03")
+# crc32 (polynomial 0xEDB88320) of the 8 id bytes, lowest first: one step for each bit
+_CRC_SQL = """xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(0, 64), lambda i: (c_custkey >> CAST(i AS INTEGER)) & 1),
+  lambda c, b: CASE WHEN xor(c & 1, b) = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END), CAST(4294967295 AS BIGINT))"""
+
+
+@register("hash_split_crc", f"SELECT c_custkey, {_CRC_SQL} < 0.2 * 4294967296.0 AS in_test FROM customer", ids="X24 R03")
 def q_hash_split_crc(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     return c.select("c_custkey", num.in_test_crc("c_custkey", 0.2).alias("in_test"))

@@ -183,9 +183,7 @@ def q_path_parts(spark, sf_dir):
           ids="S08")
 def q_label_from_path(spark, sf_dir):
     raw = _events_by_type_and_day(spark, sf_dir).select(F.col("_metadata.file_path").alias("path"))
-    parent2 = F.element_at(F.split("path", "/"), -3)                    # <root>/event_type=x/day=d/file
-    return (raw.withColumn("label", F.regexp_replace(parent2, "^[^=]*=", ""))
-               .groupBy("label").agg(F.count(F.lit(1)).alias("n")))
+    return io.label_from_path(raw, "path", up=2).groupBy("label").agg(F.count(F.lit(1)).alias("n"))     # <root>/event_type=x/day=d/file
 
 
 @register("write_by_segment", "SELECT event_id, value, event_type FROM events", ids="K04")
@@ -203,14 +201,12 @@ def q_sorted_rewrite(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag")
     path = io.scratch_path(spark, "lineitem_sorted")
     io.sort_files(li, path, "l_returnflag", ["l_shipdate", "l_orderkey", "l_linenumber"])
-    back = spark.read.parquet(path).withColumn("_f", F.col("_metadata.file_path"))
-    # every written file must be sorted: compare each row with the previous one in file order
-    from pyspark.sql import Window
-    w = Window.partitionBy("_f").orderBy(F.monotonically_increasing_id())
-    prev = F.lag(F.struct("l_shipdate", "l_orderkey", "l_linenumber")).over(w)
-    chk = back.withColumn("_bad", prev > F.struct("l_shipdate", "l_orderkey", "l_linenumber"))
-    unsorted = chk.agg(F.countDistinct(F.when(F.col("_bad"), F.col("_f"))).alias("unsorted_files"))
-    return back.drop("_f").crossJoin(unsorted)     # one-row side
+    back = spark.read.parquet(path)
+    # every written file must be sorted: each row is compared with the one before it in the file
+    row = back.select(F.col("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_r"), F.struct("l_shipdate", "l_orderkey", "l_linenumber").alias("_k"))
+    nxt = row.select("_f", (F.col("_r") + 1).alias("_r"), F.col("_k").alias("_before"))
+    unsorted = row.join(nxt, ["_f", "_r"]).where("_before > _k").agg(F.countDistinct("_f").alias("unsorted_files"))
+    return back.crossJoin(unsorted)     # one-row side
 
 
 @register("samples_roundtrip", f"SELECT * EXCLUDE (split) FROM ({samples_sql(60, 5)}) s WHERE split = 'train'",
@@ -235,10 +231,17 @@ _RUN_SQL = """(SELECT 'case' || CASE l_linestatus WHEN 'O' THEN '1' ELSE '2' END
 
 
 @register("run_report", f"""
-SELECT model AS Name, CAST(regexp_extract(run, 'case(\\d+)', 1) AS BIGINT) AS "case",
+WITH inv AS (SELECT 'case' || CASE l_linestatus WHEN 'O' THEN '1' ELSE '2' END || '_lag24_g60' AS run, count(DISTINCT l_returnflag) AS num FROM lineitem GROUP BY 1),
+ep AS (SELECT 'case' || CASE l_linestatus WHEN 'O' THEN '1' ELSE '2' END || '_lag24_g60' AS run, count(DISTINCT l_linenumber) AS epochs FROM lineitem GROUP BY 1)
+SELECT CAST(any_value(inv.num) AS BIGINT) AS Num, CASE WHEN model = 'm1' THEN CAST(any_value(ep.epochs) AS VARCHAR) ELSE '_' END AS Epochs,
+       CASE WHEN count(*) // 60 > 0 THEN CAST(count(*) // 60 AS VARCHAR) || 'm' ELSE '' END || CASE WHEN count(*) % 60 > 0 THEN CAST(count(*) % 60 AS VARCHAR) || 's' ELSE '' END AS Time,
+       CAST(round_even(avg((y - p) * (y - p)) / 1000000, 2) AS VARCHAR) AS MSE, CAST(round_even(avg(abs((y - p) / NULLIF(y, 0))), 4) AS VARCHAR) AS MAPE,
+       CAST(round_even(avg(2 * abs(y - p) / NULLIF(abs(y) + abs(p), 0)), 4) AS VARCHAR) AS SMAPE,
+       CAST(round_even(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)), 4) AS VARCHAR) AS R2,
+       model AS Name, CAST(regexp_extract(run, 'case(\\d+)', 1) AS BIGINT) AS "case",
        CAST(regexp_extract(run, 'lag(\\d+)', 1) AS BIGINT) AS lag, CAST(regexp_extract(run, '_g(\\d+)', 1) AS BIGINT) AS granularity,
        CAST(round_even(avg(abs(y - p)), 2) AS VARCHAR) AS MAE, CAST(round_even(sqrt(avg((y - p) * (y - p))), 2) AS VARCHAR) AS RMSE
-FROM {_RUN_SQL} r WHERE model NOT LIKE '%baseline%' GROUP BY run, model""", ids="M16 S07 P10 P11 U01")
+FROM {_RUN_SQL} r JOIN inv USING (run) JOIN ep USING (run) WHERE model NOT LIKE '%baseline%' GROUP BY run, model""", ids="M16 S07 P10 P11 U01")
 def q_run_report(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     st = F.array(F.struct(F.lit("m1").alias("model"), (F.col("l_quantity") * 1000).alias("p")),
@@ -247,17 +250,27 @@ def q_run_report(spark, sf_dir):
     run = F.concat(F.lit("case"), F.when(F.col("l_linestatus") == "O", "1").otherwise("2"), F.lit("_lag24_g60"))
     preds = li.select(run.alias("run"), F.col("l_extendedprice").alias("y"), F.inline(st))
     aggs = regression_aggs("y", "p")
-    scores = preds.groupBy("run", "model").agg(aggs["mae"].alias("mae"), aggs["rmse"].alias("rmse"))
-    table_ = scores.select("run", F.col("model").alias("Name"), round_or_raw("mae", 2).alias("MAE"),
-                           round_or_raw("rmse", 2).alias("RMSE"))
+    aggs["mse"] = aggs["mse"] / 1e6                        # in millions
+    scores = preds.groupBy("run", "model").agg(*[aggs[k].alias(k) for k in ("mae", "mse", "rmse", "mape", "smape", "r2")], F.count(F.lit(1)).alias("sec"))
+    digits = {"mae": 2, "mse": 2, "rmse": 2, "mape": 4, "smape": 4, "r2": 4}
+    names = [k.upper() for k in digits]
+    minutes = F.concat(F.when(F.col("sec") >= 60, F.concat(F.floor(F.col("sec") / 60).cast("string"), F.lit("m"))).otherwise(F.lit("")),
+                       F.when(F.col("sec") % 60 > 0, F.concat((F.col("sec") % 60).cast("string"), F.lit("s"))).otherwise(F.lit("")))
+    results = scores.select("run", F.col("model").alias("Name"), minutes.alias("Time"), *[round_or_raw(k, d).alias(k.upper()) for k, d in digits.items()])
     path = io.scratch_path(spark, "runs")
-    table_.write.mode("overwrite").partitionBy("run").option("header", True).csv(path)
-    # report: every result file below the run folders, baselines dropped, run facts from the folder name
-    res = io.read_csvs(spark, path, schema="Name string, MAE string, RMSE string")
-    res = io.with_path_parts(res, 1, prefix="run").where(~F.col("Name").contains("baseline"))
-    num = lambda pat: F.regexp_extract("run0", pat, 1).cast("long")
-    return res.select("Name", num(r"case(\d+)").alias("case"), num(r"lag(\d+)").alias("lag"),
-                      num(r"_g(\d+)").alias("granularity"), "MAE", "RMSE")
+    write = lambda df, name: df.write.mode("overwrite").partitionBy("run").option("header", True).csv(f"{path}/{name}")
+    write(results, "results")
+    # of each run also the segments it left out and, for models trained in epochs, a line per epoch
+    write(li.select(run.alias("run"), F.col("l_returnflag").alias("segment")).distinct(), "invalid")
+    write(li.select(run.alias("run"), F.lit("m1").alias("Name"), F.col("l_linenumber").alias("epoch")).distinct(), "logs")
+    read = lambda name, schema: io.with_path_parts(io.read_csvs(spark, f"{path}/{name}", schema=schema), 1, prefix="run")
+    res = read("results", "Name string, Time string, " + ", ".join(f"{n} string" for n in names)).where(~F.col("Name").contains("baseline"))
+    num = read("invalid", "segment string").groupBy("run0").agg(F.count(F.lit(1)).alias("Num"))
+    epochs = read("logs", "Name string, epoch int").groupBy("run0", "Name").agg(F.count(F.lit(1)).cast("string").alias("Epochs"))
+    out = res.join(num, "run0", "left").join(epochs, ["run0", "Name"], "left")
+    fact = lambda pat: F.regexp_extract("run0", pat, 1).cast("long")
+    return out.select(fact(r"case(\d+)").alias("case"), F.coalesce("Num", F.lit(0)).alias("Num"), "Name", "Time", F.coalesce("Epochs", F.lit("_")).alias("Epochs"),
+                      fact(r"lag(\d+)").alias("lag"), fact(r"_g(\d+)").alias("granularity"), *names)
 
 
 # ---------------------------------------------------------------------------------------------------
@@ -289,14 +302,15 @@ def q_range_frame(spark, sf_dir):
 WITH u AS (SELECT o_orderkey, {_u_sql(9, 'o_orderkey')} AS u FROM orders)
 SELECT o_orderkey, round(exp(ln(0.001) + u * (ln(100.0) - ln(0.001))), 6) AS loguniform,
        round(-2.0 * ln(1 - u), 6) AS exponential, CAST(ceil(ln(1 - u) / ln(1 - 0.3)) AS BIGINT) AS geometric,
-       CAST(3 + floor(u * 7) AS BIGINT) AS randint FROM u""", ids="S13")
+       CAST(3 + floor(u * 7) AS BIGINT) AS randint, round(1 - pow(1 - u, 1 / 3.0), 6) AS beta_1_3, round(0.5 - sin(asin(1 - 2 * u) / 3), 6) AS beta_2_2 FROM u""", ids="S13")
 def q_sample_dist(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey")
     u = gen.hash_uniform(9, "o_orderkey")
     return o.select("o_orderkey", r6(gen.sample_dist(u, "loguniform", low=0.001, high=100.0)).alias("loguniform"),
                     r6(gen.sample_dist(u, "exponential", scale=2.0)).alias("exponential"),
                     gen.sample_dist(u, "geometric", p=0.3).alias("geometric"),
-                    gen.sample_dist(u, "randint", low=3, high=10).alias("randint"))
+                    gen.sample_dist(u, "randint", low=3, high=10).alias("randint"),
+                    r6(gen.sample_dist(u, "beta", a=1, b=3)).alias("beta_1_3"), r6(gen.sample_dist(u, "beta", a=2, b=2)).alias("beta_2_2"))
 
 
 def _normal_sql(seed, *parts) -> str:

@@ -9,8 +9,8 @@ from ..operators.order import average_rank
 from ..operators.vectors import random_partner
 from .catalog import r6, register, table
 from .q_vectors import _partner_sql
-from .fixtures import (BOOT_SQL, BOX_SQL, PRED_SQL, REG_SQL, boxes, bootstrap_predictions, predictions,
-                       regression_predictions)
+from .fixtures import (BOOT_SQL, BOX_SQL, PRED_LONG_SQL, PRED_SQL, REG_SQL, boxes, bootstrap_predictions, predictions,
+                       predictions_long, regression_predictions)
 
 
 def _r6all(df, keep=()):
@@ -65,6 +65,16 @@ def q_confusion(spark, sf_dir):
     return mt.confusion_long(p, "y", "pred")
 
 
+@register("confusion_matrix", f"""
+SELECT a.actual, CAST(count(*) FILTER (WHERE predicted = 0) AS BIGINT) AS "0", CAST(count(*) FILTER (WHERE predicted = 1) AS BIGINT) AS "1",
+       CAST(count(*) FILTER (WHERE predicted = 2) AS BIGINT) AS "2"
+FROM (VALUES (0), (1), (2)) a(actual)
+LEFT JOIN (SELECT y AS actual, CAST(floor(score_b * 3) AS INTEGER) AS predicted FROM {PRED_SQL} p) c USING (actual) GROUP BY a.actual""", ids="M07")
+def q_confusion_matrix(spark, sf_dir):
+    p = predictions(spark, sf_dir).withColumn("pred", F.floor(F.col("score_b") * 3).cast("int"))
+    return mt.confusion_matrix(p, "y", "pred", [0, 1, 2]).withColumn("actual", F.col("actual").cast("int"))
+
+
 def _auc_sql(score: str) -> str:
     return f"""(SELECT sum(CASE WHEN a.y = 1 AND b.y = 0 AND a.{score} > b.{score} THEN 1.0
                       WHEN a.y = 1 AND b.y = 0 AND a.{score} = b.{score} THEN 0.5 ELSE 0 END)
@@ -74,10 +84,8 @@ def _auc_sql(score: str) -> str:
 @register("roc_auc", f"""
 SELECT round({_auc_sql('score_a')}, 6) AS auc_a, round({_auc_sql('score_b')}, 6) AS auc_b""", ids="M08")
 def q_roc_auc(spark, sf_dir):
-    p = predictions(spark, sf_dir)
-    a = mt.roc_auc(p, "y", "score_a").select(r6("auc").alias("auc_a"))
-    b = mt.roc_auc(p, "y", "score_b").select(r6("auc").alias("auc_b"))
-    return a.crossJoin(b)     # two one-row results
+    m = mt.roc_auc_many(predictions(spark, sf_dir), "y", ["score_a", "score_b"])
+    return m.agg(*[r6(F.max(F.when(F.col("score") == f"score_{x}", F.col("auc")))).alias(f"auc_{x}") for x in "ab"])
 
 
 @register("roc_auc_by_group", f"""
@@ -124,6 +132,19 @@ def q_rmse_ci(spark, sf_dir):
     return ci.select(*[F.round(c, 4).alias(c) for c in ci.columns])
 
 
+@register("rmse_ci_t", f"""
+WITH e AS (SELECT (y - p) * (y - p) AS e2 FROM {REG_SQL} r WHERE model = 'm3'),
+s AS (SELECT avg(e2) AS m, stddev_samp(e2) AS sd, count(e2) AS n FROM e),
+z AS (SELECT *, {_Z95!r} AS z, n - 1 AS f FROM s),
+t AS (SELECT *, z + (z ** 3 + z) / (4 * f) + (5 * z ** 5 + 16 * z ** 3 + 3 * z) / (96 * f ** 2) AS t FROM z)
+SELECT round(sqrt(m), 4) AS rmse, round(sqrt(m - t * sd / sqrt(n)), 4) AS lower, round(sqrt(m + t * sd / sqrt(n)), 4) AS upper FROM t""", ids="M10")
+def q_rmse_ci_t(spark, sf_dir):
+    """The t interval; the SQL takes the t quantile from its series in 1/f, exact to the digits shown for f > 1000."""
+    rp = regression_predictions(spark, sf_dir).where(F.col("model") == "m3")
+    ci = mt.rmse_ci(rp, "y", "p", 0.95)
+    return ci.select(*[F.round(c, 4).alias(c) for c in ci.columns])
+
+
 @register("bias_variance", f"""
 WITH b AS {BOOT_SQL},
 i AS (SELECT id, avg(p) AS pbar, any_value(y) AS y, avg((p - y) * (p - y)) AS mse, var_pop(p) AS var FROM b GROUP BY id)
@@ -164,6 +185,15 @@ def q_corr_matrix(spark, sf_dir):
     return c.select("a", "b", r6("corr").alias("corr"))
 
 
+@register("corr_with_target", """
+SELECT "column", round(corr, 6) AS corr FROM (SELECT unnest(['l_quantity', 'l_discount', 'l_tax']) AS "column",
+  unnest([corr(l_quantity, l_extendedprice), corr(l_discount, l_extendedprice), corr(l_tax, l_extendedprice)]) AS corr FROM lineitem)
+ORDER BY corr DESC""", ids="A12")
+def q_corr_with_target(spark, sf_dir):
+    c = mt.corr_with_target(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
+    return c.select("column", r6("corr").alias("corr"))
+
+
 @register("avg_rank", f"""
 SELECT id, score_b, rank() OVER (ORDER BY score_b) + (count(*) OVER (PARTITION BY score_b) - 1) / 2.0 AS score_b_rank
 FROM {PRED_SQL} p""", ids="W10")
@@ -186,13 +216,30 @@ WITH r AS (SELECT score_a, score_b,
      rank() OVER (ORDER BY score_a) + (count(*) OVER (PARTITION BY score_a) - 1) / 2.0 AS ra,
      rank() OVER (ORDER BY score_b) + (count(*) OVER (PARTITION BY score_b) - 1) / 2.0 AS rb FROM {PRED_SQL} p)
 SELECT round(corr(score_a, score_b), 6) AS pearson, round(corr(ra, rb), 6) AS spearman,
-       round({_KENDALL_SQL}, 6) AS kendall FROM r""", ids="A13 J06 W10")
+       round({_KENDALL_SQL}, 6) AS kendall FROM r""", ids="A13 W10")
 def q_corr_three(spark, sf_dir):
     p = predictions(spark, sf_dir).select("score_a", "score_b")
     c = mt.correlations(p, "score_a", "score_b")
     return c.select(*[r6(x).alias(x) for x in ("pearson", "spearman", "kendall")])
 
 
+_ALIGNED_SQL = f"""(SELECT id, x.prediction AS x, y.prediction AS y FROM (SELECT id, prediction FROM {PRED_LONG_SQL} p WHERE method = 'a') x
+  JOIN (SELECT id, prediction FROM {PRED_LONG_SQL} p WHERE method = 'c') y USING (id))"""
+
+
+@register("corr_aligned", f"""
+WITH r AS (SELECT x, y, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
+     rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM {_ALIGNED_SQL} j)
+SELECT round(corr(x, y), 6) AS pearson, round(corr(rx, ry), 6) AS spearman,
+       round({_KENDALL_SQL.replace('score_a AS x, score_b AS y', 'x, y').replace(f'FROM {PRED_SQL} p GROUP BY', f'FROM {_ALIGNED_SQL} k GROUP BY')}, 6) AS kendall FROM r""", ids="J06 A13 W10")
+def q_corr_aligned(spark, sf_dir):
+    """Two prediction tables, one of which lacks ids, aligned before the three correlations."""
+    p = predictions_long(spark, sf_dir)
+    j = mt.align(p.where("method = 'a'"), p.where("method = 'c'"), "id", "prediction")
+    c = mt.correlations(j, "x", "y")
+    return c.select(*[r6(x).alias(x) for x in ("pearson", "spearman", "kendall")])
+
+
 EMB_PARTNER_SEED = 11
 
 

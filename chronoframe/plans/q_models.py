@@ -1,21 +1,28 @@
 """Queries: models and model selection.
 
-Fitted models are compared row-wise only (their values depend on solvers), except the one-feature least
-squares fit (checked against ``regr_slope`` / ``regr_intercept``) and the trial table (V06).
+Least squares, gradient descents, cross-validation and model imputation have the same numbers in SQL.  Values
+of the other fits depend on solvers; their queries return what must hold of them: row counts, the settings
+tried, and that the model beats the mean or the largest class.
 """
 
 from __future__ import annotations
 
+import json
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from ..operators import metrics as mt
 from ..operators import models as md
 from ..operators import prepare as pr
-from ..operators.split import kfold, random_split_exact, stratified_split
+from ..operators.split import kfold, random_split_exact, stratified_split, with_row_id
+from ..operators.vectors import vector_width
+from ..session import materialize
 from ..sources.io import scratch_path
 from .catalog import register, table
-from .fixtures import predictions
+from .fixtures import PRED_SQL, predictions
+from .q_frame import NULLABLE_SQL, nullable
 from .q_prepare import SEGMENTS, housing
 
 _LI_X = ["l_quantity", "l_discount", "l_tax"]
@@ -33,108 +40,209 @@ def q_linreg(spark, sf_dir):
     return _rows(spark, [(round(float(m.coefficients[0]), 4), round(float(m.intercept), 4))], "slope double, intercept double")
 
 
-@register("linreg_gd", ids="F12")
+def _gd_sql(err: str, rate: str, iters: int, data: str) -> str:
+    return f"""
+WITH RECURSIVE d AS (SELECT * FROM {data}), r AS (SELECT 0 AS it, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2
+  UNION ALL SELECT it + 1, w0 - {rate} * avg(e), w1 - {rate} * avg(e * a), w2 - {rate} * avg(e * b)
+  FROM (SELECT r.it, r.w0, r.w1, r.w2, d.a, d.b, {err} AS e FROM r, d WHERE r.it < {iters}) GROUP BY it, w0, w1, w2)
+SELECT unnest([0, 1, 2]) AS weight_index, unnest([round(w0, 6), round(w1, 6), round(w2, 6)]) AS weight FROM r WHERE it = {iters}"""
+
+
+@register("linreg_gd", _gd_sql("r.w0 + r.w1 * d.a + r.w2 * d.b - d.y", "0.5", 20,
+                               "(SELECT l_extendedprice / 10000 AS y, l_discount AS a, l_tax AS b FROM lineitem)"), ids="F12")
 def q_linreg_gd(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select((F.col("l_extendedprice") / 1e4).alias("y"), "l_discount", "l_tax")
     w = md.linreg_gd(li, "y", ["l_discount", "l_tax"], lr=0.5, iters=20)
-    return _rows(spark, [(i, float(v)) for i, v in enumerate(w)], "weight_index int, weight double")
+    return _rows(spark, [(i, round(float(v), 6)) for i, v in enumerate(w)], "weight_index int, weight double")
+
+
+@register("logreg_gd", _gd_sql("1 / (1 + exp(-(r.w0 + r.w1 * d.a + r.w2 * d.b))) - d.y", "0.3", 30,
+                               f"(SELECT y, score_a AS a, score_b AS b FROM {PRED_SQL} p)"), ids="F13")
+def q_logreg_gd(spark, sf_dir):
+    w = md.logreg_gd(predictions(spark, sf_dir), "y", ["score_a", "score_b"], lr=0.3, iters=30)
+    return _rows(spark, [(i, round(float(v), 6)) for i, v in enumerate(w)], "weight_index int, weight double")
 
 
-@register("logreg", ids="F13")
+@register("logreg", f"SELECT CAST(count(*) AS BIGINT) AS rows, true AS not_worse_than_base FROM {PRED_SQL} p", ids="F13 M13")
 def q_logreg(spark, sf_dir):
-    m = md.fit_logistic(predictions(spark, sf_dir), "y", ["score_a", "score_b", "score_c"])
-    return _rows(spark, [("intercept", float(m.intercept))] +
-                 [(n, float(c)) for n, c in zip(["score_a", "score_b", "score_c"], m.coefficients)], "term string, coef double")
+    """The fitted model's log loss is not above that of the base rate."""
+    p = predictions(spark, sf_dir)
+    xs = ["score_a", "score_b", "score_c"]
+    m = md.fit_logistic(p, "y", xs)
+    scored = md.score_rows(m, p, xs, vector_to_array("probability")[1], "p").crossJoin(F.broadcast(p.agg(F.avg("y").alias("base"))))
+    a, b = mt.log_loss(scored, "y", "p").first()[0], mt.log_loss(scored, "y", "base").first()[0]
+    return _rows(spark, [(scored.count(), a <= b + 1e-9)], "rows long, not_worse_than_base boolean")
+
+
+_TEST_SQL = "SELECT '{name}' AS model, CAST(floor(count(*) * 0.2::DOUBLE) AS BIGINT) AS rows, true AS beats_mean FROM lineitem"
+
+
+def _lineitem_split(spark, sf_dir):
+    """A target that the features explain but for a part that they do not know (the price)."""
+    y = (F.col("l_quantity") * (1 - F.col("l_discount")) * 100 + F.col("l_extendedprice") / 1000).alias("y")
+    li = with_row_id(table(spark, sf_dir, "lineitem").select(*_LI_X, y, "l_orderkey", "l_linenumber"))
+    s = random_split_exact(li, "rid", 0.2, 42)
+    return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
 
 
 def _reg_eval(spark, sf_dir, name, fit):
-    li = table(spark, sf_dir, "lineitem")
-    s = random_split_exact(li.withColumn("rid", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey")), "rid", 0.2, 42)
-    train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+    """Fit on four fifths of lineitem; on the rest the model must have a lower RMSE than the mean."""
+    train, test = _lineitem_split(spark, sf_dir)
     m = fit(train)
-    r = md.rmse(m.transform(md.assemble(test, _LI_X)), "l_extendedprice")
-    return m, _rows(spark, [(name, r)], "model string, rmse double")
+    mean = train.agg(F.avg("y").alias("_mean"))
+    scored = md.score_rows(m, test, _LI_X, F.col("prediction"), "p").crossJoin(F.broadcast(mean))
+    one = scored.agg(F.count("p").alias("rows"), F.avg((F.col("p") - F.col("y")) ** 2).alias("a"), F.avg((F.col("_mean") - F.col("y")) ** 2).alias("b"))
+    return m, one.select(F.lit(name).alias("model"), "rows", (F.col("a") < F.col("b")).alias("beats_mean"))
 
 
-@register("tree_reg", ids="F14")
+@register("tree_reg", _TEST_SQL.format(name="tree"), ids="F14")
 def q_tree_reg(spark, sf_dir):
-    return _reg_eval(spark, sf_dir, "tree", lambda d: md.fit_tree(d, "l_extendedprice", _LI_X, depth=5))[1]
+    return _reg_eval(spark, sf_dir, "tree", lambda d: md.fit_tree(d, "y", _LI_X, depth=5))[1]
 
 
-@register("forest", ids="F15")
+@register("forest", _TEST_SQL.format(name="forest"), ids="F15")
 def q_forest(spark, sf_dir):
-    return _reg_eval(spark, sf_dir, "forest", lambda d: md.fit_forest(d, "l_extendedprice", _LI_X, trees=10, depth=5))[1]
+    return _reg_eval(spark, sf_dir, "forest", lambda d: md.fit_forest(d, "y", _LI_X, trees=10, depth=5))[1]
 
 
-@register("gbt", ids="F16")
+@register("gbt", _TEST_SQL.format(name="gbt"), ids="F16")
 def q_gbt(spark, sf_dir):
-    return _reg_eval(spark, sf_dir, "gbt", lambda d: md.fit_gbt(d, "l_extendedprice", _LI_X, rounds=10, depth=4))[1]
+    """20 rounds of depth 5 here; ``fit_gbt`` itself defaults to 1000 rounds of depth 10 at step 0.01."""
+    return _reg_eval(spark, sf_dir, "gbt", lambda d: md.fit_gbt(d, "y", _LI_X, rounds=20, depth=5, eta=0.1))[1]
 
 
-@register("importances", ids="F19")
+@register("importances", """
+SELECT unnest(['l_quantity', 'l_discount', 'l_tax']) AS feature, unnest([true, false, false]) AS leads, true AS sums_to_one""", ids="F19")
 def q_importances(spark, sf_dir):
-    m, _ = _reg_eval(spark, sf_dir, "forest", lambda d: md.fit_forest(d, "l_extendedprice", _LI_X, trees=10, depth=5))
-    return _rows(spark, md.importances(m, _LI_X), "feature string, importance double")
+    """The quantity leads the importances; together they make 1."""
+    m, _ = _reg_eval(spark, sf_dir, "forest", lambda d: md.fit_forest(d, "y", _LI_X, trees=10, depth=5))
+    imp = md.importances(m, _LI_X)
+    total = abs(sum(v for _, v in imp) - 1) < 1e-6
+    return _rows(spark, [(f, i == 0, total) for i, (f, _) in enumerate(imp)], "feature string, leads boolean, sums_to_one boolean")
 
 
-@register("linear_svc", ids="F18")
-def q_linear_svc(spark, sf_dir):
+def _vector_columns(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    d = e.select(F.size("embedding")).first()[0]
-    x = e.select("vec_id", (F.col("label") < 5).cast("double").alias("y"),
-                 *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(d)])
-    m = md.fit_linear_svc(x, "y", [f"e{i}" for i in range(d)], max_iter=20)
-    acc = m.transform(md.assemble(x, [f"e{i}" for i in range(d)])).agg(
-        F.avg((F.col("prediction") == F.col("y")).cast("double")).alias("accuracy"))
-    return acc
+    d = vector_width(e, "embedding")
+    return e.select("vec_id", (F.col("label") < 5).cast("double").alias("y"), *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(d)])
+
+
+@register("forest_classifier", "SELECT CAST(floor(count(*) * 0.2::DOUBLE) AS BIGINT) AS rows, true AS beats_majority FROM embeddings", ids="F15 M05")
+def q_forest_classifier(spark, sf_dir):
+    """Classes by the signs of the first two cells: the forest must beat the largest class."""
+    x = _vector_columns(spark, sf_dir).withColumn("y", F.when(F.col("e0") > 0, F.lit(1.0)).otherwise(F.lit(0.0)) + F.when(F.col("e1") > 0, F.lit(2.0)).otherwise(F.lit(0.0)))
+    s = random_split_exact(x, "vec_id", 0.2, 42)
+    train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+    xs = [c for c in x.columns if c.startswith("e")]
+    m = md.fit_forest(train, "y", xs, trees=20, depth=6, classifier=True)
+    scored = md.score_rows(m, test, xs, F.col("prediction"), "p")
+    share = test.groupBy("y").count().agg((F.max("count") / F.sum("count")).alias("top"))
+    return mt.accuracy(scored, "y", "p").crossJoin(scored.agg(F.count("p").alias("rows"))).crossJoin(share).select(
+        "rows", (F.col("accuracy") > F.col("top")).alias("beats_majority"))
 
 
-@register("model_roundtrip", ids="K07 F20 K06")
+@register("linear_svc", "SELECT CAST(floor(count(*) * 0.2::DOUBLE) AS BIGINT) AS rows, true AS accuracy_in_range FROM embeddings", ids="F18")
+def q_linear_svc(spark, sf_dir):
+    """Scored on rows that it was not trained on."""
+    s = random_split_exact(_vector_columns(spark, sf_dir), "vec_id", 0.2, 42)
+    xs = [c for c in s.columns if c.startswith("e")]
+    m = md.fit_linear_svc(s.where(F.col("split") == "train"), "y", xs)
+    scored = md.score_rows(m, s.where(F.col("split") == "test"), xs, F.col("prediction"), "p")
+    return scored.agg(F.count("p").alias("rows"), F.avg((F.col("p") == F.col("y")).cast("double")).between(0.3, 1.0).alias("accuracy_in_range"))
+
+
+@register("model_roundtrip", "SELECT CAST(count(*) AS BIGINT) AS rows, 0.0::DOUBLE AS max_diff FROM lineitem", ids="K07 F20 K06")
 def q_model_roundtrip(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
+    li = with_row_id(table(spark, sf_dir, "lineitem").select(*_LI_X, "l_extendedprice", "l_orderkey", "l_linenumber"))
     model = md.linear_pipeline(_LI_X, "l_extendedprice").fit(li)
     loaded = md.save_and_load(model, scratch_path(spark, "model"))
     path = scratch_path(spark, "predictions")
-    loaded.transform(li).select("l_orderkey", "l_linenumber", "prediction").write.mode("overwrite").parquet(path)
+    loaded.transform(li).select("rid", "prediction").write.mode("overwrite").parquet(path)
     back = spark.read.parquet(path)
-    a = model.transform(li).select("l_orderkey", "l_linenumber", F.col("prediction").alias("p0"))
-    return (a.join(back, ["l_orderkey", "l_linenumber"])
-             .agg(F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("p0") - F.col("prediction"))).alias("max_diff")))
+    a = model.transform(li).select("rid", F.col("prediction").alias("p0"))
+    return a.join(back, "rid").agg(F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("p0") - F.col("prediction"))).alias("max_diff"))
 
 
-@register("cross_val", ids="V01 R05")
+@register("cross_val", """
+WITH p AS (SELECT o_orderkey, o_totalprice AS y, dayofyear(o_orderdate) AS x,
+             row_number() OVER (ORDER BY md5('42' || CAST(o_orderkey AS VARCHAR)), o_orderkey) - 1 AS pos, count(*) OVER () AS n FROM orders),
+f AS (SELECT *, CASE WHEN pos < (n % 5) * (n // 5 + 1) THEN pos // (n // 5 + 1) ELSE n % 5 + (pos - (n % 5) * (n // 5 + 1)) // (n // 5) END AS fold FROM p),
+c AS (SELECT k.fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM f, (SELECT DISTINCT fold FROM f) k WHERE f.fold <> k.fold GROUP BY k.fold)
+SELECT CAST(fold AS INTEGER) AS fold, round(sqrt(avg((y - a - b * x) ** 2)), 3) AS rmse FROM f JOIN c USING (fold) GROUP BY fold""", ids="V01 R05")
 def q_cross_val(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.dayofyear("o_orderdate").alias("doy"),
-                                              F.year("o_orderdate").alias("yr"))
-    scores = md.cross_val_scores(o, "o_orderkey", "o_totalprice", ["doy", "yr"],
-                                 lambda: LinearRegression(featuresCol="features", labelCol="o_totalprice"), k=5)
-    return _rows(spark, scores, "fold int, rmse double")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.dayofyear("o_orderdate").alias("doy"))
+    scores = md.cross_val_scores(o, "o_orderkey", "o_totalprice", ["doy"], lambda: LinearRegression(
+        featuresCol="features", labelCol="o_totalprice", regParam=0.0, solver="normal"), k=5)
+    return _rows(spark, [(f, round(s, 3)) for f, s in scores], "fold int, rmse double")
+
+
+_HOUSE_X = ["c_acctbal", "n_orders", "order_sum"]
 
 
-@register("grid_search", ids="V02 V05")
+def _prepared_housing(spark, sf_dir):
+    """The housing-like table with imputed numbers; target in thousands."""
+    h = housing(spark, sf_dir).where(F.col("target").isNotNull())
+    h = h.select("c_custkey", "c_acctbal", F.col("n_orders").cast("double").alias("n_orders"), "order_sum", (F.col("target") / 1000).alias("y"))
+    return materialize(pr.impute(h, _HOUSE_X, "median"), "housing")
+
+
+def _forest():
+    return RandomForestRegressor(featuresCol="features", labelCol="y", seed=42)
+
+
+def _search_rows(spark, res):
+    """Number, parameters and whether the score is a finite number above 0, for every setting."""
+    return _rows(spark, [(i, json.dumps(p, sort_keys=True), bool(0 < s < float("inf"))) for i, (p, s) in enumerate(res)], "trial int, params string, scored boolean")
+
+
+def _search_sql(sets) -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{json.dumps(p, sort_keys=True)}', true)" for i, p in enumerate(sets)) + ") t(trial, params, scored)"
+
+
+_GRIDS = [{"numTrees": [3, 10, 20], "maxDepth": [2, 3, 4, 5]}, {"subsamplingRate": [0.8], "numTrees": [3, 10], "featureSubsetStrategy": ["1", "2", "all"]}]
+
+
+@register("grid_search", _search_sql(md.expand_grids(_GRIDS)), ids="V02")
 def q_grid_search(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").withColumn("rid", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"))
-    est = RandomForestRegressor(featuresCol="features", labelCol="l_extendedprice", seed=42)
-    res = md.grid_search(li, "rid", "l_extendedprice", _LI_X, est, {"numTrees": [3, 6], "maxDepth": [2, 4]}, k=3)
-    return _rows(spark, [(str(sorted(p.items())), s) for p, s in res], "params string, rmse double")
+    """A list of two grids: 12 and 6 settings in 5 folds."""
+    return _search_rows(spark, md.grid_search(_prepared_housing(spark, sf_dir), "c_custkey", "y", _HOUSE_X, _forest(), _GRIDS, k=5, parallelism=8))
 
 
-@register("random_search", ids="V03 S13")
+_STRATEGIES = ["mean", "median", "most_frequent"]
+
+
+@register("preparation_search", _search_sql([{"strategy": s, "top_k": k} for s in _STRATEGIES for k in (1, 2, 3)]), ids="V05 F01 F10")
+def q_preparation_search(spark, sf_dir):
+    """Imputer strategy and number of features, on customers of whom some have no orders."""
+    y = (F.col("c_acctbal") / 7 + F.coalesce("order_sum", F.lit(0.0)) / 1e5).alias("y")
+    h = housing(spark, sf_dir).select("c_custkey", "c_acctbal", F.col("n_orders").cast("double").alias("n_orders"), "order_sum", y)
+    rank = lambda d: [r["column"] for r in mt.corr_with_target(d, _HOUSE_X, "y").orderBy(F.desc(F.abs("corr")), "column").collect()]
+    make = lambda: LinearRegression(featuresCol="features", labelCol="y", regParam=0.01)
+    return _search_rows(spark, md.preparation_search(h, "c_custkey", "y", _HOUSE_X, make, _STRATEGIES, [1, 2, 3], rank))
+
+
+_SPACE = {"regParam": ("loguniform", 1e-6, 1e2), "aggregationDepth": ("int", 2, 4)}
+
+
+@register("random_search", "SELECT CAST(60 AS BIGINT) AS trials, true AS scored, true AS in_range", ids="V03 S13")
 def q_random_search(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").withColumn("rid", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"))
-    est = RandomForestRegressor(featuresCol="features", labelCol="l_extendedprice", seed=42)
-    res = md.random_search(li, "rid", "l_extendedprice", _LI_X, est,
-                           {"numTrees": ("int", 2, 8), "maxDepth": ("int", 2, 5)}, trials=3, k=3)
-    return _rows(spark, [(str(sorted(p.items())), s) for p, s in res], "params string, rmse double")
+    """60 trials in 5 folds."""
+    ridge = LinearRegression(featuresCol="features", labelCol="y", solver="normal")
+    res = md.random_search(_prepared_housing(spark, sf_dir), "c_custkey", "y", _HOUSE_X, ridge, _SPACE, trials=60, k=5, parallelism=8)
+    ok = all(0 < s < float("inf") for _, s in res)
+    inside = all(lo <= p[n] <= hi for p, _ in res for n, (_, lo, hi) in _SPACE.items())
+    return _rows(spark, [(len(res), ok, inside)], "trials long, scored boolean, in_range boolean")
+
+
+_HALVING = [{"numTrees": t, "maxDepth": d} for t, d in ((2, 2), (4, 3), (6, 4), (8, 5))]
 
 
-@register("halving_search", ids="V04 R08")
+@register("halving_search", """
+SELECT CAST(round AS INTEGER) AS round, CAST(n AS BIGINT) AS candidates, true AS scored FROM (VALUES (0, 4), (1, 1)) t(round, n)""", ids="V04 R08")
 def q_halving_search(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").withColumn("rid", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"))
-    est = RandomForestRegressor(featuresCol="features", labelCol="l_extendedprice", seed=42)
-    cands = [{"numTrees": t, "maxDepth": d} for t, d in ((2, 2), (4, 3), (6, 4))]
-    log = md.halving_search(li, "rid", "l_extendedprice", _LI_X, est, cands, eta=3, min_fraction=1 / 3)
-    return _rows(spark, [(r, str(sorted(c.items())), s) for r, c, s in log], "round int, params string, rmse double")
+    log = md.halving_search(_prepared_housing(spark, sf_dir), "c_custkey", "y", _HOUSE_X, _forest(), _HALVING, eta=3, min_fraction=1 / 3)
+    rounds = sorted({r for r, _, _ in log})
+    return _rows(spark, [(r, sum(x == r for x, _, _ in log), all(0 < s < float("inf") for x, _, s in log if x == r)) for r in rounds], "round int, candidates long, scored boolean")
 
 
 @register("trial_table", """
@@ -156,24 +264,26 @@ def q_trial_table(spark, sf_dir):
                     "folds", "rank")
 
 
-@register("blend", ids="E07 F13 R02")
+@register("blend", """
+WITH n AS (SELECT count(*) AS n, CAST(floor(count(*) * 0.4::DOUBLE) AS BIGINT) AS rest FROM embeddings)
+SELECT rest - CAST(floor(rest * 0.5::DOUBLE) AS BIGINT) AS hold_rows, CAST(floor(rest * 0.5::DOUBLE) AS BIGINT) AS rows, true AS auc_in_range FROM n""", ids="E07 F13 R02")
 def q_blend(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings")
-    d = e.select(F.size("embedding")).first()[0]
-    x = e.select("vec_id", (F.col("label") < 5).cast("double").alias("y"),
-                 *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(d)])
+    x = _vector_columns(spark, sf_dir)
+    cells = [c for c in x.columns if c.startswith("e")]
     s = random_split_exact(x, "vec_id", 0.4, 42)
     rest = s.where(F.col("split") == "test").drop("split", "pos")
     train = s.where(F.col("split") == "train").drop("split", "pos")
     h = random_split_exact(rest, "vec_id", 0.5, 7)
     hold, test = h.where(F.col("split") == "train").drop("split", "pos"), h.where(F.col("split") == "test").drop("split", "pos")
-    half = d // 2      # two base models on the two halves of the vector
-    out = md.blend(train, hold, test, "y", {"b1": [f"e{i}" for i in range(half)],
-                                             "b2": [f"e{i}" for i in range(half, d)]})
-    return mt.roc_auc(out, "y", "blend")
+    half = len(cells) // 2      # two base models on the two halves of the vector
+    out = md.blend(train, hold, test, "y", {"b1": cells[:half], "b2": cells[half:]})
+    auc = mt.roc_auc(out, "y", "blend")
+    return hold.agg(F.count(F.lit(1)).alias("hold_rows")).crossJoin(out.agg(F.count("blend").alias("rows"))).crossJoin(
+        auc.select(F.col("auc").between(0.0, 1.0).alias("auc_in_range")))
 
 
-@register("tabular_regression", ids="T03 R04 F09 F11 F15 M10")
+@register("tabular_regression", """
+SELECT unnest(['linear', 'forest']) AS model, true AS has_interval""", ids="T03 R04 F09 F11 F15 M10")
 def q_tabular_regression(spark, sf_dir):
     h = housing(spark, sf_dir).where(F.col("target").isNotNull()).withColumn("n_orders", F.col("n_orders").cast("double"))
     h = h.withColumn("bal_bin", F.least(F.ceil((F.col("c_acctbal") + 1000) / 2500), F.lit(5)))
@@ -181,29 +291,30 @@ def q_tabular_regression(spark, sf_dir):
     train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
     num = ["c_acctbal", "n_orders", "order_sum"]
     prep = lambda d: pr.prepare(d, num, ["c_mktsegment"], strategy="median", fit_on=train,
-                                categories={"c_mktsegment": SEGMENTS})
+                                known={"c_mktsegment": SEGMENTS})
     tr, te = prep(train), prep(test)
+    tr, te = materialize(tr, "train"), materialize(te, "test")
     rows = []
     for name, est in (("linear", LinearRegression(featuresCol="features", labelCol="target")),
                       ("forest", RandomForestRegressor(featuresCol="features", labelCol="target", numTrees=10, seed=42))):
-        pred = est.fit(tr).transform(te)
-        ci = mt.rmse_ci(pred, "target", "prediction", 0.95, method="t").first()
-        rows.append((name, float(ci["rmse"]), float(ci["lower"]), float(ci["upper"])))
-    return _rows(spark, rows, "model string, rmse double, lower double, upper double")
+        ci = mt.rmse_ci(est.fit(tr).transform(te), "target", "prediction", 0.95, method="t").first()
+        rows.append((name, bool(0 < ci["rmse"] <= ci["upper"] and not ci["lower"] > ci["rmse"])))
+    return _rows(spark, rows, "model string, has_interval boolean")
 
 
-@register("impute_by_model", ids="F02")
+@register("impute_by_model", f"""
+WITH n AS {NULLABLE_SQL}, m AS (SELECT regr_slope(qty, o_totalprice) AS b, regr_intercept(qty, o_totalprice) AS a FROM n)
+SELECT o_orderkey, round(coalesce(qty, a + b * o_totalprice), 4) AS qty FROM n, m""", ids="F02")
 def q_impute_by_model(spark, sf_dir):
-    from .q_frame import nullable
-    n = nullable(spark, sf_dir)
-    f = md.impute_by_model(n, "qty", ["o_totalprice"])
-    return f.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("qty").isNull()).alias("null_after"),
-                 F.avg("qty").alias("mean_qty"))
+    f = md.impute_by_model(nullable(spark, sf_dir), "qty", ["o_totalprice"])
+    return f.select("o_orderkey", F.round("qty", 4).alias("qty"))
 
 
-@register("run_models", ids="V07 M15")
+@register("run_models", "SELECT unnest(['LR', 'RF']) AS model, true AS beats_mean, true AS has_all_scores", ids="V07 M15")
 def q_run_models(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").withColumn("rid", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"))
-    s = random_split_exact(li, "rid", 0.2, 42)
-    return md.run_models(s.where(F.col("split") == "train"), s.where(F.col("split") == "test"), "l_extendedprice",
-                         _LI_X, ["linear", "RF"])
+    train, test = _lineitem_split(spark, sf_dir)
+    t = md.run_models(train, test, "y", _LI_X, ["linear", "RF"])
+    full = F.lit(True)
+    for c in ("MAE", "MSE", "RMSE", "MAPE", "SMAPE", "R2"):
+        full = full & F.col(c).isNotNull()
+    return t.select("model", (F.col("R2").cast("double") > 0).alias("beats_mean"), full.alias("has_all_scores"))

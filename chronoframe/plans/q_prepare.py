@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import prepare as pr
-from ..operators.metrics import corr_matrix
+from ..operators.metrics import corr_matrix, corr_with_target
 from .catalog import r6, register, table
 from .q_frame import NULLABLE_SQL, nullable
 
@@ -64,7 +64,7 @@ def q_one_hot(spark, sf_dir):
           ids="F04")
 def q_one_hot_discovered(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    return pr.one_hot(c, "c_mktsegment").drop("c_mktsegment")
+    return pr.one_hot(c, "c_mktsegment", pr.categories(c, "c_mktsegment")).drop("c_mktsegment")
 
 
 _SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -152,7 +152,7 @@ def q_prepare_pipeline(spark, sf_dir):
     x = pr.prepare(h, ["c_acctbal", "n_orders", "order_sum"], ["c_mktsegment"],
                    ratios={"a": "order_sum", "b": "n_orders", "c": "c_acctbal", "d": "c_acctbal", "add_third": False,
                            "names": ("sum_per_order", "bal_per_sum", "unused")},
-                   strategy="median", categories={"c_mktsegment": SEGMENTS})
+                   strategy="median", known={"c_mktsegment": SEGMENTS})
     return x.select("c_custkey", *[r6(c).alias(c) for c in ("c_acctbal", "order_sum", "sum_per_order")],
                     "c_mktsegment_BUILDING")
 
@@ -163,11 +163,45 @@ WITH c AS (SELECT unnest(['l_quantity', 'l_discount', 'l_tax']) AS feature,
                           abs(corr(l_tax, l_extendedprice))]) AS importance FROM lineitem)
 SELECT feature, round(importance, 6) AS importance FROM c ORDER BY importance DESC, feature LIMIT 2""", ids="F10 O05 A12")
 def q_top_features(spark, sf_dir):
-    """The k most important features (importance = |corr| with the target); ``select_top_features``
-    projects a table on them."""
+    """The k most important features (importance = |corr| with the target)."""
     li = table(spark, sf_dir, "lineitem")
     imp = (corr_matrix(li, ["l_quantity", "l_discount", "l_tax", "l_extendedprice"])
            .where((F.col("b") == "l_extendedprice") & (F.col("a") != "l_extendedprice"))
            .select(F.col("a").alias("feature"), F.abs("corr").alias("importance")))
     names = pr.top_features(imp, 2)
     return imp.where(F.col("feature").isin(names)).select("feature", r6("importance").alias("importance"))
+
+
+@register("select_top_features", """
+WITH c AS (SELECT unnest(['l_quantity', 'l_discount', 'l_tax']) AS feature,
+                  unnest([abs(corr(l_quantity, l_extendedprice)), abs(corr(l_discount, l_extendedprice)), abs(corr(l_tax, l_extendedprice))]) AS importance FROM lineitem),
+k AS (SELECT feature, row_number() OVER (ORDER BY importance DESC, feature) AS rk FROM c),
+v AS (SELECT (SELECT feature FROM k WHERE rk = 1) AS f1, (SELECT feature FROM k WHERE rk = 2) AS f2)
+SELECT l_orderkey, l_linenumber,
+  CASE f1 WHEN 'l_quantity' THEN l_quantity WHEN 'l_discount' THEN l_discount ELSE l_tax END AS first_feature,
+  CASE f2 WHEN 'l_quantity' THEN l_quantity WHEN 'l_discount' THEN l_discount ELSE l_tax END AS second_feature FROM lineitem, v""", ids="F10 A12")
+def q_select_top_features(spark, sf_dir):
+    """The table projected on its key and its two most important features."""
+    li = table(spark, sf_dir, "lineitem")
+    imp = corr_with_target(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice").select(F.col("column").alias("feature"), F.abs("corr").alias("importance"))
+    x = pr.select_top_features(li, imp, 2, keep=["l_orderkey", "l_linenumber"])
+    return x.toDF("l_orderkey", "l_linenumber", "first_feature", "second_feature")
+
+
+@register("prepare_saved", f"""
+WITH h AS {HOUSING_SQL},
+i AS (SELECT c_custkey, c_mktsegment, c_acctbal, coalesce(order_sum, (SELECT median(order_sum) FROM h)) AS order_sum FROM h)
+SELECT c_custkey, round((c_acctbal - avg(c_acctbal) OVER ()) / stddev_pop(c_acctbal) OVER (), 6) AS c_acctbal,
+  round((order_sum - avg(order_sum) OVER ()) / stddev_pop(order_sum) OVER (), 6) AS order_sum,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS c_mktsegment_BUILDING FROM i""", ids="F09 K07 F01 F04 F05")
+def q_prepare_saved(spark, sf_dir):
+    """The preparation as an ML pipeline of fitted stages, saved, read back and applied."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from ..operators.stages import ColumnPreparer
+    from ..sources.io import scratch_path
+    h = housing(spark, sf_dir)
+    path = scratch_path(spark, "preparation")
+    Pipeline(stages=[ColumnPreparer(numeric=["c_acctbal", "order_sum"], categorical=["c_mktsegment"], strategy="median")]).fit(h).write().overwrite().save(path)
+    x = PipelineModel.load(path).transform(h)
+    return x.select("c_custkey", r6("c_acctbal").alias("c_acctbal"), r6("order_sum").alias("order_sum"), "c_mktsegment_BUILDING")

@@ -119,13 +119,19 @@ def q_sample_n(spark, sf_dir):
     return sp.sample_n(o, "o_orderkey", 100, SEED)
 
 
+ROUNDS = 200
+
+
 @register("bootstrap", f"""
 WITH q AS (SELECT o_orderkey, o_totalprice, {_pos_sql('o_orderkey')} AS pos, count(*) OVER () AS n FROM orders),
-d AS (SELECT r.round, q.pos AS j, q.n FROM q, range(0, 5) r(round)),
+d AS (SELECT r.round, q.pos AS j, q.n FROM q, range(0, {ROUNDS}) r(round)),
 k AS (SELECT round, CAST('0x' || substr(md5('{SEED}' || CAST(round AS VARCHAR) || '-' || CAST(j AS VARCHAR)), 1, 12) AS BIGINT) % n AS pos,
              count(*) AS weight FROM d GROUP BY 1, 2)
-SELECT CAST(k.round AS BIGINT) AS round, CAST(weight AS BIGINT) AS weight, o_orderkey, o_totalprice
-FROM k JOIN q USING (pos)""", ids="R09")
+SELECT CAST(k.round AS BIGINT) AS round, CAST(sum(weight) AS BIGINT) AS draws, CAST(count(*) AS BIGINT) AS distinct_rows,
+       round(sum(weight * o_totalprice) / sum(weight), 4) AS mean_price FROM k JOIN q USING (pos) GROUP BY k.round""", ids="R09")
 def q_bootstrap(spark, sf_dir):
+    """Bootstrap means of 200 rounds."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return sp.bootstrap(o, "o_orderkey", 5, SEED).select("round", "weight", "o_orderkey", "o_totalprice")
+    b = sp.bootstrap(o, "o_orderkey", ROUNDS, SEED)
+    return b.groupBy("round").agg(F.sum("weight").alias("draws"), F.count(F.lit(1)).alias("distinct_rows"),
+                                  F.round(F.sum(F.col("weight") * F.col("o_totalprice")) / F.sum("weight"), 4).alias("mean_price"))

@@ -8,7 +8,8 @@ from ..functions import datetime as dt
 from ..operators import frame as fr
 from ..operators import timeseries as ts_ops
 from .catalog import r6, register, table
-from .samples import SampleConfig, build_samples, fill_missing
+from ..sources.io import load_samples, scratch_path, write_samples
+from .samples import SampleConfig, build_samples, fill_missing, sample_arrays
 
 # ---------------------------------------------------------------------------------------------------
 # T01 flagship: 6-hour means, complete 5-lag samples, chronological 70/10/20 split per event type
@@ -45,7 +46,7 @@ def ts_samples_df(spark, sf_dir, minutes=360, lag=5):
     return s.select("segment", "ts", *[r6(c).alias(c) for c in lag_cols], r6("y").alias("y"), "split")
 
 
-@register("ts_samples", samples_sql(360, 5), ids="T01 P04 A09 W05 W07 X22")
+@register("ts_samples", samples_sql(360, 5), ids="T01 P04 A09 W05 W07")
 def q_ts_samples(spark, sf_dir):
     return ts_samples_df(spark, sf_dir, 360, 5)
 
@@ -55,10 +56,70 @@ def q_ts_samples_hourly(spark, sf_dir):
     return ts_samples_df(spark, sf_dir, 60, 5)
 
 
-@register("ts_samples_scaled", ids="T01 F06 X16")
+_SCALED = ", ".join(f"round(({c} - lo) / CASE WHEN hi > lo THEN hi - lo ELSE 1 END, 5) AS {c}" for c in ("lag_5", "lag_4", "lag_3", "lag_2", "lag_1", "y"))
+
+
+@register("ts_samples_scaled", f"""
+WITH s AS ({samples_sql(60, 5).replace(", 6) AS", ", 12) AS")}), r AS (SELECT min(y) AS lo, max(y) AS hi FROM s WHERE split = 'train')
+SELECT segment, ts, {_SCALED}, split FROM s, r""", ids="T01 F06 X16")
 def q_ts_samples_scaled(spark, sf_dir):
     cfg = SampleConfig(segment="event_type", ts="ts", target="value", resample_minutes=60, lag=5, normalize=True)
-    return build_samples(table(spark, sf_dir, "events"), cfg)
+    s = build_samples(table(spark, sf_dir, "events"), cfg)
+    return s.select("segment", "ts", *[r6(f"lag_{i}", 5).alias(f"lag_{i}") for i in range(5, 0, -1)], r6("y", 5).alias("y"), "split")
+
+
+# the daily series of order prices on a grid of two days: every second value stands exactly on the grid
+PRIORITY_IDS = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "4-NOT SPECIFIED": 4, "5-LOW": 5}
+_GRID_SAMPLES_SQL = """
+WITH o AS (SELECT DISTINCT * FROM (SELECT o_orderkey, o_orderpriority, o_orderdate, o_totalprice FROM orders UNION ALL
+                                   SELECT o_orderkey, o_orderpriority, o_orderdate, o_totalprice FROM orders WHERE o_orderkey % 5 = 0)),
+e AS (SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 3 WHEN '4-NOT SPECIFIED' THEN 4 ELSE 5 END AS segment,
+             o_orderdate AS ts, CAST(o_totalprice AS FLOAT) AS v, time_bucket(INTERVAL '2 days', o_orderdate, TIMESTAMP '1970-01-01') AS g FROM o),
+b AS (SELECT segment, g AS ts, coalesce(avg(v) FILTER (WHERE ts = g), avg(v)) AS y FROM e GROUP BY segment, g),
+l AS (SELECT segment, ts, y, lag(y, 3) OVER w AS lag_3, lag(y, 2) OVER w AS lag_2, lag(y, 1) OVER w AS lag_1, lag(ts, 3) OVER w AS t3
+      FROM b WINDOW w AS (PARTITION BY segment ORDER BY ts)),
+s AS (SELECT * FROM l WHERE t3 = ts - INTERVAL '6 days'),
+p AS (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY ts) - 1 AS pos, count(*) OVER (PARTITION BY segment) AS n FROM s)
+SELECT segment, ts, round(lag_3, 4) AS lag_3, round(lag_2, 4) AS lag_2, round(lag_1, 4) AS lag_1, round(y, 4) AS y,
+  CASE WHEN pos < floor(n * 0.7::DOUBLE) THEN 'train' WHEN pos < floor(n * (0.7::DOUBLE + 0.1::DOUBLE)) THEN 'val' ELSE 'test' END AS split
+FROM p WHERE floor(n * 0.7::DOUBLE) > 0 AND floor(n * (0.7::DOUBLE + 0.1::DOUBLE)) > floor(n * 0.7::DOUBLE) AND n > floor(n * (0.7::DOUBLE + 0.1::DOUBLE))"""
+
+
+def _grid_samples(spark, sf_dir):
+    """T01 with all its steps: repeated rows, id map, narrow types, exact values on the grid."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
+    o = o.unionAll(o.where(F.col("o_orderkey") % 5 == 0))
+    cfg = SampleConfig(segment="o_orderpriority", ts="o_orderdate", target="o_totalprice", resample_minutes=2 * 1440, lag=3,
+                       value_map=PRIORITY_IDS, exact_on_grid=True, unique=True, narrow=True)
+    return build_samples(o, cfg).withColumnRenamed("o_orderdate", "ts")
+
+
+@register("ts_samples_grid", _GRID_SAMPLES_SQL, ids="T01 U02 P18 P23 X23 W11 W05 W07")
+def q_ts_samples_grid(spark, sf_dir):
+    s = _grid_samples(spark, sf_dir)
+    return s.select("segment", "ts", *[r6(c, 4).alias(c) for c in ("lag_3", "lag_2", "lag_1", "y")], "split")
+
+
+@register("sample_arrays", f"""
+WITH s AS ({_GRID_SAMPLES_SQL})
+SELECT segment, ts, CAST(segment AS DOUBLE) AS id_first, lag_3 AS first, CAST(segment AS DOUBLE) AS id_last, lag_1 AS last,
+       CAST(3 AS INTEGER) AS steps, CAST(2 AS INTEGER) AS channels, y FROM s WHERE split = 'train'""", ids="X22 K03 S14 T01")
+def q_sample_arrays(spark, sf_dir):
+    """Samples as (step, channel) arrays with the id channel, written by split and read back."""
+    path = scratch_path(spark, "sample_arrays")
+    write_samples(sample_arrays(_grid_samples(spark, sf_dir), 3), path, "x", 3)
+    s, x = load_samples(spark, path, "train"), F.col("x")
+    return s.select("segment", "ts", x[0][0].alias("id_first"), r6(x[0][1], 4).alias("first"), x[2][0].alias("id_last"), r6(x[2][1], 4).alias("last"),
+                    F.size(x).alias("steps"), F.size(x[0]).alias("channels"), r6("y", 4).alias("y"))
+
+
+@register("invalid_segments", """
+WITH n AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1)
+SELECT user_id, n FROM n WHERE NOT (floor(n * 0.7::DOUBLE) > 0 AND floor(n * (0.7::DOUBLE + 0.1::DOUBLE)) > floor(n * 0.7::DOUBLE)
+                                    AND n > floor(n * (0.7::DOUBLE + 0.1::DOUBLE)))""", ids="K08")
+def q_invalid_segments(spark, sf_dir):
+    """Segments that a chronological split drops."""
+    return ts_ops.invalid_segments(table(spark, sf_dir, "events"), "user_id")
 
 
 @register("segment_report", f"""
@@ -205,7 +266,7 @@ r AS (SELECT event_type, ts, CASE WHEN count(value) OVER w = 5 THEN avg(value) O
 SELECT event_type, ts, round(value_roll, 6) AS value_roll FROM r WHERE value_roll IS NOT NULL
 """, ids="W01")
 def q_rolling_mean(spark, sf_dir):
-    out = ts_ops.rolling_mean(_hourly(spark, sf_dir), "event_type", "ts", "value", 5, name="value_roll")
+    out = ts_ops.rolling_mean(_hourly(spark, sf_dir), "event_type", "ts", "value", 5, name="value_roll", block_rows=64)
     return out.select("event_type", "ts", r6("value_roll").alias("value_roll"))
 
 
@@ -270,26 +331,39 @@ def q_left_update(spark, sf_dir):
 # ---------------------------------------------------------------------------------------------------
 
 @register("chrono_split", """
-WITH p AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts) - 1 AS pos,
+WITH p AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS pos,
                   count(*) OVER (PARTITION BY event_type) AS n FROM events)
 SELECT event_id, event_type, CASE WHEN pos < floor(n * 0.7::DOUBLE) THEN 'train'
   WHEN pos < floor(n * (0.7::DOUBLE + 0.1::DOUBLE)) THEN 'val' ELSE 'test' END AS split FROM p
 """, ids="W07")
 def q_chrono_split(spark, sf_dir):
-    out = ts_ops.chrono_split(_events(spark, sf_dir), "event_type", "ts", (0.7, 0.1, 0.2), block_seconds=86400)
+    out = ts_ops.chrono_split(_events(spark, sf_dir), "event_type", "ts", (0.7, 0.1, 0.2), ties=["event_id"], block_rows=256)
     return out.select("event_id", "event_type", "split")
 
 
 @register("chrono_split_flex", """
-WITH p AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts) - 1 AS pos,
+WITH p AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS pos,
                   count(*) OVER (PARTITION BY event_type) AS n FROM events)
 SELECT event_id, event_type, CASE WHEN pos < floor(n * 0.8::DOUBLE) THEN 'train' ELSE 'val' END AS split FROM p
 """, ids="W08")
 def q_chrono_split_flex(spark, sf_dir):
-    out = ts_ops.chrono_split_flex(_events(spark, sf_dir), "event_type", "ts", (0.8, 0.2, 0.0))
+    out = ts_ops.chrono_split_flex(_events(spark, sf_dir), "event_type", "ts", (0.8, 0.2, 0.0), ties=["event_id"], block_rows=300)
     return out.select("event_id", "event_type", "split")
 
 
+@register("chrono_split_cases", """
+WITH p AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS pos,
+                  count(*) OVER (PARTITION BY event_type) AS n FROM events)
+SELECT event_id, 'train' AS all_train, CASE WHEN pos < floor(n * 0.6::DOUBLE) THEN 'train'
+  WHEN pos < floor(n * (0.6::DOUBLE + 0.3::DOUBLE)) THEN 'val' ELSE 'test' END AS three FROM p
+""", ids="W08")
+def q_chrono_split_cases(spark, sf_dir):
+    """The other two cases: everything is train; all three parts."""
+    a = ts_ops.chrono_split_flex(_events(spark, sf_dir), "event_type", "ts", (1.0, 0.0, 0.0), name="all_train", ties=["event_id"])
+    b = ts_ops.chrono_split_flex(_events(spark, sf_dir), "event_type", "ts", (0.6, 0.3, 0.1), name="three", ties=["event_id"])
+    return a.select("event_id", "all_train").join(b.select("event_id", "three"), "event_id")
+
+
 @register("sliding_samples", """
 WITH g AS (SELECT event_type, unnest(generate_series(time_bucket(INTERVAL '60 minutes', min(ts)), max(ts),
                                                      INTERVAL '60 minutes')) AS ts FROM events GROUP BY 1),

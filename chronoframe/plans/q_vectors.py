@@ -85,26 +85,27 @@ def q_array_top_k(spark, sf_dir):
 
 
 @register("poly_bounds", """
-WITH p AS (SELECT vec_id, list_slice(CAST(embedding AS DOUBLE[]), 1, 8) AS poly FROM embeddings)
+WITH p AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS poly FROM embeddings)
 SELECT vec_id, list_min(list_filter(poly, lambda v, i: i % 2 = 1)) AS xmin, list_min(list_filter(poly, lambda v, i: i % 2 = 0)) AS ymin,
        list_max(list_filter(poly, lambda v, i: i % 2 = 1)) AS xmax, list_max(list_filter(poly, lambda v, i: i % 2 = 0)) AS ymax
 FROM p""", ids="X20")
 def q_poly_bounds(spark, sf_dir):
     e = _emb(spark, sf_dir)
-    b = e.select("vec_id", vx.poly_bounds(F.slice(F.col("embedding").cast("array<double>"), 1, 8)).alias("b"))
+    b = e.select("vec_id", vx.poly_bounds(F.col("embedding").cast("array<double>")).alias("b"))
     return b.select("vec_id", "b.xmin", "b.ymin", "b.xmax", "b.ymax")
 
 
 @register("flatten_array", """
-WITH f AS (SELECT vec_id, flatten([list_slice(CAST(embedding AS DOUBLE[]), 1, 2), list_slice(CAST(embedding AS DOUBLE[]), 3, 4),
+WITH f AS (SELECT vec_id, flatten([list_slice(CAST(embedding AS DOUBLE[]), 1, 2), list_slice(CAST(embedding AS DOUBLE[]), 3, len(embedding)),
                                    [CAST(label AS DOUBLE)]]) AS v FROM embeddings)
-SELECT vec_id, CAST(len(v) AS INTEGER) AS n, v[1] AS first, v[len(v)] AS last FROM f""", ids="X21")
+SELECT vec_id, CAST(len(v) AS INTEGER) AS n, v[1] AS first, v[len(v)] AS last, round(list_sum(v), 6) AS total FROM f""", ids="X21")
 def q_flatten_array(spark, sf_dir):
     e = _emb(spark, sf_dir)
     x = F.col("embedding").cast("array<double>")
-    f = e.select("vec_id", vx.flatten_values(F.slice(x, 1, 2), F.slice(x, 3, 2),
-                                             F.array(F.col("label").cast("double"))).alias("v"))
-    return f.select("vec_id", F.size("v").alias("n"), F.element_at("v", 1).alias("first"), F.element_at("v", -1).alias("last"))
+    nested = F.array(F.slice(x, 1, 2), F.slice(x, F.lit(3), F.size(x)))
+    f = e.select("vec_id", vx.flatten_values(e, [nested, F.col("label")]).alias("v"))     # a nested array and a scalar
+    return f.select("vec_id", F.size("v").alias("n"), F.element_at("v", 1).alias("first"), F.element_at("v", -1).alias("last"),
+                    r6(F.aggregate("v", F.lit(0.0), lambda a, v: a + v)).alias("total"))
 
 
 @register("softmax", """

@@ -66,4 +66,20 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
+    _STAGES.append((spark.sparkContext.applicationId, path))
     return spark.read.parquet(path)
+
+
+_STAGES: list[tuple[str, str]] = []
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the stage folders that this application has written so far and give their number.  Call it when
+    the results built on them have been written or are not needed any more."""
+    app, jvm = spark.sparkContext.applicationId, spark.sparkContext._jvm
+    mine = [p for a, p in _STAGES if a == app]
+    for p in mine:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _STAGES[:] = [(a, p) for a, p in _STAGES if a != app]
+    return len(mine)

@@ -7,6 +7,7 @@ sets to a shared file system; nothing is written to a machine-local folder there
 
 from __future__ import annotations
 
+import fnmatch
 import uuid
 from collections.abc import Sequence
 
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shuffle_partitions
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -43,11 +44,27 @@ def read_csvs(spark: SparkSession, paths, schema: StructType | str | None = None
     elif infer:
         r = r.option("inferSchema", True)
     df = r.csv(paths)
-    if not df.inputFiles():
+    if schema is not None and not _any_file(spark, paths, suffix):
         raise FileNotFoundError(f"no {suffix} file under {paths}")
     return df
 
 
+def _any_file(spark: SparkSession, paths: Sequence[str], suffix: str) -> bool:
+    """Whether a file matches, by Hadoop's lazy listing up to the first match (no list of all files)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        for s in fs.globStatus(path) or []:
+            if s.isFile():
+                return True
+            files = fs.listFiles(s.getPath(), True)
+            while files.hasNext():
+                if fnmatch.fnmatch(files.next().getPath().getName(), suffix):
+                    return True
+    return False
+
+
 def read_json(spark: SparkSession, paths, schema: StructType | str | None = None, multiline: bool = False) -> DataFrame:
     """JSON lines (or whole-file JSON documents with ``multiline``)."""
     r = spark.read.option("multiLine", multiline)
@@ -79,9 +96,10 @@ def with_path_parts(df: DataFrame, n: int, prefix: str = "dir", int_parts: Seque
     return df.select("*", *cols)
 
 
-def label_from_path(paths: DataFrame, path_col: str = "path", name: str = "label") -> DataFrame:
-    """Class label = the parent folder of a file path."""
-    return paths.withColumn(name, F.element_at(F.split(F.col(path_col), "/"), -2))
+def label_from_path(paths: DataFrame, path_col: str = "path", name: str = "label", up: int = 1, strip_key: bool = True) -> DataFrame:
+    """Class label = the folder ``up`` levels above a file; of ``key=value`` folders the value."""
+    label = F.element_at(F.split(F.col(path_col), "/"), -1 - up)
+    return paths.withColumn(name, F.regexp_replace(label, "^[^=]*=", "") if strip_key else label)
 
 
 def date_range(lo: Column, hi: Column, step: str) -> Column:
@@ -90,10 +108,12 @@ def date_range(lo: Column, hi: Column, step: str) -> Column:
 
 
 def write_samples(df: DataFrame, path: str, x_col: str, lag: int, mode: str = "append") -> None:
-    """Append sample rows partitioned by ``split``; the width of every sample must be ``lag``
-    (checked while writing with ``assert_true``)."""
-    checked = df.withColumn("_ok", F.assert_true(F.size(x_col) == lag, F.lit(f"sample width differs from {lag}")))
-    checked.drop("_ok").write.mode(mode).partitionBy("split").parquet(path)
+    """Append sample rows partitioned by ``split``; the width of every sample must be ``lag``, or the write
+    fails.  The check is part of the sample column itself: a column of its own would be pruned."""
+    kind = dict(df.dtypes)[x_col]
+    wrong = F.raise_error(F.concat(F.lit(f"sample width differs from {lag}: "), F.size(x_col).cast("string"))).cast(kind)
+    checked = df.withColumn(x_col, F.when(F.size(x_col) == lag, F.col(x_col)).otherwise(wrong))
+    checked.write.mode(mode).partitionBy("split").parquet(path)
 
 
 def load_samples(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
@@ -108,9 +128,10 @@ def write_by_segment(df: DataFrame, path: str, segment: str, fmt: str = "parquet
 
 
 def sort_files(df: DataFrame, path: str, file_key: str, order: Sequence[str], fmt: str = "parquet") -> None:
-    """Rewrite each input file (one per ``file_key``) sorted by ``order`` – a shuffle by file key,
-    a sort inside each partition, no global sort."""
-    (df.repartition(file_key).sortWithinPartitions(file_key, *order)
+    """Rewrite the rows of each ``file_key`` sorted by ``order``: one range partitioning by (key, order), so a
+    large key is written by many tasks as files that follow one another, each sorted."""
+    n = shuffle_partitions(df.sparkSession)
+    (df.repartitionByRange(n, file_key, *order).sortWithinPartitions(file_key, *order)
        .write.mode("overwrite").partitionBy(file_key).format(fmt).save(path))
 
 

@@ -17,7 +17,7 @@ def test_accuracy_confusion_cost(spark):
     df = spark.createDataFrame(list(zip(y, p)), "y int, p int")
     assert mt.accuracy(df, "y", "p").first()[0] == pytest.approx(0.6)
     assert mt.zero_one_cost(df, "y", "p").first()[0] == 4
-    wide = mt.confusion_matrix(df, "y", "p").orderBy("actual").collect()
+    wide = mt.confusion_matrix(df, "y", "p", [0, 1, 2]).orderBy("actual").collect()
     assert [list(r)[1:] for r in wide] == [[2, 1, 1], [1, 2, 0], [0, 1, 2]]
     animals = spark.createDataFrame([("Cat", "Cat"), ("Dog", "Cat"), ("Cat", "Cat"), ("Cat", "Cat"), ("Cat", "Cat")],
                                     "y string, p string")
