@@ -227,7 +227,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     member = placed.select("rep", "text_key", "grp", "block", F.explode(F.sequence(F.lit(0), (F.greatest("blocks", F.lit(1)) - 1).cast("int"))).alias("other"))
     tiles = member.select("rep", "text_key", "grp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).alias("second"))
     texts = id_text(df, id_col, text_col).select(F.col("_id").alias("rep"), F.col("_text"), F.sha2(F.col("_text").cast("binary"), 256).alias("_key"))
-    needed = texts.join(placed.select("rep", F.lower(F.hex("text_key")).alias("_key")), ["rep", "_key"], "left_semi")
+    # one shuffle of the texts at every size, so that its cost follows the input
+    needed = texts.join(placed.select("rep", F.lower(F.hex("text_key")).alias("_key")).hint("merge"), ["rep", "_key"], "left_semi")
     needed = materialize(needed.dropDuplicates(["rep"]).select("rep", "_text"), "candidates")
     rows_in = tiles.join(needed, "rep").select("grp", "i", "j", "second", "rep", "_text")
     found = materialize(verify(rows_in, threshold, words), "verified")
