@@ -176,12 +176,17 @@ def knn_class_share(train: DataFrame, query: DataFrame, id_col: str, vec: str, l
     numbers; ties go to the least train id.
     """
     spark = train.sparkSession
-    width = vector_width(train.select(vec).unionByName(query.select(vec)), vec)
     x = F.col(vec).cast("array<double>")
-    tr = train.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("long").alias("lab"), x.alias("x"))
-    qu = query.select(F.col(id_col).cast("long").alias("id"), F.lit(0).cast("long").alias("lab"), x.alias("x"))
-    rate = max(cell_rows, -(-tr.count() // max_pivots))
-    chosen = tr.where(F.pmod(F.xxhash64("id"), F.lit(rate)) == 0).orderBy("id").select("x").collect()
+    tr = train.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("long").alias("lab"), x.alias("x"), F.lit(True).alias("train"))
+    qu = query.select(F.col(id_col).cast("long").alias("id"), F.lit(0).cast("long").alias("lab"), x.alias("x"), F.lit(False).alias("train"))
+    both = materialize(tr.unionByName(qu), "knn_rows")     # both sides feed several steps
+    lo, hi, total = both.agg(F.min(F.size("x")), F.max(F.size("x")), F.count_if("train")).first()
+    if lo != hi:
+        raise ValueError(f"vectors of {vec} have widths from {lo} to {hi}")
+    width = lo or 0
+    tr, qu = both.where("train").drop("train"), both.where("NOT train").drop("train")
+    rate = max(cell_rows, -(-total // max_pivots))
+    chosen = tr.where(F.pmod(F.xxhash64("id"), F.lit(rate)) == 0).orderBy("id").select("x").collect() if total > cell_rows else []
     pivots = np.array([r.x for r in chosen], dtype=np.float64).reshape(-1, width) if len(chosen) > 1 else np.zeros((1, width))
     shared = spark.sparkContext.broadcast(pivots)
 
@@ -191,8 +196,11 @@ def knn_class_share(train: DataFrame, query: DataFrame, id_col: str, vec: str, l
             own = d.argmin(axis=1)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own.astype(np.int32)), pa.array(d[np.arange(len(d)), own])], names=["id", "lab", "x", "cell", "d"])
 
-    tr = materialize(tr.mapInArrow(near, "id long, lab long, x array<double>, cell int, d double"), "knn_train")
-    cells = {r.cell: (r.n, r.r) for r in tr.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("r")).collect()}   # one row per pivot
+    if len(pivots) > 1:
+        tr = materialize(tr.mapInArrow(near, "id long, lab long, x array<double>, cell int, d double"), "knn_train")
+        cells = {r.cell: (r.n, r.r) for r in tr.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("r")).collect()}   # one row per pivot
+    else:
+        tr, cells = tr.withColumn("cell", F.lit(0)), {0: (total, float("inf"))}
     count = np.array([cells.get(c, (0, 0.0))[0] for c in range(len(pivots))])
     radius = np.array([cells.get(c, (0, -np.inf))[1] for c in range(len(pivots))])
     blocks = np.maximum(1, -(-count // block_rows))
@@ -214,7 +222,10 @@ def knn_class_share(train: DataFrame, query: DataFrame, id_col: str, vec: str, l
         return run
 
     def search(q: DataFrame, first: bool) -> DataFrame:
-        go = q.mapInArrow(visits(first), "id long, lab long, x array<double>, cell int, m int")
+        if len(pivots) > 1:
+            go = materialize(q.mapInArrow(visits(first), "id long, lab long, x array<double>, cell int, m int"), "knn_visits")
+        else:
+            go = q.select("id", "lab", "x", F.lit(0).alias("cell"), F.lit(int(blocks[0])).alias("m"))
         block = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
         qb = F.greatest(F.ceil(F.col("c") / F.lit(block_rows)), F.lit(1))
         sizes = go.groupBy("cell").agg(F.count(F.lit(1)).alias("c")).select("cell", qb.alias("h"))
@@ -226,8 +237,9 @@ def knn_class_share(train: DataFrame, query: DataFrame, id_col: str, vec: str, l
 
     w = Window.partitionBy("qid").orderBy("d2", "tid")
     best = lambda d: d.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k)
-    found = materialize(best(search(qu, True)).drop("_rk"), "knn_first")
+    found = best(search(qu, True)).drop("_rk")
     if len(pivots) > 1:
+        found = materialize(found, "knn_first")
         bound = found.groupBy("qid").agg(F.when(F.count(F.lit(1)) == k, F.sqrt(F.max("d2"))).otherwise(F.lit(float("inf"))).alias("r"))
         q2 = qu.join(bound, qu["id"] == bound["qid"], "left").select("id", "lab", "x", F.coalesce("r", F.lit(float("inf"))).alias("r"))
         found = best(found.unionByName(search(q2, False))).drop("_rk")
