@@ -40,11 +40,6 @@ def minmax(c, lo: Column, hi: Column) -> Column:
     return (_c(c) - lo) / rng
 
 
-def inverse_minmax(c, lo: Column, hi: Column) -> Column:
-    rng = F.when(hi > lo, hi - lo).otherwise(F.lit(1.0))
-    return _c(c) * rng + lo
-
-
 def sigmoid(c) -> Column:
     """``1 / (1 + e^−x)``."""
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-_c(c)))

@@ -154,6 +154,19 @@ def q_yolo_to_abs(spark, sf_dir):
     return boxes.drop("poly")
 
 
+@register("annotation_records", _BOX_SQL + """,
+g AS (SELECT *, CAST(trunc(w * width) AS INTEGER) AS wa, CAST(trunc(h * height) AS INTEGER) AS ha FROM p WHERE stem NOT IN (SELECT stem FROM bad))
+SELECT stem, any_value(height) AS height, any_value(width) AS width, CAST(count(*) AS INTEGER) AS annotations, CAST(sum(wa * ha) AS BIGINT) AS area,
+       CAST(count(*) * 8 AS INTEGER) AS corners FROM g GROUP BY stem""", ids="S09")
+def q_annotation_records(spark, sf_dir):
+    """The nested record of each image, summed up."""
+    lines, images = _box_inputs(spark, sf_dir)
+    r = an.annotation_records(an.yolo_to_abs(lines, images)[0], images)
+    area = F.aggregate("annotations", F.lit(0).cast("long"), lambda a, x: a + (x["bbox"][2] - x["bbox"][0]) * (x["bbox"][3] - x["bbox"][1]))
+    corners = F.aggregate("annotations", F.lit(0), lambda a, x: a + F.size(x["segmentation"][0]))
+    return r.select("stem", "height", "width", F.size("annotations").alias("annotations"), area.alias("area"), corners.alias("corners"))
+
+
 @register("yolo_failed", _BOX_SQL + "\nSELECT stem FROM bad", ids="S09")
 def q_yolo_failed(spark, sf_dir):
     lines, images = _box_inputs(spark, sf_dir)
