@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import id_text, text_groups
-from .pieces import PieceTable, spaced_chunks, worker_table
+from .common import arrow_groups, id_text, ragged
+from .pieces import PieceTable, chunk_of, parted, worker_table
 
 NONE = np.int32(2**31 - 1)
 LONG = 512
@@ -171,13 +171,19 @@ class MatrixBpe:
                 low[t] = grid[t].min()
         return sym[:n][sym[:n] >= 0].astype(np.uint32)
 
-    def encode_chunks(self, chunks: list[str]) -> list[np.ndarray]:
-        """Ids of chunks: matches of the pattern, each distinct one encoded once."""
-        found = [[m.encode("utf-8") for m in self.split.findall(c)] for c in chunks]
-        distinct = {p: i for i, p in enumerate(dict.fromkeys(p for f in found for p in f))}
-        ids = self.encode_pieces(list(distinct))
-        none = np.zeros(0, dtype=np.uint32)
-        return [ids[distinct[f[0]]] if len(f) == 1 else np.concatenate([ids[distinct[p]] for p in f]) if f else none for f in found]
+    def encode_chunks(self, keys: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of chunks (see :mod:`.pieces`): matches of the pattern, each distinct one encoded once."""
+        distinct: dict[str, int] = {}
+        rows, counts = [], []
+        for k in keys:
+            found = self.split.findall(chunk_of(k))
+            counts.append(len(found))
+            rows += [distinct.setdefault(m, len(distinct)) for m in found]
+        ids, starts, lengths = parted(self.encode_pieces([m.encode("utf-8") for m in distinct]))
+        n = lengths[rows]
+        cum = np.concatenate([[0], np.cumsum(n)])
+        bounds = cum[np.concatenate([[0], np.cumsum(counts)])]
+        return ids[ragged(starts[rows], n)], bounds[:-1], np.diff(bounds)
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.token.__getitem__, ids.tolist()))
@@ -194,8 +200,8 @@ def _coder(rank_file: bytes, pattern: str) -> MatrixBpe:
     return _CODERS[key]
 
 
-def _emit(ids: list, payload: list, extra: list, names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(payload, pa.binary()), pa.array(extra, pa.int64())], names=names)
+def _emit(ids: pa.Array, payload: list, extra: list, names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([ids, pa.array(payload, pa.binary()), pa.array(extra, pa.int64())], names=names)
 
 
 def encode(df: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -209,9 +215,9 @@ def encode(df: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = shared.value
         coder = _coder(data, pattern)
-        table = worker_table(("bpe", hash(data), pattern), lambda: PieceTable(coder.encode_chunks, spaced_chunks, capacity=300_000))
+        table = worker_table(("bpe", hash(data), pattern), lambda: PieceTable(coder.encode_chunks, True, capacity=300_000))
         for b in batches:
-            for ids, texts in text_groups(b.column(0), b.column(1)):
+            for ids, texts in arrow_groups(b.column(0), b.column(1)):
                 got = table.encode(texts)
                 yield _emit(ids, [x.astype("<u4").tobytes() for x in got], [len(x) for x in got], [id_col, "ids", "n_tokens"])
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -19,8 +21,13 @@ def id_text(df: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] =
 
 
 def text_groups(ids: pa.Array, texts: pa.Array, group_bytes: int = 1 << 20) -> Iterator[tuple[list, list]]:
-    """Slices of one Arrow batch with about ``group_bytes`` of text each (a longer text stands alone);
-    a null text is given as ``None``."""
+    """:func:`arrow_groups` as lists; a null text is given as ``None``."""
+    for i, t in arrow_groups(ids, texts, group_bytes):
+        yield i.to_pylist(), t.to_pylist()
+
+
+def arrow_groups(ids: pa.Array, texts: pa.Array, group_bytes: int = 4 << 20) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Slices of one Arrow batch with about ``group_bytes`` of text each (a longer text stands alone)."""
     n = len(texts)
     if not n:
         return
@@ -28,7 +35,19 @@ def text_groups(ids: pa.Array, texts: pa.Array, group_bytes: int = 1 << 20) -> I
     part = (np.cumsum(size) - size) // group_bytes
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [n]])
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        yield ids.slice(a, b - a).to_pylist(), texts.slice(a, b - a).to_pylist()
+        yield ids.slice(a, b - a), texts.slice(a, b - a)
+
+
+def block_of(value, cuts: list):
+    """Number of ``cuts`` (sorted, bounded by the caller) that are not above the value, by binary search.
+    The value must not be null (a column of whole numbers with nulls would reach Python as floats)."""
+    keep = list(cuts)
+
+    @F.pandas_udf("int")
+    def place(s: pd.Series) -> pd.Series:
+        return pd.Series([bisect.bisect_right(keep, v) for v in s.tolist()], dtype="int32")
+
+    return place(value) if keep else F.lit(0)
 
 
 def codes(text: str) -> np.ndarray:

@@ -22,8 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, text_groups
-from .pieces import blank_words, library_table, worker_table
+from .common import arrow_groups, id_text
+from .pieces import library_table, worker_table
 
 SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
@@ -140,7 +140,7 @@ def pack(df: DataFrame, vocabulary_path: str, window: int = 4096, end_id: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = shared.value
-        table = worker_table(("words", hash(data)), lambda: library_table(data, blank_words))
+        table = worker_table(("words", hash(data)), lambda: library_table(data, False))
         packer = SumOfSquares(window, max_open)
         number = TaskContext.get().partitionId() << 32
         end = np.array([end_id], dtype=np.uint32)
@@ -161,9 +161,9 @@ def pack(df: DataFrame, vocabulary_path: str, window: int = 4096, end_id: int =
                                                  names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
         for b in batches:
-            for docs, texts in text_groups(b.column(0), b.column(1)):
+            for docs, texts in arrow_groups(b.column(0), b.column(1)):
                 full: list[list] = []
-                for doc, ids in zip(docs, table.encode(texts)):
+                for doc, ids in zip(docs.to_pylist(), table.encode(texts)):
                     full += packer.add(doc, np.concatenate([ids, end]))
                 yield from rows(full)
         yield from rows(packer.finish())

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from ..operators.order import bucketed_position
 from ..session import shuffle_partitions
-from .common import id_text, mix64, text_groups
-from .pieces import library_table, spaced_chunks, worker_table
+from .common import arrow_groups, id_text, mix64
+from .pieces import library_table, worker_table
 
 SHARD_BITS = 20
 
@@ -164,16 +164,16 @@ def write_store(df: DataFrame, path: str, vocabulary_path: str, end_id: int = 2,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = shared.value
-        table = worker_table(("bytes", hash(data)), lambda: library_table(data, spaced_chunks))
+        table = worker_table(("bytes", hash(data)), lambda: library_table(data, True))
         fs, root = file_system(path)
         fs.create_dir(f"{root}/payload", recursive=True)
         context = TaskContext.get()
         shard, out, tmp, at = context.partitionId() << SHARD_BITS, None, "", 0
         width, end = int(kind[2]), np.array([end_id], dtype=kind).tobytes()
         for b in batches:
-            for ids, group in text_groups(b.column(0), b.column(1)):
+            for ids, group in arrow_groups(b.column(0), b.column(1)):
                 rows: list[list] = [[], [], [], []]
-                for doc, tokens in zip(ids, table.encode(group)):
+                for doc, tokens in zip(ids.to_pylist(), table.encode(group)):
                     if out is None:
                         tmp, at = f"{root}/payload/_task-{context.taskAttemptId()}-{shard}", 0
                         out = fs.open_output_stream(tmp)
