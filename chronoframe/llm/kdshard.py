@@ -29,7 +29,7 @@ BINS = 4096
 BITS = 31
 
 
-def _spread(c: Column, kind: str, top: float = 1.0) -> Column:
+def _spread(c: Column, kind: str) -> Column:
     """Value of a dimension as a number of at most 31 bits that follows its order (null: 0)."""
     if kind == "string":
         lead = F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 4)), 8, "0"), 16, 10).cast("long")
@@ -99,7 +99,7 @@ def _narrow(live: DataFrame, searches: list[dict]) -> None:
             n["step"] = step
             place = F.col(f"d{n['dim']}")
             mine = (F.col("node") == n["node"]) & (place >= n["lo"]) & (place < n["hi"])
-            bin_of = F.when(mine, ((place - n["lo"]) / F.lit(step)).cast("long") if step == 1 else F.expr(f"(d{n['dim']} - {n['lo']}L) div {step}L")).otherwise(bin_of)
+            bin_of = F.when(mine, F.expr(f"(d{n['dim']} - {n['lo']}L) div {step}L")).otherwise(bin_of)
             inside = inside | mine
         found = live.where(inside).groupBy("node", bin_of.alias("bin")).agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n")).collect()
         by: dict = {}
