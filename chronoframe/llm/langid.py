@@ -3,9 +3,9 @@
 A text is lower-cased and cut into character n-grams; each n-gram hashes to one of ``buckets`` rows of an
 embedding matrix, the rows are averaged over the whole text, and a linear layer with softmax gives the
 probability of each language.  Embeddings and layer are trained by mini-batch stochastic gradient descent in
-numpy on the driver, on a bounded sample: at most ``per_language`` rows of each of the ``max_languages`` most
-common languages, taken in the order of a hash of the id, of texts of at most ``train_chars`` characters (the
-bounds concern the fit only; every text is predicted whole).  A fifth of the sample is held back: it sets the
+numpy on the driver, on a bounded sample: at most ``sample_rows`` rows, as many of each of the
+``max_languages`` most common languages, taken in the order of a hash of the id, of texts of at most ``train_chars``
+characters (the bounds concern the fit only; every text is predicted whole).  A fifth of the sample is held back: it sets the
 temperature of the softmax and two limits below which a prediction counts as rejected, both two fifths of the least
 value among its rightly predicted texts: the score, and the share of n-grams whose bucket training has seen.
 
@@ -31,7 +31,11 @@ from .common import codes, id_text, text_groups
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3, 4)
-LETTER = re.compile(r"[^\W\d_]")
+WORD = re.compile(r"[^\W\d_]")  # letters, and a few numbers that are not decimal digits
+
+
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in WORD.finditer(text))
 
 
 def fold(id_col: Column) -> Column:
@@ -87,7 +91,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, calibrated score, rejected."""
-        if text is None or not self.languages or not LETTER.search(text):
+        if text is None or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, True
         logits, seen = self.raw(text)
         p = softmax(logits / self.temperature)
@@ -153,14 +157,19 @@ def train(texts: list[str], labels: list[str], buckets: int = 1 << 16, dim: int
     return model
 
 
-def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 1500,
+def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 6000,
         max_languages: int = 64, train_chars: int = 12_000, **options) -> Model:
     """Train on a bounded sample of the rows with a label outside the held-out fold."""
-    rows = (df.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"), F.col(f"`{lang_col}`").alias("l"))
+    rows = (df.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"), F.col(f"`{lang_col}`").cast("string").alias("l"))
             .where((fold(F.col("i")) != 2) & F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}") & (F.length("t") <= train_chars)))
     keys = rows.select("l", "i", F.xxhash64("i").alias("h"))
-    common = keys.groupBy("l").count().orderBy(F.desc("count"), "l").limit(max_languages)
-    pick = (keys.join(F.broadcast(common.select("l")), "l").withColumn("n", F.row_number().over(Window.partitionBy("l").orderBy("h", "i")))
+    common = keys.groupBy("l").count().orderBy(F.desc("count"), "l").limit(max_languages).collect()
+    if not common:
+        return train([], [], **options)
+    per_language = max(1, sample_rows // len(common))
+    common = df.sparkSession.createDataFrame([(r["l"], r["count"]) for r in common], "l string, count long")
+    near = F.pmod("h", F.lit(1 << 40)) < F.lit(2.0 * per_language * (1 << 40)) / F.col("count")  # some twice the wanted rows of a language
+    pick = (keys.join(F.broadcast(common), "l").where(near).withColumn("n", F.row_number().over(Window.partitionBy("l").orderBy(F.pmod("h", F.lit(1 << 40)), "i")))
             .where(F.col("n") <= per_language).select("i").distinct())
     chosen = rows.join(F.broadcast(pick), "i").select("i", "t", "l").collect()
     chosen = sorted(((r.i, r.t, r.l) for r in chosen))

@@ -24,7 +24,7 @@ def test_held_out_accuracy(spark):
 
 def test_label_source_and_id_are_not_inputs(spark):
     docs = spark.read.parquet(SF)
-    model = langid.fit(docs, per_language=60)
+    model = langid.fit(docs, sample_rows=240)
     a = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, model).collect()}
     b = {r.doc_id - 5: (r.lang_pred, r.score) for r in langid.predict(docs.selectExpr("doc_id + 5 AS doc_id", "text"), model).collect()}
     assert a == b
@@ -32,7 +32,7 @@ def test_label_source_and_id_are_not_inputs(spark):
 
 def test_edge_rows(spark):
     rows = [(i, t, "en") for i, t in EDGE] + [(1000 + k, "the cat sat on the mat " * 5, "en") for k in range(30)] + [(2000 + k, "der hund und die katze " * 5, "de") for k in range(30)]
-    rows += [(3000, "12345 !!", "de"), (3001, "THE CAT SAT ON THE MAT", None), (3002, "ζξψω θλπ βγδ " * 9, None)]
+    rows += [(3000, "12345 !! ² Ⅷ ①", "de"), (3001, "THE CAT SAT ON THE MAT", None), (3002, "ζξψω θλπ βγδ " * 9, None)]
     df = documents(spark, rows)
     model = langid.fit(df)
     assert model.languages == ["de", "en"]
