@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
-from .common import codes, id_text, mix64, text_groups
+from .common import block_of, codes, id_text, mix64, text_groups
 
 BASE = np.uint64(0x100000001B3)
 LOW = np.uint64((1 << 24) - 1)
@@ -117,11 +117,7 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
     n = blocks or 2 * shuffle_partitions(spark)
     cuts = rows.approxQuantile("_id", [k / n for k in range(1, n)], 0.1 / n) if n > 1 else []
     cuts = sorted({int(c) for c in cuts or []})
-    spot = F.lit(0)
-    if cuts:
-        marks = F.array(*[F.lit(c) for c in cuts])
-        spot = F.when(F.col("_id").isNull(), 0).otherwise(F.size(F.filter(marks, lambda m: m <= F.col("_id"))))
-    rows = rows.withColumn("_block", spot.cast("int"))
+    rows = rows.withColumn("_block", block_of(F.coalesce("_id", F.lit(-2**63)), cuts))
     found = rows.groupBy("_block").agg(F.min("_id").alias("low"), F.max(F.col("_id").isNull()).alias("nul")).orderBy("_block").collect()
     if not found:
         return rows.select("_block", "_id", "_text", F.lit(0).alias("_end")), cuts
