@@ -57,7 +57,7 @@ def grams(text: str, buckets: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint32)
 
 
-def blocks(text: str, size: int = 1 << 20) -> Iterator[str]:
+def blocks(text: str, size: int = 1 << 18) -> Iterator[str]:
     """A long text in parts that overlap so that no n-gram is lost or counted twice for orders above one."""
     step = max(ORDERS) - 1
     if len(text) <= size:

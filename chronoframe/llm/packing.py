@@ -140,7 +140,7 @@ def pack(df: DataFrame, vocabulary_path: str, window: int = 4096, end_id: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = shared.value
-        table = worker_table(("words", hash(data)), lambda: library_table(data, False))
+        table = worker_table(("words", hash(data)), lambda: library_table(data, False, 400_000))
         packer = SumOfSquares(window, max_open)
         number = TaskContext.get().partitionId() << 32
         end = np.array([end_id], dtype=np.uint32)

@@ -146,7 +146,7 @@ def parted(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate([np.zeros(0, dtype=np.uint32), *ids]), np.cumsum(lengths) - lengths, lengths
 
 
-def library_table(vocabulary: bytes, spaced: bool) -> PieceTable:
+def library_table(vocabulary: bytes, spaced: bool, capacity: int = 600_000) -> PieceTable:
     """Table over a vocabulary file of the ``tokenizers`` library (strings of special tokens in a text are
     ordinary text).
 
@@ -207,4 +207,4 @@ def library_table(vocabulary: bytes, spaced: bool) -> PieceTable:
                 total += len(ids)
         return np.concatenate([np.zeros(0, dtype=np.uint32), *parts]), starts, lengths
 
-    return PieceTable(encode_many, spaced)
+    return PieceTable(encode_many, spaced, capacity)
