@@ -3,7 +3,7 @@
 The polynomial hash of every ``gram`` code points rolls over the text; of every ``window`` neighbouring hashes
 the least is chosen, the rightmost on ties, and kept with its position.  Two texts that share a passage of at
 least ``gram + window − 1`` code points share a chosen hash, whatever stands around it; no passage under
-``gram`` code points can match.  A fingerprint is written as ``position:hash`` (decimal, 16 hex digits) joined by spaces, a
+``gram`` code points can match.  The defaults find every shared passage of 23 code points, at all lengths of text.  A fingerprint is written as ``position:hash`` (decimal, 16 hex digits) joined by spaces, a
 likeness is the Jaccard index of the hash sets.
 
 Rows: a null text is empty; an empty text has the empty fingerprint, and two empty fingerprints are alike
@@ -27,6 +27,7 @@ from .common import block_of, codes, id_text, mix64, text_groups
 
 BASE = np.uint64(0x100000001B3)
 LOW = np.uint64((1 << 24) - 1)
+GRAM, WINDOW = 8, 16  # shared passages of 23 code points are found
 
 
 def gram_hashes(c: np.ndarray, gram: int) -> np.ndarray:
@@ -47,7 +48,7 @@ def gram_hashes(c: np.ndarray, gram: int) -> np.ndarray:
         span *= 2
 
 
-def winnow(text: str, gram: int = 32, window: int = 97, block: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
+def winnow(text: str, gram: int = GRAM, window: int = WINDOW, block: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
     """Positions (ascending) and hashes of the chosen grams."""
     c = codes(text)
     positions, hashes = [], []
@@ -91,7 +92,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = 32, window: int = 97) -> DataFrame:
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """``id_col, n_chars, positions`` (array of long)``, hashes`` (array of long: the 64 bits, signed) of every row."""
     names = [id_col, "n_chars", "positions", "hashes"]
 
@@ -136,7 +137,7 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
     return laid, cuts
 
 
-def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = 32, window: int = 97) -> DataFrame:
+def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """Fingerprint of each text and of its edited form (the last half replaced by the beginning of the next
     row's text in id order): ``id_col, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next``."""

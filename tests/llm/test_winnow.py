@@ -76,3 +76,19 @@ def test_plain_fingerprints_one_row_and_empty_tables(spark):
     one = w.edited_fingerprints(df.where("doc_id = 8")).collect()
     assert len(one) == 1 and one[0].near_next == 1.0
     assert w.edited_fingerprints(df.where("false")).count() == 0
+
+
+def test_short_texts_keep_their_likeness():
+    r = random.Random(5)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    off = []
+    for n in range(46, 257):
+        a, b = text(n), text(n)
+        e = a[:n - n // 2] + b[:n // 2]
+        near = w.likeness(w.winnow(a)[1], w.winnow(e)[1])
+        exact = w.likeness(*(w.gram_hashes(w.codes(x), w.GRAM) for x in (a, e)))
+        assert near > 0 and w.likeness(w.winnow(a)[1], w.winnow(b)[1]) < 0.1
+        off.append(abs(near - exact))
+    assert np.mean(off) < 0.08
+    passage = text(23)
+    assert set(w.winnow(text(500) + passage + text(300))[1].tolist()) & set(w.winnow(text(77) + passage + text(900))[1].tolist())
