@@ -6,8 +6,11 @@ probability of each language.  Embeddings and layer are trained by mini-batch st
 numpy on the driver, on a bounded sample: at most ``sample_rows`` rows, as many of each of the
 ``max_languages`` most common languages, taken in the order of a hash of the id, of texts of at most ``train_chars``
 characters (the bounds concern the fit only; every text is predicted whole).  A fifth of the sample is held back: it sets the
-temperature of the softmax and two limits below which a prediction counts as rejected, both two fifths of the least
-value among its rightly predicted texts: the score, and the share of n-grams whose bucket training has seen.
+temperature of the softmax and, for each of ``LENGTHS``, two limits below which a prediction counts as rejected: the
+score, and the share of 3- and 4-grams that training has seen (of 1- and 2-grams where a text has no longer one), held
+in a bit table of their own that is at most a 64th full, as far as 2**26 bits go.  The limits are the values that the
+share ``REJECTS`` of the rightly predicted pieces of that length, cut from the held-back texts, stays below; the score
+limit is never less than a tenth of the way from 1/languages to 1.
 
 The averaged layer is linear, so executors receive one table of bucket scores (``buckets`` x languages floats).
 
@@ -18,9 +21,11 @@ learned from; repeated rows are predicted each for itself; an empty or unlabelle
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +36,10 @@ from .common import codes, id_text, text_groups
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3, 4)
+LENGTHS = tuple(2 << k for k in range(10))  # code points; a text has the limits of the greatest that it reaches
+REJECTS = 0.001
+PIECES = 2  # of each length from each held-back text
+BITS = 1 << 26
 WORD = re.compile(r"[^\W\d_]")  # letters, and a few numbers that are not decimal digits
 
 
@@ -43,8 +52,8 @@ def fold(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string")) % 4
 
 
-def grams(text: str, buckets: int) -> np.ndarray:
-    """Bucket of every n-gram of a text (``buckets`` is a power of two)."""
+def hashed(text: str) -> list[np.ndarray]:
+    """Hash of every n-gram of a text, order by order."""
     c = codes(text.lower()).astype(np.uint32)
     out, h = [], np.zeros(len(c), dtype=np.uint32)
     for k in range(1, max(ORDERS) + 1):
@@ -53,8 +62,19 @@ def grams(text: str, buckets: int) -> np.ndarray:
         h = h[: len(c) - k + 1] * np.uint32(0x01000193) + c[k - 1:]
         if k in ORDERS:
             x = (h ^ np.uint32(k * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
-            out.append((x ^ (x >> np.uint32(15))) & np.uint32(buckets - 1))
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint32)
+            out.append(x ^ (x >> np.uint32(15)))
+    return out
+
+
+def grams(text: str, buckets: int) -> np.ndarray:
+    """Bucket of every n-gram of a text (``buckets`` is a power of two)."""
+    out = hashed(text)
+    return np.concatenate(out) & np.uint32(buckets - 1) if out else np.zeros(0, dtype=np.uint32)
+
+
+def marks(orders: list[np.ndarray]) -> np.ndarray:
+    """Of :func:`hashed`, what the share of seen n-grams is taken over."""
+    return np.concatenate(orders[2:] or orders) if orders else np.zeros(0, dtype=np.uint32)
 
 
 def blocks(text: str, size: int = 1 << 18) -> Iterator[str]:
@@ -70,24 +90,26 @@ def blocks(text: str, size: int = 1 << 18) -> Iterator[str]:
 @dataclass
 class Model:
     languages: list[str]
-    table: np.ndarray      # buckets x (languages + 1): scores, and 1 where training has seen the bucket
+    table: np.ndarray      # buckets x languages: scores
     bias: np.ndarray
+    bits: np.ndarray       # one bit for each hash of an n-gram (its low digits): training has seen it
     temperature: float = 1.0
-    least_score: float = 0.0
-    least_seen: float = 0.0
-
-    def sums(self, text: str) -> tuple[np.ndarray, int]:
-        total, n = np.zeros(self.table.shape[1]), 0
-        for part in blocks(text):
-            g = grams(part, len(self.table))
-            total += self.table[g].sum(axis=0, dtype=np.float64)
-            n += len(g)
-        return total, n
+    least_score: tuple[float, ...] = (0.0,) * len(LENGTHS)
+    least_seen: tuple[float, ...] = (0.0,) * len(LENGTHS)
 
     def raw(self, text: str) -> tuple[np.ndarray, float]:
         """Logits and the share of n-grams that training has seen."""
-        total, n = self.sums(text)
-        return total[:-1] / max(n, 1) + self.bias, float(total[-1] / max(n, 1))
+        total, n, seen, m = np.zeros(self.table.shape[1]), 0, 0, 0
+        for part in blocks(text):
+            orders = hashed(part)
+            for x in orders:
+                total += self.table[x & np.uint32(len(self.table) - 1)].sum(axis=0, dtype=np.float64)
+                n += len(x)
+            x = marks(orders)
+            at = x & np.uint32(8 * len(self.bits) - 1)
+            seen += int(np.count_nonzero(self.bits[at >> np.uint32(3)] & (np.uint8(1) << (at & np.uint32(7)).astype(np.uint8))))
+            m += len(x)
+        return total / max(n, 1) + self.bias, seen / max(m, 1)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, calibrated score, rejected."""
@@ -95,8 +117,8 @@ class Model:
             return UNKNOWN, 0.0, True
         logits, seen = self.raw(text)
         p = softmax(logits / self.temperature)
-        k = int(p.argmax())
-        return self.languages[k], float(p[k]), bool(p[k] < self.least_score or seen < self.least_seen)
+        k, reach = int(p.argmax()), max(0, bisect.bisect_right(LENGTHS, len(text)) - 1)
+        return self.languages[k], float(p[k]), bool(p[k] < self.least_score[reach] or seen < self.least_seen[reach])
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -109,14 +131,17 @@ def train(texts: list[str], labels: list[str], buckets: int = 1 << 16, dim: int
     """Fit on four fifths of the rows, calibrate on the rest."""
     languages = sorted(set(labels))
     if not languages:
-        return Model([], np.zeros((buckets, 1), dtype=np.float32), np.zeros(0))
+        return Model([], np.zeros((buckets, 0), dtype=np.float32), np.zeros(0), np.zeros(1, dtype=np.uint8))
     y = np.array([languages.index(x) for x in labels])
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(texts))
     held, fit = order[: len(order) // 5], order[len(order) // 5:]
-    sparse = []
+    sparse, known = [], np.zeros(BITS, dtype=bool)
     for i in fit.tolist():
-        g, n = np.unique(grams(texts[i], buckets), return_counts=True)
+        orders = hashed(texts[i])
+        for x in orders:
+            known[x & np.uint32(BITS - 1)] = True
+        g, n = np.unique(np.concatenate(orders) & np.uint32(buckets - 1), return_counts=True)
         sparse.append((g.astype(np.int64), (n / max(n.sum(), 1)).astype(np.float32)))
     e = rng.normal(0, 1 / dim, (buckets, dim)).astype(np.float32)
     w = np.zeros((dim, len(languages)), dtype=np.float32)
@@ -139,24 +164,45 @@ def train(texts: list[str], labels: list[str], buckets: int = 1 << 16, dim: int
             bias -= lr * 0.1 * d.sum(axis=0)
             for (g, f), b in zip(rows, back):
                 e[g] -= (lr * buckets ** 0.5) * f[:, None] * b  # n-gram shares are small: a larger step for them
-    seen = np.zeros((buckets, 1), dtype=np.float32)
-    for g, _ in sparse:
-        seen[g] = 1
-    model = Model(languages, np.hstack([e @ w, seen]), bias)
+    count = np.count_nonzero(known)
+    while len(known) > max(64 * count, 1 << 12):
+        known = known[: len(known) // 2] | known[len(known) // 2:]
+    model = Model(languages, e @ w, bias, np.packbits(known, bitorder="little"))
     test = held if len(held) else fit
-    got = [model.raw(texts[i]) for i in test.tolist()]
-    logits = np.stack([x for x, _ in got])
+    logits = np.stack([model.raw(texts[i])[0] for i in test.tolist()])
     grid = np.geomspace(0.05, 5, 60)
     loss = [-np.log(softmax(logits / t)[np.arange(len(test)), y[test]] + 1e-12).mean() for t in grid]
     model.temperature = float(grid[int(np.argmin(loss))])
-    p = softmax(logits / model.temperature)
-    right = p.argmax(axis=1) == y[test]
-    if right.any():
-        model.least_score = float(p.max(axis=1)[right].min() * 0.4)
-        model.least_seen = float(min(s for (_, s), r in zip(got, right) if r) * 0.4)
+    model.least_score, model.least_seen = limits(model, [texts[i] for i in test.tolist()], [labels[i] for i in test.tolist()], rng)
     return model
 
 
+def limits(model: Model, texts: list[str], labels: list[str], rng: np.random.Generator) -> tuple[tuple[float, ...], tuple[float, ...]]:
+    """Least score and least share of seen n-grams for each of ``LENGTHS``, from texts that were held back.  A length
+    that no text reaches has the limits of the one before; no length has a higher limit than a longer one, since short
+    texts vary more."""
+    floor = 0.9 / len(model.languages) + 0.1
+    scores, shares = [], []
+    for m in LENGTHS:
+        got = []
+        for text, label in zip(texts, labels):
+            for a in rng.integers(0, len(text) - m, PIECES, endpoint=True).tolist() if len(text) >= m else []:
+                if has_letter(piece := text[a: a + m]):
+                    logits, seen = model.raw(piece)
+                    p = softmax(logits / model.temperature)
+                    if model.languages[int(p.argmax())] == label:
+                        got.append((float(p.max()), seen))
+        for out, values, least in ((scores, [x for x, _ in got], floor), (shares, [x for _, x in got], 0.0)):
+            out.append(max(least, lowest(values)) if values else out[-1] if out else least)
+    return tuple(np.minimum.accumulate(scores[::-1])[::-1].tolist()), tuple(np.minimum.accumulate(shares[::-1])[::-1].tolist())
+
+
+def lowest(values: list[float]) -> float:
+    """What the share ``REJECTS`` of values stays below; of a few alike, where a normal tail would have it."""
+    tail = np.mean(values) + NormalDist().inv_cdf(REJECTS) * np.std(values)
+    return float(min(np.quantile(values, REJECTS, method="lower"), tail))
+
+
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 6000,
         max_languages: int = 64, train_chars: int = 12_000, **options) -> Model:
     """Train on a bounded sample of the rows with a label outside the held-out fold."""

@@ -1,5 +1,6 @@
 """Operator 3: held-out accuracy, calibration and defined results of odd rows."""
 
+import random
 import zlib
 
 import numpy as np
@@ -54,3 +55,21 @@ def test_long_text_is_read_whole():
     assert model.predict(text)[0] == "de"
     parts = list(langid.blocks(text, 1000))
     assert sum(len(langid.grams(p, 1 << 16)) for p in parts) >= len(langid.grams(text, 1 << 16))
+
+
+def test_other_scripts_languages_and_random_letters_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.fit(docs)
+    r = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    strange = ["Съешь же ещё этих мягких французских булок, да выпей чаю. ", "Ξεσκεπάζω την ψυχοφθόρα βδελυγμία. Όλοι οι άνθρωποι. ",
+               "我能吞下玻璃而不伤身体。人人生而自由,在尊严和权利上一律平等。", "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności. ",
+               "".join(r.choice("0123456789abcdef") for _ in range(600)), "".join(r.choice(letters) for _ in range(600)),
+               " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 9))) for _ in range(120))]
+    for text in strange:
+        for n in (16, 32, 64, 128, 600):
+            assert model.predict((text * 40)[:n])[2], (text, n)
+    assert min(model.least_score) > 1 / len(model.languages)
+    t = pq.read_table("/root/testdata/sf0.1/documents.parquet").to_pandas()
+    held = [x for i, x in zip(t.doc_id, t.text) if zlib.crc32(str(i).encode()) % 4 == 2 and x and langid.has_letter(x)]
+    assert sum(model.predict(x)[2] for x in held) <= 2 * langid.REJECTS * len(held) + 3
