@@ -10,15 +10,19 @@ by hash and text of the chunk (with map-side combine, so a passage that a third
 few rows), and in a document a chunk goes only if it equals the listed one byte for byte.
 
 Rows: a null text stays null, an empty one empty; blank chunks and texts of one line are never removed; a null
-id counts as greater than all others; rows that repeat an id count as one document and keep what either holds
+id counts as greater than all others, and each row of null id is a document of its own, numbered in the order of the
+table (written once, so that the number stays); rows that repeat an id count as one document and keep what either holds
 first; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import id_text
 
 # Nested one-element arrays bind a value once for the expressions inside.
@@ -31,27 +35,32 @@ transform(array(split(_text, '\n', -1)), lns ->
           transform(st, (b, k) -> array_join(slice(lns, b + 1, coalesce(get(st, k + 1), size(lns)) - b), '\n')))[0])[0])[0]))[0]
 """
 
-LAST = 2**63 - 1
+LAST = 2**63  # of null ids: above every id
 
 
 def chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """``_id, _ord, _text, _chunks``: the chunks of each text in order (null for a null text); ``_c0, _c1, …``
-    hold the columns in ``carry``."""
-    base = id_text(df, id_col, text_col, carry).withColumn("_ord", F.coalesce("_id", F.lit(LAST)))
+    """``_id, _nul, _ord, _text, _chunks``: the chunks of each text in order (null for a null text); ``_c0, _c1, …``
+    hold the columns in ``carry``; ``_nul, _ord`` (null id, id or number of the row) tell documents apart."""
+    base = id_text(df, id_col, text_col, carry).withColumn("_nul", F.col("_id").isNull()).withColumn("_ord", F.col("_id"))
+    nameless = base.where("_nul")
+    if not nameless.select("_nul").isEmpty():
+        numbered = materialize(nameless.withColumn("_ord", F.monotonically_increasing_id()), "line-chunks-null-ids")
+        base = base.where(~F.col("_nul")).unionByName(numbered)
     return base.withColumn("_chunks", F.when(F.col("_text").isNotNull(), F.expr(CHUNKS)))
 
 
 def occurrences(chunked: DataFrame) -> DataFrame:
-    """``_ord, pos, h, chunk, own`` of every chunk that may be removed; ``own`` orders occurrences."""
-    e = chunked.select("_ord", F.posexplode("_chunks").alias("pos", "chunk"))
+    """``_nul, _ord, pos, h, chunk, own`` of every chunk that may be removed; ``own`` orders occurrences."""
+    e = chunked.select("_nul", "_ord", F.posexplode("_chunks").alias("pos", "chunk"))
     e = e.where(F.col("chunk").contains("\n") & F.col("chunk").rlike(r"\S"))
-    own = F.col("_ord").cast("decimal(38,0)") * F.lit(2**31).cast("decimal(12,0)") + F.col("pos")
-    return e.select("_ord", "pos", F.xxhash64("chunk").alias("h"), "chunk", own.cast("decimal(38,0)").alias("own"))
+    order = F.col("_ord").cast("decimal(20,0)") + F.when(F.col("_nul"), F.lit(Decimal(LAST))).otherwise(F.lit(0)).cast("decimal(20,0)")
+    own = order * F.lit(2**31).cast("decimal(12,0)") + F.col("pos")
+    return e.select("_nul", "_ord", "pos", F.xxhash64("chunk").alias("h"), "chunk", own.cast("decimal(38,0)").alias("own"))
 
 
-def repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated(chunked: DataFrame) -> DataFrame:
     """``h, chunk, n, first`` of the chunks with more than one occurrence."""
-    g = occurrences(chunks(df, id_col, text_col)).groupBy("h", "chunk")
+    g = occurrences(chunked).groupBy("h", "chunk")
     return g.agg(F.count(F.lit(1)).alias("n"), F.min("own").alias("first")).where(F.col("n") > 1)
 
 
@@ -59,11 +68,11 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry:
     """``id_col, text, n_lines, n_removed`` for every row: the text without repeated chunks, the number of its
     lines before (null: 0) and of those removed; then the columns named in ``carry``."""
     chunked = chunks(df, id_col, text_col, carry)
-    seen = occurrences(chunked).select("_ord", "pos", "h", "own")
-    out = seen.join(repeated(df, id_col, text_col).select("h", "chunk", "first"), "h").where(F.col("own") != F.col("first"))
-    gone = out.groupBy("_ord").agg(F.collect_list(F.concat(F.col("pos").cast("string"), F.lit(":"), "chunk")).alias("_gone"))
+    seen = occurrences(chunked).select("_nul", "_ord", "pos", "h", "own")
+    out = seen.join(repeated(chunked).select("h", "chunk", "first"), "h").where(F.col("own") != F.col("first"))
+    gone = out.groupBy("_nul", "_ord").agg(F.collect_list(F.concat(F.col("pos").cast("string"), F.lit(":"), "chunk")).alias("_gone"))
     kept = F.expr("transform(array_except(transform(_chunks, (c, k) -> concat(cast(k as string), ':', c)), _gone), x -> substring(x, locate(':', x) + 1))")
-    r = chunked.drop("_chunks").join(gone, "_ord", "left").withColumn("_chunks", F.when(F.col("_gone").isNotNull(), F.expr(CHUNKS)))
+    r = chunked.drop("_chunks").join(gone, ["_nul", "_ord"], "left").withColumn("_chunks", F.when(F.col("_gone").isNotNull(), F.expr(CHUNKS)))
     r = r.withColumn("_kept", F.when(F.col("_gone").isNotNull(), kept))
     lines = F.coalesce(F.length("_text") - F.length(F.translate("_text", "\n", "")) + 1, F.lit(0))
     left = F.when(F.col("_gone").isNull(), lines).otherwise(F.aggregate("_kept", F.lit(0), lambda a, c: a + F.length(c) - F.length(F.translate(c, "\n", "")) + 1))

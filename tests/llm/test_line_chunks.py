@@ -72,3 +72,11 @@ def test_edge_rows_and_carried_columns(spark):
 def test_rows_that_repeat_an_id_are_one_document(spark):
     got = line_chunks.dedup(documents(spark, [(1, "a\nb"), (1, "a\nb"), (2, "a\nb")])).collect()
     assert sorted((r.doc_id, r.text) for r in got) == [(1, "a\nb"), (1, "a\nb"), (2, "")]
+
+
+def test_each_row_of_null_id_is_a_document(spark):
+    rows = [(None, "p\nq")] * 3 + [(None, "one\ntwo"), (None, None), (2**63 - 1, "one\ntwo"), (2**63 - 1, "x")]
+    got = line_chunks.dedup(documents(spark, rows), carry=("lang",)).collect()
+    assert len(got) == 7
+    assert sorted((r.text or "", r.n_removed) for r in got if r.doc_id is None) == [("", 0), ("", 2), ("", 2), ("", 2), ("p\nq", 0)]
+    assert sorted((r.text, r.n_removed) for r in got if r.doc_id is not None) == [("one\ntwo", 0), ("x", 0)]
