@@ -3,14 +3,16 @@
 A text is lower-cased and cut into character n-grams; each n-gram hashes to one of ``buckets`` rows of an
 embedding matrix, the rows are averaged over the whole text, and a linear layer with softmax gives the
 probability of each language.  Embeddings and layer are trained by mini-batch stochastic gradient descent in
-numpy on the driver, on a bounded sample: at most ``sample_rows`` rows, as many of each of the
-``max_languages`` most common languages, taken in the order of a hash of the id, of texts of at most ``train_chars``
-characters (the bounds concern the fit only; every text is predicted whole).  A fifth of the sample is held back: it sets the
+numpy on the driver, on a bounded sample: at most ``sample_rows`` rows, as many of each language, taken in the order of
+a hash of the id.  Languages are counted over all labelled rows, and as many of the most common take part as the bound
+gives ``LEAST_ROWS`` rows each (or ``max_languages``).  Texts over ``train_chars`` characters come last, as a piece of
+that length from their first letter on, where a language has too few others (the bounds concern the fit only; every
+text is predicted whole).  A fifth of the sample is held back: it sets the
 temperature of the softmax and, for each of ``LENGTHS``, two limits below which a prediction counts as rejected: the
 score, and the share of 3- and 4-grams that training has seen (of 1- and 2-grams where a text has no longer one), held
-in a bit table of their own that is at most a 64th full, as far as 2**26 bits go.  The limits are the values that the
-share ``REJECTS`` of the rightly predicted pieces of that length, cut from the held-back texts, stays below; the score
-limit is never less than a tenth of the way from 1/languages to 1.
+in a bit table of their own that is at most a 64th full, as far as 2**26 bits go.  The limits are the values that at
+most the share ``REJECTS`` of the rightly predicted texts and pieces of that length from the held-back texts stays below;
+the score limit is never less than a tenth of the way from 1/languages to 1.
 
 The averaged layer is linear, so executors receive one table of bucket scores (``buckets`` x languages floats).
 
@@ -38,8 +40,9 @@ UNKNOWN = "und"
 ORDERS = (1, 2, 3, 4)
 LENGTHS = tuple(2 << k for k in range(10))  # code points; a text has the limits of the greatest that it reaches
 REJECTS = 0.001
-PIECES = 2  # of each length from each held-back text
+PIECES = 4  # of each length from each held-back text
 BITS = 1 << 26
+LEAST_ROWS = 20
 WORD = re.compile(r"[^\W\d_]")  # letters, and a few numbers that are not decimal digits
 
 
@@ -186,8 +189,11 @@ def limits(model: Model, texts: list[str], labels: list[str], rng: np.random.Gen
     for m in LENGTHS:
         got = []
         for text, label in zip(texts, labels):
-            for a in rng.integers(0, len(text) - m, PIECES, endpoint=True).tolist() if len(text) >= m else []:
-                if has_letter(piece := text[a: a + m]):
+            pieces = [text[a: a + m] for a in rng.integers(0, len(text) - m, PIECES, endpoint=True).tolist()] if len(text) >= m else []
+            if m <= len(text) < 2 * m or m == LENGTHS[-1] <= len(text):  # the text itself has this length's limits
+                pieces.append(text)
+            for piece in pieces:
+                if has_letter(piece):
                     logits, seen = model.raw(piece)
                     p = softmax(logits / model.temperature)
                     if model.languages[int(p.argmax())] == label:
@@ -198,26 +204,35 @@ def limits(model: Model, texts: list[str], labels: list[str], rng: np.random.Gen
 
 
 def lowest(values: list[float]) -> float:
-    """What the share ``REJECTS`` of values stays below; of a few alike, where a normal tail would have it."""
+    """What at most the share ``REJECTS`` of values stays below: as many of the sample as are sure (two standard deviations
+    of the count) not to be more; of a few alike, where a normal tail would have it."""
+    want = REJECTS * len(values)
     tail = np.mean(values) + NormalDist().inv_cdf(REJECTS) * np.std(values)
-    return float(min(np.quantile(values, REJECTS, method="lower"), tail))
+    return float(min(np.sort(values)[max(0, int(want - 2 * want ** 0.5))], tail))
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 6000,
-        max_languages: int = 64, train_chars: int = 12_000, **options) -> Model:
+        max_languages: int | None = None, train_chars: int = 12_000, **options) -> Model:
     """Train on a bounded sample of the rows with a label outside the held-out fold."""
-    rows = (df.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"), F.col(f"`{lang_col}`").cast("string").alias("l"))
-            .where((fold(F.col("i")) != 2) & F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}") & (F.length("t") <= train_chars)))
-    keys = rows.select("l", "i", F.xxhash64("i").alias("h"))
-    common = keys.groupBy("l").count().orderBy(F.desc("count"), "l").limit(max_languages).collect()
+    text = F.col(f"`{text_col}`").cast("string")
+    piece = F.when(F.length(text) <= train_chars, text).otherwise(F.regexp_extract(text, rf"(?s)\p{{L}}.{{0,{train_chars - 1}}}", 0))
+    rows = (df.select(F.col(f"`{id_col}`").alias("i"), text.alias("t"), piece.alias("piece"), F.col(f"`{lang_col}`").cast("string").alias("l"))
+            .where((fold(F.col("i")) != 2) & F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}")))
+    keys = rows.select("l", "i", F.pmod(F.xxhash64("i"), F.lit(1 << 40)).alias("h"), (F.length("t") > train_chars).cast("int").alias("long"))
+    most = max(1, sample_rows // LEAST_ROWS) if max_languages is None else max_languages
+    common = keys.groupBy("l").agg(F.sum("long").alias("n_long"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(most).collect()
     if not common:
         return train([], [], **options)
     per_language = max(1, sample_rows // len(common))
-    common = df.sparkSession.createDataFrame([(r["l"], r["count"]) for r in common], "l string, count long")
-    near = F.pmod("h", F.lit(1 << 40)) < F.lit(2.0 * per_language * (1 << 40)) / F.col("count")  # some twice the wanted rows of a language
-    pick = (keys.join(F.broadcast(common), "l").where(near).withColumn("n", F.row_number().over(Window.partitionBy("l").orderBy(F.pmod("h", F.lit(1 << 40)), "i")))
+    wanted = []  # language, long, rows wanted and rows there are: long texts fill up what the others leave
+    for r in common:
+        short = r["n"] - r["n_long"]
+        wanted += [(r["l"], 0, per_language, short), (r["l"], 1, max(0, per_language - short), r["n_long"])]
+    wanted = df.sparkSession.createDataFrame([w for w in wanted if w[2] and w[3]], "l string, long int, want long, count long")
+    near = F.col("h") < F.lit(2.0 * (1 << 40)) * F.col("want") / F.col("count")  # some twice the wanted rows of a language
+    pick = (keys.join(F.broadcast(wanted), ["l", "long"]).where(near).withColumn("n", F.row_number().over(Window.partitionBy("l").orderBy("long", "h", "i")))
             .where(F.col("n") <= per_language).select("i").distinct())
-    chosen = rows.join(F.broadcast(pick), "i").select("i", "t", "l").collect()
+    chosen = rows.join(F.broadcast(pick), "i").select("i", F.col("piece").alias("t"), "l").collect()
     chosen = sorted(((r.i, r.t, r.l) for r in chosen))
     return train([t for _, t, _ in chosen], [lang for _, _, lang in chosen], **options)
 

@@ -73,3 +73,14 @@ def test_other_scripts_languages_and_random_letters_are_rejected(spark):
     t = pq.read_table("/root/testdata/sf0.1/documents.parquet").to_pandas()
     held = [x for i, x in zip(t.doc_id, t.text) if zlib.crc32(str(i).encode()) % 4 == 2 and x and langid.has_letter(x)]
     assert sum(model.predict(x)[2] for x in held) <= 2 * langid.REJECTS * len(held) + 3
+
+
+def test_languages_with_long_texts_alone_and_many_languages_are_learned(spark):
+    r = random.Random(2)
+    alphabets = [[chr(0x4E00 + 20 * k + j) for j in range(20)] for k in range(71)]  # one for each language
+    text = lambda a, n: "".join(r.choice(a) if j % 6 else " " for j in range(1, n))
+    rows = [(100 * k + j, text(a, 15_000 if k == 70 else 120), f"l{k:02}") for k, a in enumerate(alphabets) for j in range(12 if k == 70 else 24)]
+    model = langid.fit(documents(spark, rows, clash=False), epochs=1)
+    assert model.languages == [f"l{k:02}" for k in range(71)]
+    model = langid.fit(documents(spark, [x for x in rows if x[2] in ("l00", "l70")], clash=False), epochs=60)  # few rows: more turns
+    assert model.predict(text(alphabets[70], 400))[0] == "l70"
