@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..plans.catalog import table
 from ..sources.io import scratch_path
-from . import bagminhash, bpe, kdshard, langid, line_chunks, metric_join, packing, page_diff, token_store, winnow
+from . import align, bagminhash, bpe, kdshard, langid, line_chunks, metric_join, packing, page_diff, token_store, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -110,3 +110,8 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component
 @query
 def op7_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_diff.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
