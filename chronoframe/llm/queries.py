@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..plans.catalog import table
 from ..sources.io import scratch_path
-from . import align, bagminhash, bpe, kdshard, langid, line_chunks, metric_join, packing, page_diff, token_store, winnow
+from . import align, bagminhash, bpe, kdshard, langid, line_chunks, metric_join, packing, page_diff, quality, token_store, whiten, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -115,3 +115,14 @@ def op7_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.filter_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+@query
+def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
