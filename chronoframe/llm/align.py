@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import arrow_groups, id_text, ragged
-from .pieces import PieceTable, library_table, parted, worker_table
+from .pieces import parted, worker_table
 
 LINKS = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
          "pair array<long>, times array<long>")
@@ -33,6 +34,11 @@ RESULT = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links lon
           "n_best long, count_sum long, pair array<long>, times array<long>")
 
 
+# Texts that are not words between single spaces: a space at either end or before white space of any kind (then the
+# byte-level pattern looks further), or the sign that the pieces have for a space.
+_ODD = r"^ | $| [\s\x0b\x1c-\x1f\x{85}\p{Z}]|\x{2581}"
+
+
 # ---------------------------------------------------------------- the two vocabularies
 
 def _byte_level() -> dict[str, int]:
@@ -43,38 +49,93 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in seen} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
 
 
-class SpacePieces(PieceTable):
-    """A sentencepiece model by way of the distinct words between single spaces.
-
-    The model puts a space before a text; no piece holds a space after another character, so nothing joins across the
-    space that begins a word.  Texts with other runs of spaces are encoded whole."""
-
-    def __init__(self, model: bytes, capacity: int):
-        from sentencepiece import SentencePieceProcessor
-
-        self.model = SentencePieceProcessor(model_proto=model)
-        super().__init__(self._words, spaced=True, capacity=capacity)
-        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.apart = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else b"" if self.model.is_control(i) or self.model.is_unknown(i)
-                      else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, dtype=np.uint32) for x in self.model.encode(texts, num_threads=1)]
-
-    def _words(self, keys: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return parted(self._whole(keys))
+class Store:
+    """Id arrays of words one after another, found by row."""
+
+    def __init__(self):
+        self.flat, self.start, self.length = np.zeros(1 << 16, dtype=np.uint32), np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int32)
+
+    def put(self, row: int, used: int, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Rows from ``row`` on; rows and ids that stood there are given up."""
+        for name, least in (("flat", used + len(ids)), ("start", row + len(lengths)), ("length", row + len(lengths))):
+            old = getattr(self, name)
+            if least > len(old):
+                setattr(self, name, np.concatenate([old, np.zeros(least - len(old) // 2, dtype=old.dtype)]))
+        self.flat[used: used + len(ids)] = ids
+        self.start[row: row + len(lengths)] = used + np.cumsum(lengths) - lengths
+        self.length[row: row + len(lengths)] = lengths
+
+    def get(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = self.length[rows].astype(np.int64)
+        return self.flat[ragged(self.start[rows], n)], n
+
+
+class Words:
+    """Ids of both tokenizers for words between single spaces, each with the space before it.
+
+    Neither joins across such a space: the byte-level pattern begins a new match there, and no piece holds a space
+    after another character (else whole texts are encoded).  New words go to the libraries many at a time, as one text;
+    the bytes of the tokens tell where each word ends.  The first ``capacity`` words stay."""
+
+    def __init__(self, tok, model, bytes_a: pa.Array, bytes_b: pa.Array, capacity: int):
+        self.tok, self.model, self.capacity = tok, model, capacity
+        self.sizes = [np.asarray(pc.binary_length(b), dtype=np.int64) for b in (bytes_a, bytes_b)]
+        self.apart = not any(b" " in p.lstrip(b" ") for p in bytes_b.to_pylist())
+        self.index: dict[str, int] = {}
+        self.stores, self.used = (Store(), Store()), [0, 0]
+
+    def whole(self, texts: list[str]) -> tuple[list, list]:
+        """Ids of space + text and of text."""
+        a = self.tok.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        return [e.ids for e in a], self.model.encode(texts, num_threads=1)
+
+    def _new(self, words: list[str], size: np.ndarray, at_once: int = 1024) -> list[tuple[np.ndarray, np.ndarray]]:
+        ends = np.cumsum(size + 1)
+        lists = self.whole([" ".join(words[a: a + at_once]) for a in range(0, len(words), at_once)])
+        out = []
+        for side in (0, 1):
+            ids = np.fromiter(chain.from_iterable(lists[side]), dtype=np.uint32)
+            run = np.cumsum(self.sizes[side][ids])
+            last = np.searchsorted(run, ends)
+            if not len(ids) or last[-1] >= len(run) or not np.array_equal(run[last], ends):
+                one = self.whole(words)[side]      # a word that is not given back byte by byte
+                out.append((np.fromiter(chain.from_iterable(one), dtype=np.uint32), np.array(list(map(len, one)), dtype=np.int64)))
+            else:
+                out.append((ids, np.diff(last, prepend=-1)))
+        return out
 
-    def encode(self, texts: pa.Array, block: int = 1 << 20) -> list[np.ndarray]:
-        odd = pc.match_substring_regex(texts, r"  |^ | $|\x{2581}") if self.apart else pa.array([True] * len(texts))
+    def _rows(self, words: pa.Array) -> np.ndarray:
+        known = words.to_pylist()
+        rows = np.fromiter(map(self.index.get, known, repeat(-1)), dtype=np.int64, count=len(known))
+        missing = np.flatnonzero(rows < 0)
+        if len(missing):
+            fresh = [known[i] for i in missing.tolist()]
+            at = len(self.index)
+            got = self._new(fresh, np.asarray(pc.binary_length(words.take(pa.array(missing))), dtype=np.int64))
+            rows[missing] = np.arange(at, at + len(fresh))
+            for side, (ids, lengths) in enumerate(got):
+                self.stores[side].put(at, self.used[side], ids, lengths)
+            if at < self.capacity and sum(self.used) < 16 * self.capacity:
+                self.index.update(zip(fresh, range(at, at + len(fresh))))
+                self.used = [u + len(ids) for u, (ids, _) in zip(self.used, got)]
+        return rows
+
+    def encode(self, texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of both sides of each text; an empty text may have some (of the space)."""
+        odd = pc.match_substring_regex(texts, _ODD) if self.apart else pa.array([True] * len(texts))
         split = pc.split_pattern(pc.if_else(odd, "", texts), " ")
         words = split.flatten().dictionary_encode()
-        rows = self._rows(words.dictionary.to_pylist())
-        out = self._gather(rows[words.indices.to_numpy(zero_copy_only=False)], np.asarray(split.offsets, dtype=np.int64), block)
+        rows = self._rows(words.dictionary)[words.indices.to_numpy(zero_copy_only=False)]
+        ends = np.asarray(split.offsets, dtype=np.int64)
+        out = []
+        for store in self.stores:
+            ids, n = store.get(rows)
+            out.append(np.split(ids, np.concatenate([[0], np.cumsum(n)])[ends[1:-1]]))
         at = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
-        for i, ids in zip(at, self._whole([texts[i].as_py() for i in at])):
-            out[i] = ids
-        return out
+        for side, lists in enumerate(self.whole([texts[i].as_py() for i in at])):
+            for i, ids in zip(at, lists):
+                out[side][i] = np.array(ids, dtype=np.uint32)
+        return tuple(out)
 
 
 class Aligner:
@@ -83,8 +144,11 @@ class Aligner:
     def __init__(self, vocabulary: bytes, model: bytes, capacity: int):
         import json
 
-        self.a = library_table(vocabulary, spaced=True, capacity=capacity)
-        self.b = SpacePieces(model, capacity)
+        from sentencepiece import SentencePieceProcessor
+        from tokenizers import Tokenizer
+
+        tok, pieces = Tokenizer.from_buffer(vocabulary), SentencePieceProcessor(model_proto=model)
+        tok.encode_special_tokens = True         # their strings in a text are plain text
         sign = _byte_level()
         known = json.loads(vocabulary)
         size = 1 + max([*known["model"]["vocab"].values(), *[t["id"] for t in known.get("added_tokens", [])]])
@@ -93,7 +157,10 @@ class Aligner:
             spelled[i] = bytes(sign[c] for c in token) if all(c in sign for c in token) else token.encode()
         for token in known.get("added_tokens", []):
             spelled[token["id"]] = token["content"].encode()
-        self.bytes_a, self.bytes_b = pa.array(spelled, pa.large_binary()), pa.array(self.b.bytes, pa.large_binary())
+        other = [bytes([int(pieces.id_to_piece(i)[3:5], 16)]) if pieces.is_byte(i) else b"" if pieces.is_control(i) or pieces.is_unknown(i)
+                 else pieces.id_to_piece(i).replace("▁", " ").encode() for i in range(pieces.get_piece_size())]
+        self.bytes_a, self.bytes_b = pa.array(spelled, pa.large_binary()), pa.array(other, pa.large_binary())
+        self.words = Words(tok, pieces, self.bytes_a, self.bytes_b, capacity)
         self.size_a, self.size_b = len(self.bytes_a), len(self.bytes_b)
         self.signs = pa.array([f"{i}{end}" for n in (self.size_a, self.size_b) for i in range(n) for end in (",", "|", ";", "")], pa.large_string())
 
@@ -102,7 +169,7 @@ class Aligner:
         texts = pc.fill_null(texts, "")
         spaced = pc.binary_join_element_wise("", texts, " ")
         some = np.asarray(pc.binary_length(texts)) > 0
-        a, b = self.a.encode(spaced), self.b.encode(texts)
+        a, b = self.words.encode(texts)
         none = np.zeros(0, dtype=np.uint32)
         keep = some.copy()
         for ids, spelled in ((a, self.bytes_a), (b, self.bytes_b)):
@@ -126,7 +193,7 @@ class Aligner:
         lists = self.tokens(texts)
         n = len(texts)
         ids, text_of, end = zip(*[_ends(x, y) for x, y in zip(lists, (self.bytes_a, self.bytes_b))])
-        cut_a, cut_b = _cuts(text_of, end)
+        cut_a, cut_b = _cuts(end)
         group_a, group_b = np.cumsum(cut_a) - cut_a, np.cumsum(cut_b) - cut_b
         groups = int(cut_a.sum())
         group_text = text_of[0][cut_a]
@@ -194,21 +261,19 @@ def _buffers(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _ends(lists: pa.ListArray, spelled: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Flattened ids, the text of each, and the byte offset in the text at which each ends."""
+    """Flattened ids, the text of each, and the byte offset at which each ends: over the texts one after another, so
+    an end is also the key of its text."""
     ids = pc.list_flatten(lists)
-    text_of = pc.list_parent_indices(lists).to_numpy()
     size = pc.binary_length(spelled).take(ids)
-    run = pc.cumulative_sum(size.cast(pa.int64())).to_numpy()
-    first = np.asarray(lists.offsets)[:-1]
-    base = np.concatenate([[0], run])[first]
-    return ids.to_numpy(), text_of, run - base[text_of]
+    return ids.to_numpy(), pc.list_parent_indices(lists).to_numpy(), pc.cumulative_sum(size.cast(pa.int64())).to_numpy()
 
 
-def _cuts(text_of, end) -> tuple[np.ndarray, np.ndarray]:
-    """Whether a token of either side ends where a token of the other does: a hash join on (text, end)."""
-    side = [pa.table({"text": t, "end": e, f"at{i}": np.arange(len(t))}) for i, (t, e) in enumerate(zip(text_of, end))]
-    both = side[0].join(side[1], keys=["text", "end"], join_type="inner", use_threads=False)
-    out = [np.zeros(len(t), dtype=bool) for t in text_of]
+def _cuts(end) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a token of either side ends where a token of the other does: a hash join on the text's start plus
+    the end in the text (both sides have the same bytes in every text)."""
+    side = [pa.table({"end": e, f"at{i}": np.arange(len(e), dtype=np.int32)}) for i, e in enumerate(end)]
+    both = side[0].join(side[1], keys="end", join_type="inner", use_threads=False)
+    out = [np.zeros(len(e), dtype=bool) for e in end]
     for i in (0, 1):
         out[i][both.column(f"at{i}").to_numpy()] = True
     return tuple(out)
@@ -252,7 +317,7 @@ def links(docs: DataFrame, vocabulary: str, model: str, id_col: str = "doc_id",
         count = PairCount()
         for batch in batches:
             where = pa.array(np.arange(len(batch)))
-            for at, texts in arrow_groups(where, batch.column(2)):
+            for at, texts in arrow_groups(where, batch.column(2), 1 << 20):
                 got = aligner.align(texts)
                 n = len(texts)
                 lists = [pa.ListArray.from_arrays(pa.array(got["bounds"].astype(np.int32)), pa.array(got[c])) for c in ("pair", "times")]
