@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .order import global_position, quantiles, value_counts_long
+from .order import global_position, quantiles, cells_long
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -137,9 +137,14 @@ def concat(dfs: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
 
 
 def unique_by(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
-    """One row per key – the first in ``order`` (a window per key; keys are small groups)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    """One row per key – the first in ``order`` (nulls first, as a sort has them; make it unique).  A least-row aggregate, so
+    each task sends at most one row of a key whatever the key's size."""
+    by = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}") for i, c in enumerate(order)])
+    rest = [c for c in df.columns if c not in set(keys)]
+    if not rest:
+        return df.select(*keys).distinct()
+    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), by).alias("_row"))
+    return first.select(*[F.col(c) if c in set(keys) else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 # ---------------------------------------------------------------------------------------------------
@@ -190,19 +195,13 @@ def compare_proportions(overall: DataFrame, strat: DataFrame, rand: DataFrame, c
 
 
 def describe_exact(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count, mean, sample std, min, 25/50/75 % (exact, linear interpolation), max – long form.
-
-    One scan makes the distinct values with counts of all columns; everything else comes from that table.
-    """
-    g = materialize(value_counts_long(df, cols), "describe")
-    base = g.groupBy("column").agg(F.sum("n").alias("count"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-                                   F.min("value").alias("min"), F.max("value").alias("max"))
-    gap = F.col("value") - F.col("mean")
-    spread = g.join(base.select("column", "mean"), "column").groupBy("column").agg(
-        F.sqrt(F.try_divide(F.sum(gap * gap * F.col("n")), F.sum("n") - 1)).alias("std"))
-    q = quantiles(df, cols, (0.25, 0.5, 0.75), counts=g).groupBy("column").agg(
+    """Count, mean, sample std, min, 25/50/75 % (exact, linear interpolation), max – long form: one aggregate by
+    column, and quantiles by narrowing histograms."""
+    base = cells_long(df, cols).groupBy("column").agg(F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+                                                      F.min("value").alias("min"), F.max("value").alias("max"))
+    q = quantiles(df, cols, (0.25, 0.5, 0.75)).groupBy("column").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name) for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
-    return base.join(spread, "column").join(q, "column").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    return base.join(q, "column").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def profile(df: DataFrame) -> DataFrame:

@@ -61,14 +61,15 @@ def _merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _products(x: np.ndarray, there: np.ndarray, i: slice, j: slice, complete: bool) -> np.ndarray:
     """Planes of the column blocks ``i`` and ``j`` over the rows of ``x``."""
     if complete:
-        mean = x.mean(axis=0)
+        mean = x[0] + (x - x[0]).mean(axis=0)       # exact for a constant column
         xi, xj = x[:, i] - mean[i], x[:, j] - mean[j]
         shape = (xi.shape[1], xj.shape[1])
         return np.stack([np.full(shape, float(len(x))), np.broadcast_to(mean[i][:, None], shape), np.broadcast_to(mean[j], shape), xi.T @ xj])
     finite = there & np.isfinite(x)
     x = np.where(finite, x, 0.0)
     count = finite.sum(axis=0)
-    mean = np.divide(x.sum(axis=0), count, out=np.zeros(x.shape[1]), where=count > 0)
+    first = x[finite.argmax(axis=0), np.arange(x.shape[1])]
+    mean = first + np.where(finite, x - first, 0.0).sum(axis=0) / np.maximum(count, 1)     # exact for a constant column
     x = np.where(finite, x - mean, 0.0)
     mi, mj, xi, xj = finite[:, i].astype(float), finite[:, j].astype(float), x[:, i], x[:, j]
     n = mi.T @ mj
@@ -145,11 +146,12 @@ def _scan(pairs: list[tuple[slice, slice]], width: int, complete: bool):
     return run
 
 
-def corr_pairs(df: DataFrame, cols: Sequence[str], block: int = 128) -> DataFrame:
+def corr_pairs(df: DataFrame, cols: Sequence[str], block: int = 128, vec: str | None = None) -> DataFrame:
     """Pearson correlation ``(a, b, corr)`` of every ordered pair of columns over the rows where both are there, null
-    where there is none or a column is constant there, NaN where a value is not finite."""
+    where there is none or a column is constant there, NaN where a value is not finite.  ``vec`` names a vector column that
+    holds the columns already."""
     names, width = list(cols), len(cols)
-    sums = comoments(df.select(vector(names).alias("v")), "v", width, block=block)
+    sums = comoments(df.select((F.col(vec) if vec else vector(names)).alias("v")), "v", width, block=block)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -183,11 +185,12 @@ def covariance(df: DataFrame, vec: str, width: int) -> tuple[int, np.ndarray, np
     return n, mean, out
 
 
-def weighted_moments(df: DataFrame, vec: str, width: int, weights: str, rounds: int) -> pd.DataFrame:
+def weighted_moments(df: DataFrame, vec: str, width: int, weights: str, rounds: int, shift: Sequence[float] | None = None) -> pd.DataFrame:
     """Per round the weighted sums of products of every two of ``(1, v…)`` over one scan: a table of ``rounds`` rows with the
     matrices (``width + 1`` squared) in ``gram``.  ``weights`` holds one weight for each round in every row, so all rounds together
-    are one product of the weights with the rows' products."""
-    at = np.triu_indices(width + 1)
+    are one product of the weights with the rows' products.  ``shift`` is taken from every vector first (means near the
+    data's keep the digits)."""
+    at, base = np.triu_indices(width + 1), np.zeros(width) if shift is None else np.asarray(shift, dtype=float)
     rows = df.select(F.col(vec).cast("array<double>").alias("v"), F.col(weights).cast("array<double>").alias("w"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +201,7 @@ def weighted_moments(df: DataFrame, vec: str, width: int, weights: str, rounds:
                 raise ValueError("null in a vector: impute first")
             w, _ = batch_matrix(b.column(1), rounds)
             for a in range(0, len(x), 4096):
-                one = np.column_stack([np.ones(len(x[a: a + 4096])), x[a: a + 4096]])
+                one = np.column_stack([np.ones(len(x[a: a + 4096])), x[a: a + 4096] - base])
                 total += w[a: a + 4096].T @ (one[:, at[0]] * one[:, at[1]])
         salt = TaskContext.get().partitionId() % _SALT
         yield pa.RecordBatch.from_arrays([pa.array(range(rounds), pa.int64()), pa.array([salt] * rounds, pa.int32()), pa.array([t.tobytes() for t in total], pa.binary())], ["round", "salt", "part"])

@@ -12,10 +12,12 @@ import math
 from collections.abc import Sequence
 from statistics import NormalDist
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_or_raw
+from .gram import corr_pairs, covariance, vector, weighted_moments
 from .order import average_rank, global_cumsum, global_position
 
 
@@ -261,6 +263,38 @@ def bias_variance(df: DataFrame, round_col: str, id_col: str, p: str, y: str) ->
                       F.avg("_var").alias("var"))
 
 
+def bias_variance_refit(train: DataFrame, test: DataFrame, y: str, xs: Sequence[str], weights: str, rounds: int) -> DataFrame:
+    """M11 with a least-squares model fitted again in every bootstrap round: ``mse``, ``bias``, ``var`` over the test
+    rows and rounds (``mse = bias + var``), and the number of ``rounds``.
+
+    ``weights`` holds in every training row its number of draws in each round (:func:`split.bootstrap_weights`).  One scan
+    of the training rows gives the weighted Gram matrices of all rounds; the fits are solved on the driver, ``rounds`` systems of
+    ``len(xs) + 1`` unknowns (of the least norm where a round does not determine them).  Squared errors are
+    quadratic forms in the test rows' Gram matrix, so the test rows are scanned once as well.  Nulls are an error; rounds without
+    draws, or no test rows, give nulls."""
+    width = len(xs) + 1
+    n, mean, c = covariance(test.select(vector([*xs, y]).alias("v")), "v", width)
+    rows = train.select(vector([*xs, y]).alias("v"), F.col(weights).alias("w"))
+    fits = []
+    for g in weighted_moments(rows, "v", width, "w", rounds, shift=mean)["gram"] if n else []:
+        if g[0, 0] > 0:
+            m = g[0, 1:] / g[0, 0]
+            s = g[1:, 1:] / g[0, 0] - np.outer(m, m)
+            slope = np.linalg.lstsq(s[:-1, :-1], s[:-1, -1], rcond=1e-12)[0]
+            m = m + mean
+            fits.append([m[-1] - slope @ m[:-1], *slope, -1.0])
+    schema = "mse double, bias double, var double, rounds int"
+    if not fits:
+        return train.sparkSession.createDataFrame([(None, None, None, 0)], schema)
+    f = np.array(fits)         # error of a row in a round: f · (1, x, y)
+    centre = f.mean(axis=0)
+
+    def mean_square(a: np.ndarray) -> float:
+        return float((np.einsum("ri,ij,rj->r", a[:, 1:], c, a[:, 1:]) + (a[:, 0] + a[:, 1:] @ mean) ** 2).mean())
+
+    return train.sparkSession.createDataFrame([(mean_square(f), mean_square(centre[None]), mean_square(f - centre), len(fits))], schema)
+
+
 def all_close(a: DataFrame, b: DataFrame, key: Sequence[str], cols: Sequence[str], tol: float = 1e-8) -> DataFrame:
     """Join two feature tables on ``key`` and test ``max |a−b| ≤ tol`` over ``cols``; also reports
     rows present on one side only."""
@@ -278,9 +312,17 @@ def all_close(a: DataFrame, b: DataFrame, key: Sequence[str], cols: Sequence[str
 # correlations
 # ---------------------------------------------------------------------------------------------------
 
+#: Above so many columns :func:`corr_matrix` is a blocked Gram matrix.
+FEW_COLUMNS = 12
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlation of every pair, long form ``(a, b, corr)`` – all pairs
-    in one aggregate (one scan), each computed once."""
+    """Pairwise-complete Pearson correlation of every pair, long form ``(a, b, corr)``, one scan.
+
+    Up to :data:`FEW_COLUMNS` columns every pair is an expression of one aggregate; more of them are one vector column,
+    whose blocked Gram matrices are summed over the tasks, so the plan does not grow with the pairs."""
+    if len(cols) > FEW_COLUMNS:
+        return corr_pairs(df, cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     row = df.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     st = F.array(*[F.struct(F.lit(x).alias("a"), F.lit(z).alias("b"), F.col(f"{i}").alias("corr"))

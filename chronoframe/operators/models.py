@@ -13,6 +13,8 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -23,7 +25,8 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import sigmoid
+from ..session import materialize
+from .gram import batch_matrix, covariance, vector
 from .order import global_position
 from .split import kfold
 
@@ -50,17 +53,17 @@ def fit_linear(df: DataFrame, y: str, xs: Sequence[str], intercept: bool = True)
 
 
 def linreg_gd(df: DataFrame, y: str, xs: Sequence[str], lr: float = 0.1, iters: int = 50) -> list[float]:
-    """full-batch gradient descent for linear regression; one aggregate per step gives the mean
-    gradient ``(1/m) Σ (ŵ·x − y)·x_j``; the weights (bias first) stay on the driver."""
-    w = [0.0] * (len(xs) + 1)
-    cols = [F.lit(1.0), *[F.col(c).cast("double") for c in xs]]
-    data = df.select(*[c.alias(f"_x{i}") for i, c in enumerate(cols)], F.col(y).cast("double").alias("_y"))
-    for _ in range(iters):
-        pred = sum((F.lit(w[i]) * F.col(f"_x{i}") for i in range(len(w))), F.lit(0.0))
-        err = pred - F.col("_y")
-        g = data.agg(*[F.avg(err * F.col(f"_x{i}")).alias(f"g{i}") for i in range(len(w))]).first()
-        w = [w[i] - lr * g[f"g{i}"] for i in range(len(w))]
-    return w
+    """full-batch gradient descent for linear regression by the mean gradient ``(1/m) Σ (w·x − y)·x_j``.
+
+    The gradient is linear in the rows' means and covariances, so one scan gives these and every step runs on the
+    driver (weights, bias first).  Rows with a null are left out; without rows the weights stay 0."""
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*xs, y)])
+    n, mean, cov = covariance(df.where(whole).select(vector([*xs, y]).alias("v")), "v", len(xs) + 1)
+    w = np.zeros(len(xs) + 1)
+    for _ in range(iters if n else 0):
+        error = w[0] + w[1:] @ mean[:-1] - mean[-1]
+        w = w - lr * np.array([error, *(cov[:-1, :-1] @ w[1:] - cov[:-1, -1] + mean[:-1] * error)])
+    return w.tolist()
 
 
 def fit_logistic(df: DataFrame, y: str, xs: Sequence[str], reg: float = 0.0, max_iter: int = 100):
@@ -68,18 +71,49 @@ def fit_logistic(df: DataFrame, y: str, xs: Sequence[str], reg: float = 0.0, max
     return LogisticRegression(featuresCol="features", labelCol=y, regParam=reg, maxIter=max_iter).fit(assemble(df, xs))
 
 
+def design_blocks(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
+    """``(rows, block)``: the columns ``(1, x…, y)`` of complete rows as binary matrices of doubles, one for each batch of rows, written once.
+    Iterations read these and not the plan that the rows came from."""
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*xs, y)])
+    width = len(xs) + 1
+
+    def pack(batches):
+        for b in batches:
+            x, _ = batch_matrix(b.column(0), width)
+            if len(x):
+                m = np.column_stack([np.ones(len(x)), x])
+                yield pa.RecordBatch.from_arrays([pa.array([len(m)], pa.int32()), pa.array([m.tobytes()], pa.binary())], ["rows", "block"])
+
+    return materialize(df.where(whole).select(vector([*xs, y]).alias("v")).mapInArrow(pack, "rows int, block binary"), "design")
+
+
 def logreg_gd(df: DataFrame, y: str, xs: Sequence[str], lr: float = 0.1, iters: int = 50) -> list[float]:
-    """logistic regression by full-batch gradient descent; one aggregate per step gives the mean gradient
-    ``(1/m) Σ (σ(w·x) − y)·x_j``; the weights (bias first) stay on the driver."""
-    w = [0.0] * (len(xs) + 1)
-    cols = [F.lit(1.0), *[F.col(c).cast("double") for c in xs]]
-    data = df.select(*[c.alias(f"_x{i}") for i, c in enumerate(cols)], F.col(y).cast("double").alias("_y"))
+    """logistic regression by full-batch gradient descent, mean gradient ``(1/m) Σ (σ(w·x) − y)·x_j``.
+
+    The rows are written once as blocks of a design matrix; a step is one product for each block, summed by task and then by
+    Spark.  The weights (bias first) stay on the driver.  Rows with a null are left out; without rows the weights stay 0."""
+    blocks, width = design_blocks(df, y, xs), len(xs) + 2
+    w = np.zeros(width - 1)
+
+    def gradient_of(at: np.ndarray):
+        def run(batches):
+            g = np.zeros(width)
+            for b in batches:
+                for raw in b.column(0):
+                    m = np.frombuffer(raw.as_buffer(), dtype=np.float64).reshape(-1, width)
+                    z = m[:, :-1] @ at
+                    error = 0.5 * (1.0 + np.tanh(0.5 * z)) - m[:, -1]
+                    g += np.append(error @ m[:, :-1], len(m))
+            yield pa.RecordBatch.from_arrays([pa.array([g.tolist()], pa.list_(pa.float64()))], ["g"])
+        return run
+
     for _ in range(iters):
-        z = sum((F.lit(w[i]) * F.col(f"_x{i}") for i in range(len(w))), F.lit(0.0))
-        err = sigmoid(z) - F.col("_y")
-        g = data.agg(*[F.avg(err * F.col(f"_x{i}")).alias(f"g{i}") for i in range(len(w))]).first()
-        w = [w[i] - lr * g[f"g{i}"] for i in range(len(w))]
-    return w
+        parts = blocks.select("block").mapInArrow(gradient_of(w), "g array<double>")
+        total = {r[0]: r[1] for r in parts.select(F.posexplode("g")).groupBy("pos").agg(F.sum("col")).collect()}
+        if not total.get(width - 1):
+            break
+        w = w - lr * np.array([total[j] for j in range(width - 1)]) / total[width - 1]
+    return w.tolist()
 
 
 def fit_tree(df: DataFrame, y: str, xs: Sequence[str], depth: int = 5, seed: int = 42):

@@ -156,28 +156,80 @@ def average_rank(df: DataFrame, col: str, name: str | None = None, partition_by=
     return df.join(g, on=[*part, col], how="left")
 
 
-def value_counts_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(column, value, n)`` of the non-null, non-NaN values (as double) of several columns in one scan."""
+def cells_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column, value)`` of the non-null, non-NaN values (as double) of several columns in one scan."""
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
-    long = df.select(F.inline(cells)).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return df.select(F.inline(cells)).where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], counts: DataFrame | None = None) -> DataFrame:
-    """Exact quantiles ``(column, prob, value)`` of several columns, linear between neighbours.
+_BINS = 4096
 
-    They come from the table of distinct values with counts: its running sums say which value stands at the
-    positions ``floor`` and ``ceil`` of ``prob * (n - 1)``, so no task holds the values of a column.
+
+def _bin_of(wide: bool) -> Column:
+    """Bin of ``value`` in the range ``[_a, _z]``, monotone in the value: of equal widths, or, where those put most rows into one
+    bin, of widths that grow by a factor (18 decades at once)."""
+    u = (F.col("value") * 0.5 - F.col("_a") * 0.5) / (F.col("_z") * 0.5 - F.col("_a") * 0.5)
+    u = F.log1p(u * 2.0**60) / math.log1p(2.0**60) if wide else u
+    return F.least(F.floor(u * _BINS).cast("int"), F.lit(_BINS - 1))
+
+
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], limit: int = 1 << 20) -> DataFrame:
+    """Exact quantiles ``(column, prob, value)`` of several columns, linear between neighbours; no rows for a column
+    without values.
+
+    The values at the positions ``floor`` and ``ceil`` of ``prob * (n - 1)`` are found by narrowing: a histogram of
+    4096 bins of the ranges that still hold a wanted position, whose bins with such a position are the next ranges.
+    Only histograms are shuffled, whatever the number of distinct values; when at most ``limit`` rows are left in all ranges, their
+    distinct values are counted.  The driver holds one range for each wanted position.
     """
-    g = global_cumsum(value_counts_long(df, cols) if counts is None else counts, ["value"], "n", "_below", partition_by=["column"])
-    g = materialize(g, "quantiles")
-    total = g.groupBy("column").agg(F.sum("n").alias("_t"))
-    at = total.select("column", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"), "_t")
-    at = at.withColumn("_h", F.col("prob") * (F.col("_t") - 1)).withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
-    cell = g.join(at, "column").where((F.col("_below") <= F.col("_hi")) & (F.col("_below") + F.col("n") > F.col("_lo")))
-    low = F.min("value")                      # the cells that touch [lo, hi] are one or two neighbours
-    return (cell.groupBy("column", "prob").agg(low.alias("_a"), F.max("value").alias("_b"), F.first(F.col("_h") - F.col("_lo")).alias("_f"))
-                .select("column", "prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")).alias("value")))
+    spark, cells = df.sparkSession, cells_long(df, cols)
+    low, high = F.col("value") == float("-inf"), F.col("value") == float("inf")
+    finite = F.when(~low & ~high, F.col("value"))
+    stats = cells.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.count_if(low).alias("low"), F.count(finite).alias("mid"),
+                                        F.min(finite).alias("lo"), F.max(finite).alias("hi")).collect()
+    cells = cells.where(~low & ~high)
+    at: dict[tuple[str, int], float] = {}                # (column, position) -> value
+    todo: dict[tuple[str, float, float], list] = {}       # (column, from, to) -> [rows before, rows inside, positions]
+    for s in stats:
+        places = {k for p in probs for k in (math.floor(p * (s["n"] - 1)), math.ceil(p * (s["n"] - 1)))}
+        for k in places:
+            if k < s["low"] or k >= s["low"] + s["mid"]:
+                at[s["column"], k] = float("-inf") if k < s["low"] else float("inf")
+        inside = [k for k in places if (s["column"], k) not in at]
+        if inside:
+            todo[s["column"], s["lo"], s["hi"]] = [s["low"], s["mid"], inside]
+    wide = False
+    while True:
+        for (c, a, z), (_, _, ks) in list(todo.items()):
+            if a == z:
+                at.update({(c, k): a for k in ks})
+                del todo[c, a, z]
+        rows = sum(v[1] for v in todo.values())
+        if not todo:
+            break
+        ranges = spark.createDataFrame([(c, a, z, i) for i, (c, a, z) in enumerate(todo)], "column string, _a double, _z double, _r int")
+        keys = list(todo)
+        inside = cells.join(F.broadcast(ranges), "column").where(F.col("value").between(F.col("_a"), F.col("_z")))     # one row for each range
+        last = rows <= limit
+        by = F.col("value") if last else _bin_of(wide)
+        bins = inside.groupBy("_r", by.alias("_b")).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        run = Window.partitionBy("_r").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        bins = bins.withColumn("before", F.coalesce(F.sum("n").over(run), F.lit(0)))
+        wanted = spark.createDataFrame([(i, k - todo[c][0]) for i, c in enumerate(keys) for k in todo[c][2]], "_r int, _k long")
+        hit = bins.join(F.broadcast(wanted), "_r").where((F.col("_k") >= F.col("before")) & (F.col("_k") < F.col("before") + F.col("n")))
+        new: dict = {}
+        for h in hit.collect():
+            c, base = keys[h["_r"]][0], todo[keys[h["_r"]]][0]
+            new.setdefault((c, h["lo"], h["hi"]), [base + h["before"], h["n"], []])[2].append(base + h["_k"])
+        wide = not wide and sum(v[1] for v in new.values()) > rows // 16
+        todo = new
+    out = []
+    for s in stats:
+        for p in probs:
+            h = p * (s["n"] - 1)
+            a, z = at[s["column"], math.floor(h)], at[s["column"], math.ceil(h)]
+            out.append((s["column"], float(p), a if a == z else a + (z - a) * (h - math.floor(h))))
+    return spark.createDataFrame(out, "column string, prob double, value double")
 
 
 def modes(df: DataFrame, col: str) -> DataFrame:

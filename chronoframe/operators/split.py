@@ -117,3 +117,59 @@ def bootstrap(df: DataFrame, id_col: str, rounds: int, seed) -> DataFrame:
     picked = (draws.withColumn("pos", F.pmod(hash_int(seed, "round", "_j"), F.col("_n")))
                    .groupBy("round", "pos").agg(F.count(F.lit(1)).alias("weight")))
     return picked.join(p.drop("_n"), "pos").drop("pos")
+
+
+_FAN = 16
+
+
+def bootstrap_weights(df: DataFrame, id_col: str, rounds: int, seed: int, name: str = "weights", bucket_rows: int = 1 << 13) -> DataFrame:
+    """R09 without a row for each draw: every row gets ``name``, its number of draws in each of ``rounds`` bootstrap samples of
+    ``n`` draws; in each round they add up to the number of rows exactly.
+
+    The counts of a sample are multinomial.  They are drawn down a tree of hash buckets: a bucket's draws are dealt to its 16
+    children by their row counts, at the end to the rows of a leaf of about ``bucket_rows`` rows.  A node's generator is seeded by
+    the seed and the node, so each leaf's task repeats the draws on its path and no task knows more than 16 counts of a
+    level.  Only the rows are shuffled, once, by leaf.  Rows of one id are told apart by their content; rows equal in all columns
+    are interchangeable.  Null ids are an id; an empty table gives no rows."""
+    import numpy as np
+    import pyarrow as pa
+
+    key = F.concat_ws("-", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("\x00")), F.xxhash64(F.struct(*df.columns)).cast("string"))
+    rows = df.withColumn("_h", F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long"))
+    n, depth = df.count(), 0
+    while n > bucket_rows * _FAN**depth:
+        depth += 1
+    leaf = lambda level: F.shiftright("_h", 60 - 4 * level)
+    rows = rows.withColumn("_leaf", leaf(depth))
+    leaves = rows.groupBy("_leaf").agg(F.count(F.lit(1)).alias("_c"))
+    path = leaves.select(F.col("_leaf").alias("_at"))
+    for level in range(depth):      # the counts of the 16 children of the ancestor at this level
+        up = 4 * (depth - level - 1)
+        child = leaves.groupBy(F.shiftright("_leaf", up).alias("_k")).agg(F.sum("_c").alias("_c"))
+        node = (child.groupBy(F.shiftright("_k", 4).alias("_n")).agg(F.collect_list(F.struct((F.col("_k") % _FAN).cast("int").alias("k"), "_c")).alias(f"_a{level}")))
+        path = path.withColumn("_n", F.shiftright("_at", up + 4)).join(node, "_n").drop("_n")
+    schema = df.select("*").withColumn(name, F.array().cast("array<int>")).schema
+
+    def draw(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return schema_arrow(left, np.zeros((rounds, 0), dtype=np.int64))
+        order = np.argsort(left.column("_h").to_numpy(), kind="stable")
+        left = left.take(pa.array(order))
+        here = int(left.column("_leaf")[0].as_py())
+        total = np.full(rounds, n, dtype=np.int64)
+        for level in range(depth):
+            counts = np.zeros(_FAN)
+            for cell in right.column(f"_a{level}")[0].as_py():
+                counts[cell["k"]] = cell["_c"]
+            node, child = here >> 4 * (depth - level), (here >> 4 * (depth - level - 1)) % _FAN
+            total = np.random.default_rng([seed, level, node]).multinomial(total, counts / counts.sum())[:, child]
+        m = left.num_rows
+        return schema_arrow(left, np.random.default_rng([seed, depth, here]).multinomial(total, np.full(m, 1.0 / m)))
+
+    def schema_arrow(left: pa.Table, weights: np.ndarray) -> pa.Table:
+        m = weights.shape[1]
+        flat = pa.array(np.ascontiguousarray(weights.T, dtype=np.int32).ravel())
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(m + 1, dtype=np.int32) * rounds), flat)
+        return left.drop_columns(["_h", "_leaf"]).append_column(name, lists)
+
+    return rows.groupBy("_leaf").cogroup(path.groupBy("_at")).applyInArrow(draw, schema)

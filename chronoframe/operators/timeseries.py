@@ -7,12 +7,14 @@ segment and time block) instead of looping over segments.  Windows over a whole
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.datetime import epoch_micros, floor_ts, from_epoch_micros
+from ..session import shuffle_partitions
 from .order import bucketed_position, count_blocks
 
 _MIN_US = 60_000_000
@@ -44,13 +46,21 @@ def resample_mean(df: DataFrame, segment, ts: str, values, minutes: int, out_ts:
               .agg(*[F.avg(v).alias(v) for v in vals]))
 
 
-def grid(df: DataFrame, segment, ts: str, minutes: int, floor_first: bool = True) -> DataFrame:
-    """Regular grid per segment from (floored) first to last timestamp, both ends included."""
+def grid(df: DataFrame, segment, ts: str, minutes: int, floor_first: bool = True, block: int = 1 << 16) -> DataFrame:
+    """Regular grid per segment from (floored) first to last timestamp, both ends included.
+
+    A segment's grid is generated in pieces of ``block`` points: each piece is a row of its own, dealt by (segment, piece) before
+    its points are formed, so a long segment is spread over tasks and is never one array."""
     seg = _seg(segment)
-    step = F.expr(f"INTERVAL {int(minutes)} MINUTES")
     lo = floor_ts(F.min(ts), minutes) if floor_first else F.min(ts)
-    bounds = df.groupBy(*seg).agg(lo.alias("_lo"), F.max(ts).alias("_hi"))
-    return bounds.select(*seg, F.explode(F.sequence("_lo", "_hi", step)).alias(ts))
+    bounds = df.groupBy(*seg).agg(epoch_micros(lo).alias("_lo"), epoch_micros(F.max(ts)).alias("_hi")).where(F.col("_lo").isNotNull())
+    step = int(minutes) * _MIN_US
+    last = F.expr(f"(_hi - _lo) div {step}")      # of the points from 0
+    pieces = bounds.select(*seg, "_lo", last.alias("_n")).withColumn("_g", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"_n div {block}"))))
+    pieces = pieces.repartition(shuffle_partitions(df.sparkSession), *seg, "_g")
+    ends = F.sequence(F.col("_g") * block, F.least(F.col("_n"), (F.col("_g") + 1) * block - 1))
+    at = from_epoch_micros(F.col("_lo") + F.col("_i") * F.lit(step).cast("long")).cast(dict(df.dtypes)[ts])
+    return pieces.select(*seg, "_lo", F.explode(ends).alias("_i")).select(*seg, at.alias(ts))
 
 
 def resample_dense(df: DataFrame, segment, ts: str, values, minutes: int) -> DataFrame:
@@ -343,69 +353,76 @@ def ema(df: DataFrame, segment, order: str, value: str, alpha: float, name: str
         block_rows: int = 1 << 16) -> DataFrame:
     """Exponential moving average with warm-up ``α_t = min(1 − 1/(t+1), α)``, t = 0-based step.
 
-    ``e_t = α_t·e_{t−1} + (1−α_t)·x_t`` (so ``e_0 = x_0``).  The recurrence is affine, so it is split
-    into blocks of ``block_rows`` rows per segment: every block computes, in one vectorised pandas pass,
-    ``e_t = P_t·e_in + L_t`` with ``P_t = Π α_k`` and ``L_t`` the recurrence started from 0; the small
-    table of block ends is then composed per segment to give each block its entering value ``e_in``.
-    No task ever holds more than one block.  A null (or NaN) is no observation: ``t`` counts the others only, and
-    the row takes the average before it (null before the first observation).
+    ``e_t = α_t·e_{t−1} + (1−α_t)·x_t`` (so ``e_0 = x_0``).  The recurrence is affine.  A segment is cut into blocks of
+    at most ``block_rows`` rows, in which ``e_t = P_t·e_in + L_t`` has closed forms over running sums: during the warm-up the
+    average is the mean so far (``P_t = s/(t+1)`` from a block's start ``s``), after it ``P_t = α^(t−s+1)`` and
+    ``L_t = (1−α)·α^(t−s)·Σ x_k·α^(s−k)``; blocks are short enough for the powers to stay in range.  The maps of the
+    block ends are composed as prefixes, in groups of blocks and then over the groups, which gives each block its ``e_in``.  A null
+    (or NaN) is no observation: ``t`` counts the others only, and the row takes the average before it (null before
+    the first observation).
     """
-    import numpy as np
-    import pandas as pd
-
     seg = _seg(segment)
     alpha = float(alpha)
-    warm = int(np.ceil(1.0 / (1.0 - alpha))) + 1 if alpha < 1.0 else 1 << 62
     seen = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
     gaps = df.where(~seen).withColumn(name, F.lit(None).cast("double"))
     pos = _positions(df.where(seen), seg, order, block_rows=block_rows).withColumnRenamed("_pos", "_t")
-    pos = pos.withColumn("_b", F.floor(F.col("_t") / F.lit(block_rows)).cast("long"))
-    keys = seg + ["_b"]
-
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_t", kind="stable")
-        t = pdf["_t"].to_numpy()
-        x = pdf[value].to_numpy(dtype="float64")
-        a = np.minimum(1.0 - 1.0 / (t + 1.0), alpha)
-        with np.errstate(under="ignore"):
-            p = np.cumprod(a)
-        lv = np.empty_like(x)
-        acc = 0.0
-        k = 0
-        n = len(x)
-        while k < n and t[k] < warm:          # warm-up: α_t still changes
-            acc = a[k] * acc + (1.0 - a[k]) * x[k]
-            lv[k] = acc
-            k += 1
-        if k < n:                            # constant α: C loop of pandas' ewm, seeded with acc
-            s = pd.Series(np.concatenate([[acc], x[k:]]))
-            lv[k:] = s.ewm(alpha=1.0 - alpha, adjust=False).mean().to_numpy()[1:]
-        pdf["_p"] = p
-        pdf["_l"] = lv
-        return pdf
-
-    from pyspark.sql.types import DoubleType, StructField, StructType
-    inner_schema = StructType(pos.schema.fields + [StructField("_p", DoubleType()), StructField("_l", DoubleType())])
-    rows = pos.groupBy(*keys).applyInPandas(block, schema=inner_schema)
-    ends = (rows.groupBy(*keys).agg(F.max_by("_p", "_t").alias("_pe"), F.max_by("_l", "_t").alias("_le")))
-
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_b", kind="stable")
-        e_in = np.empty(len(pdf))
-        e = 0.0
-        for i, (pe, le) in enumerate(zip(pdf["_pe"].to_numpy(), pdf["_le"].to_numpy())):
-            e_in[i] = e
-            e = pe * e + le
-        return pdf[keys].assign(_in=e_in)
-
-    start_schema = StructType([f for f in ends.schema.fields if f.name in keys] + [StructField("_in", DoubleType())])
-    starts = ends.groupBy(*seg).applyInPandas(compose, schema=start_schema) if seg else \
-        ends.withColumn("_g", F.lit(0)).groupBy("_g").applyInPandas(compose, schema=start_schema)
-    out = rows.join(starts, on=keys, how="inner").withColumn(name, F.col("_p") * F.col("_in") + F.col("_l"))
+    warm = _warm_rows(alpha)
+    size = block_rows if alpha >= 1 else 1 if alpha <= 0 else max(1, min(block_rows, int(200 * math.log(10) / -math.log(alpha))))
+    t, w = F.col("_t"), -(-warm // size) if warm is not None else 0
+    early = F.lit(True) if warm is None else t < warm
+    blk = F.when(early, F.expr(f"_t div {size}")).otherwise(F.lit(w) + F.expr(f"(_t - {warm or 0}) div {size}"))
+    pos = pos.withColumn("_b", blk.cast("long"))
+    start = F.when(early, F.col("_b") * size).otherwise((F.col("_b") - w) * size + (warm or 0))
+    x, since = F.col(value).cast("double"), (t - start).cast("double")
+    run = F.sum(F.when(early, x).otherwise(x * F.pow(F.lit(alpha), -since))).over(Window.partitionBy(*seg, "_b").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0))
+    rows = pos.withColumn("_run", run).withColumns({
+        "_p": F.when(early, start / (t + 1)).otherwise(F.pow(F.lit(alpha), since + 1)),
+        "_l": F.when(early, F.col("_run") / (t + 1)).otherwise((1 - alpha) * F.pow(F.lit(alpha), since) * F.col("_run"))})
+    ends = rows.groupBy(*seg, "_b").agg(F.max_by(F.struct(F.col("_p").alias("p"), F.col("_l").alias("l")), "_t").alias("_m"))
+    out = rows.join(_entering(ends, seg), on=[*seg, "_b"], how="inner").withColumn(name, F.col("_p") * F.col("_in") + F.col("_l"))
     whole = out.select(*df.columns, name).unionByName(gaps)
     return fill_null(whole, seg, order, name, "forward", block_rows)
 
 
+def _warm_rows(alpha: float) -> int | None:
+    """The first step whose warm-up rate is not below ``alpha``; None if there is none."""
+    if alpha >= 1:
+        return None
+    t = max(0, int(1 / (1 - alpha)) - 3)
+    while 1 - 1 / (t + 1) < alpha:
+        t += 1
+    return t
+
+
+def _entering(ends: DataFrame, seg: list[str], group: int = 256) -> DataFrame:
+    """``(segment, _b, _in)``: the value that enters each block, 0 for the first, from the affine maps ``_m`` (p, l) of the blocks.
+
+    Maps are composed as prefixes inside groups of ``group`` blocks, the groups' maps again so, and the maps of those
+    over the segment: the longest array of a segment of 10^9 blocks has some 15 000 entries."""
+    one = F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("l"))
+
+    def after(a: Column, b: Column) -> Column:
+        return F.struct((a["p"] * b["p"]).alias("p"), (b["p"] * a["l"] + b["l"]).alias("l"))
+
+    def prefixes(df: DataFrame, by: list[str], at: str) -> DataFrame:
+        """Per group the composed map ``_m`` and, in ``_each``, for each ``at`` the map of what comes before it."""
+        items = df.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(F.col(at).alias("k"), F.col("_m").alias("m")))).alias("_i"))
+        state = F.struct(one.alias("m"), F.slice(F.transform("_i", lambda i: F.struct(i["k"].alias("k"), one.alias("m"))), 1, 0).alias("each"))
+        done = F.aggregate("_i", state, lambda s, i: F.struct(after(s["m"], i["m"]).alias("m"), F.concat(s["each"], F.array(F.struct(i["k"].alias("k"), s["m"].alias("m")))).alias("each")))
+        return items.withColumn("_d", done).select(*by, F.col("_d.m").alias("_m"), F.col("_d.each").alias("_each"))
+
+    if not seg:
+        return _entering(ends.withColumn("_s", F.lit(0)), ["_s"], group).drop("_s")
+    g0 = prefixes(ends.withColumn("_g", F.expr(f"_b div {group}")), [*seg, "_g"], "_b")
+    g1 = prefixes(g0.withColumn("_h", F.expr(f"_g div {group}")), [*seg, "_h"], "_g")
+    g2 = prefixes(g1, seg, "_h")
+    top = g2.select(*seg, F.inline("_each").alias("_h", "_m2"))
+    mid = g1.select(*seg, "_h", F.inline("_each").alias("_g", "_m1")).join(top, [*seg, "_h"])
+    mid = mid.select(*seg, "_g", after(F.col("_m2"), F.col("_m1")).alias("_m1"))
+    low = g0.select(*seg, "_g", F.inline("_each").alias("_b", "_m0")).join(mid, [*seg, "_g"])
+    return low.select(*seg, "_b", after(F.col("_m1"), F.col("_m0"))["l"].alias("_in"))
+
+
 # ---------------------------------------------------------------------------------------------------
 # Time id → timestamp, conditional time encoding
 # ---------------------------------------------------------------------------------------------------

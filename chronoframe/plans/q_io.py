@@ -233,6 +233,19 @@ def q_samples_roundtrip(spark, sf_dir):
     return back.select("segment", "ts", *[F.element_at("x", i + 1).alias(c) for i, c in enumerate(lags)], "y")
 
 
+@register("samples_batches", f"""
+SELECT * EXCLUDE (split), CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'early' ELSE 'late' END AS batch FROM ({samples_sql(60, 5)}) s WHERE split = 'train'""", ids="K03 S14")
+def q_samples_batches(spark, sf_dir):
+    """Two batches, of which one is written twice: its rows are there once."""
+    lags = [f"lag_{i}" for i in range(5, 0, -1)]
+    s = ts_samples_df(spark, sf_dir, 60, 5).select("segment", "ts", F.array(*lags).alias("x"), "y", "split")
+    early, path = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), io.scratch_path(spark, "batches")
+    for batch, rows in (("early", early), ("late", ~early), ("early", early)):
+        io.write_samples(s.where(rows), path, "x", 5, batch=batch)
+    back = io.load_samples(spark, path, "train")
+    return back.select("segment", "ts", *[F.element_at("x", i + 1).alias(c) for i, c in enumerate(lags)], "y", "batch")
+
+
 # ---------------------------------------------------------------------------------------------------
 # run report (M16): result CSVs in run folders → one table with case / lag / granularity
 # ---------------------------------------------------------------------------------------------------

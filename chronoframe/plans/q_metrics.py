@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import metrics as mt
+from ..operators.gram import corr_pairs
 from ..operators.order import average_rank
+from ..operators.split import bootstrap, hash_int
 from ..operators.vectors import random_partner
 from .catalog import r6, register, table
 from .q_vectors import _partner_sql
@@ -13,6 +15,9 @@ from .fixtures import (BOOT_SQL, BOX_SQL, PRED_LONG_SQL, PRED_SQL, REG_SQL, boxe
                        predictions_long, regression_predictions)
 
 
+SEED = 42
+
+
 def _r6all(df, keep=()):
     return df.select(*keep, *[r6(c).alias(c) for c in df.columns if c not in keep])
 
@@ -155,6 +160,35 @@ def q_bias_variance(spark, sf_dir):
     return bv.select(*[F.round(c, 4).alias(c) for c in bv.columns])
 
 
+_REFIT_ROUNDS = 200
+
+
+@register("bias_variance_refit", f"""
+WITH o AS (SELECT o_orderkey AS id, o_totalprice / 1000::DOUBLE + 3 * (o_orderkey % 97) AS y, (o_orderkey % 97)::DOUBLE AS x,
+    CAST('0x' || substr(md5('{SEED}' || 'refit' || '-' || CAST(o_orderkey AS VARCHAR)), 1, 12) AS BIGINT) % 5 AS part FROM orders),
+q AS (SELECT *, row_number() OVER (ORDER BY md5('{SEED}' || CAST(id AS VARCHAR)), id) - 1 AS pos, count(*) OVER () AS n FROM o WHERE part > 0),
+k AS (SELECT r.round, CAST('0x' || substr(md5('{SEED}' || CAST(round AS VARCHAR) || '-' || CAST(pos AS VARCHAR)), 1, 12) AS BIGINT) % n AS pos, count(*) AS w
+      FROM q, range(0, {_REFIT_ROUNDS}) r(round) GROUP BY 1, 2),
+m AS (SELECT round, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my FROM k JOIN q USING (pos) GROUP BY round),
+f AS (SELECT round, any_value(mx) AS mx, any_value(my) AS my, sum(w * (x - mx) * (y - my)) / sum(w * (x - mx) * (x - mx)) AS slope
+      FROM k JOIN q USING (pos) JOIN m USING (round) GROUP BY round),
+p AS (SELECT id, y, my + slope * (x - mx) AS p FROM f, o WHERE part = 0),
+i AS (SELECT id, avg(p) AS pbar, any_value(y) AS y, avg((p - y) * (p - y)) AS mse, var_pop(p) AS var FROM p GROUP BY id)
+SELECT round(avg(mse), 6) AS mse, round(avg((pbar - y) * (pbar - y)), 6) AS bias, round(avg(var), 6) AS var, {_REFIT_ROUNDS}::INTEGER AS rounds FROM i""",
+          ids="M11 R09")
+def q_bias_variance_refit(spark, sf_dir):
+    """Least squares fitted again in each of 200 bootstrap rounds of the training rows, judged on the other rows."""
+    part = (hash_int(SEED, F.lit("refit"), "id") % 5).alias("part")
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 97).cast("double").alias("x"), "o_totalprice")
+    o = o.select("id", "x", (F.col("o_totalprice") / 1000 + 3 * F.col("x")).alias("y"), part)
+    train = o.where("part > 0")
+    drawn = bootstrap(train.select("id"), "id", _REFIT_ROUNDS, SEED).groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("round", "weight"))).alias("m"))
+    weights = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(_REFIT_ROUNDS - 1).cast("long")), lambda r: F.coalesce(F.col("m")[r], F.lit(0).cast("long")))
+    train = train.join(drawn, "id", "left").withColumn("w", F.coalesce(weights, F.array_repeat(F.lit(0).cast("long"), _REFIT_ROUNDS)))
+    bv = mt.bias_variance_refit(train, o.where("part = 0"), "y", ["x"], "w", _REFIT_ROUNDS)
+    return bv.select(*[r6(c).alias(c) for c in ("mse", "bias", "var")], "rounds")
+
+
 @register("all_close", """
 SELECT round(max(abs(o_totalprice * 0.9::DOUBLE - (o_totalprice - o_totalprice * 0.1::DOUBLE))), 6) AS max_abs_diff,
        CAST(0 AS BIGINT) AS unmatched,
@@ -185,6 +219,21 @@ def q_corr_matrix(spark, sf_dir):
     return c.select("a", "b", r6("corr").alias("corr"))
 
 
+_WIDE = 300
+
+
+@register("corr_wide", f"""
+WITH l AS (SELECT vec_id AS i, k, CASE WHEN (vec_id + k) % 11 <> 0 THEN embedding[k % 64 + 1]::DOUBLE * embedding[(k * 7 + 3) % 64 + 1]::DOUBLE + k / 100::DOUBLE END AS x
+           FROM embeddings, range({_WIDE}) r(k))
+SELECT 'c' || a.k AS a, 'c' || b.k AS b, round(corr(a.x, b.x), 6) AS corr FROM l a JOIN l b USING (i) GROUP BY a.k, b.k""", ids="A12")
+def q_corr_wide(spark, sf_dir):
+    """Vectors of 300 entries with nulls, 90 000 pairs."""
+    e, i = F.col("embedding"), F.col("vec_id")
+    cell = lambda k: F.when((i + k) % 11 != 0, F.get(e, k % 64).cast("double") * F.get(e, (k * 7 + 3) % 64).cast("double") + k / 100)
+    v = table(spark, sf_dir, "embeddings").select(F.transform(F.sequence(F.lit(0), F.lit(_WIDE - 1)), cell).alias("v"))
+    return corr_pairs(v, [f"c{k}" for k in range(_WIDE)], vec="v").select("a", "b", r6("corr").alias("corr"))
+
+
 @register("corr_with_target", """
 SELECT "column", round(corr, 6) AS corr FROM (SELECT unnest(['l_quantity', 'l_discount', 'l_tax']) AS "column",
   unnest([corr(l_quantity, l_extendedprice), corr(l_discount, l_extendedprice), corr(l_tax, l_extendedprice)]) AS corr FROM lineitem)

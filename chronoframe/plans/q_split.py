@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import split as sp
+from ..operators.gram import covariance, vector, weighted_moments
 from .catalog import register, table
 
 SEED = 42
@@ -135,3 +136,16 @@ def q_bootstrap(spark, sf_dir):
     b = sp.bootstrap(o, "o_orderkey", ROUNDS, SEED)
     return b.groupBy("round").agg(F.sum("weight").alias("draws"), F.count(F.lit(1)).alias("distinct_rows"),
                                   F.round(F.sum(F.col("weight") * F.col("o_totalprice")) / F.sum("weight"), 4).alias("mean_price"))
+
+
+@register("bootstrap_tree", f"""
+SELECT CAST(r.round AS BIGINT) AS round, n AS draws, true AS near_mean FROM (SELECT count(*) AS n FROM orders), range(0, {ROUNDS}) r(round)""", ids="R09")
+def q_bootstrap_tree(spark, sf_dir):
+    """Bootstrap weights of 200 rounds drawn down a tree of buckets: each round has one draw for each row, and its weighted
+    mean is within six standard errors of the rows' mean."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    w = sp.bootstrap_weights(o, "o_orderkey", ROUNDS, SEED).select(vector(["o_totalprice"]).alias("v"), "weights")
+    n, mean, var = covariance(o.select(vector(["o_totalprice"]).alias("v")), "v", 1)
+    far = 6 * (var[0, 0] / max(n, 1)) ** 0.5
+    rows = [(int(r), round(float(g[0, 0])), bool(abs(g[0, 1] / g[0, 0]) <= far)) for r, g in weighted_moments(w, "v", 1, "weights", ROUNDS, shift=mean).itertuples(index=False)]
+    return spark.createDataFrame(rows, "round long, draws long, near_mean boolean")

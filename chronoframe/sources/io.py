@@ -8,6 +8,7 @@ sets to a shared file system; nothing is written to a machine-local folder there
 from __future__ import annotations
 
 import fnmatch
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -107,13 +108,21 @@ def date_range(lo: Column, hi: Column, step: str) -> Column:
     return F.sequence(lo, hi, F.expr(f"INTERVAL {step}"))
 
 
-def write_samples(df: DataFrame, path: str, x_col: str, lag: int, mode: str = "append") -> None:
+def write_samples(df: DataFrame, path: str, x_col: str, lag: int, mode: str = "append", batch: str | None = None) -> None:
     """Append sample rows partitioned by ``split``; the width of every sample must be ``lag``, or the write
-    fails.  The check is part of the sample column itself: a column of its own would be pruned."""
+    fails.  The check is part of the sample column itself: a column of its own would be pruned.
+
+    With ``batch`` (letters, digits, ``_``, ``.``, ``-``) the rows replace the folder of that batch: writing a batch
+    again, after a failure or by mistake, leaves its rows once, and other batches stay as they are.  A write that
+    fails leaves the batch away until it is repeated.  A folder holds batches or plain appends, not both."""
     kind = dict(df.dtypes)[x_col]
     wrong = F.raise_error(F.concat(F.lit(f"sample width differs from {lag}: "), F.size(x_col).cast("string"))).cast(kind)
     checked = df.withColumn(x_col, F.when(F.size(x_col) == lag, F.col(x_col)).otherwise(wrong))
-    checked.write.mode(mode).partitionBy("split").parquet(path)
+    if batch is not None:
+        if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch):
+            raise ValueError(f"batch name {batch!r}")
+        path, mode = f"{path.rstrip('/')}/batch={batch}", "overwrite"
+    checked.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("split").parquet(path)
 
 
 def load_samples(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
