@@ -2,11 +2,10 @@
 
 Items are groups of equal texts (a group of more than a twentieth of a shard and more than the largest
 document is cut into pieces by a hash of the id, so that no group forces a shard's size).  Each item is a
-point of metadata: text length, source, language and the position of its least id among all ids.  A node of
-the tree that stands for k shards is split at the weighted quantile floor(k/2)/k along its widest dimension,
-width being the range of the dimension's values inside the node over that in the whole table; leaves have
-reached the target bytes.  Text dimensions enter by a 31-bit number that follows their order in the first
-four bytes.
+point of metadata: text length, source and language.  A node of the tree that stands for k shards is split at the
+weighted quantile floor(k/2)/k along its widest dimension, width being the range of the dimension's values inside
+the node over that in the whole table; leaves have reached the target bytes.  A text dimension enters by the rank of the
+whole value among the distinct values (numbered over the cluster, joined back).
 
 Quantiles are found over the cluster: a row's place along a dimension is its value with a hash of the item
 as the tie breaker, one 62-bit number; a histogram of the weights over 4096 ranges for every open node is
@@ -22,21 +21,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.order import bucketed_position
+from ..operators.order import bucketed_position, global_position
 from ..session import materialize, shuffle_partitions
 
 BINS = 4096
 BITS = 31
 
 
-def _spread(c: Column, kind: str) -> Column:
-    """Value of a dimension as a number of at most 31 bits that follows its order (null: 0)."""
-    if kind == "string":
-        lead = F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 4)), 8, "0"), 16, 10).cast("long")
-        return F.coalesce(F.shiftright(lead, 1), F.lit(0)).cast("long")
+def _spread(c: Column) -> Column:
+    """A number as one of at most 31 bits that follows its size (null: 0)."""
     return F.coalesce((F.log1p(F.abs(c.cast("double"))) / F.lit(45.0) * F.lit(2.0**BITS - 1)).cast("long"), F.lit(0))
 
 
+def ranked(rows: DataFrame, col: str, name: str) -> DataFrame:
+    """``rows`` with ``name`` in place of the text column ``col``: the rank from 1 of its value among the distinct ones (null: 0), spread
+    over 31 bits where there are more."""
+    places = global_position(rows.select(F.col(col).alias("_v")).where("_v IS NOT NULL").distinct(), ["_v"], name="_p", with_count="_n")
+    over = F.expr(f"greatest(1L, (_n >> {BITS - 1}))")
+    places = materialize(places.select("_v", (F.floor(F.col("_p") / over) + 1).cast("long").alias(name)), "kd-ranks")
+    out = rows.join(places, F.col(col) == F.col("_v"), "left").drop("_v", col)
+    return out.withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
+
+
 def items(df: DataFrame, id_col: str, text_col: str, dims: list[str], shards: int) -> tuple[DataFrame, DataFrame]:
     """Rows (id, size, crc32, group, piece) and items (group, piece, weight, one number for each dimension)."""
     kinds = dict(df.dtypes)
@@ -45,7 +51,11 @@ def items(df: DataFrame, id_col: str, text_col: str, dims: list[str], shards: in
                      (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
                      F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
                      F.xxhash64(text).alias("g1"), F.xxhash64(F.lit(1), text).alias("g2"),
-                     *[_spread(F.col(f"`{d}`"), kinds[d]).alias(f"d{i}") for i, d in enumerate(dims)])
+                     *[F.col(f"`{d}`").alias(f"v{i}") if kinds[d] == "string" else _spread(F.col(f"`{d}`")).alias(f"d{i}") for i, d in enumerate(dims)])
+    rows = materialize(rows, "kd-values")
+    for i, d in enumerate(dims):
+        if kinds[d] == "string":
+            rows = ranked(rows, f"v{i}", f"d{i}")
     rows = materialize(rows, "kd-rows")
     total, largest = rows.agg(F.sum("size"), F.max("size")).first()
     limit = max((total or 0) / shards / 20, largest or 1)
