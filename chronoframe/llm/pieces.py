@@ -91,7 +91,8 @@ class PieceTable:
         else:  # such tokenizers lower the case; capitals of ASCII may go at once where no mark can join a letter
             plain = pc.replace_substring(texts, "\n", " ")
             plain = pc.if_else(pc.match_substring_regex(plain, r"\p{M}"), plain, pc.ascii_lower(plain))
-            plain = pc.replace_substring_regex(plain, _STOP, r"\1 \2\3")
+            # U+0130 is the one capital whose lower case ends with a mark, which joins what follows
+            plain = pc.if_else(pc.match_substring(plain, "\u0130"), plain, pc.replace_substring_regex(plain, _STOP, r"\1 \2\3"))
         split = pc.split_pattern(plain, " ")
         ends = np.asarray(split.offsets, dtype=np.int64)
         words = split.flatten().dictionary_encode()
