@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import math
+import time
 from collections.abc import Sequence
 from functools import reduce
 
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .gram import batch_matrix, covariance, vector
+from .gram import batch_matrix, covariance, vector, weighted_moments
 from .order import global_position
 from .split import kfold
 
@@ -116,9 +117,9 @@ def logreg_gd(df: DataFrame, y: str, xs: Sequence[str], lr: float = 0.1, iters:
     return w.tolist()
 
 
-def fit_tree(df: DataFrame, y: str, xs: Sequence[str], depth: int = 5, seed: int = 42):
-    """decision-tree regressor."""
-    return DecisionTreeRegressor(featuresCol="features", labelCol=y, maxDepth=depth, seed=seed).fit(assemble(df, xs))
+def fit_tree(df: DataFrame, y: str, xs: Sequence[str], depth: int = 5, seed: int = 42, bins: int = 32):
+    """decision-tree regressor; a feature of at most ``bins`` values is split between any two of them."""
+    return DecisionTreeRegressor(featuresCol="features", labelCol=y, maxDepth=depth, seed=seed, maxBins=bins).fit(assemble(df, xs))
 
 
 def fit_forest(df: DataFrame, y: str, xs: Sequence[str], trees: int = 20, depth: int = 5, seed: int = 42,
@@ -130,10 +131,10 @@ def fit_forest(df: DataFrame, y: str, xs: Sequence[str], trees: int = 20, depth:
 
 
 def fit_gbt(df: DataFrame, y: str, xs: Sequence[str], rounds: int = 1000, depth: int = 10, eta: float = 0.01,
-            seed: int = 42):
+            seed: int = 42, bins: int = 32):
     """F16: gradient-boosted trees; the defaults are the settings of the forecasting pipeline."""
     return GBTRegressor(featuresCol="features", labelCol=y, maxIter=rounds, maxDepth=depth, stepSize=eta,
-                        seed=seed).fit(assemble(df, xs))
+                        seed=seed, maxBins=bins).fit(assemble(df, xs))
 
 
 def fit_linear_svc(df: DataFrame, y: str, xs: Sequence[str], reg: float = 0.0, max_iter: int = 50):
@@ -214,20 +215,80 @@ def _u(seed, *parts) -> float:
     return (int(h, 16) + 0.5) / 16 ** 13
 
 
+def draw_params(space: dict, trial: int, seed: int) -> dict:
+    """The parameter set of one trial: ``('int', lo, hi)``, ``('loguniform', lo, hi)`` or ``('uniform', lo, hi)`` for each name, by a
+    hash of seed and trial."""
+    params = {}
+    for j, (p, (kind, lo, hi)) in enumerate(sorted(space.items())):
+        u = _u(seed, trial, j)
+        params[p] = (int(lo + math.floor(u * (hi - lo + 1))) if kind == "int" else
+                     math.exp(math.log(lo) + u * (math.log(hi) - math.log(lo))) if kind == "loguniform" else
+                     lo + u * (hi - lo))
+    return params
+
+
 def random_search(df: DataFrame, id_col: str, y: str, xs: Sequence[str], estimator, space: dict, trials: int = 60,
-                  k: int = 5, seed: int = 42, parallelism: int = 3) -> list[tuple[dict, float]]:
-    """``trials`` parameter sets drawn from distributions (``('int', lo, hi)``, ``('loguniform', lo,
-    hi)``, ``('uniform', lo, hi)``), each scored by k-fold RMSE; one ``CrossValidator`` for all."""
-    sets = []
-    for t in range(trials):
-        params = {}
-        for j, (p, (kind, lo, hi)) in enumerate(sorted(space.items())):
-            u = _u(seed, t, j)
-            params[p] = (int(lo + math.floor(u * (hi - lo + 1))) if kind == "int" else
-                         math.exp(math.log(lo) + u * (math.log(hi) - math.log(lo))) if kind == "loguniform" else
-                         lo + u * (hi - lo))
-        sets.append(params)
-    return list(zip(sets, score_candidates(df, id_col, y, xs, estimator, sets, k, seed, parallelism)))
+                  k: int = 5, seed: int = 42, parallelism: int = 3, batch: int | None = None, min_gain: float | None = None,
+                  max_seconds: float | None = None, log: str | None = None) -> list[tuple[dict, float]]:
+    """``trials`` parameter sets drawn from distributions (:func:`draw_params`), each scored by k-fold RMSE.
+
+    Trials run in batches (all at once by default), one ``CrossValidator`` each over folds written once.  After a batch the search
+    ends if it has taken ``max_seconds``, or if the batch has lowered the best score by less than ``min_gain``.  With
+    ``log``, a folder, every batch's scores are appended there, and trials that stand in it are not run again: a search that lost its driver
+    goes on where it stopped."""
+    spark, began = df.sparkSession, time.monotonic()
+    folds = materialize(assemble(kfold(df, id_col, k, seed).drop("pos"), xs), "folds")
+    done = _read_trials(spark, log) if log else {}
+    size = batch or trials
+    for at in range(0, trials, size):
+        todo = [t for t in range(at, min(at + size, trials)) if t not in done]
+        before = min((done[t] for t in range(at) if t in done), default=math.inf)
+        if todo:
+            sets = [draw_params(space, t, seed) for t in todo]
+            cv = CrossValidator(estimator=estimator, estimatorParamMaps=[{getattr(estimator, p): v for p, v in c.items()} for c in sets], foldCol="fold", numFolds=k,
+                                parallelism=parallelism, evaluator=RegressionEvaluator(labelCol=y, metricName="rmse"))
+            new = {t: float(s) for t, s in zip(todo, cv.fit(folds).avgMetrics)}
+            done |= new
+            if log:
+                spark.createDataFrame(list(new.items()), "trial int, score double").coalesce(1).write.mode("append").parquet(log)
+        here = min(done[t] for t in range(at, min(at + size, trials)))
+        if max_seconds is not None and time.monotonic() - began >= max_seconds or min_gain is not None and at and before - here < min_gain:
+            break
+    return [(draw_params(space, t, seed), done[t]) for t in sorted(done) if t < trials]
+
+
+def _read_trials(spark, log: str) -> dict[int, float]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(log)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return {}
+    return {r["trial"]: r["score"] for r in spark.read.schema("trial int, score double").parquet(log).collect()}
+
+
+def ridge_search(df: DataFrame, id_col: str, y: str, xs: Sequence[str], penalties: Sequence[float], k: int = 5, seed: int = 42) -> list[tuple[float, int, float]]:
+    """K-fold RMSE ``(penalty, fold, rmse)`` of ridge regressions with an unpenalised intercept, minimising mean squared
+    error + penalty · |w|².
+
+    One scan gives the Gram matrix of each fold; the training matrix of a fold is the sum of the others, and the error on the fold a
+    quadratic form in its own matrix.  So any number of penalties costs one scan and small solves on the driver.  Rows with a null are left
+    out; a fold or its rest without rows has no score."""
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*xs, y)])
+    width = len(xs) + 1
+    shift = covariance(df.where(whole).select(vector([*xs, y]).alias("v")), "v", width)[1]
+    f = kfold(df, id_col, k, seed).where(whole)
+    marks = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: (F.col("fold") == i).cast("double"))
+    grams = list(weighted_moments(f.select(vector([*xs, y]).alias("v"), marks.alias("w")), "v", width, "w", k, shift=shift)["gram"])
+    out = []
+    for penalty in penalties:
+        for i, own in enumerate(grams):
+            rest = sum(g for j, g in enumerate(grams) if j != i)
+            if k < 2 or not own[0, 0] or not rest[0, 0]:
+                continue
+            mean = rest[0, 1:] / rest[0, 0]
+            c = rest[1:, 1:] / rest[0, 0] - np.outer(mean, mean)
+            w = np.linalg.lstsq(c[:-1, :-1] + penalty * np.eye(width - 1), c[:-1, -1], rcond=None)[0]
+            e = np.array([mean[-1] - w @ mean[:-1], *w, -1.0])
+            out.append((float(penalty), i, float(np.sqrt(max(0.0, e @ own @ e / own[0, 0])))))
+    return out
 
 
 def halving_search(df: DataFrame, id_col: str, y: str, xs: Sequence[str], estimator, candidates: list[dict],

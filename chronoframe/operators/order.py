@@ -168,7 +168,8 @@ _BINS = 4096
 def _bin_of(wide: bool) -> Column:
     """Bin of ``value`` in the range ``[_a, _z]``, monotone in the value: of equal widths, or, where those put most rows into one
     bin, of widths that grow by a factor (18 decades at once)."""
-    u = (F.col("value") * 0.5 - F.col("_a") * 0.5) / (F.col("_z") * 0.5 - F.col("_a") * 0.5)
+    u = F.try_divide(F.col("value") * 0.5 - F.col("_a") * 0.5, F.col("_z") * 0.5 - F.col("_a") * 0.5)
+    u = F.coalesce(u, (F.col("value") > F.col("_a")).cast("double"))        # a range of the least doubles only
     u = F.log1p(u * 2.0**60) / math.log1p(2.0**60) if wide else u
     return F.least(F.floor(u * _BINS).cast("int"), F.lit(_BINS - 1))
 

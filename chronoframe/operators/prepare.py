@@ -81,6 +81,39 @@ def one_hot(df: DataFrame, col: str, values: Sequence, prefix: str | None = None
     return df.withColumns({f"{prefix}{v}": F.coalesce((F.col(col) == F.lit(v)).cast("double"), F.lit(0.0)) for v in values})
 
 
+def wide_dictionary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """F04 for wide columns: ``column, value, index`` – the distinct values of the columns as text, numbered in the order (place of the
+    column, value) over the cluster."""
+    cells = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols)])
+    found = df.select(F.inline(cells)).where(F.col("value").isNotNull()).distinct()
+    return global_position(found, ["at", "value"], name="index").select("column", "value", "index")
+
+
+def one_hot_sparse(df: DataFrame, dictionary: DataFrame, cols: Sequence[str], name: str = "hot") -> DataFrame:
+    """F04 without a column for each value: ``name`` holds ``size``, the sorted ``indices`` of the row's categories in the dictionary
+    and their ``values`` (1.0); nulls and values that are not in the dictionary have no index.  One join for each of ``cols``, which
+    Spark broadcasts only where the dictionary's size allows."""
+    keep = df.columns
+    out = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"))          # clashing names stay inside
+    for i, c in enumerate(cols):
+        d = dictionary.where(F.col("column") == c).select(F.col("value").alias(f"_v{i}"), F.col("index").cast("int").alias(f"_i{i}"))
+        out = out.join(d, F.col("_row")[c].cast("string") == F.col(f"_v{i}"), "left").drop(f"_v{i}")
+    size = dictionary.agg(F.count(F.lit(1)).cast("int").alias("_size"))
+    indices = F.array_sort(F.array_compact(F.array(*[F.col(f"_i{i}") for i in range(len(cols))])))
+    cell = F.struct(F.col("_size").alias("size"), indices.alias("indices"), F.transform(indices, lambda _: F.lit(1.0)).alias("values"))
+    return out.crossJoin(F.broadcast(size)).select("_row.*", cell.alias(name))      # one row
+
+
+def as_ml_vector(col: str):
+    """The struct of :func:`one_hot_sparse` as a sparse vector for ``pyspark.ml``, without Python."""
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql.types import StructField, StructType
+
+    text = F.to_json(F.struct(F.struct(F.lit(0).cast("tinyint").alias("type"), F.col(col)["size"].alias("size"), F.col(col)["indices"].alias("indices"),
+                                       F.col(col)["values"].alias("values")).alias("v")))
+    return F.from_json(text, StructType([StructField("v", VectorUDT())]))["v"]
+
+
 def label_index(df: DataFrame, col: str, order: Sequence[str], name: str | None = None) -> DataFrame:
     """index of each label in the order of its first appearance (``min(order)`` per label)."""
     name = name or f"{col}_index"

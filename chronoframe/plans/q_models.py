@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import metrics as mt
 from ..operators import models as md
 from ..operators import prepare as pr
+from ..operators import trees as tr
 from ..operators.split import kfold, random_split_exact, stratified_split, with_row_id
 from ..operators.vectors import vector_width
 from ..session import materialize
@@ -121,6 +122,107 @@ def q_importances(spark, sf_dir):
     return _rows(spark, [(f, i == 0, total) for i, (f, _) in enumerate(imp)], "feature string, leads boolean, sums_to_one boolean")
 
 
+# ---------------------------------------------------------------------------------------------------
+# trees number by number: the SQL grows the same trees from the rows, level by level
+# ---------------------------------------------------------------------------------------------------
+
+_TREE_ROWS = "(SELECT l_quantity AS x0, l_discount AS x1, l_tax AS x2, l_quantity * (1 - l_discount) + l_extendedprice / 100000 AS y FROM lineitem)"
+
+
+def _grow_sql(rows: str, tag: str, depth: int) -> str:
+    """CTEs that grow a regression tree on ``rows`` (y, x0, x1, x2, others): ``{tag}n`` are the rows with their leaf ``node``,
+    ``{tag}t`` the nodes.  Cuts lie between neighbouring values of a feature in the whole table."""
+    out = [f"{tag}g AS (SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS nx FROM (SELECT DISTINCT unnest([0, 1, 2]) AS f, unnest([x0, x1, x2]) AS v FROM {rows}))",
+           f"{tag}n0 AS (SELECT *, 1 AS node FROM {rows})"]
+    for level in range(depth):
+        out += [f"""{tag}u{level} AS (SELECT node, f, v, count(*) AS n, sum(y) AS s, sum(y * y) AS q FROM (
+  SELECT node, y, unnest([0, 1, 2]) AS f, unnest([x0, x1, x2]) AS v FROM {tag}n{level}) GROUP BY node, f, v)""",
+                f"""{tag}c{level} AS (SELECT node, f, v, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(q) OVER w AS ql, sum(n) OVER t AS nt, sum(s) OVER t AS st, sum(q) OVER t AS qt
+  FROM {tag}u{level} WINDOW w AS (PARTITION BY node, f ORDER BY v), t AS (PARTITION BY node, f))""",
+                f"""{tag}b{level} AS (SELECT * FROM (SELECT node, c.f, (c.v + g.nx) / 2 AS thr, nt, st / nt AS value,
+    ((qt - st * st / nt) - (ql - sl * sl / nl) - ((qt - ql) - (st - sl) * (st - sl) / (nt - nl))) / nt AS gain
+  FROM {tag}c{level} c JOIN {tag}g g ON g.f = c.f AND g.v = c.v WHERE nt > nl)
+  WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, thr) = 1)""",
+                f"""{tag}n{level + 1} AS (SELECT r.* EXCLUDE (node), CASE WHEN b.node IS NULL THEN r.node
+    ELSE 2 * r.node + CASE WHEN CASE b.f WHEN 0 THEN x0 WHEN 1 THEN x1 ELSE x2 END <= b.thr THEN 0 ELSE 1 END END AS node FROM {tag}n{level} r LEFT JOIN {tag}b{level} b ON b.node = r.node)"""]
+    inner = " UNION ALL ".join(f"SELECT node, f, thr, gain, nt AS n, value FROM {tag}b{level}" for level in range(depth))
+    out += [f"{tag}l AS (SELECT node, count(*) AS n, avg(y) AS value FROM {tag}n{depth} GROUP BY node)",
+            f"{tag}n AS (SELECT r.*, l.value FROM {tag}n{depth} r JOIN {tag}l l ON l.node = r.node)",
+            f"{tag}t AS ({inner} UNION ALL SELECT node, NULL, NULL, NULL, n, value FROM {tag}l)"]
+    return ",\n".join(out)
+
+
+def _boost_sql(rounds: int, depth: int, eta: float) -> str:
+    """CTEs of boosted trees: after the first tree each is grown on twice the rest, and counts with the step ``eta``."""
+    out = [_grow_sql(_TREE_ROWS, "a0", depth)]
+    for r in range(1, rounds):
+        step = 1.0 if r == 1 else eta
+        target, so_far = ("y", "0.0") if r == 1 else ("goal", "p")
+        out += [f"r{r} AS (SELECT x0, x1, x2, {target} AS goal, {so_far} + {step} * value AS p, 2 * ({target} - ({so_far} + {step} * value)) AS y FROM a{r - 1}n)", _grow_sql(f"r{r}", f"a{r}", depth)]
+    return ",\n".join(out)
+
+
+_NODE_SQL = "SELECT {r}::INTEGER AS tree, CAST(node AS BIGINT) AS node, CAST(f AS INTEGER) AS feature, round(thr, 6) AS threshold, round(gain, 6) AS gain, CAST(n AS BIGINT) AS rows, round(value, 6) AS value FROM a{r}t"
+
+
+def _tree_rows(spark, sf_dir):
+    y = (F.col("l_quantity") * (1 - F.col("l_discount")) + F.col("l_extendedprice") / 100000).alias("y")
+    return table(spark, sf_dir, "lineitem").select(*_LI_X, y)
+
+
+def _node_rows(nodes):
+    return nodes.select("tree", "node", "feature", *[F.round(c, 6).alias(c) for c in ("threshold", "gain")], "rows", F.round("value", 6).alias("value"))
+
+
+@register("tree_nodes", f"WITH {_grow_sql(_TREE_ROWS, 'a0', 3)}\n" + _NODE_SQL.format(r=0), ids="F14")
+def q_tree_nodes(spark, sf_dir):
+    """Every node of a tree of depth 3."""
+    return _node_rows(tr.node_table(md.fit_tree(_tree_rows(spark, sf_dir), "y", _LI_X, depth=3, bins=64)))
+
+
+@register("gbt_nodes", f"WITH {_boost_sql(3, 2, 0.1)}\n" + "\nUNION ALL ".join(_NODE_SQL.format(r=r) for r in range(3)), ids="F16")
+def q_gbt_nodes(spark, sf_dir):
+    """Every node of three boosted trees of depth 2."""
+    return _node_rows(tr.node_table(md.fit_gbt(_tree_rows(spark, sf_dir), "y", _LI_X, rounds=3, depth=2, eta=0.1, bins=64)))
+
+
+@register("gbt_scores", f"""
+WITH {_boost_sql(3, 2, 0.1)}
+SELECT x0 AS l_quantity, x1 AS l_discount, x2 AS l_tax, round(any_value(p + 0.1 * value), 6) AS prediction FROM a2n GROUP BY x0, x1, x2""", ids="F16 F14")
+def q_gbt_scores(spark, sf_dir):
+    """Scores of every distinct feature row by joins with the node table, without the model."""
+    x = _tree_rows(spark, sf_dir)
+    nodes = tr.node_table(md.fit_gbt(x, "y", _LI_X, rounds=3, depth=2, eta=0.1, bins=64))
+    scored = tr.score_by_nodes(x.select(*_LI_X).distinct(), nodes, _LI_X, _LI_X, boosted=True)
+    return scored.select(*_LI_X, F.round("prediction", 6).alias("prediction"))
+
+
+@register("tree_importances", f"""
+WITH {_grow_sql(_TREE_ROWS, 'a0', 3)},
+w AS (SELECT f, sum(gain * n) AS g FROM a0t WHERE f IS NOT NULL GROUP BY f)
+SELECT n.name AS feature, round(coalesce(w.g, 0) / (SELECT sum(g) FROM w), 6) AS importance
+FROM (VALUES (0, 'l_quantity'), (1, 'l_discount'), (2, 'l_tax')) n(i, name) LEFT JOIN w ON w.f = n.i""", ids="F19 F14")
+def q_tree_importances(spark, sf_dir):
+    m = md.fit_tree(_tree_rows(spark, sf_dir), "y", _LI_X, depth=3, bins=64)
+    return tr.importances_by_nodes(tr.node_table(m), _LI_X).select("feature", F.round("importance", 6).alias("importance"))
+
+
+@register("forest_by_nodes", f"""
+SELECT count(*) AS feature_rows, 10 AS trees, true AS same_scores, true AS same_importances
+FROM (SELECT DISTINCT x0, x1, x2 FROM {_TREE_ROWS})""", ids="F15 F19")
+def q_forest_by_nodes(spark, sf_dir):
+    """Scores and importances of a forest from its node table are those of the model."""
+    x = _tree_rows(spark, sf_dir)
+    m = md.fit_forest(x, "y", _LI_X, trees=10, depth=4)
+    nodes, rows = tr.node_table(m), x.select(*_LI_X).distinct()
+    both = tr.score_by_nodes(rows, nodes, _LI_X, _LI_X, boosted=False).join(md.score_rows(m, rows, _LI_X, F.col("prediction"), "p"), _LI_X)
+    one = both.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("prediction") - F.col("p"))).alias("d")).first()
+    mine = {r["feature"]: r["importance"] for r in tr.importances_by_nodes(nodes, _LI_X).collect()}
+    same = all(abs(mine[f] - v) < 1e-9 for f, v in md.importances(m, _LI_X))
+    trees = nodes.agg(F.count_distinct("tree")).first()[0]
+    return _rows(spark, [(one["n"], trees, one["d"] < 1e-9, same)], "feature_rows long, trees int, same_scores boolean, same_importances boolean")
+
+
 def _vector_columns(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     d = vector_width(e, "embedding")
@@ -151,6 +253,18 @@ def q_linear_svc(spark, sf_dir):
     return scored.agg(F.count("p").alias("rows"), F.avg((F.col("p") == F.col("y")).cast("double")).between(0.3, 1.0).alias("accuracy_in_range"))
 
 
+@register("linear_svc_signs", "SELECT CAST(floor(count(*) * 0.2::DOUBLE) AS BIGINT) AS rows, true AS beats_majority FROM embeddings", ids="F18")
+def q_linear_svc_signs(spark, sf_dir):
+    """Two classes by a sum of two cells: better than the larger class by at least a tenth of the rows, on rows not trained on."""
+    x = _vector_columns(spark, sf_dir).withColumn("y", (F.col("e0") + F.col("e1") / 2 > 0).cast("double"))
+    s = random_split_exact(x, "vec_id", 0.2, 42)
+    xs = [c for c in x.columns if c.startswith("e")]
+    m = md.fit_linear_svc(s.where(F.col("split") == "train"), "y", xs)
+    scored = md.score_rows(m, s.where(F.col("split") == "test"), xs, F.col("prediction"), "p")
+    ones = F.avg("y")
+    return scored.agg(F.count("p").alias("rows"), (F.avg((F.col("p") == F.col("y")).cast("double")) > F.greatest(ones, 1 - ones) + 0.1).alias("beats_majority"))
+
+
 @register("model_roundtrip", "SELECT CAST(count(*) AS BIGINT) AS rows, 0.0::DOUBLE AS max_diff FROM lineitem", ids="K07 F20 K06")
 def q_model_roundtrip(spark, sf_dir):
     li = with_row_id(table(spark, sf_dir, "lineitem").select(*_LI_X, "l_extendedprice", "l_orderkey", "l_linenumber"))
@@ -234,6 +348,35 @@ def q_random_search(spark, sf_dir):
     return _rows(spark, [(len(res), ok, inside)], "trials long, scored boolean, in_range boolean")
 
 
+@register("random_search_stops", "SELECT CAST(8 AS BIGINT) AS trials, CAST(12 AS BIGINT) AS after_restart, true AS same_scores", ids="V03")
+def q_random_search_stops(spark, sf_dir):
+    """A search in batches of four that ends when a batch brings less than the gain asked for; a second one with the same log runs
+    only what the first has not, and finds its scores."""
+    ridge = LinearRegression(featuresCol="features", labelCol="y", solver="normal")
+    data, log = _prepared_housing(spark, sf_dir), scratch_path(spark, "trials")
+    common = dict(k=3, parallelism=4, batch=4, log=log)
+    a = md.random_search(data, "c_custkey", "y", _HOUSE_X, ridge, _SPACE, trials=12, min_gain=float("inf"), **common)
+    b = md.random_search(data, "c_custkey", "y", _HOUSE_X, ridge, _SPACE, trials=12, **common)
+    return _rows(spark, [(len(a), len(b), b[: len(a)] == a and spark.read.parquet(log).count() == len(b))], "trials long, after_restart long, same_scores boolean")
+
+
+_PENALTIES = (0.0, 10.0, 1000.0, 100000.0)
+
+
+@register("ridge_search", f"""
+WITH p AS (SELECT o_orderkey, o_totalprice / 1000::DOUBLE AS y, dayofyear(o_orderdate)::DOUBLE AS x,
+             row_number() OVER (ORDER BY md5('42' || CAST(o_orderkey AS VARCHAR)), o_orderkey) - 1 AS pos, count(*) OVER () AS n FROM orders),
+f AS (SELECT *, CASE WHEN pos < (n % 5) * (n // 5 + 1) THEN pos // (n // 5 + 1) ELSE n % 5 + (pos - (n % 5) * (n // 5 + 1)) // (n // 5) END AS fold FROM p),
+c AS (SELECT k.fold, avg(x) AS mx, avg(y) AS my, covar_pop(y, x) AS cxy, var_pop(x) AS cxx FROM f, (SELECT DISTINCT fold FROM f) k WHERE f.fold <> k.fold GROUP BY k.fold)
+SELECT l.penalty, CAST(fold AS INTEGER) AS fold, round(sqrt(avg((y - my - cxy / (cxx + l.penalty) * (x - mx)) ** 2)), 6) AS rmse
+FROM f JOIN c USING (fold), (VALUES {", ".join(f"({p}::DOUBLE)" for p in _PENALTIES)}) l(penalty) GROUP BY l.penalty, fold""", ids="V02 V01")
+def q_ridge_search(spark, sf_dir):
+    """Four penalties in five folds from one scan."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_totalprice") / 1000).alias("y"), F.dayofyear("o_orderdate").alias("doy"))
+    scores = md.ridge_search(o, "o_orderkey", "y", ["doy"], _PENALTIES, k=5)
+    return _rows(spark, [(p, f, round(s, 6)) for p, f, s in scores], "penalty double, fold int, rmse double")
+
+
 _HALVING = [{"numTrees": t, "maxDepth": d} for t, d in ((2, 2), (4, 3), (6, 4), (8, 5))]
 
 
@@ -318,3 +461,13 @@ def q_run_models(spark, sf_dir):
     for c in ("MAE", "MSE", "RMSE", "MAPE", "SMAPE", "R2"):
         full = full & F.col(c).isNotNull()
     return t.select("model", (F.col("R2").cast("double") > 0).alias("beats_mean"), full.alias("has_all_scores"))
+
+
+@register("run_models_all", "SELECT unnest(['LR', 'DT', 'RF', 'GBT']) AS model, true AS beats_mean, true AS has_all_scores", ids="V07 M15 F14 F16")
+def q_run_models_all(spark, sf_dir):
+    train, test = _lineitem_split(spark, sf_dir)
+    t = md.run_models(train, test, "y", _LI_X, ["all"])
+    full = F.lit(True)
+    for c in ("MAE", "MSE", "RMSE", "MAPE", "SMAPE", "R2"):
+        full = full & F.col(c).isNotNull()
+    return t.select("model", (F.col("R2").cast("double") > 0).alias("beats_mean"), full.alias("has_all_scores"))

@@ -205,3 +205,44 @@ def q_prepare_saved(spark, sf_dir):
     Pipeline(stages=[ColumnPreparer(numeric=["c_acctbal", "order_sum"], categorical=["c_mktsegment"], strategy="median")]).fit(h).write().overwrite().save(path)
     x = PipelineModel.load(path).transform(h)
     return x.select("c_custkey", r6("c_acctbal").alias("c_acctbal"), r6("order_sum").alias("order_sum"), "c_mktsegment_BUILDING")
+
+
+@register("one_hot_wide", """
+WITH d AS (SELECT k, v, row_number() OVER (ORDER BY k, v) - 1 AS i FROM (
+  SELECT DISTINCT 0 AS k, CAST(l_partkey AS VARCHAR) AS v FROM lineitem UNION SELECT DISTINCT 1, CAST(l_shipdate AS VARCHAR) FROM lineitem)),
+l AS (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS a, CAST(l_shipdate AS VARCHAR) AS b FROM lineitem)
+SELECT l_orderkey, l_linenumber, CAST((SELECT count(*) FROM d) AS INTEGER) AS size, CAST(x.i AS VARCHAR) || ',' || CAST(y.i AS VARCHAR) AS indices, 2.0::DOUBLE AS ones
+FROM l JOIN d x ON x.k = 0 AND x.v = l.a JOIN d y ON y.k = 1 AND y.v = l.b""", ids="F04 F09 K07")
+def q_one_hot_wide(spark, sf_dir):
+    """All parts and ship dates as one sparse vector, by a saved pipeline whose dictionary is a table."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from ..operators.stages import WideEncoder
+    from ..sources.io import scratch_path
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("a"), F.col("l_shipdate").cast("string").alias("b"))
+    path = scratch_path(spark, "wide")
+    Pipeline(stages=[WideEncoder(columns=["a", "b"], folder=f"{path}-tables")]).fit(li).write().overwrite().save(path)
+    x = PipelineModel.load(path).transform(li)
+    return x.select("l_orderkey", "l_linenumber", "hot.size", F.array_join(F.transform("hot.indices", lambda i: i.cast("string")), ",").alias("indices"),
+                    F.aggregate("hot.values", F.lit(0.0), lambda a, v: a + v).alias("ones"))
+
+
+@register("stages_saved", f"""
+WITH h AS (SELECT *, order_sum / n_orders AS per_order, c_acctbal / order_sum AS bal_share FROM {HOUSING_SQL} h),
+c AS (SELECT abs(corr(per_order, c_acctbal)) AS a, abs(corr(bal_share, c_acctbal)) AS b, abs(corr(n_orders, c_acctbal)) AS n FROM h)
+SELECT c_custkey, round(CASE WHEN a >= b AND a >= n THEN per_order WHEN b >= n THEN bal_share ELSE n_orders END, 6) AS kept,
+       CASE WHEN a >= b AND a >= n THEN 'per_order' WHEN b >= n THEN 'bal_share' ELSE 'n_orders' END AS name FROM h, c""", ids="F10 P17 K07")
+def q_stages_saved(spark, sf_dir):
+    """Ratio features and the choice of the best of three features as a saved pipeline."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from ..operators.stages import RatioFeatures, TopFeatures
+    from ..sources.io import scratch_path
+    h = housing(spark, sf_dir).select("c_custkey", "c_acctbal", "order_sum", F.col("n_orders").cast("double").alias("n_orders"))
+    three = ["per_order", "bal_share", "n_orders"]
+    stages = [RatioFeatures(ratios=[("per_order", "order_sum", "n_orders"), ("bal_share", "c_acctbal", "order_sum")]), TopFeatures(features=three, target="c_acctbal", k=1)]
+    path = scratch_path(spark, "stages")
+    Pipeline(stages=stages).fit(h).write().overwrite().save(path)
+    x = PipelineModel.load(path).transform(h)
+    name = next(c for c in x.columns if c in three)
+    return x.select("c_custkey", r6(name).alias("kept"), F.lit(name).alias("name"))
