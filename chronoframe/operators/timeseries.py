@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.datetime import epoch_micros, floor_ts, from_epoch_micros
 from ..session import shuffle_partitions
-from .order import bucketed_position, count_blocks
+from .order import bucketed_cumsum, bucketed_position, count_blocks
 
 _MIN_US = 60_000_000
 
@@ -183,30 +183,31 @@ def rolling_mean(df: DataFrame, segment, order: str, value: str, n: int = 5, nam
     return out.where(F.col(name).isNotNull()) if drop_null else out
 
 
-def _carried(df: DataFrame, seg: list[str], order: str, cols: list[str], forward: bool, block_rows: int) -> DataFrame:
-    """Fills by blocks: inside a block by a window; what a block cannot fill comes from the nearest block with
-    a value (one row per block)."""
-    x = count_blocks(df, seg, order, block_rows)
+def _carried(df: DataFrame, seg: list[str], order: str, cols: list[str], forward: bool, fine_seconds: int) -> DataFrame:
+    """Fills by short spans of time: inside a span by a window; what a span cannot fill comes from the nearest span
+    with a value (one row per span).  The rows are shuffled once, by (segment, span), for the join and the window."""
+    fine = F.floor(F.unix_micros(F.col(order).cast("timestamp")) / F.lit(fine_seconds * 1_000_000)).cast("long")
+    x = df.withColumn("_k", F.struct(*[F.col(c) for c in seg], fine.alias("_fine")))        # nulls are equal inside a struct
     pick = F.max_by if forward else F.min_by
-    ends = x.groupBy(*seg, "_blk").agg(*[pick(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_e_{c}") for c in cols])
-    far = Window.partitionBy(*seg).orderBy("_blk" if forward else F.desc("_blk")).rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(*seg, "_blk", *[F.last(f"_e_{c}", ignorenulls=True).over(far).alias(f"_c_{c}") for c in cols])
-    near = Window.partitionBy(*seg, "_blk").orderBy(order if forward else F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
-    x = x.withColumns({f"_f_{c}": F.last(c, ignorenulls=True).over(near) for c in cols})
-    x = x.join(ends, [*seg, "_blk"])
+    ends = x.groupBy("_k").agg(*[pick(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_e_{c}") for c in cols])
+    at = F.col("_k")["_fine"]
+    far = Window.partitionBy(*[F.col("_k")[c] for c in seg]).orderBy(at if forward else at.desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("_k", *[F.last(f"_e_{c}", ignorenulls=True).over(far).alias(f"_c_{c}") for c in cols])
+    near = Window.partitionBy("_k").orderBy(order if forward else F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.join(ends, "_k").withColumns({f"_f_{c}": F.last(c, ignorenulls=True).over(near) for c in cols})
     return x.select(*[F.coalesce(f"_f_{c}", f"_c_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def fill_null(df: DataFrame, segment, order: str, columns, strategy: str, block_rows: int = 1 << 17) -> DataFrame:
+def fill_null(df: DataFrame, segment, order: str, columns, strategy: str, fine_seconds: int = 60) -> DataFrame:
     """Forward / backward fill inside the segment, or the segment's min / max / mean.
 
-    Also ``zero`` and ``one`` (constant fills offered by the same option).  A long segment is filled in blocks of
-    ``block_rows`` rows.
+    Also ``zero`` and ``one`` (constant fills offered by the same option).  A long segment is filled in spans of
+    ``fine_seconds``; null segments are one segment.
     """
     seg = _seg(segment)
     cols = _list(columns)
     if strategy in ("forward", "backward"):
-        return _carried(df, seg, order, cols, strategy == "forward", block_rows)
+        return _carried(df, seg, order, cols, strategy == "forward", fine_seconds)
     if strategy in ("min", "max", "mean"):
         fn = {"min": F.min, "max": F.max, "mean": F.avg}[strategy]
         stats = df.groupBy(*seg).agg(*[fn(c).alias(f"_s_{c}") for c in cols])
@@ -364,8 +365,8 @@ def ema(df: DataFrame, segment, order: str, value: str, alpha: float, name: str
     seg = _seg(segment)
     alpha = float(alpha)
     seen = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
-    gaps = df.where(~seen).withColumn(name, F.lit(None).cast("double"))
-    pos = _positions(df.where(seen), seg, order, block_rows=block_rows).withColumnRenamed("_pos", "_t")
+    pos = bucketed_cumsum(count_blocks(df, seg, order, block_rows), F.col("_blk"), [order], seen.cast("long"), seg or None, name="_t").drop("_blk")
+    pos = pos.withColumn("_t", F.col("_t") - F.when(seen, 0).otherwise(1))       # a gap stands behind the observation before it
     warm = _warm_rows(alpha)
     size = block_rows if alpha >= 1 else 1 if alpha <= 0 else max(1, min(block_rows, int(200 * math.log(10) / -math.log(alpha))))
     t, w = F.col("_t"), -(-warm // size) if warm is not None else 0
@@ -373,15 +374,15 @@ def ema(df: DataFrame, segment, order: str, value: str, alpha: float, name: str
     blk = F.when(early, F.expr(f"_t div {size}")).otherwise(F.lit(w) + F.expr(f"(_t - {warm or 0}) div {size}"))
     pos = pos.withColumn("_b", blk.cast("long"))
     start = F.when(early, F.col("_b") * size).otherwise((F.col("_b") - w) * size + (warm or 0))
-    x, since = F.col(value).cast("double"), (t - start).cast("double")
-    run = F.sum(F.when(early, x).otherwise(x * F.pow(F.lit(alpha), -since))).over(Window.partitionBy(*seg, "_b").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0))
+    x, since, known = F.when(seen, F.col(value).cast("double")).otherwise(0.0), (t - start).cast("double"), t >= 0
+    in_block = Window.partitionBy(*seg, "_b").orderBy("_t", seen.desc()).rowsBetween(Window.unboundedPreceding, 0)
+    run = F.sum(F.when(early, x).otherwise(x * F.pow(F.lit(alpha), -since))).over(in_block)
     rows = pos.withColumn("_run", run).withColumns({
-        "_p": F.when(early, start / (t + 1)).otherwise(F.pow(F.lit(alpha), since + 1)),
-        "_l": F.when(early, F.col("_run") / (t + 1)).otherwise((1 - alpha) * F.pow(F.lit(alpha), since) * F.col("_run"))})
+        "_p": F.when(known & early, start / (t + 1)).when(known, F.pow(F.lit(alpha), since + 1)),
+        "_l": F.when(known & early, F.col("_run") / (t + 1)).when(known, (1 - alpha) * F.pow(F.lit(alpha), since) * F.col("_run"))})
     ends = rows.groupBy(*seg, "_b").agg(F.max_by(F.struct(F.col("_p").alias("p"), F.col("_l").alias("l")), "_t").alias("_m"))
-    out = rows.join(_entering(ends, seg), on=[*seg, "_b"], how="inner").withColumn(name, F.col("_p") * F.col("_in") + F.col("_l"))
-    whole = out.select(*df.columns, name).unionByName(gaps)
-    return fill_null(whole, seg, order, name, "forward", block_rows)
+    out = rows.join(_entering(ends, seg), on=[*seg, "_b"], how="inner")
+    return out.select(*df.columns, (F.col("_p") * F.col("_in") + F.col("_l")).alias(name))
 
 
 def _warm_rows(alpha: float) -> int | None:

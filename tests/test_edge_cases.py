@@ -38,7 +38,7 @@ def test_lag_samples_for_any_lag_and_block(spark):
 
 def test_blocks_do_not_change_windows(spark):
     df = series(spark, 90, gaps=set(range(0, 4)) | set(range(20, 45)) | {89})
-    for fn in (lambda b: ts.fill_null(df, "seg", "ts", "v", "forward", block_rows=b), lambda b: ts.fill_null(df, "seg", "ts", "v", "backward", block_rows=b),
+    for fn in (lambda b: ts.fill_null(df, "seg", "ts", "v", "forward", fine_seconds=b), lambda b: ts.fill_null(df, "seg", "ts", "v", "backward", fine_seconds=b),
                lambda b: ts.rolling_mean(df, "seg", "ts", "v", 6, name="m", block_rows=b), lambda b: ts.sliding_samples(df, "seg", "ts", ["v"], "v", 4, 2, 3, block_rows=b),
                lambda b: ts.ema(df, "seg", "ts", "v", 0.9, block_rows=b), lambda b: ts.chrono_split(df, "seg", "ts", block_rows=b)):
         got = [sorted((tuple(round(x, 9) if isinstance(x, float) else str(x) for x in r) for r in fn(b).collect()), key=repr) for b in (3, 10, 1 << 17)]
