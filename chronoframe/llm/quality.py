@@ -1,8 +1,8 @@
 """Quality rules whose cutoffs come with a bound on how many good documents they reject.
 
-Each rule compares a ratio of two counts of a text with a cutoff from a fixed list.  One half of the labelled
+Each rule compares a ratio of two counts of a text with a cutoff from a fixed list.  A quarter of the labelled
 documents (by a hash of the id) orders the cutoffs of a stratum: at every step the rule and cutoff follow that catch most
-bad documents for each good one lost.  The other half, the holdout, is not looked at until then.  On it the steps are
+bad documents for each good one lost.  The others, the holdout, are not looked at until then.  On it the steps are
 tested in that order: the cutoffs up to a step stand if the exact binomial (Clopper-Pearson) upper bound of the share
 of good documents that they reject together is at most ``risk``; the first step that fails ends the stratum (a
 fixed sequence needs no correction of its own).  Strata share the error ``delta`` equally (Bonferroni).  So with
@@ -265,7 +265,7 @@ def fit(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
     worst = (labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("label"))
                    .where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.min("label").alias("label")))
     known = (rows.where(~base_failed()).join(worst, "doc_id")
-                 .select("stratum", "label", levels().alias("levels"), (F.crc32(F.col("doc_id").cast("string")) % 2 == 1).alias("holdout")))
+                 .select("stratum", "label", levels().alias("levels"), (F.crc32(F.col("doc_id").cast("string")) % 4 != 0).alias("holdout")))
     known = materialize(known, "quality-labels")
     good = F.count_if(F.col("label") == 1).alias("good")
     cells = (known.where(~F.col("holdout")).select("stratum", "label", F.posexplode("levels").alias("rule", "level"))
