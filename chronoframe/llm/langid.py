@@ -232,8 +232,9 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     near = F.col("h") < F.lit(2.0 * (1 << 40)) * F.col("want") / F.col("count")  # some twice the wanted rows of a language
     pick = (keys.join(F.broadcast(wanted), ["l", "long"]).where(near).withColumn("n", F.row_number().over(Window.partitionBy("l").orderBy("long", "h", "i")))
             .where(F.col("n") <= per_language).select("i").distinct())
-    chosen = rows.join(F.broadcast(pick), "i").select("i", F.col("piece").alias("t"), "l").collect()
-    chosen = sorted(((r.i, r.t, r.l) for r in chosen))
+    # one row for each id: of an id with many rows the one of the least hash, so that what is collected is bounded
+    one = rows.join(F.broadcast(pick), "i").groupBy("i").agg(F.min(F.struct(F.xxhash64("piece").alias("x"), F.col("piece").alias("t"), "l")).alias("m"))
+    chosen = sorted((r.i, r.t, r.l) for r in one.select("i", "m.t", "m.l").collect())
     return train([t for _, t, _ in chosen], [lang for _, _, lang in chosen], **options)
 
 
