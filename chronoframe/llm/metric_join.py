@@ -10,7 +10,8 @@ vector finds all its partners in its home cell, and cells join independently.
 
 A cell's home rows and its home and visiting rows are cut into blocks of at most ``block_rows``; every pair of
 blocks is one tile, a product of two matrices in double precision.  A tile returns for each row the number of its links
-and the least id that it reaches there, never the pairs.  Equal vectors are one row with a multiplicity from the start.
+and the least id that it reaches there, never the pairs.  Equal vectors are one row with a multiplicity from the start; links are counted
+by distinct ids.
 
 Rows: vectors that are null, empty, zero, or hold null or non-finite numbers, rows of null label and rows of null
 id link with nothing (a null id is kept); rows that repeat an id are one vector, the least (label, vector); an
@@ -31,6 +32,7 @@ from ..session import materialize, shuffle_partitions
 from .components import components
 
 SLACK = 1e-9
+MATRIX = 1 << 21          # doubles of one matrix of rows by pivots
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -70,10 +72,10 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{label_col}`").cast("string").alias("label"), F.col(f"`{vec_col}`").cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     good = rows.where(F.col("_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(finite, F.lit(False)))
-    good = good.groupBy("_id").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("label", "v")).alias("s")).select("_id", "times", "s.label", "s.v")
+    good = good.groupBy("_id").agg(F.min(F.struct("label", "v")).alias("s")).select("_id", "s.label", "s.v")
     good = good.withColumn("key", F.sha2(F.concat_ws(",", "label", F.col("v").cast("array<string>")), 256))
     good = materialize(good, "vectors")
-    reps = good.groupBy("key").agg(F.min("_id").alias("rep"), F.sum("times").alias("n"))
+    reps = good.groupBy("key").agg(F.min("_id").alias("rep"), F.count(F.lit(1)).alias("n"))
     reps = materialize(reps.join(good.select(F.col("_id").alias("rep"), "key", "label", "v"), ["rep", "key"]).withColumn("width", F.size("v")), "distinct-vectors")
     total = reps.count()
     rate = max(cell_rows, math.ceil(total / max_pivots))
@@ -92,22 +94,26 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
             for g in dict.fromkeys(keys):
                 pick = np.array([k == g for k in keys])
                 part = b.filter(pa.array(pick))
-                n = part.num_rows
-                take, cell, home = [np.arange(n)], [np.zeros(n, dtype=np.int32)], [np.ones(n, dtype=bool)]
-                if len(pivots.get(g, ())) > 1:
-                    p = pivots[g]
-                    x = unit(matrix(part.column(4), g[1]))
-                    d2 = np.maximum(0.0, 2 - 2 * (x @ p.T))
-                    d = np.sqrt(d2)
-                    own = d.argmin(axis=1)
-                    gap = np.sqrt(np.maximum(0.0, 2 - 2 * (p @ p.T)))[own]
-                    near = d[np.arange(n), own]
-                    visit = (d <= near[:, None] + 2 * radius + SLACK) & (d2 - (near**2)[:, None] <= 2 * gap * (radius + SLACK) + SLACK)
-                    visit[np.arange(n), own] = False
-                    row, to = np.nonzero(visit)
-                    take, cell, home = [np.arange(n), row], [own.astype(np.int32), to.astype(np.int32)], [np.ones(n, dtype=bool), np.zeros(len(row), dtype=bool)]
-                out = part.take(pa.array(np.concatenate(take)))
-                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(np.concatenate(cell), pa.int32()), pa.array(np.concatenate(home))], names=["label", "width", "rep", "n", "v", "cell", "home"])
+                p = pivots.get(g, ())
+                step = max(1, MATRIX // max(1, len(p)))         # bounds the matrices of rows by pivots
+                for at in range(0, part.num_rows, step):
+                    yield cells(part.slice(at, step), p, g[1])
+
+    def cells(part: pa.RecordBatch, p: np.ndarray, width: int) -> pa.RecordBatch:
+        n = part.num_rows
+        take, cell, home = [np.arange(n)], [np.zeros(n, dtype=np.int32)], [np.ones(n, dtype=bool)]
+        if len(p) > 1:
+            d2 = np.maximum(0.0, 2 - 2 * (unit(matrix(part.column(4), width)) @ p.T))
+            d = np.sqrt(d2)
+            own = d.argmin(axis=1)
+            gap = np.sqrt(np.maximum(0.0, 2 - 2 * (p[own] @ p.T)))
+            near = d[np.arange(n), own]
+            visit = (d <= near[:, None] + 2 * radius + SLACK) & (d2 - (near**2)[:, None] <= 2 * gap * (radius + SLACK) + SLACK)
+            visit[np.arange(n), own] = False
+            row, to = np.nonzero(visit)
+            take, cell, home = [np.arange(n), row], [own.astype(np.int32), to.astype(np.int32)], [np.ones(n, dtype=bool), np.zeros(len(row), dtype=bool)]
+        out = part.take(pa.array(np.concatenate(take)))
+        return pa.RecordBatch.from_arrays([*out.columns, pa.array(np.concatenate(cell), pa.int32()), pa.array(np.concatenate(home))], names=["label", "width", "rep", "n", "v", "cell", "home"])
 
     schema = "label string, width int, rep long, n long, v array<double>, cell int, home boolean"
     placed = materialize(reps.select("label", "width", "rep", "n", "v").mapInArrow(assign, schema), "cells")
