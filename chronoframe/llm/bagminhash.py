@@ -19,7 +19,7 @@ number of its links and a spanning forest of them.  No pair is ever written out.
 Texts that are equal as bytes are one class from the start (by sha256), represented by their least id.
 
 Rows: a text without a word (null, empty, white space) is compared with nothing; ids must not be null to be
-compared: a null id is kept as its own row; rows that repeat an id are one document, of the least text; an empty table gives no
+compared: a null id is kept as its own row; rows that repeat an id are one document, of the text with the least sha256; an empty table gives no
 rows; other columns are not read.
 """
 

@@ -77,8 +77,8 @@ def op9_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op9_bagminhash"] = """
 WITH RECURSIVE w AS (SELECT doc_id, text, list_filter(string_split_regex(text, '[ \\t\\n\\r\\f\\v]+'), lambda x: x <> '') AS w FROM documents),
-rep AS (SELECT min(doc_id) AS rep, text, any_value(w) AS w FROM w GROUP BY text),
-s AS (SELECT rep, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' '))) AS s FROM rep WHERE len(w) > 0),
+rep AS (SELECT min(doc_id) AS rep, text, any_value(w) AS w FROM w WHERE len(w) > 0 GROUP BY text),
+s AS (SELECT rep, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' '))) AS s FROM rep),
 c AS (SELECT rep, s, count(*) AS n FROM s GROUP BY rep, s),
 t AS (SELECT rep, sum(n) AS total FROM c GROUP BY rep),
 o AS (SELECT a.rep AS a, b.rep AS b, sum(least(a.n, b.n)) AS both_n FROM c a JOIN c b ON a.s = b.s AND a.rep <> b.rep GROUP BY a.rep, b.rep),
@@ -86,8 +86,9 @@ l AS (SELECT a, b FROM o JOIN t x ON x.rep = a JOIN t y ON y.rep = b WHERE both_
 reach AS (SELECT rep AS a, rep AS b FROM rep UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b),
 comp AS (SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY a),
 deg AS (SELECT a AS rep, count(*) AS n_links FROM l GROUP BY a)
-SELECT d.doc_id, r.rep AS rep_id, coalesce(deg.n_links, 0) AS n_links, comp.component_id, d.doc_id = comp.component_id AS kept
-FROM documents d JOIN rep r ON r.text = d.text JOIN comp ON comp.rep = r.rep LEFT JOIN deg ON deg.rep = r.rep"""
+SELECT d.doc_id, coalesce(r.rep, d.doc_id) AS rep_id, coalesce(deg.n_links, 0) AS n_links, coalesce(comp.component_id, d.doc_id) AS component_id,
+  coalesce(d.doc_id = comp.component_id, true) AS kept
+FROM documents d LEFT JOIN rep r ON r.text = d.text LEFT JOIN comp ON comp.rep = r.rep LEFT JOIN deg ON deg.rep = r.rep"""
 
 
 @query
