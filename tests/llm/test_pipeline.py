@@ -9,12 +9,12 @@ import numpy as np
 import public_tokenizers as P
 import pyarrow.parquet as pq
 import pytest
-from helpers import bag, components, jaccard
+from helpers import bag, components, documents, jaccard, words
 from test_line_chunks import brute as brute_lines
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from chronoframe.llm import langid, queries
+from chronoframe.llm import bagminhash, langid, queries
 from chronoframe.plans.catalog import table
 
 SF = "/root/testdata/sf0.001"
@@ -66,3 +66,35 @@ def test_query_matches_its_sql(spark, name):
     assert sorted(names) == cols
     want = sorted((tuple(plain(dict(zip(names, r))[c]) for c in cols) for r in res.fetchall()), key=repr)
     assert sorted((tuple(plain(r[c]) for c in cols) for r in df.collect()), key=repr) == want
+
+
+def test_stages_on_edge_rows(spark):
+    """Null ids, null and empty texts, repeats and columns of clashing names, stage by stage."""
+    text = {k: " ".join(words(60, k)) for k in range(4)}
+    rows = [(1, text[0], "x"), (5, text[0], None), (5, text[1], None), (5, text[1], None), (None, text[2], "x"), (None, text[2], "x"), (None, None, None),
+            (7, None, None), (8, "", None), (9, "  ", None), (10, text[3] * 50, "x")]
+    docs = documents(spark, rows)
+    kept = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+    near = kept(corpus_pipeline.near_dedup(spark, docs, SF))
+    assert near == sorted([(1, text[0]), (5, text[1]), (None, text[2]), (None, None), (7, None), (8, ""), (9, "  "), (10, text[3] * 50)], key=repr)
+    other = corpus_pipeline.near_dedup(spark, documents(spark, [(5, text[0]), (5, text[1]), (6, text[1])]), SF)
+    assert kept(other) == sorted([(5, text[0]), (5, text[1])], key=repr)
+    lines = kept(corpus_pipeline.line_dedup(spark, docs, SF))
+    assert lines == sorted([(i, t) for i, t, _ in rows], key=repr)          # texts of one line are never cut
+    seen = kept(corpus_pipeline.language(spark, docs, SF))
+    assert all(t and t.strip() for _, t in seen) and len(seen) <= 7
+    tokens = {}
+    for p in corpus_pipeline.pack(spark, docs, SF).collect():
+        tokens.setdefault(p.doc_id, []).append(p.length)
+    assert tokens[7] == tokens[8] == tokens[9] == [1] and sum(1 for i, _, _ in rows if i is None) <= len(tokens[None])
+
+
+def test_op9_sql_and_operator_agree_on_wordless_and_null_texts(spark):
+    rows = [(1, ""), (2, ""), (3, None), (4, "  "), (5, "  "), (6, None), (7, "one two"), (8, "one two"), (9, "one two\n")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    got = bagminhash.near_duplicates(documents(spark, rows))
+    res = con.execute(queries.SQL["op9_bagminhash"])
+    cols = [d[0] for d in res.description]
+    assert sorted(tuple(r[c] for c in cols) for r in got.collect()) == sorted(res.fetchall())
