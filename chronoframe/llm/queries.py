@@ -104,7 +104,7 @@ l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label
   WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
 reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b),
 comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
-deg AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+deg AS (SELECT a AS vec_id, count(DISTINCT b) AS n_links FROM l GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM comp LEFT JOIN deg USING (vec_id)"""
 
 
