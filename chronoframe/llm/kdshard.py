@@ -74,7 +74,7 @@ def split_points(points: DataFrame, n_dims: int, shards: int) -> list[dict]:
     """Inner nodes of the tree, parents first: node, dimension, cut (places below it go left) and children;
     a leaf is the number of its shard."""
     spans = points.agg(*[f(f"d{i}") for i in range(n_dims) for f in (F.min, F.max)]).first()
-    whole = [(spans[2 * i + 1] or 0) - (spans[2 * i] or 0) for i in range(n_dims)]
+    whole = [((spans[2 * i + 1] or 0) >> BITS) - ((spans[2 * i] or 0) >> BITS) for i in range(n_dims)]      # of the values, without tie breakers
     tree: list[dict] = []
     level = [{"node": 1, "k": shards, "first": 0}]
     while level := [n for n in level if n["k"] > 1]:
@@ -87,7 +87,7 @@ def split_points(points: DataFrame, n_dims: int, shards: int) -> list[dict]:
             if s is None:  # fewer items than shards
                 n |= {"dim": 0, "cut": 0}
                 continue
-            wide = [(s[f"hi{i}"] - s[f"lo{i}"]) / whole[i] if whole[i] else 0.0 for i in range(n_dims)]
+            wide = [((s[f"hi{i}"] >> BITS) - (s[f"lo{i}"] >> BITS)) / whole[i] if whole[i] else 0.0 for i in range(n_dims)]
             d = max(range(n_dims), key=lambda i: wide[i])
             n |= {"dim": d, "lo": s[f"lo{d}"], "hi": s[f"hi{d}"] + 1, "below": 0, "w": s["w"], "want": s["w"] * (n["k"] // 2) / n["k"]}
             searches.append(n)

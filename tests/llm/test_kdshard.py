@@ -5,6 +5,7 @@ import zlib
 
 import pytest
 from helpers import EDGE, documents, words
+from pyspark.sql import functions as F
 
 from chronoframe.llm import kdshard
 
@@ -58,3 +59,18 @@ def test_partitioning_does_not_matter(spark):
     a = kdshard.shard(df.repartition(1), shards=4).collect()
     b = kdshard.shard(df.repartition(7), shards=4).collect()
     assert sorted(a) == sorted(b)
+
+
+def test_text_dimensions_are_ranks_of_whole_values(spark):
+    names = [f"src{k}" for k in range(20)] + ["https://a/1", "https://a/2"]
+    df = spark.createDataFrame([(n,) for n in names * 3] + [(None,)], "v string")
+    got = {r.v: r.d for r in kdshard.ranked(df.withColumn("w", F.col("v")), "w", "d").select("v", "d").collect()}
+    assert got[None] == 0 and [n for n, _ in sorted(((n, p) for n, p in got.items() if n), key=lambda x: x[1])] == sorted(names) and len(set(got.values())) == 23
+
+
+def test_a_tree_along_sources_with_a_common_prefix(spark):
+    """Texts of one length and language: only the source can part them; a cut may be a document off the border of two sources."""
+    rows = [(k, f"text {k:06d}", "en", f"https://host/{k % 8}", 11) for k in range(800)]
+    got = {r.doc_id: r.shard for r in kdshard.shard(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), shards=8).collect()}
+    most = [max(sum(got[k] == shard for k in range(s, 800, 8)) for shard in range(8)) for s in range(8)]
+    assert min(most) >= 97 and len(set(got.values())) == 8
