@@ -219,6 +219,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     rows = (df.select(F.col(f"`{id_col}`").alias("i"), text.alias("t"), piece.alias("piece"), F.col(f"`{lang_col}`").cast("string").alias("l"))
             .where((fold(F.col("i")) != 2) & F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}")))
     keys = rows.select("l", "i", F.pmod(F.xxhash64("i"), F.lit(1 << 40)).alias("h"), (F.length("t") > train_chars).cast("int").alias("long"))
+    keys = keys.groupBy("l", "i", "h").agg(F.min("long").alias("long"))          # an id counts once for a language
     most = max(1, sample_rows // LEAST_ROWS) if max_languages is None else max_languages
     common = keys.groupBy("l").agg(F.sum("long").alias("n_long"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(most).collect()
     if not common:

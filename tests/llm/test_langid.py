@@ -49,6 +49,15 @@ def test_edge_rows(spark):
     assert {r.lang_pred for r in langid.predict(df, none).collect()} == {"und"}
 
 
+def test_the_sample_is_bounded_when_ids_repeat(spark, monkeypatch):
+    rows = [(1, f"the cat and the dog number {k} " * 3, "en") for k in range(400)] + [(k, f"der hund und die katze {k} " * 3, "de") for k in range(10, 200)]
+    taken = []
+    train = langid.train
+    monkeypatch.setattr(langid, "train", lambda texts, labels, **o: taken.append(len(texts)) or train(texts, labels, **o))
+    model = langid.fit(documents(spark, rows), sample_rows=60)
+    assert taken[0] <= 60 and model.languages == ["de", "en"]
+
+
 def test_long_text_is_read_whole():
     model = langid.train(["the cat and the dog " * 3, "der hund und die katze "] * 40, ["en", "de"] * 40)
     text = "the cat and the dog " * 200 + "der hund und die katze " * 100_000
