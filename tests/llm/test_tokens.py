@@ -57,6 +57,19 @@ def test_chunk_table_equals_the_library(name, spaced):
         assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_capitals_whose_lower_case_holds_a_mark(name, spaced):
+    with open(P.path(name), "rb") as f:
+        table = library_table(f.read(), spaced)
+    tok = Tokenizer.from_file(P.path(name))
+    tok.encode_special_tokens = True
+    r = random.Random(5)
+    signs = ["İ", "I", "i", ".", ",", " ", "\n", "a", "é", "\u0301", "ẞ", "word", "<|endoftext|>"]
+    texts = ["İ.", "İ. ", "İ,\nx", "aİ. b"] + ["".join(r.choice(signs) for _ in range(r.randint(1, 12))) for _ in range(3000)]
+    for t, ids in zip(texts, table.encode(texts)):
+        assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
 def test_perfect_hash_is_minimal_and_survives_bytes():
     keys = token_store.mix64(np.arange(5000, dtype=np.uint64))
     f = token_store.PerfectHash.build(keys)
