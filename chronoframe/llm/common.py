@@ -50,6 +50,16 @@ def block_of(value, cuts: list):
     return place(value) if keep else F.lit(0)
 
 
+def deal_blocks(df: DataFrame, block: str, n: int) -> DataFrame:
+    """Partitions for the block numbers 0 to n - 1, one block each: the rows are dealt by a key of their block that hashes to a
+    partition of its own (by the numbers themselves about a third of the partitions would stay empty and others get several)."""
+    key = F.col("id").cast("int")
+    found = df.sparkSession.range(32 * n).groupBy(F.pmod(F.hash(key), F.lit(n)).alias("p")).agg(F.min(key).alias("k")).collect()
+    of = {r["p"]: r["k"] for r in found}
+    keys = F.array(*[F.lit(of.get(b, b)).cast("int") for b in range(n)])
+    return df.withColumn("_deal", F.get(keys, F.col(block))).repartition(n, "_deal").drop("_deal")
+
+
 def codes(text: str) -> np.ndarray:
     """Code points of a text."""
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
-from .common import block_of, codes, id_text, mix64, text_groups
+from .common import block_of, codes, deal_blocks, id_text, mix64, text_groups
 
 BASE = np.uint64(0x100000001B3)
 LOW = np.uint64((1 << 24) - 1)
@@ -133,7 +133,7 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
     to = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])
     tails = tails.select(F.element_at(to, F.col("_block")).alias("_block"), "_id", "_text", F.lit(1).alias("_end"))
     heads = rows.select("_block", "_id", F.coalesce("_text", F.lit("")).alias("_text"), F.lit(0).alias("_end"))
-    laid = heads.unionByName(tails).repartition(n, "_block").sortWithinPartitions("_block", "_end", F.asc_nulls_first("_id"), "_text")
+    laid = deal_blocks(heads.unionByName(tails), "_block", n).sortWithinPartitions("_block", "_end", F.asc_nulls_first("_id"), "_text")
     return laid, cuts
 
 

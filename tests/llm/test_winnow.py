@@ -92,3 +92,12 @@ def test_short_texts_keep_their_likeness():
     assert np.mean(off) < 0.08
     passage = text(23)
     assert set(w.winnow(text(500) + passage + text(300))[1].tolist()) & set(w.winnow(text(77) + passage + text(900))[1].tolist())
+
+
+def test_blocks_are_dealt_one_to_a_partition(spark):
+    from pyspark.sql import functions as F
+
+    from chronoframe.llm.common import deal_blocks
+    df = spark.range(500).select((F.col("id") % 23).cast("int").alias("b"), "id")
+    at = deal_blocks(df, "b", 24).withColumn("p", F.spark_partition_id()).select("b", "p").distinct().collect()
+    assert len(at) == 23 == len({r.p for r in at}) and deal_blocks(df, "b", 24).columns == ["b", "id"]
