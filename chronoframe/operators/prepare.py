@@ -69,9 +69,16 @@ def ordinal_encode(df: DataFrame, col: str, name: str | None = None) -> DataFram
     return df.join(ordinal_dictionary(df, col, name), col, "left")
 
 
-def categories(df: DataFrame, col: str) -> list:
-    """Sorted distinct values of a column that is to become columns (their number is that of the columns)."""
-    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+MAX_CATEGORIES = 10_000
+
+
+def categories(df: DataFrame, col: str, limit: int = MAX_CATEGORIES) -> list:
+    """Sorted distinct values of a column that is to become columns.  More than ``limit`` are an error: such a column belongs into a
+    sparse vector (:func:`one_hot_sparse`)."""
+    found = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()]
+    if len(found) > limit:
+        raise ValueError(f"{col} has more than {limit} categories: use one_hot_sparse or WideEncoder")
+    return sorted(found)
 
 
 def one_hot(df: DataFrame, col: str, values: Sequence, prefix: str | None = None) -> DataFrame:

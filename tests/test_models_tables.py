@@ -138,6 +138,9 @@ def test_sparse_encoding(spark, tmp_path):
     hot = pr.one_hot_sparse(df, pr.wide_dictionary(df, ["a", "_size"]), ["a", "_size"])
     v = {r["id"]: r["v"].toArray().tolist() for r in hot.select("id", pr.as_ml_vector("hot").alias("v")).collect()}
     assert v[2] == [0, 1, 0, 1] and v[5] == [0, 0, 0, 0]
+    with pytest.raises(ValueError, match="WideEncoder"):
+        pr.categories(df, "a", limit=1)
+    assert pr.categories(df, "a", limit=2) == ["x", "y"]
     empty = df.where("false")
     assert pr.one_hot_sparse(df, pr.wide_dictionary(empty, ["a"]), ["a"]).select("hot.size").distinct().first()[0] == 0
 
