@@ -242,7 +242,7 @@ def q_samples_batches(spark, sf_dir):
     early, path = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), io.scratch_path(spark, "batches")
     for batch, rows in (("early", early), ("late", ~early), ("early", early)):
         io.write_samples(s.where(rows), path, "x", 5, batch=batch)
-    back = io.load_samples(spark, path, "train")
+    back = io.load_samples(spark, path, "train", s.withColumn("batch", F.lit("")).schema)
     return back.select("segment", "ts", *[F.element_at("x", i + 1).alias(c) for i, c in enumerate(lags)], "y", "batch")
 
 

@@ -125,9 +125,10 @@ def write_samples(df: DataFrame, path: str, x_col: str, lag: int, mode: str = "a
     checked.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("split").parquet(path)
 
 
-def load_samples(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
-    """Persisted samples, optionally one split (partition pruning reads only that folder)."""
-    df = spark.read.parquet(path)
+def load_samples(spark: SparkSession, path: str, split: str | None = None, schema: StructType | None = None) -> DataFrame:
+    """Persisted samples, optionally one split (partition pruning reads only that folder).  With ``schema`` a folder
+    into which only empty tables have been written is an empty table; without it that is an error."""
+    df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     return df.where(F.col("split") == split) if split else df
 
 

@@ -11,7 +11,8 @@ from conftest import SF_SMALL
 
 SAMPLE = ["ts_samples", "ffill", "resample_dense", "chrono_split", "describe", "histogram", "kfold", "stratified_split",
           "roc_auc", "corr_three", "ens_rank", "ens_vote_weighted", "knn", "mixup", "impute_median", "label_index",
-          "csv_roundtrip", "path_parts", "trial_table", "bootstrap"]
+          "csv_roundtrip", "path_parts", "trial_table", "bootstrap", "tree_nodes", "gbt_nodes", "gbt_scores", "tree_importances", "ridge_search",
+          "bias_variance_refit", "bootstrap_tree", "samples_batches", "one_hot_wide", "stages_saved"]
 
 
 def _norm(v):
