@@ -48,6 +48,7 @@ RULES = (
     ("no_letters", "n_letters", "word_chars", 1000, False, (50, 100, 200, 300, 400, 500, 600, 700)),
 )
 MIN_WORDS, MAX_REPEAT, WINDOW = 20, 30, 8
+LEAST_BAD = 3
 
 
 # ---------------------------------------------------------------- counts of texts
@@ -218,7 +219,7 @@ def levels() -> Column:
 
 def _path(pdf: pd.DataFrame) -> pd.DataFrame:
     """Steps of one stratum from its counts (rule, level, good, bad): again and again the tightening with the
-    most bad rows for each good one, as long as most of what it catches is bad."""
+    most bad rows for each good one, as long as it catches ``LEAST_BAD`` bad rows and more than ten for each good one."""
     good, bad = {}, {}
     for rule, level, g, b in zip(pdf["rule"], pdf["level"], pdf["good"], pdf["bad"]):
         good[rule, level], bad[rule, level] = g, b
@@ -231,7 +232,7 @@ def _path(pdf: pd.DataFrame) -> pd.DataFrame:
             for level in range(at[r] + 1, len(rule[5])):
                 g += good.get((r, level), 0)
                 b += bad.get((r, level), 0)
-                if b > g and (best is None or (b / (g + 1), b) > best[0]):
+                if b >= LEAST_BAD and b > 10 * g and (best is None or (b / (g + 1), b) > best[0]):
                     best = ((b / (g + 1), b), r, level)
         if best is None:
             return pd.DataFrame({"stratum": [pdf["stratum"].iloc[0]], "rules": [[s[0] for s in steps]], "cuts": [[s[1] for s in steps]]})
