@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .order import global_position, hash_key, hash_position
 
 
@@ -102,21 +103,68 @@ def sample_n(df: DataFrame, id_col: str, n: int, seed) -> DataFrame:
     return df.withColumn("_h", h).orderBy("_h", id_col).limit(n).drop("_h")
 
 
-def bootstrap(df: DataFrame, id_col: str, rounds: int, seed) -> DataFrame:
-    """``rounds`` bootstrap samples of ``n`` draws with replacement.
+def bootstrap_counts(df: DataFrame, id_col: str, rounds: int, seed, name: str = "weights", block_draws: int = 1 << 21) -> DataFrame:
+    """Every row gets ``name``, its number of draws in each of ``rounds`` bootstrap samples of ``n`` draws with replacement.
 
-    Draw ``j`` of round ``r`` takes the row at hash position ``md5(seed, r, j) mod n``.  The result has one
-    row per (round, drawn row) with its multiplicity ``weight`` – the draws are counted before they are
-    joined back, so a row drawn many times is not repeated.  The draws with index ``j`` of all rounds are
-    generated by the row at position ``j``, so the draw table is as distributed as the input.
+    Draw ``j`` of round ``r`` takes the row at hash position ``md5(seed, r, j) mod n``.  Tasks hash their share of the draws and
+    send them on as blocks of four-byte numbers, one block for each run of positions that takes about ``block_draws``
+    draws; the task of a run counts its draws beside its rows.  So a draw costs one hash and four bytes of shuffle, and a
+    task holds one run, whatever the number of rows and rounds.  An empty table gives no rows.
     """
-    p = hash_position(df, id_col, seed, with_count="_n")
-    # draw j of every round is generated by the row at position j: no driver value, no join
-    draws = p.select(F.col("pos").alias("_j"), "_n",
-                     F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rounds - 1).cast("long"))).alias("round"))
-    picked = (draws.withColumn("pos", F.pmod(hash_int(seed, "round", "_j"), F.col("_n")))
-                   .groupBy("round", "pos").agg(F.count(F.lit(1)).alias("weight")))
-    return picked.join(p.drop("_n"), "pos").drop("pos")
+    import numpy as np
+    import pyarrow as pa
+
+    spark = df.sparkSession
+    p = materialize(hash_position(df, id_col, seed, with_count="_n"), "positions")      # feeds the number of draws and the runs
+    first, n = p.agg(F.coalesce(F.min("pos"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
+    width = max(1, block_draws // max(1, rounds))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n * rounds // (1 << 23)))
+    draws = spark.range(first, n, 1, tasks).select(F.col("id").alias("_j"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rounds - 1).cast("long"))).alias("round"))
+    picked = draws.select(F.col("round").cast("int").alias("round"), F.pmod(hash_int(seed, "round", "_j"), F.lit(max(1, n))).alias("at"))
+
+    def pack(batches):
+        held, size = [], 0
+
+        def flush():
+            r, at = (np.concatenate(c) for c in zip(*held))
+            run, cell = at // width, ((at % width) * rounds + r).astype(np.int32)
+            order = np.argsort(run, kind="stable")
+            run, cell = run[order], cell[order]
+            cuts = np.flatnonzero(np.diff(run, prepend=-1))
+            parts = [cell[a:z].tobytes() for a, z in zip(cuts, [*cuts[1:], len(cell)])]
+            return pa.RecordBatch.from_arrays([pa.array(run[cuts], pa.int64()), pa.array(parts, pa.binary())], ["_run", "cells"])
+
+        for b in batches:
+            held.append((b.column(0).to_numpy(), b.column(1).to_numpy()))
+            size += b.num_rows
+            if size >= 1 << 20:
+                yield flush()
+                held, size = [], 0
+        if size:
+            yield flush()
+
+    schema = df.select("*").withColumn(name, F.array().cast("array<int>")).schema
+    kept = df.columns
+
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        here = left.column("pos").to_numpy() % width
+        drawn = np.frombuffer(b"".join(right.column("cells").to_pylist()), dtype=np.int32)
+        total = np.bincount(drawn, minlength=width * rounds).astype(np.int32)
+        flat = pa.array(total.reshape(width, rounds)[here].ravel())
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(left.num_rows + 1, dtype=np.int32) * rounds), flat)
+        return left.select(kept).append_column(name, lists)
+
+    rows = p.withColumn("_run", F.floor(F.col("pos") / width).cast("long"))
+    packed = picked.mapInArrow(pack, "_run long, cells binary")
+    return rows.groupBy("_run").cogroup(packed.groupBy("_run")).applyInArrow(count, schema)
+
+
+def bootstrap(df: DataFrame, id_col: str, rounds: int, seed) -> DataFrame:
+    """``rounds`` bootstrap samples of ``n`` draws with replacement (:func:`bootstrap_counts`), one row per (round, drawn
+    row) with its multiplicity ``weight``; a row drawn many times is not repeated."""
+    counted = bootstrap_counts(df, id_col, rounds, seed, "_weights")
+    each = counted.select(*df.columns, F.posexplode("_weights").alias("round", "weight")).where("weight > 0")
+    return each.select(F.col("round").cast("long").alias("round"), F.col("weight").cast("long").alias("weight"), *df.columns)
 
 
 _FAN = 16
