@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import metrics as mt
 from ..operators.gram import corr_pairs
 from ..operators.order import average_rank
-from ..operators.split import bootstrap, hash_int
+from ..operators.split import bootstrap_counts, hash_int
 from ..operators.vectors import random_partner
 from .catalog import r6, register, table
 from .q_vectors import _partner_sql
@@ -182,9 +182,7 @@ def q_bias_variance_refit(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 97).cast("double").alias("x"), "o_totalprice")
     o = o.select("id", "x", (F.col("o_totalprice") / 1000 + 3 * F.col("x")).alias("y"), part)
     train = o.where("part > 0")
-    drawn = bootstrap(train.select("id"), "id", _REFIT_ROUNDS, SEED).groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("round", "weight"))).alias("m"))
-    weights = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(_REFIT_ROUNDS - 1).cast("long")), lambda r: F.coalesce(F.col("m")[r], F.lit(0).cast("long")))
-    train = train.join(drawn, "id", "left").withColumn("w", F.coalesce(weights, F.array_repeat(F.lit(0).cast("long"), _REFIT_ROUNDS)))
+    train = bootstrap_counts(train.select("id", "x", "y"), "id", _REFIT_ROUNDS, SEED, "w")
     bv = mt.bias_variance_refit(train, o.where("part = 0"), "y", ["x"], "w", _REFIT_ROUNDS)
     return bv.select(*[r6(c).alias(c) for c in ("mse", "bias", "var")], "rounds")
 
