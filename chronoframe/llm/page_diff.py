@@ -6,10 +6,11 @@ lines are aligned by a longest common subsequence, and shared lines count as tem
 a page's characters is a copy of it and not its partner; a page between two copies shares nothing.
 
 On this data differencing alone cannot give right results: menus, adverts and footers differ on every page,
-while copies of one article stand under neighbouring URLs.  So markup decides first: menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments go by their elements, classes and roles,
-and inside an ``article`` (else ``main``) element all other lines stay.  Only where a page marks neither does
-differencing decide: its lines stay if they are not shared.
+while copies of one article stand under neighbouring URLs.  So menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles and reader comments go by their elements, classes and roles
+when lines are read.  Differencing then takes the shared lines of every page as template, and a check by markup gives back those
+that stand in the ``article`` (else ``main``) element of both pages: passages that two articles have in common.  A line of the
+article that its partner holds outside its own goes.  Lines outside the article of a page that marks one go as well.
 
 Rows: a null or empty html gives the empty text; a null url belongs to the empty host; a page alone on its host shares nothing;
 repeated rows are copies of each other; null ids sort first; an empty table gives no rows;
@@ -156,12 +157,20 @@ def shared_lines(a: list[str], b: list[str]) -> list[bool]:
     return out
 
 
-def main_text(lines: list[tuple[str, int]], shared: list[bool]) -> str:
-    """Lines that stay: those of the article, else of the main element, else those that are not shared."""
+def template_lines(lines: list[tuple[str, int]], shared: list[bool], partner: list[tuple[str, int]]) -> list[bool]:
+    """Which of the lines shared with the partner are template: all, but for those that the check by markup gives back.  It gives
+    back a line of the page's article (or main element) that the partner holds in its own as well, or whose partner marks neither."""
+    best, theirs = (max((r for _, r in page), default=OTHER) for page in (lines, partner))
+    if best == OTHER:
+        return shared
+    content = {x for x, r in partner if r == theirs}
+    return [s and not (r == best and (theirs == OTHER or x in content)) for (x, r), s in zip(lines, shared)]
+
+
+def main_text(lines: list[tuple[str, int]], template: list[bool]) -> str:
+    """Lines that are no template, of the article, else of the main element, else of the page."""
     best = max((r for _, r in lines), default=OTHER)
-    if best != OTHER:
-        return " ".join(x for x, r in lines if r == best)
-    return " ".join(x for (x, _), s in zip(lines, shared) if not s)
+    return " ".join(x for (x, r), t in zip(lines, template) if r == best and not t)
 
 
 def is_copy(lines: list[tuple[str, int]], shared: list[bool]) -> bool:
@@ -220,13 +229,13 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
             if cur is None or not cur["own"]:
                 return
             near = [p for p in (prev, nxt) if p is not None and p["block"] == cur["block"] and p["host"] == cur["host"]]
-            partner, flags = None, [False] * len(cur["lines"])
+            partner, flags = None, [False] * len(cur["lines"])      # shared with nobody
             for p in sorted(near, key=lambda p: -prefix(p["path"], cur["path"])):
                 f = shared_lines([x for x, _ in cur["lines"]], [x for x, _ in p["lines"]])
                 if not is_copy(cur["lines"], f):
                     partner, flags = p, f
                     break
-            text = main_text(cur["lines"], flags)
+            text = main_text(cur["lines"], template_lines(cur["lines"], flags, partner["lines"]) if partner else flags)
             for c, v in zip(out, (cur["id"], cur["url"], text, len(text), partner and partner["id"], sum(flags))):
                 c.append(v)
 

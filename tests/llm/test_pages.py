@@ -49,6 +49,16 @@ def test_copies_of_unmarked_pages_keep_their_text(spark):
         assert all(text.strip() in got[i] for i in range(1, 7)) and got[6] == text.strip() and got[9] == "other"
 
 
+def test_differencing_decides_inside_marked_pages(spark):
+    rows = [(1, "http://a.org/x/1", "<article><p>one</p><p>common quote</p><p>Sign up today</p></article>"),
+            (2, "http://a.org/x/2", "<article><p>two</p><p>common quote</p></article><div>Sign up today</div>"),
+            (3, "http://b.org/x/1", "<main><p>three</p><p>plain line</p></main>"), (4, "http://b.org/x/2", "<p>four</p><p>plain line</p>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for blocks in (1, 3):
+        got = {r["page_id"]: (r["text"], r["n_shared"]) for r in pd.extract(df, blocks=blocks).collect()}
+        assert got == {1: ("one common quote", 2), 2: ("two common quote", 2), 3: ("three plain line", 1), 4: ("four", 1)}
+
+
 def lcs(a, b):
     t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
