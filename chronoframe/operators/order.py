@@ -57,7 +57,8 @@ def bucketed_position(df: DataFrame, bucket: Column, order: Sequence, partition_
         offsets = offsets.withColumn("_gn", F.sum("_bn").over(Window.partitionBy(*keys)))
     offsets = offsets.drop("_bn")
     w_in = Window.partitionBy(*keys, "_bk").orderBy(*order_c)
-    out = (base.join(offsets, on=[*keys, "_bk"], how="inner")
+    # never a broadcast of the rows, however small they look; the window reuses the join's partitions
+    out = (base.join(offsets.hint("merge"), on=[*keys, "_bk"], how="inner")
                .withColumn(name, (F.col("_boff") + F.row_number().over(w_in) - 1).cast("long")))
     if with_count:
         out = out.withColumnRenamed("_gn", with_count)
@@ -122,7 +123,7 @@ def bucketed_cumsum(df: DataFrame, bucket: Column, order: Sequence, weight, part
     w_off = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_bk", F.coalesce(F.sum("_bs").over(w_off), F.lit(0)).alias("_boff"))
     w_in = Window.partitionBy(*keys, "_bk").orderBy(*order_c).rowsBetween(Window.unboundedPreceding, -1)
-    out = (base.join(offsets, on=[*keys, "_bk"], how="inner")
+    out = (base.join(offsets.hint("merge"), on=[*keys, "_bk"], how="inner")
                .withColumn(name, F.col("_boff") + F.coalesce(F.sum("_w").over(w_in), F.lit(0))))
     return out.drop(*keys, "_bk", "_boff", "_w")
 
