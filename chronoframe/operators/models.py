@@ -12,10 +12,12 @@ import itertools
 import math
 import time
 from collections.abc import Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -37,6 +39,26 @@ def assemble(df: DataFrame, xs: Sequence[str], out: str = "features") -> DataFra
     return VectorAssembler(inputCols=list(xs), outputCol=out, handleInvalid="error").transform(df)
 
 
+def written_rows(df: DataFrame, cols: Sequence[str], name: str = "rows", part_rows: int = 1 << 19) -> DataFrame:
+    """The columns of ``df`` written once and dealt over parts of at most about ``part_rows`` rows.  Fits scan their input several times and keep
+    a copy of each part in memory: they read this and not the plan that the rows came from, and a task's share stays
+    the same for any number of rows."""
+    kept = materialize(df.select(*dict.fromkeys(cols)), name)
+    n = kept.count()
+    parts = max(1, -(-n // part_rows), min(df.sparkSession.sparkContext.defaultParallelism, n >> 12))
+    return kept.repartition(parts)
+
+
+@contextmanager
+def training_rows(df: DataFrame, y: str, xs: Sequence[str]):
+    """Label and feature vector of :func:`written_rows`, kept by the executors while a fit runs."""
+    rows = written_rows(df, [y, *xs], "training").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield assemble(rows, xs)
+    finally:
+        rows.unpersist()
+
+
 def score_rows(model, df: DataFrame, xs: Sequence[str], result: Column, name: str) -> DataFrame:
     """``df`` with ``name``: ``result`` of the model's prediction; a row with a null or NaN feature is kept and gets
     null."""
@@ -384,9 +406,10 @@ def run_models(train: DataFrame, test: DataFrame, y: str, xs: Sequence[str], sel
     its ``test`` predictions: ``model, MAE, MSE, RMSE, MAPE, SMAPE, R2`` as text (M15)."""
     from .metrics import score_table
     names = list(dict.fromkeys(n for s in selection for n in MODEL_GROUPS.get(s, [s])))
-    tr, te = assemble(train, xs), assemble(test, xs)
+    te = assemble(written_rows(test, [y, *xs], "test"), xs)     # scored by every model
     preds = None
-    for n in names:
-        p = make_regressor(n, y).fit(tr).transform(te).select(F.lit(n).alias("model"), y, "prediction")
-        preds = p if preds is None else preds.unionByName(p)
+    with training_rows(train, y, xs) as tr:
+        for n in names:
+            p = make_regressor(n, y).fit(tr).transform(te).select(F.lit(n).alias("model"), y, "prediction")
+            preds = p if preds is None else preds.unionByName(p)
     return score_table(preds, "model", y, "prediction", digits)
