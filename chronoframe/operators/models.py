@@ -223,7 +223,7 @@ def preparation_search(df: DataFrame, id_col: str, y: str, numeric: Sequence[str
     imputed table ranks its features with ``importances_of(table)`` (names, best first); each ``top_k`` of them is
     scored by k-fold RMSE."""
     from .prepare import impute
-    out = []
+    out, df = [], materialize(df, "search")       # medians and modes scan it several times
     for strategy in strategies:
         x = impute(df, list(numeric), strategy).cache()
         ranked = importances_of(x)
