@@ -29,23 +29,47 @@ def hash_int(seed, *parts, digits: int = 12) -> Column:
 def with_row_id(df: DataFrame, name: str = "rid", cols: Sequence[str] | None = None) -> DataFrame:
     """A unique, reproducible row id for a table without a key: md5 of the columns and the number of the row
     among those that are equal in all of them (equal rows are interchangeable)."""
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in (cols or df.columns)]
-    x = df.withColumn("_md", F.md5(F.concat_ws("\x01", *cells)))
-    w = Window.partitionBy("_md").orderBy(F.lit(0))
-    return x.withColumn(name, F.concat("_md", F.lit("-"), F.row_number().over(w).cast("string"))).drop("_md")
+    joined = F.concat_ws("\x01", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in (cols or df.columns)])
+    # rows meet by four bytes of a hash; the md5, which does not compress, is taken after they have been dealt
+    x = df.withColumn("_deal", F.hash(joined)).repartition("_deal").withColumn("_md", F.md5(joined))
+    w = Window.partitionBy("_deal", "_md").orderBy(F.lit(0))
+    return x.withColumn(name, F.concat("_md", F.lit("-"), F.row_number().over(w).cast("string"))).drop("_md", "_deal")
 
 
 def _label_by_position(df: DataFrame, n_test: Column, test: str = "test", train: str = "train") -> DataFrame:
     return df.withColumn("split", F.when(F.col("pos") < n_test, F.lit(test)).otherwise(F.lit(train)))
 
 
-def random_split_exact(df: DataFrame, id_col: str, ratio: float, seed, round_up: bool = False) -> DataFrame:
+def random_split_exact(df: DataFrame, id_col: str, ratio: float, seed, round_up: bool = False, with_pos: bool = True) -> DataFrame:
     """Exactly ``int(n·ratio)`` (R02: ``ceil``) rows go to ``test`` – the first ones in the
-    order of ``md5(seed || id)``; the rest are ``train``.  Adds ``pos`` (hash order) and ``split``."""
+    order of ``md5(seed || id)``; the rest are ``train``.  Adds ``pos`` (hash order) and ``split``; without ``pos`` the
+    split is the same and no row is moved or sorted for it, but for those of one bucket of hashes."""
+    size = F.ceil if round_up else F.floor
+    n_test = lambda n: size(n.cast("double") * F.lit(float(ratio)))
+    if not with_pos:
+        return _label_by_cut(df, id_col, seed, n_test)
     p = hash_position(df, id_col, seed, with_count="_n")
-    raw = F.col("_n").cast("double") * F.lit(float(ratio))
-    n_test = F.ceil(raw) if round_up else F.floor(raw)
-    return _label_by_position(p, n_test).drop("_n")
+    return _label_by_position(p, n_test(F.col("_n"))).drop("_n")
+
+
+def _label_by_cut(df: DataFrame, id_col: str, seed, n_test, digits: int = 3, test: str = "test", train: str = "train") -> DataFrame:
+    """The labels of :func:`_label_by_position` for ``n_test`` of the number of rows.  Rows are counted by a prefix of their hash; the bucket in
+    which position ``n_test`` lies cuts the others, and only its own rows are numbered.  A null id has no place, as in
+    :func:`.order.hash_position`."""
+    h = hash_key(seed, id_col)
+    x = df.withColumn("_h", h).withColumn("_bk", F.coalesce(F.substring("_h", 1, digits), F.lit("")))
+    before = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)           # over at most 16^digits counts
+    counts = x.groupBy("_bk").agg(F.count(F.lit(1)).alias("_bn")).select(
+        "_bk", "_bn", F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off"), F.sum("_bn").over(Window.partitionBy()).alias("_n"))
+    rest = F.greatest(n_test(F.col("_n")), F.lit(0)) - F.col("_off")
+    cut = counts.agg(F.max(F.when((rest >= 0) & (rest < F.col("_bn")), F.struct("_bk", rest.alias("rest")))).alias("_c"))      # one row
+    cut = cut.select(F.coalesce("_c._bk", F.lit("g")).alias("_cut"), F.col("_c.rest").alias("_rest"))     # "g" is above all hashes
+    marked = x.crossJoin(F.broadcast(cut))
+    place = F.row_number().over(Window.partitionBy("_bk").orderBy("_h", F.col(id_col)))
+    label = lambda first: F.when(first, F.lit(test)).otherwise(F.lit(train))
+    apart = marked.where(F.col("_bk") != F.col("_cut")).withColumn("split", label(F.col("_bk") < F.col("_cut")))
+    inside = marked.where(F.col("_bk") == F.col("_cut")).withColumn("split", label(place <= F.col("_rest")))
+    return apart.unionByName(inside).where(F.col("_bk") != "").select(*df.columns, "split")
 
 
 def stratified_split(df: DataFrame, id_col: str, strata: str | Sequence[str], ratio: float, seed) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from chronoframe.operators import models as md
-from chronoframe.operators import order
+from chronoframe.operators import order, split
 from chronoframe.operators import vectors as vx
 
 
@@ -70,3 +70,31 @@ def test_tiles_of_neighbours_are_exact_with_ties_and_keep_floats(spark, monkeypa
             near = sorted((sum((a - b) ** 2 for a, b in zip(x, t)), i, lab) for i, lab, t in train)[:5]
             assert {lab: got.get((q, lab), 0) * 5 for lab in range(3)} == {lab: sum(n[2] == lab for n in near) for lab in range(3)}
     assert set(kinds) == {"array<float>"}
+
+
+def test_a_split_without_positions_is_the_same_and_sorts_one_bucket(spark):
+    r = random.Random(8)
+    ids = [f"k{r.randint(0, 900)}" for _ in range(700)] + [None] * 9                  # ids may repeat or be null
+    whole = spark.createDataFrame([(k, i) for i, k in enumerate(ids)], "k string, v int").repartition(5)
+    for df, ratio, up in ((whole, 0.2, False), (whole, 0.003, True), (whole, 0.0, False), (whole, -0.5, False), (whole, 1.0, False), (whole.limit(1), 0.5, True), (whole.where("false"), 0.2, False)):
+        got, want = (split.random_split_exact(df, "k", ratio, 3, up, with_pos=w).groupBy("k", "split").count() for w in (False, True))
+        assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str), (ratio, up)
+
+
+def test_the_split_of_rows_without_a_key_moves_them_once(spark, tmp_path):
+    """Shuffled rows of the query's split: the table once, then counts and one bucket."""
+    from chronoframe.plans import q_models as qm
+    rows = [(i // 3, i % 3, float(i % 50), float(i % 11) / 100, float(i % 9) / 100, float(i)) for i in range(4000)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double, l_extendedprice double").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    plans, keep = [], qm.materialize
+    qm.materialize = lambda df, name: plans.append(df) or keep(df, name)
+    try:
+        train, test = qm._lineitem_split(spark, str(tmp_path))
+    finally:
+        qm.materialize = keep
+    assert (train.count(), test.count()) == (3200, 800)
+    plans[0].collect()
+    final = plans[0]._jdf.queryExecution().executedPlan().toString()
+    final = final[: final.index("Initial Plan")]
+    assert final.count("- Exchange hashpartitioning(_deal") == 1 and "SortMergeJoin" not in final
