@@ -31,7 +31,10 @@ def with_row_id(df: DataFrame, name: str = "rid", cols: Sequence[str] | None = N
     among those that are equal in all of them (equal rows are interchangeable)."""
     joined = F.concat_ws("\x01", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in (cols or df.columns)])
     # rows meet by four bytes of a hash; the md5, which does not compress, is taken after they have been dealt
-    x = df.withColumn("_deal", F.hash(joined)).repartition("_deal").withColumn("_md", F.md5(joined))
+    kinds = dict(df.dtypes)
+    plain = all(isinstance(c, str) and kinds.get(c) in ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean") for c in (cols or df.columns))
+    deal = F.hash(*[F.col(c) for c in (cols or df.columns)]) if plain else F.hash(joined)     # numbers of one text have one hash
+    x = df.withColumn("_deal", deal).repartition("_deal").withColumn("_md", F.md5(joined))
     w = Window.partitionBy("_deal", "_md").orderBy(F.lit(0))
     return x.withColumn(name, F.concat("_md", F.lit("-"), F.row_number().over(w).cast("string"))).drop("_md", "_deal")
 
@@ -40,12 +43,15 @@ def _label_by_position(df: DataFrame, n_test: Column, test: str = "test", train:
     return df.withColumn("split", F.when(F.col("pos") < n_test, F.lit(test)).otherwise(F.lit(train)))
 
 
-def random_split_exact(df: DataFrame, id_col: str, ratio: float, seed, round_up: bool = False, with_pos: bool = True) -> DataFrame:
+def random_split_exact(df: DataFrame, id_col: str, ratio: float, seed, round_up: bool = False, with_pos: bool = True, hashed: bool = False) -> DataFrame:
     """Exactly ``int(n·ratio)`` (R02: ``ceil``) rows go to ``test`` – the first ones in the
     order of ``md5(seed || id)``; the rest are ``train``.  Adds ``pos`` (hash order) and ``split``; without ``pos`` the
-    split is the same and no row is moved or sorted for it, but for those of one bucket of hashes."""
+    split is the same and no row is moved or sorted for it, but for those of one bucket of hashes.  ``hashed``, for written rows: ``id_col`` holds the
+    hash already (:func:`hash_bytes`); the hash that cuts the rows is looked up at once, and a row is labelled by one comparison."""
     size = F.ceil if round_up else F.floor
     n_test = lambda n: size(n.cast("double") * F.lit(float(ratio)))
+    if hashed:
+        return _label_by_hash(df, id_col, n_test)
     if not with_pos:
         return _label_by_cut(df, id_col, seed, n_test)
     p = hash_position(df, id_col, seed, with_count="_n")
@@ -72,6 +78,38 @@ def _label_by_cut(df: DataFrame, id_col: str, seed, n_test, digits: int = 3, tes
     return apart.unionByName(inside).where(F.col("_bk") != "").select(*df.columns, "split")
 
 
+def hash_bytes(seed, id_col) -> Column:
+    """The 16 bytes of :func:`.order.hash_key`; they have the order of its text."""
+    return F.unhex(hash_key(seed, id_col))
+
+
+def _label_by_hash(df: DataFrame, key: str, n_test, test: str = "test", train: str = "train") -> DataFrame:
+    """The labels of :func:`_label_by_cut` for rows that hold their hash as bytes.  Two scans of the hashes find the one at position ``n_test``:
+    counts by the first two bytes, then the hashes of one bucket.  Rows are numbered only if the cut goes through rows of one hash."""
+    rows = df.where(F.col(key).isNotNull())
+    x = df.select(key, F.coalesce(F.substring(key, 1, 2), F.lit(bytearray())).alias("_bk"))       # rows without a hash count, ahead of the others
+    before = lambda by: Window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)  # noqa: E731  (over at most 2^16 counts, or one bucket)
+    counts = x.groupBy("_bk").agg(F.count(F.lit(1)).alias("_bn")).select(
+        "_bk", "_bn", F.coalesce(F.sum("_bn").over(before("_bk")), F.lit(0)).alias("_off"), F.sum("_bn").over(Window.partitionBy()).alias("_n"))
+    rest = F.greatest(n_test(F.col("_n")), F.lit(0)) - F.col("_off")
+    cut = counts.where((rest >= 0) & (rest < F.col("_bn"))).select("_bk", rest.alias("rest")).first()
+    label = lambda first: F.when(first, F.lit(test)).otherwise(F.lit(train))
+    if cut is None:
+        return rows.withColumn("split", F.lit(test)).select(*df.columns, "split")
+    if not cut["rest"] or not cut["_bk"]:
+        return rows.withColumn("split", label(F.col(key) < F.lit(cut["_bk"]))).select(*df.columns, "split")
+    own = x.where(F.col("_bk") == F.lit(cut["_bk"])).groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
+    own = own.withColumn("_off", F.coalesce(F.sum("_c").over(before(key)), F.lit(0)))
+    at = own.where((F.col("_off") < cut["rest"]) & (F.col("_off") + F.col("_c") >= cut["rest"])).first()
+    last, room = F.lit(at[key]), cut["rest"] - at["_off"]
+    if room == at["_c"]:
+        return rows.withColumn("split", label(F.col(key) <= last)).select(*df.columns, "split")
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0)))
+    apart = rows.where(F.col(key) != last).withColumn("split", label(F.col(key) < last))
+    inside = rows.where(F.col(key) == last).withColumn("split", label(place <= room))
+    return apart.unionByName(inside).select(*df.columns, "split")
+
+
 def stratified_split(df: DataFrame, id_col: str, strata: str | Sequence[str], ratio: float, seed) -> DataFrame:
     """Stratified split with proportional allocation.
 

@@ -17,7 +17,7 @@ from ..operators import metrics as mt
 from ..operators import models as md
 from ..operators import prepare as pr
 from ..operators import trees as tr
-from ..operators.split import kfold, random_split_exact, stratified_split, with_row_id
+from ..operators.split import hash_bytes, kfold, random_split_exact, stratified_split, with_row_id
 from ..operators.vectors import vector_width
 from ..session import materialize
 from ..sources.io import scratch_path
@@ -82,7 +82,8 @@ def _lineitem_split(spark, sf_dir):
     """A target that the features explain but for a part that they do not know (the price)."""
     y = (F.col("l_quantity") * (1 - F.col("l_discount")) * 100 + F.col("l_extendedprice") / 1000).alias("y")
     li = with_row_id(table(spark, sf_dir, "lineitem").select(*_LI_X, y, "l_orderkey", "l_linenumber"))
-    s = materialize(random_split_exact(li, "rid", 0.2, 42, with_pos=False).select(*_LI_X, "y", "split"), "split")     # every model and score reads it
+    li = materialize(li.select(*_LI_X, "y", hash_bytes(42, "rid").alias("key")), "split")     # every model and score reads it
+    s = random_split_exact(li, "key", 0.2, 42, with_pos=False, hashed=True).drop("key")
     return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
 
 
