@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .md5 import hasher
 from .order import global_position, hash_key, hash_position
 
 
@@ -168,56 +169,59 @@ def sample_n(df: DataFrame, id_col: str, n: int, seed) -> DataFrame:
 def bootstrap_counts(df: DataFrame, id_col: str, rounds: int, seed, name: str = "weights", block_draws: int = 1 << 21) -> DataFrame:
     """Every row gets ``name``, its number of draws in each of ``rounds`` bootstrap samples of ``n`` draws with replacement.
 
-    Draw ``j`` of round ``r`` takes the row at hash position ``md5(seed, r, j) mod n``.  Tasks hash their share of the draws and
-    send them on as blocks of four-byte numbers, one block for each run of positions that takes about ``block_draws``
-    draws; the task of a run counts its draws beside its rows.  So a draw costs one hash and four bytes of shuffle, and a
-    task holds one run, whatever the number of rows and rounds.  An empty table gives no rows.
+    Draw ``j`` of round ``r`` takes the row at hash position ``md5(seed, r, j) mod n``.  Tasks hash their share of the draws, many at once
+    (:mod:`.md5`), sort them and send them on as blocks of two-byte numbers, one block for each round and run of positions; a run takes about ``block_draws``
+    draws, and its task counts them beside its rows.  So a draw costs one hash and two bytes of shuffle, and a task holds one run, whatever the
+    number of rows and rounds.  An empty table gives no rows.
     """
     import numpy as np
     import pyarrow as pa
 
-    spark = df.sparkSession
+    spark, hash_ints = df.sparkSession, hasher()
     p = materialize(hash_position(df, id_col, seed, with_count="_n"), "positions")      # feeds the number of draws and the runs
     first, n = p.agg(F.coalesce(F.min("pos"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
-    width = max(1, block_draws // max(1, rounds))
-    tasks = max(spark.sparkContext.defaultParallelism, -(-n * rounds // (1 << 23)))
-    draws = spark.range(first, n, 1, tasks).select(F.col("id").alias("_j"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rounds - 1).cast("long"))).alias("round"))
-    picked = draws.select(F.col("round").cast("int").alias("round"), F.pmod(hash_int(seed, "round", "_j"), F.lit(max(1, n))).alias("at"))
-
-    def pack(batches):
-        held, size = [], 0
-
-        def flush():
-            r, at = (np.concatenate(c) for c in zip(*held))
-            run, cell = at // width, ((at % width) * rounds + r).astype(np.int32)
-            order = np.argsort(run, kind="stable")
-            run, cell = run[order], cell[order]
-            cuts = np.flatnonzero(np.diff(run, prepend=-1))
-            parts = [cell[a:z].tobytes() for a, z in zip(cuts, [*cuts[1:], len(cell)])]
-            return pa.RecordBatch.from_arrays([pa.array(run[cuts], pa.int64()), pa.array(parts, pa.binary())], ["_run", "cells"])
+    width = min(1 << 16, max(1, block_draws // max(1, rounds)))
+    span = min(1 << 20, max(1, n - first))                                              # a task's draws of one round
+    pieces = -(-(n - first) // span)
+    each = max(1, min((1 << 23) // span, -(-rounds * pieces // spark.sparkContext.defaultParallelism)))        # rounds of a task
+    tasks = pieces * -(-rounds // each)
 
+    def draw(batches):
         for b in batches:
-            held.append((b.column(0).to_numpy(), b.column(1).to_numpy()))
-            size += b.num_rows
-            if size >= 1 << 20:
-                yield flush()
-                held, size = [], 0
-        if size:
-            yield flush()
+            for task in b.column(0).to_pylist():
+                lo, turn = first + task % pieces * span, task // pieces * each
+                mine = range(turn, min(turn + each, rounds))
+                for r, h in zip(mine, hash_ints([f"{seed}{r}-" for r in mine], lo, min(lo + span, n))):
+                    at = h % np.uint64(n)
+                    at = np.sort(at.astype(np.uint32) if n <= 1 << 32 else at)
+                    run = at // at.dtype.type(width)
+                    cuts = np.flatnonzero(np.diff(run)) + 1
+                    cuts = np.concatenate([[0], cuts, [len(at)]])
+                    cells = (at - run * at.dtype.type(width)).astype(np.uint16)
+                    blocks = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * 2).astype(np.int32).tobytes()), pa.py_buffer(cells.tobytes())])
+                    yield pa.RecordBatch.from_arrays([pa.array(run[cuts[:-1]].astype(np.int64)), pa.array(np.full(len(cuts) - 1, r, np.int32)), blocks], ["_run", "round", "cells"])
 
     schema = df.select("*").withColumn(name, F.array().cast("array<int>")).schema
     kept = df.columns
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
         here = left.column("pos").to_numpy() % width
-        drawn = np.frombuffer(b"".join(right.column("cells").to_pylist()), dtype=np.int32)
-        total = np.bincount(drawn, minlength=width * rounds).astype(np.int32)
-        flat = pa.array(total.reshape(width, rounds)[here].ravel())
+        total = np.zeros((rounds, width), dtype=np.int32)
+        if right.num_rows:
+            turn = right.column("round").to_numpy()
+            order = np.argsort(turn, kind="stable")
+            blocks = pa.concat_arrays(right.column("cells").chunks).take(pa.array(order))
+            ends = np.frombuffer(blocks.buffers()[1], dtype=np.int32)[blocks.offset:blocks.offset + len(blocks) + 1] // 2
+            drawn = np.frombuffer(blocks.buffers()[2], dtype=np.uint16)
+            of, begin = np.unique(turn[order], return_index=True)
+            for r, a, z in zip(of, begin, [*begin[1:], len(order)]):
+                total[r] = np.bincount(drawn[ends[a]:ends[z]], minlength=width)
+        flat = pa.array(np.ascontiguousarray(total.T[here]).ravel())
         lists = pa.ListArray.from_arrays(pa.array(np.arange(left.num_rows + 1, dtype=np.int32) * rounds), flat)
         return left.select(kept).append_column(name, lists)
 
     rows = p.withColumn("_run", F.floor(F.col("pos") / width).cast("long"))
-    packed = picked.mapInArrow(pack, "_run long, cells binary")
+    packed = spark.range(0, tasks, 1, max(1, min(tasks, 1 << 16))).mapInArrow(draw, "_run long, round int, cells binary")
     return rows.groupBy("_run").cogroup(packed.groupBy("_run")).applyInArrow(count, schema)
 
 
